@@ -1,0 +1,22 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A broadcast side is checked against this row bound before it is hinted;
+# beyond it the join stays a shuffle join (and AQE may still convert it at
+# run time from measured sizes).
+DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    Costs one counting job over ``df``; use it only for a side that is cheap
+    to compute (a dimension-like table), never for a side with a long lineage.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The job is a batch run over a look-back window, scheduled every 14 days; it
+has no stream source, watermark, window or state. Nothing is built here.
+"""
