@@ -10,11 +10,14 @@ Bounded groups. A pool may own a very large share of the inventory, but only
 few rows can ever be chosen: the move at position ``k`` lands on one of the
 first ``k`` rows (in order) whose *original* count covers its shift, since at
 most ``k - 1`` rows have been drawn down before it. So for each pool and each
-distinct shift ``t`` only the first ``K`` rows with ``active >= t`` are kept
-(``K`` = moves in the pool); first fit over the kept rows is the same as over
-all rows. The top-``K`` is taken in two window passes, the first one over
-salted sub-partitions, so a hot pool is spread over many tasks and the fold
-receives at most ``K x distinct shifts`` reservation rows per pool.
+distinct shift ``t`` only the first ``K`` rows with ``active >= t`` are kept;
+first fit over the kept rows is the same as over all rows. ``K`` and the
+shifts are taken from the pool's *candidates* (a superset of its moves, so
+the kept set only grows): this keeps the pruning independent of the greedy
+walk, which therefore runs once per plan. The top-``K`` is taken in two
+window passes, the first one over salted sub-partitions, so a hot pool is
+spread over many tasks and the fold receives at most ``K x distinct shifts``
+reservation rows per pool.
 """
 
 from __future__ import annotations
@@ -44,17 +47,22 @@ MOVE_COLUMNS = POOL + ("productname", "ondemand_availabilityzone", "ondemand_ins
 DEFAULT_SALT_BUCKETS = 32
 
 
-def reachable_reservations(moves: DataFrame, res_list: DataFrame,
+def reachable_reservations(candidates: DataFrame, res_list: DataFrame,
                            salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """The reservation rows first fit can choose (exact pruning, see module doc)."""
-    per_pool = moves.groupBy(*POOL).agg(F.count("*").alias("k"))
-    thresholds = (moves.select(*POOL, F.col("instances_tobe_shifted").alias("t")).distinct()
-                  .join(per_pool, list(POOL)))
+    thresholds = (candidates.groupBy(*POOL, F.col("instances_tobe_shifted").alias("t"))
+                  .agg(F.count("*").alias("n"))
+                  .withColumn("k", F.sum("n").over(Window.partitionBy(*POOL)))
+                  .drop("n"))
     # Thresholds are few per pool; a plain join lets AQE broadcast them from
     # their measured size and split a hot pool on the reservation side.
-    rows = (res_list.filter(F.col("active") > 0).select(*RESERVATION_COLUMNS)
-            .join(thresholds, list(POOL))
-            .filter(F.col("active") >= F.col("t")))
+    inventory = res_list.filter(F.col("active") > 0).select(
+        *[F.col(c).alias(f"r_{c}") for c in POOL], *RESERVATION_COLUMNS[len(POOL):])
+    rows = (thresholds
+            .join(inventory, [thresholds[c] == inventory[f"r_{c}"] for c in POOL])
+            .filter(F.col("active") >= F.col("t"))
+            .select(*[F.col(f"r_{c}").alias(c) for c in POOL], *RESERVATION_COLUMNS[len(POOL):],
+                    "t", "k"))
     order = [F.col(c).asc_nulls_first() for c in RESERVATION_ORDER]
     salted = rows.withColumn(
         "salt", F.pmod(F.xxhash64(*RESERVATION_ORDER), F.lit(int(salt_buckets))))
@@ -104,11 +112,14 @@ def first_fit_pool(moves: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
     })
 
 
-def reservation_shift(picks: DataFrame, res_list: DataFrame,
+def reservation_shift(picks: DataFrame, res_list: DataFrame, candidates: DataFrame,
                       salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """Assigned moves, one row per (move, reservation row) with a positive shift."""
+    """Assigned moves, one row per (move, reservation row) with a positive shift.
+
+    ``candidates`` are the candidate moves the picks were chosen from.
+    """
     moves = relabel_regional(picks).select(*MOVE_COLUMNS)
-    rows = reachable_reservations(moves, res_list, salt_buckets)
+    rows = reachable_reservations(candidates, res_list, salt_buckets)
     return (moves.groupBy(*POOL)
             .cogroup(rows.groupBy(*POOL))
             .applyInPandas(first_fit_pool, SHIFT_SCHEMA)

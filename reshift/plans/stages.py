@@ -101,4 +101,5 @@ class Stages:
 
     @cached_property
     def reservation_shift(self) -> DataFrame:
-        return firstfit.reservation_shift(self.picks, self.reservation_list)
+        return firstfit.reservation_shift(self.picks, self.reservation_list,
+                                          self.candidate_moves)

@@ -24,6 +24,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "res
     """A local session for tests and the bench (no UI)."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g"))
     for k, v in {**JOB_CONF, **(extra or {})}.items():
