@@ -4,10 +4,10 @@ Scale notes. The hourly aggregation is the only operator that touches the raw
 billing lines; it is a hash aggregate with a map-side partial step, so a hot
 pool-hour is collapsed before the shuffle. The window predicate is a range on
 the raw start timestamp (pushed to the Parquet reader, and a partition filter
-when the table is partitioned by date). Both branches are one aggregate with
-a ``branch`` key: a standalone query filters on it and Catalyst pushes that
-filter down to the scan, while ``run()`` materialises the aggregate once and
-serves both branches from a single scan.
+when the table is partitioned by date). The hourly aggregate takes the set of
+branches it must produce: a query that needs one branch reads only that
+branch's columns and rows, while ``run()`` builds both branches in one
+aggregate, materialises it and serves both from a single scan.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ from reshift.params import RunParams
 
 RESERVED = "reserved"
 ON_DEMAND = "ondemand"
+BRANCHES = (RESERVED, ON_DEMAND)
+_OPTION = {RESERVED: RESERVED_OPTION, ON_DEMAND: ON_DEMAND_OPTION}
 
 HOUR_KEYS = ("productname", "yr", "mon", "dy", "hr", "region", "availabilityzone")
 DEMAND_KEYS = ("productname", "region", "availabilityzone", "os", "ondemand_instancetype")
@@ -42,29 +44,40 @@ def window_filter(usage: DataFrame, params: RunParams) -> DataFrame:
         in_window(start, params) & is_ec2(F.col("productname")) & lasts_at_most_an_hour(start, end))
 
 
-def _branch():
-    """Which hourly table a line feeds, or null when neither."""
+def _branch_test(branch: str):
+    """Predicate of the lines that feed one hourly table."""
+    if branch == RESERVED:
+        return F.col("purchaseoption") == RESERVED_OPTION
     desc = F.col("itemdescription")
-    on_demand_line = (
-        (F.col("purchaseoption") == ON_DEMAND_OPTION)
-        & (F.instr(F.lower(desc), "instance") > 0)
-        & ~(F.instr(desc, "Mbps") > 0)  # case-sensitive, as in the job
-        & (F.col("measure") == HOURLY_MEASURE)
-        & (F.col("os") != NO_OS)
-    )
-    return (F.when(F.col("purchaseoption") == RESERVED_OPTION, F.lit(RESERVED))
-            .when(on_demand_line, F.lit(ON_DEMAND)))
+    return ((F.col("purchaseoption") == ON_DEMAND_OPTION)
+            & (F.instr(F.lower(desc), "instance") > 0)
+            & ~(F.instr(desc, "Mbps") > 0)  # case-sensitive, as in the job
+            & (F.col("measure") == HOURLY_MEASURE)
+            & (F.col("os") != NO_OS))
 
 
-def hourly_usage(usage: DataFrame, params: RunParams) -> DataFrame:
-    """Both hourly tables in one aggregate, keyed by ``branch``.
+def _branch(branches):
+    """Which hourly table a line feeds, or null when none of ``branches``."""
+    expr = None
+    for b in branches:
+        expr = (F.when if expr is None else expr.when)(_branch_test(b), F.lit(b))
+    return expr
+
+
+def hourly_usage(usage: DataFrame, params: RunParams, branches=BRANCHES) -> DataFrame:
+    """The hourly tables of ``branches`` in one aggregate, keyed by ``branch``.
 
     The group key is the *raw* os and instance type: two spellings of one
     label ('Linux'/'linux', null/'m1.small') stay separate rows with equal
     labels, as in the job. Labels are projected after the aggregate.
     """
     start = F.col("usagestartdate")
-    lines = window_filter(usage, params).withColumn("branch", _branch()).filter(F.col("branch").isNotNull())
+    lines = (window_filter(usage, params)
+             # redundant with the branch test, but a plain IN list reaches the
+             # Parquet reader (row-group skipping); the CASE expression does not
+             .filter(F.col("purchaseoption").isin(*[_OPTION[b] for b in branches]))
+             .withColumn("branch", _branch(branches))
+             .filter(F.col("branch").isNotNull()))
     grouped = lines.groupBy(
         "branch", "productname",
         F.year(start).alias("yr"), F.month(start).alias("mon"),

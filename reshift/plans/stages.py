@@ -22,6 +22,7 @@ class Stages:
         self.reservations = reservations
         self.params = params
         # materialize(df) -> df: identity for a lazy plan, checkpoint in run()
+        self._shared_scan = materialize is not None
         self._materialize = materialize or (lambda df: df)
 
     # usage side
@@ -31,15 +32,22 @@ class Stages:
 
     @cached_property
     def hourly_usage(self) -> DataFrame:
+        """Both branches in one aggregate, materialised: one scan serves both."""
         return self._materialize(usage.hourly_usage(self.usage, self.params))
 
+    def _hourly(self, branch: str) -> DataFrame:
+        if self._shared_scan:
+            return self.hourly_usage
+        # a lazy plan reads only the columns and rows of the branch it needs
+        return usage.hourly_usage(self.usage, self.params, (branch,))
+
     @cached_property
     def reserved_hourly(self) -> DataFrame:
-        return usage.reserved_hourly(self.hourly_usage)
+        return usage.reserved_hourly(self._hourly(usage.RESERVED))
 
     @cached_property
     def ondemand_hourly(self) -> DataFrame:
-        return usage.ondemand_hourly(self.hourly_usage)
+        return usage.ondemand_hourly(self._hourly(usage.ON_DEMAND))
 
     @cached_property
     def ondemand_daily(self) -> DataFrame:

@@ -1,0 +1,83 @@
+"""Reserved side on hand-made rows: pool match, balance, rollups, cutoff."""
+
+import datetime as dt
+
+from reshift.operators import balance as B
+from reshift.operators import inventory as I
+from reshift.operators import usage as U
+from reshift.params import RunParams
+from tests.rows import T0, line, reservation, reservations_df, usage_df
+
+P = RunParams(run_date="20240130", lookback_days=14)
+
+
+def stages(spark, usage_rows, res_rows):
+    res_hourly = U.reserved_hourly(U.hourly_usage(usage_df(spark, usage_rows), P))
+    pools = I.active_pools(I.reservation_list(reservations_df(spark, res_rows)))
+    match = B.pool_match(res_hourly, pools)
+    bal = B.hourly_balance(match)
+    return match, bal
+
+
+def test_reservation_list_labels_and_raw_rows(spark):
+    res = [reservation("ri-1", 2, instance_type="m3.large"),
+           reservation("ri-1", 3, instance_type="m3.large "),
+           reservation("ri-2", 4, product_description="Windows (Amazon VPC)"),
+           reservation("ri-3", 5, product_description="SUSE Linux"),
+           reservation("ri-4", 6, product_description="Red Hat Enterprise"),
+           reservation("ri-5", 7, state="retired"), reservation("ri-6", 8, state="Active")]
+    got = I.reservation_list(reservations_df(spark, res)).collect()
+    by = sorted((r["reserved_instance_id"], r["os"], r["instancetype"], r["active"]) for r in got)
+    assert by == [("ri-1", "linux", "m3.large", 2), ("ri-1", "linux", "m3.large", 3),
+                  ("ri-2", "windows", "m3.large", 4), ("ri-3", "linux", "m3.large", 5),
+                  ("ri-4", "Red Hat Enterprise", "m3.large", 6)]
+    pools = I.active_pools(I.reservation_list(reservations_df(spark, res))).collect()
+    assert {(r["os"], r["active"]) for r in pools} == {("linux", 10), ("windows", 4),
+                                                       ("Red Hat Enterprise", 6)}
+
+
+def test_zonal_and_regional_pool_both_charged(spark):
+    res = [reservation("ri-1", 3, availability_zone="us-east-1a"),
+           reservation("ri-2", 5, availability_zone="us-east-1")]
+    usage = [line(usagequantity=2.0), line(availabilityzone="us-east-1b", usagequantity=1.0),
+             line(availabilityzone=None, usagequantity=4.0)]
+    match, bal = stages(spark, usage, res)
+    got = sorted((r["availabilityzone"] or "", r["availability_zone"]) for r in match.collect())
+    # 1a matches zonal and regional; 1b and a null zone only the regional pool
+    assert got == [("", "us-east-1"), ("us-east-1a", "us-east-1"), ("us-east-1a", "us-east-1a"),
+                   ("us-east-1b", "us-east-1")]
+    rows = {r["availability_zone"]: r for r in bal.collect()}
+    assert rows["us-east-1"]["consumption"] == 7.0 and rows["us-east-1"]["active"] == 5.0
+    assert rows["us-east-1a"]["unused_ri"] == 1.0
+    assert rows["us-east-1"]["unused_ri"] == 0.0  # clamped at zero
+
+
+def test_exact_duplicates_dropped(spark):
+    # two raw spellings, equal quantity and cost: one row after duplicate removal
+    res = [reservation("ri-1", 3)]
+    usage = [line(os="Linux"), line(os="linux")]
+    match, bal = stages(spark, usage, res)
+    assert match.count() == 1
+    assert bal.collect()[0]["consumption"] == 1.0
+
+
+def test_non_usage_share_and_inclusive_cutoff(spark):
+    res = [reservation("ri-1", 2)]
+    # five observed hours: four with spare capacity -> exactly 80 %
+    usage = [line(start=T0 + dt.timedelta(hours=h), usagequantity=1.0) for h in range(4)]
+    usage.append(line(start=T0 + dt.timedelta(hours=4), usagequantity=2.0))
+    _, bal = stages(spark, usage, res)
+    w = B.unused_window(bal)
+    r = w.collect()[0]
+    assert (r["hrcount"], r["unused_ritotal_hrs"], r["unused_ritotal"]) == (5, 4, 4.0)
+    assert r["non_usage_hr_prop_month"] == 80.0
+    assert B.high_unused(w, 80.0).count() == 1
+    assert B.high_unused(w, 80.01).count() == 0
+    d = B.unused_daily(bal).collect()
+    assert len(d) == 1 and d[0]["non_usage_hr_prop_day"] == 80.0
+
+
+def test_idle_pool_without_usage_is_not_observed(spark):
+    res = [reservation("ri-1", 2), reservation("ri-2", 9, instance_type="c4.large")]
+    _, bal = stages(spark, [line()], res)
+    assert {r["instancetype"] for r in B.unused_window(bal).collect()} == {"m3.large"}

@@ -1,0 +1,73 @@
+"""First fit of chosen moves onto reservation rows, and the exactness of its pruning."""
+
+import random
+
+import pandas as pd
+
+from reshift.operators.firstfit import first_fit_pool, reservation_shift
+from reshift.operators.inventory import RESERVATION_ORDER
+
+POOL = dict(region="us-east-1", availability_zone="us-east-1a", os="linux", instancetype="m3.large")
+PICK_COLS = ("productname string, region string, availability_zone string, os string, "
+             "instancetype string, avg_unused_instances double, availabilityzone string, "
+             "ondemand_instancetype string, avg_ondemand_instances double, "
+             "instances_tobe_shifted double, ondemand_instances_increased double, "
+             "savings double, pick_order long")
+RES_COLS = ("account_id string, reserved_instance_id string, offering_type string, region string, "
+            "availability_zone string, os string, instancetype string, active long, "
+            "product_description string, instance_type string")
+
+
+def res_row(rid, active, account="acct-0"):
+    return dict(account_id=account, reserved_instance_id=rid, offering_type="All Upfront",
+                product_description="Linux/UNIX", instance_type="m3.large", active=active, **POOL)
+
+
+def move(i, shift, savings=1.0):
+    return dict(productname="Amazon Elastic Compute Cloud", ondemand_availabilityzone="us-east-1b",
+                ondemand_instancetype=f"m3.t{i}", instances_tobe_shifted=float(shift),
+                savings=savings, pick_order=i, **POOL)
+
+
+def test_remaining_capacity_is_tracked():
+    out = first_fit_pool(pd.DataFrame([move(0, 2), move(1, 2), move(2, 3), move(3, 9)]),
+                         pd.DataFrame([res_row("ri-2", 5), res_row("ri-1", 3)]))
+    assert list(zip(out["ondemand_instancetype"], out["reserved_instance_id"])) == [
+        ("m3.t0", "ri-1"), ("m3.t1", "ri-2"), ("m3.t2", "ri-2")]
+    assert list(out["active"]) == [3, 5, 5]
+
+
+def brute_force(moves, rows):
+    rows = sorted(rows, key=lambda r: tuple(r[c] for c in RESERVATION_ORDER))
+    left = [r["active"] for r in rows]
+    out = []
+    for m in sorted(moves, key=lambda m: m["pick_order"]):
+        for i, r in enumerate(rows):
+            if left[i] > 0 and left[i] >= m["instances_tobe_shifted"]:
+                left[i] -= m["instances_tobe_shifted"]
+                out.append((m["ondemand_instancetype"], r["reserved_instance_id"]))
+                break
+    return sorted(out)
+
+
+def test_pruned_first_fit_equals_full_scan_on_hot_pool(spark):
+    rng = random.Random(7)
+    rows = [res_row(f"ri-{i:04d}", rng.choice([0, 1, 1, 2, 3, 5, 8]), account=f"acct-{i % 3}")
+            for i in range(600)]
+    cand_shifts = [rng.randint(1, 9) for _ in range(25)]
+    moves = [move(i, s) for i, s in enumerate(cand_shifts) if i % 2 == 0]
+    picks = spark.createDataFrame(
+        [(m["productname"], m["region"], m["availability_zone"], m["os"], m["instancetype"],
+          20.0, "us-east-1b", m["ondemand_instancetype"], 1.0, m["instances_tobe_shifted"], 1.0,
+          m["savings"], m["pick_order"]) for m in moves], PICK_COLS)
+    candidates = spark.createDataFrame(
+        [(POOL["region"], POOL["availability_zone"], POOL["os"], POOL["instancetype"], float(s))
+         for s in cand_shifts],
+        "region string, availability_zone string, os string, instancetype string, "
+        "instances_tobe_shifted double")
+    res_list = spark.createDataFrame(
+        [tuple(r[c.split()[0]] for c in RES_COLS.split(", ")) for r in rows], RES_COLS)
+    got = reservation_shift(picks, res_list, candidates, salt_buckets=8).collect()
+    assert sorted((r["ondemand_instancetype"], r["reserved_instance_id"]) for r in got) == \
+        brute_force(moves, rows)
+    assert len(got) > 5
