@@ -13,25 +13,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reshift.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
-
 POOL_PRODUCT_KEYS = ("productname", "region", "availability_zone", "os", "instancetype")
 BALANCE_KEYS = ("productname", "yr", "mon", "dy", "hr", "region", "availability_zone", "os",
                 "instancetype")
 DAY_KEYS = ("productname", "yr", "mon", "dy", "region", "availability_zone", "os", "instancetype")
 
 
-def pool_match(res_hourly: DataFrame, pools: DataFrame,
-               broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def pool_match(res_hourly: DataFrame, pools: DataFrame) -> DataFrame:
     """J1 + P9 + D1: charge each hourly row to its zonal pool and its regional pool.
 
     The job writes a left join; the zone filter rejects unmatched rows, so it
     is an inner join here (Catalyst does not infer that itself). A row may
     match both a zonal and a regional pool and is then charged to each.
     Exact duplicate rows are dropped afterwards, as in the job.
+
+    No broadcast hint: the pools table has one row per pool, and the planner
+    broadcasts it only while its size estimate is under
+    ``spark.sql.autoBroadcastJoinThreshold`` (sort-merge join beyond it); AQE
+    re-checks the measured size at run time. A hint would skip that check.
     """
-    matched = (res_hourly.join(bounded_broadcast(pools, broadcast_max_rows),
-                               ["region", "os", "instancetype"], "inner")
+    matched = (res_hourly.join(pools, ["region", "os", "instancetype"], "inner")
                .filter((F.col("availabilityzone") == F.col("availability_zone"))
                        | (F.col("region") == F.col("availability_zone"))))
     return (matched.select("productname", "yr", "mon", "dy", "hr", "region", "availabilityzone",
