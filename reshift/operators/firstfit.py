@@ -50,8 +50,11 @@ DEFAULT_SALT_BUCKETS = 32
 def reachable_reservations(candidates: DataFrame, res_list: DataFrame,
                            salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """The reservation rows first fit can choose (exact pruning, see module doc)."""
-    thresholds = (candidates.groupBy(*POOL, F.col("instances_tobe_shifted").alias("t"))
-                  .agg(F.count("*").alias("n"))
+    # one exchange on the pool key serves the per-shift counts and the
+    # per-pool window over them
+    thresholds = (candidates.select(*POOL, F.col("instances_tobe_shifted").alias("t"))
+                  .repartition(*POOL)
+                  .groupBy(*POOL, "t").agg(F.count("*").alias("n"))
                   .withColumn("k", F.sum("n").over(Window.partitionBy(*POOL)))
                   .drop("n"))
     # Thresholds are few per pool; a plain join lets AQE broadcast them from
@@ -66,11 +69,15 @@ def reachable_reservations(candidates: DataFrame, res_list: DataFrame,
     order = [F.col(c).asc_nulls_first() for c in RESERVATION_ORDER]
     salted = rows.withColumn(
         "salt", F.pmod(F.xxhash64(*RESERVATION_ORDER), F.lit(int(salt_buckets))))
+    # pass 1: top K inside each salted slice of a (pool, shift) group
     local = (salted
              .withColumn("rn", F.row_number().over(
                  Window.partitionBy(*POOL, "t", "salt").orderBy(*order)))
              .filter(F.col("rn") <= F.col("k")))
-    top = (local
+    # pass 2: at most salt_buckets x K rows per (pool, shift) are left, so the
+    # pool key alone can partition them; that partitioning then also serves
+    # the duplicate removal and the cogroup of the fold
+    top = (local.repartition(*POOL)
            .withColumn("rn", F.row_number().over(Window.partitionBy(*POOL, "t").orderBy(*order)))
            .filter(F.col("rn") <= F.col("k")))
     return top.select(*RESERVATION_COLUMNS).dropDuplicates()

@@ -47,23 +47,30 @@ def candidate_moves(high: DataFrame, od_window: DataFrame) -> DataFrame:
     unused_cpu, od_cpu = F.col("unused_instance_cpu"), F.col("ondemand_instance_cpu")
     avail, needed = F.col("avg_unused_cpu_available"), F.col("avg_ondemand_cpu_needed")
     short = needed > avail
+    # one projection per dependency level (each withColumns is one analysis)
     moves = (moves
-             .withColumn("unused_instance_cpu", cpu_weight(F.col("instancetype")))
-             .withColumn("ondemand_instance_cpu", cpu_weight(F.col("ondemand_instancetype")))
-             .withColumn("avg_unused_instances", F.round(div(F.col("unused_ritotal"), F.col("hrcount"))))
-             .withColumn("avg_ondemand_instances", F.round(div(F.col("quantity_used"), F.col("ondemand_hrs"))))
-             .withColumn("avg_unused_cpu_available", F.col("avg_unused_instances") * unused_cpu)
-             .withColumn("avg_ondemand_cpu_needed", F.col("avg_ondemand_instances") * od_cpu)
-             .withColumn("instances_tobe_shifted",
-                         F.when(short, F.round(div(avail, unused_cpu)))
-                          .otherwise(F.round(div(needed, unused_cpu))))
-             .withColumn("ondemand_instances_reduced",
-                         F.when(short, F.round(div(avail, od_cpu)))
-                          .otherwise(F.round(div(needed, od_cpu))))
-             .withColumn("ondemand_instances_increased",
-                         F.round(div(F.col("instances_tobe_shifted") * unused_cpu, od_cpu)))
-             .withColumn("savings", F.col("instances_tobe_shifted") * F.col("ondemand_hrs")
-                         * div(F.col("dollar_spent"), F.col("quantity_used"))))
+             .withColumns({
+                 "unused_instance_cpu": cpu_weight(F.col("instancetype")),
+                 "ondemand_instance_cpu": cpu_weight(F.col("ondemand_instancetype")),
+                 "avg_unused_instances": F.round(div(F.col("unused_ritotal"), F.col("hrcount"))),
+                 "avg_ondemand_instances": F.round(div(F.col("quantity_used"), F.col("ondemand_hrs"))),
+             })
+             .withColumns({
+                 "avg_unused_cpu_available": F.col("avg_unused_instances") * unused_cpu,
+                 "avg_ondemand_cpu_needed": F.col("avg_ondemand_instances") * od_cpu,
+             })
+             .withColumns({
+                 "instances_tobe_shifted": F.when(short, F.round(div(avail, unused_cpu)))
+                                            .otherwise(F.round(div(needed, unused_cpu))),
+                 "ondemand_instances_reduced": F.when(short, F.round(div(avail, od_cpu)))
+                                                .otherwise(F.round(div(needed, od_cpu))),
+             })
+             .withColumns({
+                 "ondemand_instances_increased":
+                     F.round(div(F.col("instances_tobe_shifted") * unused_cpu, od_cpu)),
+                 "savings": F.col("instances_tobe_shifted") * F.col("ondemand_hrs")
+                            * div(F.col("dollar_spent"), F.col("quantity_used")),
+             }))
     viable = ((F.col("avg_unused_instances") > 0)
               & (F.col("ondemand_instances_reduced") > 0)
               & (F.col("instances_tobe_shifted") >= 1))

@@ -41,8 +41,14 @@ def load_reservations(spark: SparkSession, name_or_path: str) -> DataFrame:
     return read_table(spark, name_or_path).select(*RESERVATION_COLUMNS)
 
 
+# The columns the fixture rules read; Parquet matches them by name, and a
+# given schema spares the footer-reading job of schema inference.
+EVENTS_READ_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, props string"
+PART_READ_SCHEMA = "p_partkey long, p_size int"
+
+
 def load_test_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(usage, reservations) derived from the provided tables in ``sf_dir``."""
-    events = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
-    part = spark.read.parquet(os.path.join(sf_dir, "part.parquet"))
+    events = spark.read.schema(EVENTS_READ_SCHEMA).parquet(os.path.join(sf_dir, "events.parquet"))
+    part = spark.read.schema(PART_READ_SCHEMA).parquet(os.path.join(sf_dir, "part.parquet"))
     return usage_from_events(events), reservations_from_part(part)
