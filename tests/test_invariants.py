@@ -43,3 +43,10 @@ def test_every_shift_comes_from_a_suggestion(st):
     missing = shifts.join(sug, cond, "left_anti")
     assert missing.count() == 0
     assert st.reservation_shift.count() <= st.suggestions.count()
+
+
+def test_candidate_key_is_unique(st):
+    # the job's regrouping of candidates by this key is an identity
+    from reshift.operators.moves import CANDIDATE_KEYS
+    dup = st.candidate_moves.groupBy(*CANDIDATE_KEYS).count().filter(F.col("count") > 1)
+    assert dup.count() == 0

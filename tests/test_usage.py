@@ -87,3 +87,13 @@ def test_ondemand_rollups_count_rows_and_distinct_days(spark):
     assert w[0]["demand_hr_month_prop"] == 4 * 100 / (2 * 24)
     d = {r["dy"]: r["ondemand_hrs"] for r in U.ondemand_daily(h).collect()}
     assert d == {30: 3, 29: 1}
+
+
+def test_long_lookback_counts_days_of_month(spark):
+    # a look-back over a month boundary: the 5th of two months is one distinct day
+    params = RunParams(run_date="20240210", lookback_days=40)
+    od = dict(purchaseoption="on-demand")
+    rows = [line(**od, start=dt.datetime(2024, 1, 5, 3)), line(**od, start=dt.datetime(2024, 2, 5, 3))]
+    h = U.ondemand_hourly(U.hourly_usage(usage_df(spark, rows), params, (U.ON_DEMAND,)))
+    (w,) = U.ondemand_window(h).collect()
+    assert (w["ondemand_hrs"], w["ondemand_days"]) == (2, 1)
