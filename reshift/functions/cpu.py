@@ -10,7 +10,6 @@ the same order.)
 from __future__ import annotations
 
 from collections.abc import Mapping
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,7 +39,12 @@ DEFAULT_WEIGHT = 1
 
 
 def _map_literal(mapping: Mapping[str, int]) -> Column:
-    return F.create_map(*chain.from_iterable((F.lit(k), F.lit(int(v))) for k, v in mapping.items()))
+    """A constant map column, written as one SQL literal."""
+    for k in mapping:
+        if "'" in k or "\\" in k:
+            raise ValueError(f"unsupported instance type name: {k!r}")
+    pairs = ", ".join(f"'{k}', {int(v)}" for k, v in mapping.items())
+    return F.expr(f"map({pairs})")
 
 
 def cpu_weight(instancetype: Column,

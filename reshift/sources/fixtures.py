@@ -14,80 +14,64 @@ Reservation ids are zero-padded to six digits and never truncated.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from pyspark.sql import DataFrame
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+# The fixture rules of FIXTURES.md section 2 as Spark SQL
+# expressions (one analysis pass per table instead of one call per literal).
+_REGION_BY_USER = "case user_id % 2 when 0 then 'us-east-1' else 'us-west-2' end"
+_REGION_BY_PART = "case cast(floor(p_partkey / 2) as bigint) % 2 when 0 then 'us-east-1' else 'us-west-2' end"
 
-# Fixed values of the fixture rules (FIXTURES.md section 2).
-PRODUCT_EC2 = "Amazon Elastic Compute Cloud"
-PRODUCT_EC2_UPPER = "AMAZON ELASTIC COMPUTE CLOUD"
-PRODUCT_S3 = "Amazon Simple Storage Service"
-REGIONS = ["us-east-1", "us-west-2"]
-USAGE_ZONE_LETTERS = ["a", "b", "c"]
-USAGE_OS = ["Linux", "Windows", "windows", "N/A", "linux", "linux", "linux", "linux"]
-USAGE_TYPES = [None, "m3.medium", "m3.large", "m3.xlarge", "m3.2xlarge", "c4.large", "c4.8xlarge", "m1.small"]
-RESERVATION_ZONE_SUFFIX = ["a", "b", "c", ""]
-RESERVATION_DESCRIPTIONS = ["Windows (Amazon VPC)", "Windows", "Linux/UNIX", "Linux/UNIX (Amazon VPC)", "SUSE Linux"]
-RESERVATION_TYPES = ["m3.medium", "m3.large", "m3.xlarge", "m3.2xlarge", "c4.large", "c4.8xlarge", "m1.small"]
-OFFERINGS = ["Partial Upfront", "All Upfront"]
+USAGE_RULES = (
+    "case when event_id % 11 = 0 then 'AMAZON ELASTIC COMPUTE CLOUD' "
+    "when event_id % 13 = 0 then 'Amazon Simple Storage Service' "
+    "else 'Amazon Elastic Compute Cloud' end as productname",
+    "cast(date_trunc('hour', ts) as timestamp_ntz) as usagestartdate",
+    "cast(date_trunc('hour', ts) + case when event_id % 50 = 0 then interval 2 hours "
+    "else interval 1 hour end as timestamp_ntz) as usageenddate",
+    f"{_REGION_BY_USER} as region",
+    f"case when event_id % 101 = 0 then null else concat({_REGION_BY_USER}, "
+    "case event_id % 3 when 0 then 'a' when 1 then 'b' else 'c' end) end as availabilityzone",
+    "case when k = 7 then null else case k % 8 when 0 then 'Linux' when 1 then 'Windows' "
+    "when 2 then 'windows' when 3 then 'N/A' else 'linux' end end as os",
+    "case cast(floor(event_id / 3) as bigint) % 8 when 0 then null when 1 then 'm3.medium' "
+    "when 2 then 'm3.large' when 3 then 'm3.xlarge' when 4 then 'm3.2xlarge' "
+    "when 5 then 'c4.large' when 6 then 'c4.8xlarge' else 'm1.small' end as instancetype",
+    "case event_type when 'click' then 'reservedinstance' when 'view' then 'reservedinstance' "
+    "when 'signup' then 'spot' else 'on-demand' end as purchaseoption",
+    "cast(1 + k % 3 as double) as usagequantity",
+    "cast(1 + k % 3 as double) * cast(0.25 as double) * cast(1 + user_id % 4 as double) as unblendedcost",
+    "case when event_id % 37 = 0 then 'GB' else 'Hour' end as measure",
+    "case when event_id % 41 = 0 then null "
+    "when event_id % 43 = 0 then 'data transfer 10 Mbps per Instance' "
+    "when event_id % 47 = 0 then 'EBS snapshot' "
+    "else 'per On Demand Instance Hour' end as itemdescription",
+)
 
-
-def _pick(values: Sequence, index: Column) -> Column:
-    """``values[index]`` for a 0-based integer column already in range."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-
-def _floor_div(c: Column, d: int) -> Column:
-    return F.floor(c / F.lit(d)).cast("long")
+RESERVATION_RULES = (
+    "concat('acct-', cast(p_partkey % 3 as string)) as account_id",
+    "format_string('ri-%06d', p_partkey) as reserved_instance_id",
+    "case p_partkey % 2 when 0 then 'Partial Upfront' else 'All Upfront' end as offering_type",
+    f"{_REGION_BY_PART} as region",
+    f"concat({_REGION_BY_PART}, case cast(floor(p_partkey / 4) as bigint) % 4 "
+    "when 0 then 'a' when 1 then 'b' when 2 then 'c' else '' end) as availability_zone",
+    "case p_partkey % 5 when 0 then 'Windows (Amazon VPC)' when 1 then 'Windows' "
+    "when 2 then 'Linux/UNIX' when 3 then 'Linux/UNIX (Amazon VPC)' "
+    "else 'SUSE Linux' end as product_description",
+    "concat(case cast(floor(p_partkey / 3) as bigint) % 7 when 0 then 'm3.medium' "
+    "when 1 then 'm3.large' when 2 then 'm3.xlarge' when 3 then 'm3.2xlarge' "
+    "when 4 then 'c4.large' when 5 then 'c4.8xlarge' else 'm1.small' end, "
+    "case when p_partkey % 7 = 0 then ' ' else '' end) as instance_type",
+    "cast(p_size % 6 as int) as instance_count",
+    "case when p_partkey % 10 = 9 then 'retired' else 'active' end as state",
+)
 
 
 def usage_from_events(events: DataFrame) -> DataFrame:
     """Hourly billing lines, one per event."""
-    eid = F.col("event_id")
-    uid = F.col("user_id")
-    k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
-    region = _pick(REGIONS, uid % 2)
-    start = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
-    qty = (F.lit(1) + k % 3).cast("double")
-    return events.select(
-        F.when(eid % 11 == 0, PRODUCT_EC2_UPPER)
-         .when(eid % 13 == 0, PRODUCT_S3)
-         .otherwise(PRODUCT_EC2).alias("productname"),
-        start.alias("usagestartdate"),
-        F.when(eid % 50 == 0, start + F.expr("INTERVAL 2 HOURS"))
-         .otherwise(start + F.expr("INTERVAL 1 HOUR")).cast("timestamp_ntz").alias("usageenddate"),
-        region.alias("region"),
-        F.when(eid % 101 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(region, _pick(USAGE_ZONE_LETTERS, eid % 3))).alias("availabilityzone"),
-        F.when(k == 7, F.lit(None).cast("string")).otherwise(_pick(USAGE_OS, k % 8)).alias("os"),
-        _pick(USAGE_TYPES, _floor_div(eid, 3) % 8).alias("instancetype"),
-        F.when(F.col("event_type").isin("click", "view"), "reservedinstance")
-         .when(F.col("event_type") == "signup", "spot")
-         .otherwise("on-demand").alias("purchaseoption"),
-        qty.alias("usagequantity"),
-        (qty * F.lit(0.25) * (F.lit(1) + uid % 4).cast("double")).alias("unblendedcost"),
-        F.when(eid % 37 == 0, "GB").otherwise("Hour").alias("measure"),
-        F.when(eid % 41 == 0, F.lit(None).cast("string"))
-         .when(eid % 43 == 0, "data transfer 10 Mbps per Instance")
-         .when(eid % 47 == 0, "EBS snapshot")
-         .otherwise("per On Demand Instance Hour").alias("itemdescription"),
-    )
+    with_k = events.selectExpr("*", "cast(regexp_extract(props, '[0-9]+', 0) as int) as k")
+    return with_k.selectExpr(*USAGE_RULES)
 
 
 def reservations_from_part(part: DataFrame) -> DataFrame:
     """Reservation inventory, one reservation per part."""
-    key = F.col("p_partkey")
-    region = _pick(REGIONS, _floor_div(key, 2) % 2)
-    return part.select(
-        F.concat(F.lit("acct-"), (key % 3).cast("string")).alias("account_id"),
-        F.format_string("ri-%06d", key).alias("reserved_instance_id"),
-        _pick(OFFERINGS, key % 2).alias("offering_type"),
-        region.alias("region"),
-        F.concat(region, _pick(RESERVATION_ZONE_SUFFIX, _floor_div(key, 4) % 4)).alias("availability_zone"),
-        _pick(RESERVATION_DESCRIPTIONS, key % 5).alias("product_description"),
-        F.concat(_pick(RESERVATION_TYPES, _floor_div(key, 3) % 7),
-                 F.when(key % 7 == 0, " ").otherwise("")).alias("instance_type"),
-        (F.col("p_size") % 6).cast("int").alias("instance_count"),
-        F.when(key % 10 == 9, "retired").otherwise("active").alias("state"),
-    )
+    return part.selectExpr(*RESERVATION_RULES)
