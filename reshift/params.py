@@ -23,6 +23,14 @@ class RunParams:
     # a pool may give away strictly less than its average unused count;
     # True relaxes the cap to "at most"
     allow_full_use: bool = False
+    # Date partition column of the usage table, if any (values formatted with
+    # ``usage_partition_format``, e.g. '2024-01-30' or '20240130', or a date
+    # column). When set, the window also prunes partitions, widened by
+    # ``usage_partition_margin_days`` on each side so that lines filed under a
+    # neighbouring day are still read; the exact timestamp range still applies.
+    usage_partition_column: str | None = None
+    usage_partition_format: str = "%Y-%m-%d"
+    usage_partition_margin_days: int = 1
 
     def __post_init__(self):
         if isinstance(self.run_date, str):
@@ -41,6 +49,15 @@ class RunParams:
         """First instant after the window (exclusive)."""
         return _dt.datetime.combine(self.run_date + _dt.timedelta(days=1), _dt.time())
 
+    @property
+    def partition_bounds(self) -> tuple[str, str]:
+        """Inclusive (low, high) partition values that cover the window."""
+        margin = _dt.timedelta(days=self.usage_partition_margin_days)
+        low = self.window_start.date() - margin
+        high = self.run_date + margin
+        fmt = self.usage_partition_format
+        return low.strftime(fmt), high.strftime(fmt)
+
     @property
     def dt(self) -> str:
         """Partition value of the outputs, ``yyyyMMdd``."""

@@ -10,6 +10,8 @@ from tests.conftest import SF_SMALL
 from tools.compare import rows_of
 
 KEYS = list(queries())
+SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
+                 "StringType()": "VARCHAR", "TimestampNTZType()": "TIMESTAMP"}
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +34,8 @@ def test_key_matches_oracle(spark, duck, key):
     rel = duck.sql(oracle_sql()[key])
     want = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
+    spark_types = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in df.schema.fields}
+    assert spark_types == {n: str(t) for n, t in zip(rel.columns, rel.types)}
     assert rows_of(df.columns, got) == rows_of(rel.columns, want)
 
 

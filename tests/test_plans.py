@@ -43,3 +43,23 @@ def test_greedy_walk_runs_once_in_reservation_shift(spark):
     final = explain(df, "simple").split("== Initial Plan ==")[0]
     assert final.count("FlatMapGroupsInPandas") == 1
     assert "FlatMapCoGroupsInPandas" in final
+
+
+def test_date_partitioned_usage_is_pruned_and_equal(spark):
+    from reshift.params import RunParams
+    from pyspark.sql import functions as F
+
+    path = tempfile.mkdtemp(prefix="reshift-usage-dt-") + "/usage"
+    usage, _ = load_test_inputs(spark, SF_SMALL)
+    (usage.withColumn("dt", F.date_format("usagestartdate", "yyyyMMdd"))
+          .write.partitionBy("dt").parquet(path))
+    params = RunParams(run_date="20240130", lookback_days=14, usage_partition_column="dt",
+                       usage_partition_format="%Y%m%d")
+    table = spark.read.parquet(path)
+    pruned = U.reserved_hourly(U.hourly_usage(table, params, (U.RESERVED,)))
+    plan = explain(pruned)
+    part = [ln for ln in plan.splitlines() if ln.startswith("PartitionFilters")]
+    assert part and "dt" in part[0]
+    plain = U.reserved_hourly(U.hourly_usage(load_usage(spark, path), TEST_PARAMS, (U.RESERVED,)))
+    assert sorted(map(tuple, pruned.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    assert pruned.count() == 168

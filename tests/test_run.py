@@ -33,3 +33,25 @@ def test_run_writes_partitions_and_reruns_idempotently(spark):
     assert rows(shifts) == rows(queries()["reservation_shift"](spark, SF_SMALL))
     assert shifts.count() == 41
     assert result.suggestions.count() == 43
+
+
+def test_insert_into_partitioned_catalog_table(spark):
+    from reshift.sources.sinks import write_suggestions
+
+    loc = tempfile.mkdtemp(prefix="reshift-table-")
+    spark.sql("DROP TABLE IF EXISTS reshift_suggestions_t")
+    spark.sql(f"""CREATE TABLE reshift_suggestions_t (
+        productname string, region string, unused_ri_availabilityzone string, os string,
+        unused_ri_instancetype string, avg_unused_instances double,
+        ondemand_availabilityzone string, ondemand_instancetype string,
+        avg_ondemand_instances double, instances_tobe_shifted double,
+        ondemand_instances_increased double, savings double, dt string)
+        USING parquet PARTITIONED BY (dt) LOCATION '{loc}'""")
+    sug = queries()["suggestions"](spark, SF_SMALL)
+    write_suggestions(sug, "reshift_suggestions_t", "20240125")
+    write_suggestions(sug, "reshift_suggestions_t", "20240130")
+    write_suggestions(sug, "reshift_suggestions_t", "20240130")
+    counts = {r["dt"]: r["n"] for r in
+              spark.sql("SELECT dt, count(*) AS n FROM reshift_suggestions_t GROUP BY dt").collect()}
+    assert counts == {"20240125": 43, "20240130": 43}
+    spark.sql("DROP TABLE reshift_suggestions_t")
