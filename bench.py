@@ -32,7 +32,7 @@ def _full_run(spark, sf_dir: str, params: RunParams) -> None:
     result = run(usage, reservations, params)
     _drain(result.suggestions)
     _drain(result.shifts)
-    for df in (result.stages.hourly_usage, result.stages.reservation_list, result.stages.picks):
+    for df in (result.stages.hourly_usage, result.stages.candidate_moves, result.stages.picks):
         df.unpersist()
 
 

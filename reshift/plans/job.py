@@ -3,9 +3,10 @@
 ``run`` builds one plan from the two inputs to both results. Three frames are
 materialised because they are read more than once: the hourly usage
 aggregate (both branches, so the billing lines are scanned once), the
-reservation list (pools and first fit) and the chosen moves (suggestion
-table and first fit). Nothing is collected to the driver; the only Python
-work is inside the two grouped folds.
+candidate moves (greedy walk and first-fit pruning) and the chosen moves
+(suggestion table and first fit). All three are small next to the input.
+Nothing is collected to the driver; the only Python work is inside the two
+grouped folds.
 """
 
 from __future__ import annotations

@@ -60,7 +60,7 @@ class Stages:
     # inventory side
     @cached_property
     def reservation_list(self) -> DataFrame:
-        return self._materialize(inventory.reservation_list(self.reservations))
+        return inventory.reservation_list(self.reservations)
 
     @cached_property
     def active_pools(self) -> DataFrame:
@@ -94,7 +94,8 @@ class Stages:
 
     @cached_property
     def candidate_moves(self) -> DataFrame:
-        return moves.candidate_moves(self.high_unused, self.ondemand_window)
+        # read by the greedy walk and by the first-fit pruning
+        return self._materialize(moves.candidate_moves(self.high_unused, self.ondemand_window))
 
     @cached_property
     def picks(self) -> DataFrame:

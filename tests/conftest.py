@@ -14,7 +14,8 @@ SF_MEDIUM = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cores="*", shuffle_partitions=8, app="reshift-tests")
+    session = local_session(cores="*", shuffle_partitions=8, app="reshift-tests",
+                            extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="reshift-wh-")})
     # tests own their checkpoint folder; a cluster names its shared one
     if not session.sparkContext.getCheckpointDir() and not session.conf.get("spark.checkpoint.dir", None):
         session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reshift-test-ckpt-"))
