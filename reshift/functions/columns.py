@@ -15,6 +15,9 @@ ON_DEMAND_OPTION = "on-demand"
 HOURLY_MEASURE = "Hour"
 NO_OS = "N/A"
 MAX_LINE_SECONDS = 3600
+WINDOWS_OS = "windows"
+LINUX_OS = "linux"
+ACTIVE_STATE = "active"
 
 
 def ntz(value) -> Column:
@@ -51,8 +54,8 @@ def os_label_from_description(description: Column) -> Column:
     Windows is tested first; anything else keeps its raw spelling.
     """
     low = F.lower(description)
-    return (F.when(low.contains("windows"), F.lit("windows"))
-            .when(low.contains("linux"), F.lit("linux"))
+    return (F.when(low.contains(WINDOWS_OS), F.lit(WINDOWS_OS))
+            .when(low.contains(LINUX_OS), F.lit(LINUX_OS))
             .otherwise(description))
 
 

@@ -1,59 +1,53 @@
 """CPU weight of an instance type (how many CPU units one instance counts for).
 
-The rule set is plain data so that callers can extend it; the default
-reproduces the job's list. An exact type name wins over its size; a size
-not listed weighs ``DEFAULT_WEIGHT``. (In the job's ordered rule list no
-exact name's size is matched by an earlier size rule, so "exact first" is
-the same order.)
+The rules are plain data, so callers can pass their own list; the default
+is the job's list. Rules are tried in order and the first hit wins. A
+``"size"`` rule matches the text after the first run of dots
+(``m3.large`` -> ``large``); a ``"type"`` rule matches the whole name. A type
+no rule matches weighs ``DEFAULT_WEIGHT``. The list compiles to one CASE
+expression (JVM-side, no join, no UDF).
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from reshift.functions.columns import size_of
 
-# Fixed values that must equal the reference job's for equal results.
-SIZE_WEIGHTS: dict[str, int] = {
-    "large": 2,
-    "xlarge": 4,
-    "2xlarge": 8,
-    "4xlarge": 16,
-    "8xlarge": 32,
-    "16xlarge": 64,
-    "32xlarge": 128,
-    "medium": 2,
-}
-TYPE_WEIGHTS: dict[str, int] = {
-    "c4.8xlarge": 36,
-    "m4.10xlarge": 40,
-    "m1.medium": 1,
-    "t2.nano": 1,
-    "t2.small": 1,
-    "m3.medium": 1,
-}
+# Fixed values that must equal the reference job's: its CPU rule list, in its
+# order (first hit wins), and the weight of anything else.
+CPU_RULES: tuple[tuple[str, str, int], ...] = (
+    ("size", "large", 2),
+    ("size", "xlarge", 4),
+    ("size", "2xlarge", 8),
+    ("size", "4xlarge", 16),
+    ("type", "c4.8xlarge", 36),
+    ("size", "8xlarge", 32),
+    ("type", "m4.10xlarge", 40),
+    ("size", "16xlarge", 64),
+    ("size", "32xlarge", 128),
+    ("type", "m1.medium", 1),
+    ("type", "t2.nano", 1),
+    ("type", "t2.small", 1),
+    ("type", "m3.medium", 1),
+    ("size", "medium", 2),
+)
 DEFAULT_WEIGHT = 1
 
 
-def _map_literal(mapping: Mapping[str, int]) -> Column:
-    """A constant map column, written as one SQL literal."""
-    for k in mapping:
-        if "'" in k or "\\" in k:
-            raise ValueError(f"unsupported instance type name: {k!r}")
-    pairs = ", ".join(f"'{k}', {int(v)}" for k, v in mapping.items())
-    return F.expr(f"map({pairs})")
-
-
-def cpu_weight(instancetype: Column,
-               size_weights: Mapping[str, int] = SIZE_WEIGHTS,
-               type_weights: Mapping[str, int] = TYPE_WEIGHTS,
+def cpu_weight(instancetype: Column, rules: Sequence[tuple[str, str, int]] = CPU_RULES,
                default: int = DEFAULT_WEIGHT) -> Column:
-    """Integer CPU weight; two constant-map lookups, no join and no UDF."""
-    return F.coalesce(
-        F.try_element_at(_map_literal(type_weights), instancetype),
-        F.try_element_at(_map_literal(size_weights), size_of(instancetype)),
-        F.lit(int(default)),
-    ).cast("int")
+    """Integer CPU weight of ``instancetype`` under the ordered ``rules``."""
+    size = size_of(instancetype)
+    expr = None
+    for kind, value, weight in rules:
+        if kind not in ("size", "type"):
+            raise ValueError(f"unknown rule kind: {kind!r}")
+        test = (size if kind == "size" else instancetype) == F.lit(value)
+        expr = (F.when if expr is None else expr.when)(test, F.lit(int(weight)))
+    if expr is None:
+        return F.lit(int(default))
+    return expr.otherwise(F.lit(int(default))).cast("int")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reshift.functions.columns import os_label_from_description
+from reshift.functions.columns import ACTIVE_STATE, os_label_from_description
 
 POOL_KEYS = ("region", "availability_zone", "os", "instancetype")
 # First-fit order of reservations: the raw inventory key, ascending.
@@ -20,7 +20,7 @@ def reservation_list(reservations: DataFrame) -> DataFrame:
     give two rows ('m3.large' and 'm3.large '); labels are projected after the
     aggregate and the raw columns are kept as the first-fit order key.
     """
-    return (reservations.filter(F.col("state") == "active")
+    return (reservations.filter(F.col("state") == ACTIVE_STATE)
             .groupBy(*RESERVATION_ORDER)
             .agg(F.sum("instance_count").cast("long").alias("active"))
             .select("account_id", "reserved_instance_id", "offering_type", "region",
