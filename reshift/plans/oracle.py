@@ -1,8 +1,8 @@
 """DuckDB SQL for every query key: an independent statement of each stage.
 
 The SQL follows the job's own formulation where ours differs (left join plus
-filter, ``sum(active) / count(*)``, date casts for the window, the ordered
-CPU rule list as one CASE), so agreement checks the rewrites too. The two
+filter, ``sum(active) / count(*)``, date casts for the window, the CPU rule
+list as one ordered CASE), so agreement checks the rewrites too. The two
 greedy allocators are recursive CTEs that walk one row per step.
 
 Views ``events`` and ``part`` must be registered; parameters are those of
@@ -11,6 +11,7 @@ Views ``events`` and ``part`` must be registered; parameters are those of
 
 from __future__ import annotations
 
+from reshift.functions.cpu import CPU_RULES, DEFAULT_WEIGHT
 from reshift.plans.queries import QUERY_KEYS, TEST_PARAMS
 
 _RUN_DATE = TEST_PARAMS.run_date.isoformat()
@@ -19,21 +20,12 @@ _CUTOFF = TEST_PARAMS.cutoff_pct
 
 
 def _cpu_case(col: str) -> str:
-    """The job's ordered CPU rule list (fixed values; first hit wins)."""
+    """The CPU rule list as one SQL CASE, rules in order (first hit wins)."""
     size = f"string_split_regex({col}, '[.]+')[2]"
-    return f"""CAST(CASE
-        WHEN {size} = 'large' THEN 2
-        WHEN {size} = 'xlarge' THEN 4
-        WHEN {size} = '2xlarge' THEN 8
-        WHEN {size} = '4xlarge' THEN 16
-        WHEN {col} = 'c4.8xlarge' THEN 36
-        WHEN {size} = '8xlarge' THEN 32
-        WHEN {col} = 'm4.10xlarge' THEN 40
-        WHEN {size} = '16xlarge' THEN 64
-        WHEN {size} = '32xlarge' THEN 128
-        WHEN {col} IN ('m1.medium', 't2.nano', 't2.small', 'm3.medium') THEN 1
-        WHEN {size} = 'medium' THEN 2
-        ELSE 1 END AS INTEGER)"""
+    whens = "\n".join(
+        f"        WHEN {size if kind == 'size' else col} = '{value}' THEN {weight}"
+        for kind, value, weight in CPU_RULES)
+    return f"CAST(CASE\n{whens}\n        ELSE {DEFAULT_WEIGHT} END AS INTEGER)"
 
 
 _CTES: list[tuple[str, str]] = [

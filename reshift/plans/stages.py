@@ -100,8 +100,10 @@ class Stages:
     @cached_property
     def picks(self) -> DataFrame:
         picked = greedy.greedy_picks(self.candidate_moves, self.params.allow_full_use)
-        # consumed by the suggestions and by first fit: one exchange on the
-        # pool key, reused by every consumer, so the walk runs once per plan
+        if not self._shared_scan:
+            return picked
+        # run(): stored once, partitioned on the pool key that first fit's
+        # cogroup needs, and read by both outputs
         return self._materialize(picked.repartition(*firstfit.POOL))
 
     @cached_property

@@ -3,6 +3,7 @@
 import random
 
 import pandas as pd
+import pytest
 
 from reshift.operators.firstfit import first_fit_pool, reservation_shift
 from reshift.operators.inventory import RESERVATION_ORDER
@@ -50,8 +51,9 @@ def brute_force(moves, rows):
     return sorted(out)
 
 
-def test_pruned_first_fit_equals_full_scan_on_hot_pool(spark):
-    rng = random.Random(7)
+@pytest.mark.parametrize("seed,salt_buckets", [(7, 8), (11, 1), (23, 3), (42, 32)])
+def test_pruned_first_fit_equals_full_scan_on_hot_pool(spark, seed, salt_buckets):
+    rng = random.Random(seed)
     rows = [res_row(f"ri-{i:04d}", rng.choice([0, 1, 1, 2, 3, 5, 8]), account=f"acct-{i % 3}")
             for i in range(600)]
     cand_shifts = [rng.randint(1, 9) for _ in range(25)]
@@ -67,7 +69,7 @@ def test_pruned_first_fit_equals_full_scan_on_hot_pool(spark):
         "instances_tobe_shifted double")
     res_list = spark.createDataFrame(
         [tuple(r[c.split()[0]] for c in RES_COLS.split(", ")) for r in rows], RES_COLS)
-    got = reservation_shift(picks, res_list, candidates, salt_buckets=8).collect()
+    got = reservation_shift(picks, res_list, candidates, salt_buckets=salt_buckets).collect()
     assert sorted((r["ondemand_instancetype"], r["reserved_instance_id"]) for r in got) == \
         brute_force(moves, rows)
     assert len(got) > 5
