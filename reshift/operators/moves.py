@@ -35,30 +35,40 @@ def candidate_moves(high: DataFrame, od_window: DataFrame) -> DataFrame:
     """J3 + P11 + M7..M13 + P12.
 
     The job's left join is an inner join (the family filter rejects unmatched
-    rows), and the family test becomes a fourth equi-key. Both sides have one
-    row per pool resp. per demand key, so the join output is bounded by
-    pools x demands of one family; the job's regrouping of the result is an
-    identity and is not repeated.
+    rows), and the family test becomes a fourth equi-key. Everything that
+    depends on one side only (CPU weight, average count, CPU total) is
+    computed on that side before the join, once per pool or demand rather
+    than once per pair, and each side is pre-filtered by the part of the
+    viability test it decides alone: a pool must average at least one unused
+    instance, a demand at least one instance (with zero or less demand the
+    reduction rounds to zero or less and the pair fails P12 anyway). Pairs
+    per join key are then bounded by pools x demands of one family. The
+    job's regrouping of the result is an identity and is not repeated.
     """
-    pools = high.withColumn("family", family(F.col("instancetype")))
-    demand = od_window.withColumn("family", family(F.col("ondemand_instancetype")))
+    pools = (high
+             .withColumns({
+                 "family": family(F.col("instancetype")),
+                 "unused_instance_cpu": cpu_weight(F.col("instancetype")),
+                 "avg_unused_instances": F.round(div(F.col("unused_ritotal"), F.col("hrcount"))),
+             })
+             .filter(F.col("avg_unused_instances") > 0)
+             .withColumn("avg_unused_cpu_available",
+                         F.col("avg_unused_instances") * F.col("unused_instance_cpu")))
+    demand = (od_window
+              .withColumns({
+                  "family": family(F.col("ondemand_instancetype")),
+                  "ondemand_instance_cpu": cpu_weight(F.col("ondemand_instancetype")),
+                  "avg_ondemand_instances": F.round(div(F.col("quantity_used"), F.col("ondemand_hrs"))),
+              })
+              .filter(F.col("avg_ondemand_instances") > 0)
+              .withColumn("avg_ondemand_cpu_needed",
+                          F.col("avg_ondemand_instances") * F.col("ondemand_instance_cpu")))
     moves = pools.join(demand, ["productname", "region", "os", "family"], "inner")
 
     unused_cpu, od_cpu = F.col("unused_instance_cpu"), F.col("ondemand_instance_cpu")
     avail, needed = F.col("avg_unused_cpu_available"), F.col("avg_ondemand_cpu_needed")
     short = needed > avail
-    # one projection per dependency level (each withColumns is one analysis)
     moves = (moves
-             .withColumns({
-                 "unused_instance_cpu": cpu_weight(F.col("instancetype")),
-                 "ondemand_instance_cpu": cpu_weight(F.col("ondemand_instancetype")),
-                 "avg_unused_instances": F.round(div(F.col("unused_ritotal"), F.col("hrcount"))),
-                 "avg_ondemand_instances": F.round(div(F.col("quantity_used"), F.col("ondemand_hrs"))),
-             })
-             .withColumns({
-                 "avg_unused_cpu_available": F.col("avg_unused_instances") * unused_cpu,
-                 "avg_ondemand_cpu_needed": F.col("avg_ondemand_instances") * od_cpu,
-             })
              .withColumns({
                  "instances_tobe_shifted": F.when(short, F.round(div(avail, unused_cpu)))
                                             .otherwise(F.round(div(needed, unused_cpu))),
