@@ -55,3 +55,18 @@ def test_insert_into_partitioned_catalog_table(spark):
               spark.sql("SELECT dt, count(*) AS n FROM reshift_suggestions_t GROUP BY dt").collect()}
     assert counts == {"20240125": 43, "20240130": 43}
     spark.sql("DROP TABLE reshift_suggestions_t")
+
+
+def test_command_line_run(spark):
+    from reshift.cli import main
+
+    base = tempfile.mkdtemp(prefix="reshift-cli-")
+    usage, reservations = load_test_inputs(spark, SF_SMALL)
+    usage.write.parquet(f"{base}/usage")
+    reservations.write.parquet(f"{base}/reservations")
+    main(["--run-date", "20240130", "--usage", f"{base}/usage",
+          "--reservations", f"{base}/reservations",
+          "--suggestions-target", f"{base}/out/suggestions",
+          "--shifts-target", f"{base}/out/shifts"], spark=spark)
+    assert spark.read.parquet(f"{base}/out/suggestions").count() == 43
+    assert spark.read.parquet(f"{base}/out/shifts").count() == 41
