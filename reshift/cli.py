@@ -6,9 +6,9 @@
         --suggestions-target out_db.move_suggestions --shifts-target out_db.reservation_shifts
 
 (or ``python -m reshift ...``). Inputs and targets are catalog table names
-or Parquet paths. The session is
-taken from the environment (``getOrCreate``), so cluster settings, including
-``spark.checkpoint.dir``, come from spark-submit.
+or Parquet paths. The session is taken from the environment (``getOrCreate``),
+so cluster settings, including ``spark.checkpoint.dir``, come from
+spark-submit.
 """
 
 from __future__ import annotations
