@@ -2,7 +2,7 @@
 
 One ``Stages`` object wires the operators together for one pair of inputs;
 each attribute is built on first access, so asking for an early stage never
-plans (or runs the size check of) a later one.
+builds a later one.
 """
 
 from __future__ import annotations
