@@ -16,15 +16,18 @@ shifts are taken from the pool's *candidates* (a superset of its moves, so
 the kept set only grows): this keeps the pruning independent of the greedy
 walk, which therefore runs once per plan. The top-``K`` is taken in two
 window passes, the first one over salted sub-partitions, so a hot pool is
-spread over many tasks and the fold receives at most ``K x distinct shifts``
-reservation rows per pool.
+spread over many tasks, and a pool keeps at most ``K x distinct shifts``
+reservation rows.
+
+The fold itself runs JVM-side with built-in higher-order functions: per pool,
+the moves (in walk order) and the kept rows (in inventory order) are collected
+into two bounded, sorted arrays, and ``aggregate`` walks the moves with the
+remaining counts as its state. No Python worker is involved.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reshift.operators.greedy import relabel_regional
@@ -32,13 +35,6 @@ from reshift.operators.inventory import RESERVATION_ORDER
 
 POOL = ("region", "availability_zone", "os", "instancetype")
 
-SHIFT_SCHEMA = (
-    "productname string, reserved_instance_id string, account_id string, "
-    "offering_type string, instancetype string, region string, availability_zone string, "
-    "os string, active long, ondemand_availabilityzone string, ondemand_instancetype string, "
-    "active_instances_tobe_shifted double, savings double")
-SHIFT_COLUMNS = tuple(c.strip().split(" ")[0] for c in SHIFT_SCHEMA.split(","))
-
 RESERVATION_COLUMNS = POOL + ("account_id", "reserved_instance_id", "offering_type",
                               "product_description", "instance_type", "active")
 MOVE_COLUMNS = POOL + ("productname", "ondemand_availabilityzone", "ondemand_instancetype",
@@ -83,40 +79,47 @@ def reachable_reservations(candidates: DataFrame, res_list: DataFrame,
     return top.select(*RESERVATION_COLUMNS).dropDuplicates()
 
 
-def first_fit_pool(moves: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-    """First fit inside one pool (pandas frames of moves and reservation rows)."""
-    if moves.empty or rows.empty:
-        return pd.DataFrame({c: pd.Series(dtype=object) for c in SHIFT_COLUMNS})
-    moves = moves.sort_values("pick_order", kind="mergesort").reset_index(drop=True)
-    rows = rows.sort_values(list(RESERVATION_ORDER), na_position="first",
-                            kind="mergesort").reset_index(drop=True)
-    remaining = rows["active"].to_numpy(dtype=float).copy()
-    move_idx, row_idx = [], []
-    for m, shift in enumerate(moves["instances_tobe_shifted"].to_numpy(dtype=float)):
-        fits = np.flatnonzero((remaining >= shift) & (remaining > 0))
-        if fits.size:
-            remaining[fits[0]] -= shift
-            move_idx.append(m)
-            row_idx.append(fits[0])
-    if not move_idx:
-        return pd.DataFrame({c: pd.Series(dtype=object) for c in SHIFT_COLUMNS})
-    mv = moves.iloc[move_idx].reset_index(drop=True)
-    rs = rows.iloc[row_idx].reset_index(drop=True)
-    return pd.DataFrame({
-        "productname": mv["productname"],
-        "reserved_instance_id": rs["reserved_instance_id"],
-        "account_id": rs["account_id"],
-        "offering_type": rs["offering_type"],
-        "instancetype": rs["instancetype"],
-        "region": rs["region"],
-        "availability_zone": rs["availability_zone"],
-        "os": rs["os"],
-        "active": rs["active"].astype("int64"),
-        "ondemand_availabilityzone": mv["ondemand_availabilityzone"],
-        "ondemand_instancetype": mv["ondemand_instancetype"],
-        "active_instances_tobe_shifted": mv["instances_tobe_shifted"].astype(float),
-        "savings": mv["savings"].astype(float),
-    })
+def _first_fit_step(state: Column, move: Column) -> Column:
+    """One move: give its whole shift to the first row whose remainder covers it."""
+    shift = move["instances_tobe_shifted"]
+    # 1-based position of the first row that fits, 0 when none does
+    fit = F.array_position(F.transform(state["rem"], lambda x: (x >= shift) & (x > 0)), True)
+    return F.struct(
+        F.transform(state["rem"], lambda x, i: F.when(i + 1 == fit, x - shift).otherwise(x)).alias("rem"),
+        F.concat(state["picks"], F.array(fit)).alias("picks"))
+
+
+def first_fit(moves: DataFrame, rows: DataFrame) -> DataFrame:
+    """First fit per pool; one output row per assigned move."""
+    move_list = moves.groupBy(*POOL).agg(F.array_sort(F.collect_list(F.struct(
+        "pick_order", "instances_tobe_shifted", "productname", "ondemand_availabilityzone",
+        "ondemand_instancetype", "savings"))).alias("moves"))
+    # struct order = sort order: the raw inventory key first (unique per row)
+    row_list = rows.groupBy(*POOL).agg(F.array_sort(F.collect_list(F.struct(
+        *RESERVATION_ORDER, "active", "os", "instancetype"))).alias("rows"))
+    start = F.struct(
+        F.transform("rows", lambda r: r["active"].cast("double")).alias("rem"),
+        F.array().cast("array<bigint>").alias("picks"))
+    folded = (move_list.join(row_list, list(POOL))
+              .select("rows", F.explode(F.arrays_zip(
+                  "moves", F.aggregate("moves", start, _first_fit_step)["picks"].alias("picks")))
+                  .alias("z")))
+    chosen = folded.filter(F.col("z.picks") > 0).select(
+        F.col("z.moves").alias("m"), F.element_at("rows", F.col("z.picks").cast("int")).alias("r"))
+    return chosen.select(
+        F.col("m.productname").alias("productname"),
+        F.col("r.reserved_instance_id").alias("reserved_instance_id"),
+        F.col("r.account_id").alias("account_id"),
+        F.col("r.offering_type").alias("offering_type"),
+        F.col("r.instancetype").alias("instancetype"),
+        F.col("r.region").alias("region"),
+        F.col("r.availability_zone").alias("availability_zone"),
+        F.col("r.os").alias("os"),
+        F.col("r.active").alias("active"),
+        F.col("m.ondemand_availabilityzone").alias("ondemand_availabilityzone"),
+        F.col("m.ondemand_instancetype").alias("ondemand_instancetype"),
+        F.col("m.instances_tobe_shifted").alias("active_instances_tobe_shifted"),
+        F.col("m.savings").alias("savings"))
 
 
 def reservation_shift(picks: DataFrame, res_list: DataFrame, candidates: DataFrame,
@@ -127,7 +130,4 @@ def reservation_shift(picks: DataFrame, res_list: DataFrame, candidates: DataFra
     """
     moves = relabel_regional(picks).select(*MOVE_COLUMNS)
     rows = reachable_reservations(candidates, res_list, salt_buckets)
-    return (moves.groupBy(*POOL)
-            .cogroup(rows.groupBy(*POOL))
-            .applyInPandas(first_fit_pool, SHIFT_SCHEMA)
-            .filter(F.col("active_instances_tobe_shifted") > 0))
+    return first_fit(moves, rows).filter(F.col("active_instances_tobe_shifted") > 0)

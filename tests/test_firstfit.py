@@ -5,7 +5,7 @@ import random
 import pandas as pd
 import pytest
 
-from reshift.operators.firstfit import first_fit_pool, reservation_shift
+from reshift.operators.firstfit import MOVE_COLUMNS, RESERVATION_COLUMNS, first_fit, reservation_shift
 from reshift.operators.inventory import RESERVATION_ORDER
 
 POOL = dict(region="us-east-1", availability_zone="us-east-1a", os="linux", instancetype="m3.large")
@@ -30,12 +30,14 @@ def move(i, shift, savings=1.0):
                 savings=savings, pick_order=i, **POOL)
 
 
-def test_remaining_capacity_is_tracked():
-    out = first_fit_pool(pd.DataFrame([move(0, 2), move(1, 2), move(2, 3), move(3, 9)]),
-                         pd.DataFrame([res_row("ri-2", 5), res_row("ri-1", 3)]))
-    assert list(zip(out["ondemand_instancetype"], out["reserved_instance_id"])) == [
-        ("m3.t0", "ri-1"), ("m3.t1", "ri-2"), ("m3.t2", "ri-2")]
-    assert list(out["active"]) == [3, 5, 5]
+def test_remaining_capacity_is_tracked(spark):
+    moves = pd.DataFrame([move(0, 2), move(1, 2), move(2, 3), move(3, 9)])[list(MOVE_COLUMNS)]
+    rows = pd.DataFrame([res_row("ri-2", 5), res_row("ri-1", 3)])[list(RESERVATION_COLUMNS)]
+    out = first_fit(spark.createDataFrame(moves), spark.createDataFrame(rows)).collect()
+    got = sorted((r["ondemand_instancetype"], r["reserved_instance_id"], r["active"]) for r in out)
+    # move 0 -> ri-1 (3 left 1), move 1 -> ri-2 (5 left 3), move 2 -> ri-2 (3 left 0),
+    # move 3 (9) fits nowhere
+    assert got == [("m3.t0", "ri-1", 3), ("m3.t1", "ri-2", 5), ("m3.t2", "ri-2", 5)]
 
 
 def brute_force(moves, rows):
