@@ -72,7 +72,7 @@ def reachable_reservations(candidates: DataFrame, res_list: DataFrame,
              .filter(F.col("rn") <= F.col("k")))
     # pass 2: at most salt_buckets x K rows per (pool, shift) are left, so the
     # pool key alone can partition them; that partitioning then also serves
-    # the duplicate removal and the cogroup of the fold
+    # the duplicate removal and the per-pool collection of the fold
     top = (local.repartition(*POOL)
            .withColumn("rn", F.row_number().over(Window.partitionBy(*POOL, "t").orderBy(*order)))
            .filter(F.col("rn") <= F.col("k")))

@@ -102,8 +102,8 @@ class Stages:
         picked = greedy.greedy_picks(self.candidate_moves, self.params.allow_full_use)
         if not self._shared_scan:
             return picked
-        # run(): stored once, partitioned on the pool key that first fit's
-        # cogroup needs, and read by both outputs
+        # run(): stored once, partitioned on the pool key first fit groups
+        # by, and read by both outputs
         return self._materialize(picked.repartition(*firstfit.POOL))
 
     @cached_property
