@@ -276,5 +276,13 @@ def sql_for(key: str) -> str:
     return f"WITH RECURSIVE {body}\nSELECT * FROM {key}"
 
 
+def sql_between(first: str, last: str) -> str:
+    """The stages ``first`` .. ``last`` only; earlier stages must exist as views."""
+    names = [_cte_name(h) for h, _ in _CTES]
+    lo, hi = names.index(first), names.index(last) + 1
+    body = ",\n".join(f"{head} AS ({text}\n)" for head, text in _CTES[lo:hi])
+    return f"WITH RECURSIVE {body}\nSELECT * FROM {last}"
+
+
 def oracle_sql() -> dict[str, str]:
     return {key: sql_for(key) for key in QUERY_KEYS}
