@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reshift.functions.columns import family
+from reshift.session import ship_package
 
 COMPONENT_KEYS = ("region", "os", "family")
 
@@ -84,6 +85,7 @@ def greedy_picks(candidates: DataFrame, allow_full_use: bool = False) -> DataFra
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         return walk_component(pdf, allow_full_use)
 
+    ship_package(candidates.sparkSession)
     narrow = candidates.select(*PICK_COLUMNS, family(F.col("instancetype")).alias("family"))
     return narrow.groupBy(*COMPONENT_KEYS).applyInPandas(fold, PICK_SCHEMA)
 
