@@ -70,3 +70,13 @@ def test_command_line_run(spark):
           "--shifts-target", f"{base}/out/shifts"], spark=spark)
     assert spark.read.parquet(f"{base}/out/suggestions").count() == 43
     assert spark.read.parquet(f"{base}/out/shifts").count() == 41
+
+
+def test_empty_usage_gives_empty_outputs(spark):
+    from tests.rows import reservation, reservations_df, usage_df
+
+    result = run(usage_df(spark, []), reservations_df(spark, [reservation("ri-1", 3)]),
+                 TEST_PARAMS, cut_lineage=False)
+    assert result.suggestions.count() == 0 and result.shifts.count() == 0
+    assert list(result.suggestions.columns) == list(SUGGESTION_COLUMNS)
+    assert list(result.shifts.columns) == list(SHIFT_COLUMNS)
