@@ -57,3 +57,15 @@ def test_entry_smoke(spark):
     df = entry(spark)
     assert df.columns[:3] == ["productname", "region", "unused_ri_availabilityzone"]
     assert df.count() == 43
+
+
+@pytest.mark.parametrize("key", ["candidate_moves", "suggestions", "reservation_shift"])
+def test_allocators_match_oracle_sf001(spark, key):
+    from tests.conftest import SF_MEDIUM
+
+    con = duckdb.connect()
+    for t in ("events", "part"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_MEDIUM, t)}.parquet')")
+    df = queries()[key](spark, SF_MEDIUM)
+    rel = con.sql(oracle_sql()[key])
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(rel.columns, rel.fetchall())
