@@ -20,13 +20,20 @@ cross the Arrow boundary, and the loop inside is linear with a hash set.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reshift.functions.columns import family
-from reshift.session import ship_package
+
+# The walk is shipped to the Python workers by value (this module's code and
+# constants travel with the task), so executors need neither the package
+# installed nor --py-files for it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 COMPONENT_KEYS = ("region", "os", "family")
 
@@ -85,7 +92,6 @@ def greedy_picks(candidates: DataFrame, allow_full_use: bool = False) -> DataFra
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         return walk_component(pdf, allow_full_use)
 
-    ship_package(candidates.sparkSession)
     narrow = candidates.select(*PICK_COLUMNS, family(F.col("instancetype")).alias("family"))
     return narrow.groupBy(*COMPONENT_KEYS).applyInPandas(fold, PICK_SCHEMA)
 

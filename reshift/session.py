@@ -3,10 +3,6 @@
 from __future__ import annotations
 
 import logging
-import os
-import tempfile
-import threading
-import zipfile
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -68,30 +64,3 @@ def materialize(df: DataFrame) -> DataFrame:
     log.warning("spark.checkpoint.dir is unset; persisting instead of checkpointing")
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
-
-_SHIPPED: set[str] = set()
-_SHIP_LOCK = threading.Lock()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers (once per application).
-
-    The greedy walk runs in Python workers, which unpickle it by module name.
-    On a cluster the package usually arrives with ``--py-files``; this does
-    the same from the driver (``addPyFile`` of a zip built from the imported
-    package), so a session started without it still works.
-    """
-    sc = spark.sparkContext
-    with _SHIP_LOCK:
-        if sc.applicationId in _SHIPPED:
-            return
-        root = os.path.dirname(os.path.abspath(__file__))
-        target = os.path.join(tempfile.mkdtemp(prefix="reshift-pyfiles-"), "reshift.zip")
-        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
-            for folder, _, files in os.walk(root):
-                for name in files:
-                    if name.endswith(".py"):
-                        path = os.path.join(folder, name)
-                        zf.write(path, os.path.relpath(path, os.path.dirname(root)))
-        sc.addPyFile(target)
-        _SHIPPED.add(sc.applicationId)

@@ -1,7 +1,7 @@
 """The driver contract from another working directory, in a fresh default session.
 
-Python workers must import the package even when the driver found it through
-its own sys.path only (the greedy walk is unpickled by module name).
+The driver finds the package through its own sys.path only; the Python
+workers must still run the greedy walk (it is pickled by value).
 """
 
 import os
