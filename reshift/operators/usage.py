@@ -5,10 +5,10 @@ billing lines; it is a hash aggregate with a map-side partial step, so a hot
 pool-hour is collapsed before the shuffle. The window predicate is a range on
 the raw start timestamp, pushed to the Parquet reader; with
 ``usage_partition_column`` set, a partition range prunes date partitions as
-well. The hourly aggregate takes the set of
-branches it must produce: a query that needs one branch reads only that
-branch's columns and rows, while ``run()`` builds both branches in one
-aggregate, materialises it and serves both from a single scan.
+well. The hourly aggregate takes the set of branches it must produce: a query
+that needs one branch reads only that branch's columns and rows, while
+``run()`` builds both branches in one aggregate, materialises it and serves
+both from a single scan.
 """
 
 from __future__ import annotations
