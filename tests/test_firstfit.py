@@ -4,6 +4,7 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from reshift.operators.firstfit import MOVE_COLUMNS, RESERVATION_COLUMNS, first_fit, reservation_shift
 from reshift.operators.inventory import RESERVATION_ORDER
@@ -75,3 +76,41 @@ def test_pruned_first_fit_equals_full_scan_on_hot_pool(spark, seed, salt_buckets
     assert sorted((r["ondemand_instancetype"], r["reserved_instance_id"]) for r in got) == \
         brute_force(moves, rows)
     assert len(got) > 5
+
+
+def test_first_fit_on_many_random_pools(spark):
+    """300 random pools in one job: the JVM fold (with and without pruning) against brute force."""
+    rng = random.Random(2024)
+    move_rows, res_rows, cand_rows, expected = [], [], [], []
+    for p in range(300):
+        pool = dict(region="us-east-1", availability_zone=f"z{p:03d}", os="linux",
+                    instancetype=rng.choice(["m3.large", "c4.large"]))
+        rows = [dict(account_id=f"acct-{rng.randint(0, 2)}", reserved_instance_id=f"ri-{p:03d}-{i:02d}",
+                     offering_type="All Upfront", product_description="Linux/UNIX",
+                     instance_type=pool["instancetype"], active=rng.choice([0, 1, 2, 2, 3, 5]), **pool)
+                for i in range(rng.randint(1, 12))]
+        shifts = [rng.randint(1, 5) for _ in range(rng.randint(1, 6))]
+        moves = [dict(productname="Amazon Elastic Compute Cloud", ondemand_availabilityzone="z",
+                      ondemand_instancetype=f"t{i}", instances_tobe_shifted=float(s), savings=1.0,
+                      pick_order=i, **pool) for i, s in enumerate(shifts)]
+        move_rows += moves
+        res_rows += rows
+        cand_rows += [(pool["region"], pool["availability_zone"], pool["os"], pool["instancetype"],
+                       m["instances_tobe_shifted"]) for m in moves]
+        expected += [(pool["availability_zone"],) + pair for pair in brute_force(moves, rows)]
+    moves_df = spark.createDataFrame(pd.DataFrame(move_rows)[list(MOVE_COLUMNS)])
+    rows_df = spark.createDataFrame(pd.DataFrame(res_rows)[list(RESERVATION_COLUMNS)])
+    got = sorted((r["availability_zone"], r["ondemand_instancetype"], r["reserved_instance_id"])
+                 for r in first_fit(moves_df, rows_df).collect())
+    assert got == sorted(expected)
+
+    picks = moves_df.select(
+        "productname", "region", "availability_zone", "os", "instancetype",
+        F.lit(9.0).alias("avg_unused_instances"), F.col("ondemand_availabilityzone").alias("availabilityzone"),
+        "ondemand_instancetype", F.lit(1.0).alias("avg_ondemand_instances"), "instances_tobe_shifted",
+        F.lit(1.0).alias("ondemand_instances_increased"), "savings", "pick_order")
+    candidates = spark.createDataFrame(cand_rows, "region string, availability_zone string, os string, "
+                                                  "instancetype string, instances_tobe_shifted double")
+    pruned = sorted((r["availability_zone"], r["ondemand_instancetype"], r["reserved_instance_id"])
+                    for r in reservation_shift(picks, rows_df, candidates, salt_buckets=4).collect())
+    assert pruned == sorted(expected)
