@@ -1,18 +1,19 @@
 """Date-partitioned outputs that can be re-run safely.
 
-A run overwrites exactly its own ``dt`` partition (dynamic partition
-overwrite) and leaves every other date alone, so a re-run of a date is
-idempotent. Target is a Parquet directory or, given a table name, an existing
-partitioned catalog table (``insertInto`` matches columns by position, so the
-frame is projected to the table's column order first).
+A run overwrites exactly its own ``dt`` partition, with a static partition
+spec, and leaves every other date alone: a re-run of a date replaces it, even
+when the new result is empty. The target is a Parquet directory (its
+``dt=<value>`` sub-directory is replaced) or an existing catalog table
+partitioned by ``dt`` (``INSERT OVERWRITE ... PARTITION (dt = ...)``; columns
+are matched by position, so the frame is projected to the contract order).
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # Output contracts (column order is the insert order of the job).
 SUGGESTION_COLUMNS = (
@@ -28,22 +29,21 @@ SHIFT_COLUMNS = (
 
 
 def write_partition(df: DataFrame, target: str, dt: str, columns=None) -> None:
-    """Overwrite partition ``dt=<dt>`` of ``target`` with ``df``."""
-    cols = list(columns) if columns is not None else df.columns
-    out = df.select(*cols, F.lit(dt).alias("dt"))
+    """Replace partition ``dt=<dt>`` of ``target`` with ``df``."""
+    if not dt.isalnum():
+        raise ValueError(f"partition value must be alphanumeric: {dt!r}")
+    out = df.select(*(list(columns) if columns is not None else df.columns))
     if os.sep in target:
-        (out.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("dt")
-            .parquet(target))
-    else:
-        spark = df.sparkSession
-        previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            out.write.insertInto(target, overwrite=True)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+        out.write.mode("overwrite").parquet(os.path.join(target, f"dt={dt}"))
+        return
+    view = f"reshift_out_{uuid.uuid4().hex}"
+    out.createOrReplaceTempView(view)
+    try:
+        cols = ", ".join(f"`{c}`" for c in out.columns)
+        df.sparkSession.sql(
+            f"INSERT OVERWRITE TABLE {target} PARTITION (dt = '{dt}') SELECT {cols} FROM {view}")
+    finally:
+        df.sparkSession.catalog.dropTempView(view)
 
 
 def write_suggestions(df: DataFrame, target: str, dt: str) -> None:

@@ -54,6 +54,9 @@ def test_insert_into_partitioned_catalog_table(spark):
     counts = {r["dt"]: r["n"] for r in
               spark.sql("SELECT dt, count(*) AS n FROM reshift_suggestions_t GROUP BY dt").collect()}
     assert counts == {"20240125": 43, "20240130": 43}
+    write_suggestions(sug.limit(0), "reshift_suggestions_t", "20240130")
+    left = spark.sql("SELECT count(*) AS n FROM reshift_suggestions_t WHERE dt = '20240130'").first()["n"]
+    assert left == 0
     spark.sql("DROP TABLE reshift_suggestions_t")
 
 
@@ -80,3 +83,15 @@ def test_empty_usage_gives_empty_outputs(spark):
     assert result.suggestions.count() == 0 and result.shifts.count() == 0
     assert list(result.suggestions.columns) == list(SUGGESTION_COLUMNS)
     assert list(result.shifts.columns) == list(SHIFT_COLUMNS)
+
+
+def test_rerun_with_empty_result_clears_its_partition(spark):
+    from reshift.sources.sinks import write_suggestions
+
+    out = tempfile.mkdtemp(prefix="reshift-empty-") + "/suggestions"
+    sug = queries()["suggestions"](spark, SF_SMALL)
+    write_suggestions(sug, out, "20240125")
+    write_suggestions(sug, out, "20240130")
+    write_suggestions(sug.limit(0), out, "20240130")
+    counts = {r["dt"]: r["count"] for r in spark.read.parquet(out).groupBy("dt").count().collect()}
+    assert counts == {20240125: 43}
