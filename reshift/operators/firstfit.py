@@ -13,13 +13,12 @@ most ``k - 1`` rows have been drawn down before it. So for each pool and each
 distinct shift ``t`` only the first ``K`` rows with ``active >= t`` are kept;
 first fit over the kept rows is the same as over all rows. Each reservation
 row meets at most the few thresholds of its own pool (``active >= t`` is part
-of the join condition), never other rows. ``K`` and the
-shifts are taken from the pool's *candidates* (a superset of its moves, so
-the kept set only grows): this keeps the pruning independent of the greedy
-walk, which therefore runs once per plan. The top-``K`` is taken in two
-window passes, the first one over salted sub-partitions, so a hot pool is
-spread over many tasks, and a pool keeps at most ``K x distinct shifts``
-reservation rows.
+of the join condition), never other rows. ``K`` and the shifts are taken
+from the pool's *candidates* (a superset of its moves, so the kept set only
+grows): this keeps the pruning independent of the greedy walk, which
+therefore runs once per plan. The top-``K`` is taken in two window passes,
+the first one over salted sub-partitions, so a hot pool is spread over many
+tasks, and a pool keeps at most ``K x distinct shifts`` reservation rows.
 
 The fold itself runs JVM-side with built-in higher-order functions: per pool,
 the moves (in walk order) and the kept rows (in inventory order) are collected
