@@ -95,3 +95,15 @@ def test_rerun_with_empty_result_clears_its_partition(spark):
     write_suggestions(sug.limit(0), out, "20240130")
     counts = {r["dt"]: r["count"] for r in spark.read.parquet(out).groupBy("dt").count().collect()}
     assert counts == {20240125: 43}
+
+
+def test_run_without_checkpoint_folder_persists(spark, monkeypatch):
+    import reshift.session as session
+
+    monkeypatch.setattr(session, "checkpoint_dir", lambda _spark: None)
+    usage, reservations = load_test_inputs(spark, SF_SMALL)
+    result = run(usage, reservations, TEST_PARAMS)
+    assert result.stages.picks.is_cached
+    assert result.suggestions.count() == 43 and result.shifts.count() == 41
+    for df in (result.stages.hourly_usage, result.stages.candidate_moves, result.stages.picks):
+        df.unpersist()
