@@ -33,6 +33,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--reservations", required=True, help="inventory: table name or Parquet path")
     p.add_argument("--usage-partition-column", default=None)
     p.add_argument("--usage-partition-format", default="%Y-%m-%d")
+    p.add_argument("--salt-buckets", type=int, default=32,
+                   help="salted slices per (pool, shift) in the first-fit pruning")
     p.add_argument("--suggestions-target", required=True)
     p.add_argument("--shifts-target", required=True)
     return p.parse_args(argv)
@@ -44,6 +46,7 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     params = RunParams(run_date=args.run_date, lookback_days=args.lookback_days,
                        cutoff_pct=args.cutoff_pct, allow_full_use=args.allow_full_use,
                        usage_partition_column=args.usage_partition_column,
-                       usage_partition_format=args.usage_partition_format)
+                       usage_partition_format=args.usage_partition_format,
+                       first_fit_salt_buckets=args.salt_buckets)
     run(load_usage(spark, args.usage), load_reservations(spark, args.reservations), params,
         suggestions_target=args.suggestions_target, shifts_target=args.shifts_target)

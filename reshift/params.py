@@ -31,6 +31,10 @@ class RunParams:
     usage_partition_column: str | None = None
     usage_partition_format: str = "%Y-%m-%d"
     usage_partition_margin_days: int = 1
+    # Salted slices of a (pool, shift) group in the first pass of the
+    # first-fit pruning: raise it when one pool holds a large share of the
+    # inventory, so that pass spreads over more tasks. Results do not change.
+    first_fit_salt_buckets: int = 32
 
     def __post_init__(self):
         if isinstance(self.run_date, str):

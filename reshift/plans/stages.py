@@ -112,5 +112,5 @@ class Stages:
 
     @cached_property
     def reservation_shift(self) -> DataFrame:
-        return firstfit.reservation_shift(self.picks, self.reservation_list,
-                                          self.candidate_moves)
+        return firstfit.reservation_shift(self.picks, self.reservation_list, self.candidate_moves,
+                                          self.params.first_fit_salt_buckets)
