@@ -64,3 +64,26 @@ def test_date_partitioned_usage_is_pruned_and_equal(spark):
     plain = U.reserved_hourly(U.hourly_usage(load_usage(spark, path), TEST_PARAMS, (U.RESERVED,)))
     assert sorted(map(tuple, pruned.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
     assert pruned.count() == 168
+
+
+def test_string_and_session_zone_timestamps_give_the_same_hours(spark):
+    from pyspark.sql import functions as F
+
+    base = tempfile.mkdtemp(prefix="reshift-usage-types-")
+    usage, _ = load_test_inputs(spark, SF_SMALL)
+    usage.write.parquet(f"{base}/ntz")
+    (usage.withColumn("usagestartdate", F.date_format("usagestartdate", "yyyy-MM-dd HH:mm:ss"))
+          .withColumn("usageenddate", F.date_format("usageenddate", "yyyy-MM-dd HH:mm:ss"))
+          .write.parquet(f"{base}/str"))
+    (usage.withColumn("usagestartdate", F.col("usagestartdate").cast("timestamp"))
+          .withColumn("usageenddate", F.col("usageenddate").cast("timestamp"))
+          .write.parquet(f"{base}/ltz"))
+    results = []
+    for kind in ("ntz", "str", "ltz"):
+        df = U.reserved_hourly(U.hourly_usage(load_usage(spark, f"{base}/{kind}"), TEST_PARAMS))
+        results.append(sorted(map(tuple, df.collect()), key=repr))
+    assert results[0] == results[1] == results[2]
+    assert len(results[0]) == 168
+    ltz = U.reserved_hourly(U.hourly_usage(load_usage(spark, f"{base}/ltz"), TEST_PARAMS, (U.RESERVED,)))
+    pushed = [ln for ln in explain(ltz).splitlines() if ln.startswith("PushedFilters")]
+    assert "usagestartdate" in pushed[0]
