@@ -38,13 +38,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any.
 
     Read from the SparkContext, else from ``spark.checkpoint.dir``; never
-    invented here (tests set their own when it is unset).
+    invented here (tests set their own when it is unset). Under Spark Connect
+    there is no SparkContext and the session setting is used as is.
     """
-    sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: DataFrame.checkpoint uses the server's setting
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
