@@ -12,12 +12,9 @@ Views ``events`` and ``part`` must be registered; parameters are those of
 from __future__ import annotations
 
 from reshift.functions.cpu import CPU_RULES, DEFAULT_WEIGHT
+from reshift.params import RunParams
 from reshift.plans.queries import QUERY_KEYS, TEST_PARAMS
 
-_RUN_DATE = TEST_PARAMS.run_date.isoformat()
-_LOOKBACK = TEST_PARAMS.lookback_days
-_CUTOFF = TEST_PARAMS.cutoff_pct
-
 
 def _cpu_case(col: str) -> str:
     """The CPU rule list as one SQL CASE, rules in order (first hit wins)."""
@@ -28,8 +25,13 @@ def _cpu_case(col: str) -> str:
     return f"CAST(CASE\n{whens}\n        ELSE {DEFAULT_WEIGHT} END AS INTEGER)"
 
 
-_CTES: list[tuple[str, str]] = [
-    ("usage", """
+def _ctes(params: RunParams) -> list[tuple[str, str]]:
+    """The stages as (CTE head, SQL body) pairs, for one set of run parameters."""
+    run_date = params.run_date.isoformat()
+    lookback = params.lookback_days
+    cutoff = float(params.cutoff_pct)
+    return [
+        ("usage", """
  select case when event_id%11=0 then 'AMAZON ELASTIC COMPUTE CLOUD' when event_id%13=0 then 'Amazon Simple Storage Service' else 'Amazon Elastic Compute Cloud' end as productname,
  cast(date_trunc('hour',ts) as timestamp) as usagestartdate,
  cast(date_trunc('hour',ts) + case when event_id%50=0 then interval 2 hour else interval 1 hour end as timestamp) as usageenddate,
@@ -43,7 +45,7 @@ _CTES: list[tuple[str, str]] = [
  case when event_id%37=0 then 'GB' else 'Hour' end as measure,
  case when event_id%41=0 then null when event_id%43=0 then 'data transfer 10 Mbps per Instance' when event_id%47=0 then 'EBS snapshot' else 'per On Demand Instance Hour' end as itemdescription
  from (select *, cast(regexp_extract(props,'[0-9]+',0) as int) as k from events) e"""),
-    ("reservations", """
+        ("reservations", """
  select concat('acct-',cast(p_partkey%3 as varchar)) as account_id, printf('ri-%06d', p_partkey) as reserved_instance_id,
  case p_partkey%2 when 0 then 'Partial Upfront' else 'All Upfront' end as offering_type,
  case cast(floor(p_partkey/2) as bigint)%2 when 0 then 'us-east-1' else 'us-west-2' end as region,
@@ -52,13 +54,13 @@ _CTES: list[tuple[str, str]] = [
  concat(case cast(floor(p_partkey/3) as bigint)%7 when 0 then 'm3.medium' when 1 then 'm3.large' when 2 then 'm3.xlarge' when 3 then 'm3.2xlarge' when 4 then 'c4.large' when 5 then 'c4.8xlarge' else 'm1.small' end, case when p_partkey%7=0 then ' ' else '' end) as instance_type,
  cast(p_size%6 as int) as instance_count, case when p_partkey%10=9 then 'retired' else 'active' end as state
  from part"""),
-    ("window_filter", f"""
+        ("window_filter", f"""
  SELECT * FROM usage
  WHERE lower(productname) = 'amazon elastic compute cloud'
    AND date_diff('second', usagestartdate, usageenddate) <= 3600
-   AND CAST(usagestartdate AS DATE) <= DATE '{_RUN_DATE}'
-   AND CAST(usagestartdate AS DATE) > DATE '{_RUN_DATE}' - {_LOOKBACK}"""),
-    ("reserved_hourly", """
+   AND CAST(usagestartdate AS DATE) <= DATE '{run_date}'
+   AND CAST(usagestartdate AS DATE) > DATE '{run_date}' - {lookback}"""),
+        ("reserved_hourly", """
  SELECT productname,
    CAST(year(usagestartdate) AS INTEGER) AS yr, CAST(month(usagestartdate) AS INTEGER) AS mon,
    CAST(day(usagestartdate) AS INTEGER) AS dy, CAST(hour(usagestartdate) AS INTEGER) AS hr,
@@ -68,7 +70,7 @@ _CTES: list[tuple[str, str]] = [
  WHERE purchaseoption = 'reservedinstance'
  GROUP BY productname, year(usagestartdate), month(usagestartdate), day(usagestartdate),
    hour(usagestartdate), region, availabilityzone, b.os, b.instancetype"""),
-    ("reservation_list", """
+        ("reservation_list", """
  SELECT account_id, reserved_instance_id, offering_type, region, availability_zone,
    CASE WHEN lower(product_description) LIKE '%windows%' THEN 'windows'
         WHEN lower(product_description) LIKE '%linux%' THEN 'linux'
@@ -78,22 +80,22 @@ _CTES: list[tuple[str, str]] = [
  FROM reservations WHERE state = 'active'
  GROUP BY account_id, reserved_instance_id, offering_type, region, availability_zone,
    product_description, instance_type"""),
-    ("active_pools", """
+        ("active_pools", """
  SELECT region, availability_zone, os, instancetype, CAST(sum(active) AS BIGINT) AS active
  FROM reservation_list GROUP BY region, availability_zone, os, instancetype"""),
-    ("pool_match", """
+        ("pool_match", """
  SELECT DISTINCT c.productname, c.yr, c.mon, c.dy, c.hr, c.region, c.availabilityzone, c.os,
    c.instancetype, c.consumption, c.dollar, a.availability_zone, a.active
  FROM reserved_hourly c
  LEFT JOIN active_pools a ON c.region = a.region AND c.os = a.os AND c.instancetype = a.instancetype
  WHERE c.availabilityzone = a.availability_zone OR c.region = a.availability_zone"""),
-    ("hourly_balance", """
+        ("hourly_balance", """
  SELECT *, CASE WHEN active - consumption < 0 THEN CAST(0 AS DOUBLE) ELSE active - consumption END AS unused_ri
  FROM (SELECT productname, yr, mon, dy, hr, region, availability_zone, os, instancetype,
          sum(dollar) AS dollar, sum(consumption) AS consumption, sum(active) / count(*) AS active
        FROM pool_match
        GROUP BY productname, yr, mon, dy, hr, region, availability_zone, os, instancetype) x"""),
-    ("unused_daily", """
+        ("unused_daily", """
  SELECT *, unused_ritotal_hrs * 100 / hrcount AS non_usage_hr_prop_day
  FROM (SELECT productname, yr, mon, dy, region, availability_zone, os, instancetype,
          count(hr) AS hrcount, sum(dollar) AS dollarsum, sum(consumption) AS consumptionsum,
@@ -101,7 +103,7 @@ _CTES: list[tuple[str, str]] = [
          CAST(sum(CASE WHEN unused_ri > 0 THEN 1 ELSE 0 END) AS BIGINT) AS unused_ritotal_hrs
        FROM hourly_balance
        GROUP BY productname, yr, mon, dy, region, availability_zone, os, instancetype) x"""),
-    ("unused_window", """
+        ("unused_window", """
  SELECT *, unused_ritotal_hrs * 100 / hrcount AS non_usage_hr_prop_month
  FROM (SELECT productname, region, availability_zone, os, instancetype,
          count(hr) AS hrcount, sum(dollar) AS dollarsum, sum(consumption) AS consumptionsum,
@@ -109,9 +111,9 @@ _CTES: list[tuple[str, str]] = [
          CAST(sum(CASE WHEN unused_ri > 0 THEN 1 ELSE 0 END) AS BIGINT) AS unused_ritotal_hrs
        FROM hourly_balance
        GROUP BY productname, region, availability_zone, os, instancetype) x"""),
-    ("high_unused", f"""
- SELECT * FROM unused_window WHERE non_usage_hr_prop_month >= {_CUTOFF}"""),
-    ("ondemand_hourly", """
+        ("high_unused", f"""
+ SELECT * FROM unused_window WHERE non_usage_hr_prop_month >= {cutoff}"""),
+        ("ondemand_hourly", """
  SELECT productname,
    CAST(year(usagestartdate) AS INTEGER) AS yr, CAST(month(usagestartdate) AS INTEGER) AS mon,
    CAST(day(usagestartdate) AS INTEGER) AS dy, CAST(hour(usagestartdate) AS INTEGER) AS hr,
@@ -126,24 +128,24 @@ _CTES: list[tuple[str, str]] = [
    AND b.os != 'N/A'
  GROUP BY productname, year(usagestartdate), month(usagestartdate), day(usagestartdate),
    hour(usagestartdate), region, availabilityzone, b.os, b.instancetype"""),
-    ("ondemand_daily", """
+        ("ondemand_daily", """
  SELECT productname, yr, mon, dy, region, availabilityzone, os, ondemand_instancetype,
    count(hr) AS ondemand_hrs, sum(dollar_spent) AS dollar_spent,
    sum(quantity_used) AS quantity_used, count(hr) * 100 / 24 AS demand_hr_day_prop
  FROM ondemand_hourly
  GROUP BY productname, yr, mon, dy, region, availabilityzone, os, ondemand_instancetype"""),
-    ("ondemand_window", """
+        ("ondemand_window", """
  SELECT productname, region, availabilityzone, os, ondemand_instancetype,
    count(hr) AS ondemand_hrs, sum(dollar_spent) AS dollar_spent,
    sum(quantity_used) AS quantity_used, count(DISTINCT dy) AS ondemand_days,
    (count(hr) * 100) / (count(DISTINCT dy) * 24) AS demand_hr_month_prop
  FROM ondemand_hourly
  GROUP BY productname, region, availabilityzone, os, ondemand_instancetype"""),
-    ("cpu_weight", f"""
+        ("cpu_weight", f"""
  SELECT instancetype, {_cpu_case('instancetype')} AS cpu
  FROM (SELECT coalesce(instancetype, 'm1.small') AS instancetype FROM usage
        UNION SELECT trim(instance_type) FROM reservations) t"""),
-    ("candidate_moves", f"""
+        ("candidate_moves", f"""
  SELECT productname, region, availability_zone, os, instancetype, availabilityzone,
    ondemand_instancetype, hrcount, dollarsum, consumptionsum, activesum, unused_ritotal,
    unused_ritotal_hrs, non_usage_hr_prop_month, ondemand_hrs, quantity_used, dollar_spent,
@@ -179,7 +181,7 @@ _CTES: list[tuple[str, str]] = [
      LEFT JOIN ondemand_window d ON h.productname = d.productname AND h.region = d.region AND h.os = d.os
      WHERE substr(d.ondemand_instancetype, 1, 2) = substr(h.instancetype, 1, 2)) a) b) c) d
  WHERE avg_unused_instances > 0 AND ondemand_instances_reduced > 0 AND instances_tobe_shifted >= 1"""),
-    ("walk_input", """
+        ("walk_input", """
  SELECT *, substr(instancetype, 1, 2) AS fam,
    productname || '|' || instancetype || '|' || availability_zone AS pool_id,
    coalesce(availabilityzone, '~null~') || '|' || ondemand_instancetype AS demand_id,
@@ -188,7 +190,7 @@ _CTES: list[tuple[str, str]] = [
               savings DESC NULLS LAST, availabilityzone ASC NULLS LAST,
               ondemand_instancetype ASC) AS rn
  FROM candidate_moves"""),
-    ("walk(region, os, fam, rn, pool_id, used, claimed, took)", """
+        ("walk(region, os, fam, rn, pool_id, used, claimed, took)", """
  SELECT DISTINCT region, os, fam, CAST(0 AS BIGINT), CAST(NULL AS VARCHAR), CAST(0 AS DOUBLE),
    CAST([] AS VARCHAR[]), false
  FROM walk_input
@@ -206,11 +208,11 @@ _CTES: list[tuple[str, str]] = [
            + i.instances_tobe_shifted < i.avg_unused_instances AS took
    FROM walk w JOIN walk_input i
      ON i.region = w.region AND i.os = w.os AND i.fam = w.fam AND i.rn = w.rn + 1) s"""),
-    ("picks", """
+        ("picks", """
  SELECT i.* FROM walk_input i JOIN walk w
    ON i.region = w.region AND i.os = w.os AND i.fam = w.fam AND i.rn = w.rn
  WHERE w.took"""),
-    ("suggestions", """
+        ("suggestions", """
  SELECT productname, region, availability_zone AS unused_ri_availabilityzone, os,
    instancetype AS unused_ri_instancetype, avg_unused_instances,
    CASE WHEN region = availability_zone THEN availability_zone ELSE availabilityzone END
@@ -218,7 +220,7 @@ _CTES: list[tuple[str, str]] = [
    ondemand_instancetype, avg_ondemand_instances, instances_tobe_shifted,
    ondemand_instances_increased, savings
  FROM picks"""),
-    ("moves", """
+        ("moves", """
  SELECT region, availability_zone, os, instancetype, productname,
    CASE WHEN region = availability_zone THEN availability_zone ELSE availabilityzone END
      AS ondemand_availabilityzone,
@@ -227,17 +229,17 @@ _CTES: list[tuple[str, str]] = [
      ORDER BY productname DESC, savings DESC NULLS LAST, availabilityzone ASC NULLS LAST,
               ondemand_instancetype ASC) AS k
  FROM picks"""),
-    ("res_rows", """
+        ("res_rows", """
  SELECT *, row_number() OVER (PARTITION BY region, availability_zone, os, instancetype
    ORDER BY account_id ASC NULLS FIRST, reserved_instance_id ASC NULLS FIRST,
             offering_type ASC NULLS FIRST, region ASC NULLS FIRST,
             availability_zone ASC NULLS FIRST, product_description ASC NULLS FIRST,
             instance_type ASC NULLS FIRST) AS j
  FROM reservation_list"""),
-    ("pool_caps", """
+        ("pool_caps", """
  SELECT region, availability_zone, os, instancetype, list(CAST(active AS DOUBLE) ORDER BY j) AS rem
  FROM res_rows GROUP BY region, availability_zone, os, instancetype"""),
-    ("fit(region, availability_zone, os, instancetype, k, rem, idx)", """
+        ("fit(region, availability_zone, os, instancetype, k, rem, idx)", """
  SELECT region, availability_zone, os, instancetype, CAST(0 AS BIGINT), rem, CAST(NULL AS BIGINT)
  FROM pool_caps
  UNION ALL
@@ -251,7 +253,7 @@ _CTES: list[tuple[str, str]] = [
    FROM fit f JOIN moves m
      ON m.region = f.region AND m.availability_zone = f.availability_zone AND m.os = f.os
     AND m.instancetype = f.instancetype AND m.k = f.k + 1) s"""),
-    ("reservation_shift", """
+        ("reservation_shift", """
  SELECT m.productname, r.reserved_instance_id, r.account_id, r.offering_type, r.instancetype,
    r.region, r.availability_zone, r.os, r.active, m.ondemand_availabilityzone,
    m.ondemand_instancetype, m.shift AS active_instances_tobe_shifted, m.savings
@@ -261,26 +263,28 @@ _CTES: list[tuple[str, str]] = [
  JOIN res_rows r ON r.region = f.region AND r.availability_zone = f.availability_zone
    AND r.os = f.os AND r.instancetype = f.instancetype AND r.j = f.idx
  WHERE m.shift > 0"""),
-]
+    ]
 
 
 def _cte_name(head: str) -> str:
     return head.split("(")[0]
 
 
-def sql_for(key: str) -> str:
+def sql_for(key: str, params: RunParams = TEST_PARAMS) -> str:
     """``WITH RECURSIVE`` over the stages up to ``key``, selecting ``key``."""
-    names = [_cte_name(h) for h, _ in _CTES]
+    ctes = _ctes(params)
+    names = [_cte_name(h) for h, _ in ctes]
     upto = names.index(key) + 1
-    body = ",\n".join(f"{head} AS ({text}\n)" for head, text in _CTES[:upto])
+    body = ",\n".join(f"{head} AS ({text}\n)" for head, text in ctes[:upto])
     return f"WITH RECURSIVE {body}\nSELECT * FROM {key}"
 
 
-def sql_between(first: str, last: str) -> str:
+def sql_between(first: str, last: str, params: RunParams = TEST_PARAMS) -> str:
     """The stages ``first`` .. ``last`` only; earlier stages must exist as views."""
-    names = [_cte_name(h) for h, _ in _CTES]
+    ctes = _ctes(params)
+    names = [_cte_name(h) for h, _ in ctes]
     lo, hi = names.index(first), names.index(last) + 1
-    body = ",\n".join(f"{head} AS ({text}\n)" for head, text in _CTES[lo:hi])
+    body = ",\n".join(f"{head} AS ({text}\n)" for head, text in ctes[lo:hi])
     return f"WITH RECURSIVE {body}\nSELECT * FROM {last}"
 
 

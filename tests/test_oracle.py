@@ -69,3 +69,23 @@ def test_allocators_match_oracle_sf001(spark, key):
     df = queries()[key](spark, SF_MEDIUM)
     rel = con.sql(oracle_sql()[key])
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(rel.columns, rel.fetchall())
+
+
+@pytest.mark.parametrize("key", ["window_filter", "high_unused", "ondemand_window", "suggestions",
+                                 "reservation_shift"])
+def test_other_run_parameters_match_oracle(spark, key):
+    """Another run date, a 7-day look-back and a 50 % cutoff, end to end at sf0.01."""
+    from reshift.params import RunParams
+    from reshift.plans.oracle import sql_for
+    from reshift.plans.queries import stages_for
+    from tests.conftest import SF_MEDIUM
+
+    params = RunParams(run_date="20240120", lookback_days=7, cutoff_pct=50.0)
+    con = duckdb.connect()
+    for t in ("events", "part"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_MEDIUM, t)}.parquet')")
+    df = getattr(stages_for(spark, SF_MEDIUM, params), key)
+    rel = con.sql(sql_for(key, params))
+    got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    assert got == rows_of(rel.columns, rel.fetchall())
+    assert len(got) > 0
