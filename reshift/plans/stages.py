@@ -22,7 +22,7 @@ class Stages:
         self.reservations = reservations
         self.params = params
         # materialize(df) -> df: identity for a lazy plan, checkpoint in run()
-        self._shared_scan = materialize is not None
+        self._materializing = materialize is not None
         self._materialize = materialize or (lambda df: df)
 
     # usage side
@@ -36,7 +36,7 @@ class Stages:
         return self._materialize(usage.hourly_usage(self.usage, self.params))
 
     def _hourly(self, branch: str) -> DataFrame:
-        if self._shared_scan:
+        if self._materializing:
             return self.hourly_usage
         # a lazy plan reads only the columns and rows of the branch it needs
         return usage.hourly_usage(self.usage, self.params, (branch,))
@@ -100,7 +100,7 @@ class Stages:
     @cached_property
     def picks(self) -> DataFrame:
         picked = greedy.greedy_picks(self.candidate_moves, self.params.allow_full_use)
-        if not self._shared_scan:
+        if not self._materializing:
             return picked
         # run(): stored once, partitioned on the pool key first fit groups
         # by, and read by both outputs
