@@ -87,3 +87,14 @@ def test_string_and_session_zone_timestamps_give_the_same_hours(spark):
     ltz = U.reserved_hourly(U.hourly_usage(load_usage(spark, f"{base}/ltz"), TEST_PARAMS, (U.RESERVED,)))
     pushed = [ln for ln in explain(ltz).splitlines() if ln.startswith("PushedFilters")]
     assert "usagestartdate" in pushed[0]
+
+
+def test_run_reads_the_usage_lines_once(spark):
+    from reshift.plans.job import run
+
+    usage, reservations = load_test_inputs(spark, SF_SMALL)
+    result = run(usage, reservations, TEST_PARAMS)
+    # the hourly aggregate (one scan) is checkpointed before the outputs are planned
+    for df in (result.suggestions, result.shifts):
+        assert "events.parquet" not in explain(df)
+    assert "events.parquet" not in explain(result.stages.candidate_moves)
