@@ -89,3 +89,19 @@ def test_other_run_parameters_match_oracle(spark, key):
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     assert got == rows_of(rel.columns, rel.fetchall())
     assert len(got) > 0
+
+
+def test_allocators_without_aqe_and_many_partitions(spark, duck):
+    """Results must not depend on AQE or on the shuffle partition count."""
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        for key in ("suggestions", "reservation_shift"):
+            df = queries()[key](spark, SF_SMALL)
+            rel = duck.sql(oracle_sql()[key])
+            assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == \
+                rows_of(rel.columns, rel.fetchall())
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
