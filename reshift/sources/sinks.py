@@ -6,6 +6,8 @@ when the new result is empty. The target is a Parquet directory (its
 ``dt=<value>`` sub-directory is replaced) or an existing catalog table
 partitioned by ``dt`` (``INSERT OVERWRITE ... PARTITION (dt = ...)``; columns
 are matched by position, so the frame is projected to the contract order).
+Reading a Parquet target back, partition discovery types ``dt`` as an integer
+unless ``spark.sql.sources.partitionColumnTypeInference.enabled`` is false.
 """
 
 from __future__ import annotations
