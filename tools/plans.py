@@ -39,6 +39,8 @@ def main() -> None:
         "tree), followed by the scan lines of the formatted plan.",
         "",
     ]
+    summary = ["| key | shuffles | broadcasts | Parquet scans | Python folds |", "| --- | --- | --- | --- | --- |"]
+    sections = []
     for key in QUERY_KEYS:
         st = Stages(load_usage(spark, f"{base}/usage"),
                     load_reservations(spark, f"{base}/reservations"), TEST_PARAMS)
@@ -53,7 +55,15 @@ def main() -> None:
             tree = tree.split("+- == Initial Plan ==")[0].rstrip()
         scans = [ln for ln in text.splitlines()
                  if ln.startswith(("PushedFilters", "PartitionFilters", "ReadSchema"))]
-        lines += [f"## `{key}`", "", "```", tree.rstrip(), "", *scans, "```", ""]
+        nodes = [ln.strip(" :|+-*") for ln in tree.splitlines()]
+        shuffles = sum(1 for n in nodes if n.startswith("Exchange") or n.startswith("ReusedExchange"))
+        broadcasts = sum(1 for n in nodes if n.startswith("BroadcastExchange"))
+        scans_n = sum(1 for n in nodes if n.startswith("Scan parquet"))
+        folds = sum(1 for n in nodes if n.startswith("FlatMapGroupsInPandas"))
+        summary.append(f"| `{key}` | {shuffles} | {broadcasts} | {scans_n} | {folds} |")
+        sections += [f"## `{key}`", "", "```", tree.rstrip(), "", *scans, "```", ""]
+    lines += ["Per key, in the final plan (a reused exchange counts as a shuffle it reads):", "",
+              *summary, ""] + sections
     with open(out, "w") as fh:
         fh.write("\n".join(lines))
     spark.stop()
