@@ -69,7 +69,8 @@ def _unused_measures():
 def unused_daily(balance: DataFrame) -> DataFrame:
     """A6 + M3: per pool-day; the share is hours with spare capacity over hours observed."""
     return (balance.groupBy(*DAY_KEYS).agg(*_unused_measures())
-            .withColumn("non_usage_hr_prop_day", F.col("unused_ritotal_hrs") * 100 / F.col("hrcount")))
+            .withColumn("non_usage_hr_prop_day",
+                        F.col("unused_ritotal_hrs") * 100 / F.col("hrcount")))
 
 
 def unused_window(balance: DataFrame) -> DataFrame:

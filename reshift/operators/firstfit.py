@@ -86,7 +86,8 @@ def _first_fit_step(state: Column, move: Column) -> Column:
     # 1-based position of the first row that fits, 0 when none does
     fit = F.array_position(F.transform(state["rem"], lambda x: (x >= shift) & (x > 0)), True)
     return F.struct(
-        F.transform(state["rem"], lambda x, i: F.when(i + 1 == fit, x - shift).otherwise(x)).alias("rem"),
+        F.transform(state["rem"],
+                    lambda x, i: F.when(i + 1 == fit, x - shift).otherwise(x)).alias("rem"),
         F.concat(state["picks"], F.array(fit)).alias("picks"))
 
 

@@ -58,7 +58,8 @@ def candidate_moves(high: DataFrame, od_window: DataFrame) -> DataFrame:
               .withColumns({
                   "family": family(F.col("ondemand_instancetype")),
                   "ondemand_instance_cpu": cpu_weight(F.col("ondemand_instancetype")),
-                  "avg_ondemand_instances": F.round(div(F.col("quantity_used"), F.col("ondemand_hrs"))),
+                  "avg_ondemand_instances":
+                      F.round(div(F.col("quantity_used"), F.col("ondemand_hrs"))),
               })
               .filter(F.col("avg_ondemand_instances") > 0)
               .withColumn("avg_ondemand_cpu_needed",

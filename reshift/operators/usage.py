@@ -41,7 +41,8 @@ DEMAND_KEYS = ("productname", "region", "availabilityzone", "os", "ondemand_inst
 def window_filter(usage: DataFrame, params: RunParams) -> DataFrame:
     """Lines both branches share: EC2 (any case), at most one hour long, in the window."""
     start, end = F.col("usagestartdate"), F.col("usageenddate")
-    cond = in_window(start, params) & is_ec2(F.col("productname")) & lasts_at_most_an_hour(start, end)
+    cond = (in_window(start, params) & is_ec2(F.col("productname"))
+            & lasts_at_most_an_hour(start, end))
     if params.usage_partition_column:
         low, high = params.partition_bounds
         cond = F.col(params.usage_partition_column).between(low, high) & cond

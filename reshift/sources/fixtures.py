@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 # The fixture rules of FIXTURES.md section 2 as Spark SQL
 # expressions (one analysis pass per table instead of one call per literal).
 _REGION_BY_USER = "case user_id % 2 when 0 then 'us-east-1' else 'us-west-2' end"
-_REGION_BY_PART = "case cast(floor(p_partkey / 2) as bigint) % 2 when 0 then 'us-east-1' else 'us-west-2' end"
+_REGION_BY_PART = ("case cast(floor(p_partkey / 2) as bigint) % 2 "
+                   "when 0 then 'us-east-1' else 'us-west-2' end")
 
 USAGE_RULES = (
     "case when event_id % 11 = 0 then 'AMAZON ELASTIC COMPUTE CLOUD' "
@@ -39,7 +40,8 @@ USAGE_RULES = (
     "case event_type when 'click' then 'reservedinstance' when 'view' then 'reservedinstance' "
     "when 'signup' then 'spot' else 'on-demand' end as purchaseoption",
     "cast(1 + k % 3 as double) as usagequantity",
-    "cast(1 + k % 3 as double) * cast(0.25 as double) * cast(1 + user_id % 4 as double) as unblendedcost",
+    "cast(1 + k % 3 as double) * cast(0.25 as double) * cast(1 + user_id % 4 as double) "
+    "as unblendedcost",
     "case when event_id % 37 = 0 then 'GB' else 'Hour' end as measure",
     "case when event_id % 41 = 0 then null "
     "when event_id % 43 = 0 then 'data transfer 10 Mbps per Instance' "

@@ -59,7 +59,8 @@ def load_reservations(spark: SparkSession, name_or_path: str) -> DataFrame:
 
 # The columns the fixture rules read; Parquet matches them by name, and a
 # given schema spares the footer-reading job of schema inference.
-EVENTS_READ_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, props string"
+EVENTS_READ_SCHEMA = ("event_id long, ts timestamp_ntz, user_id long, event_type string, "
+                      "props string")
 PART_READ_SCHEMA = "p_partkey long, p_size int"
 
 
