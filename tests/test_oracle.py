@@ -105,3 +105,14 @@ def test_allocators_without_aqe_and_many_partitions(spark, duck):
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
+
+
+def test_oracle_runs_with_all_driver_views():
+    """The driver registers all fourteen tables as views; no CTE name may clash with them."""
+    tables = ("region nation customer supplier part orders lineitem events documents embeddings "
+              "pages benchmark labels conversations").split()
+    con = duckdb.connect()
+    for t in tables:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_SMALL, t)}.parquet')")
+    for key, sql in oracle_sql().items():
+        assert con.sql(f"SELECT count(*) FROM ({sql}) q").fetchone()[0] >= 0, key
