@@ -115,4 +115,4 @@ def test_oracle_runs_with_all_driver_views():
     for t in tables:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_SMALL, t)}.parquet')")
     for key, sql in oracle_sql().items():
-        assert con.sql(f"SELECT count(*) FROM ({sql}) q").fetchone()[0] >= 0, key
+        assert con.sql(f"SELECT count(*) FROM ({sql}) q").fetchall()[0][0] >= 0, key
