@@ -60,12 +60,16 @@ def main() -> None:
             samples.append(time.perf_counter() - t0)
         timings[key] = round(statistics.median(samples), 3)
 
+    # output rows per key (one untimed count each), to show the work is whole
+    rows = {key: registry[key](spark, sf_dir).count() for key in QUERY_KEYS}
+
     sf = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
     print(json.dumps({
         "metric": "sum of median query seconds (16 stage queries + full run)",
         "value": round(sum(timings.values()), 3),
         "unit": "sec",
         "queries": timings,
+        "rows": rows,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "repeat": repeat,
