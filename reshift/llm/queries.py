@@ -3,24 +3,71 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from reshift.llm import packing, quality
+from reshift.llm import minhash, packing, pii, pivots, quality, toxicity, urls
 from reshift.llm.common import table
 
 
+def op1_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge(docs, table(spark, sf_dir, "labels")).select("doc_id", "quality.*")
 
 
+def op4_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages).select("page_id", "url_verdict.*")
+
+
+def op5_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(table(spark, sf_dir, "documents"), into="entities")
+
+
+def op7_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.judge(docs, table(spark, sf_dir, "labels")).select("doc_id", "toxicity.*")
+
+
 def op9_exact_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
 def queries():
-    return {f.__name__: f for f in (op3_quality_ratio, op9_exact_complement_packing)}
+    return {f.__name__: f for f in (
+        op1_weighted_minhash, op3_quality_ratio, op4_url_ratio, op5_pivot_index, op6_surrogates,
+        op7_factorization_machine, op9_exact_complement_packing)}
+
+
+# Five-word shingles, word hashes, models and tokenizers are beyond SQL; the embeddings are not.
+OP5_SQL = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, x -> x <> 0)) > 0
+), u AS (
+    SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v
+), link AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+    WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.9
+), reach AS (
+    SELECT vec_id AS node, vec_id AS seen FROM embeddings
+    UNION SELECT r.node, l.b FROM reach r JOIN link l ON l.a = r.seen
+), low AS (
+    SELECT node, min(seen) AS component_id FROM reach GROUP BY node
+), degree AS (
+    SELECT a, count(*) AS n FROM link GROUP BY a
+)
+SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, low.component_id, e.vec_id = low.component_id AS kept
+FROM embeddings e JOIN low ON low.node = e.vec_id LEFT JOIN degree d ON d.a = e.vec_id
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_pivot_index": OP5_SQL}
