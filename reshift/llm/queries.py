@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reshift.llm import minhash, packing, pii, pivots, quality, toxicity, urls
+from reshift.llm import bpe, minhash, packing, pii, pivots, quality, toxicity, urls
 from reshift.llm.common import table
 
 
@@ -39,10 +39,14 @@ def op9_exact_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {f.__name__: f for f in (
         op1_weighted_minhash, op3_quality_ratio, op4_url_ratio, op5_pivot_index, op6_surrogates,
-        op7_factorization_machine, op9_exact_complement_packing)}
+        op7_factorization_machine, op9_exact_complement_packing, op10_bpe_automaton)}
 
 
 # Five-word shingles, word hashes, models and tokenizers are beyond SQL; the embeddings are not.
