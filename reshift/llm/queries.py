@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reshift.llm import bpe, minhash, packing, pii, pivots, quality, toxicity, urls
+from reshift.llm import bpe, merkle, minhash, packing, pii, pivots, quality, tokens, toxicity, urls
 from reshift.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op1_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit_damaged_copy(table(spark, sf_dir, "pages"))
+
+
 def op3_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge(docs, table(spark, sf_dir, "labels")).select("doc_id", "quality.*")
@@ -35,6 +39,10 @@ def op7_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(docs, table(spark, sf_dir, "labels")).select("doc_id", "toxicity.*")
 
 
+def op8_range_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -45,16 +53,38 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries():
     return {f.__name__: f for f in (
-        op1_weighted_minhash, op3_quality_ratio, op4_url_ratio, op5_pivot_index, op6_surrogates,
-        op7_factorization_machine, op9_exact_complement_packing, op10_bpe_automaton)}
+        op1_weighted_minhash, op2_merkle_audit, op3_quality_ratio, op4_url_ratio, op5_pivot_index, op6_surrogates,
+        op7_factorization_machine, op8_range_coder, op9_exact_complement_packing, op10_bpe_automaton)}
 
 
 # Five-word shingles, word hashes, models and tokenizers are beyond SQL; the embeddings are not.
+OP2_SQL = """
+WITH page AS (
+    SELECT page_id, coalesce(html, '') AS html,
+        'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: '
+        || coalesce(url, '') || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, ''))
+        || chr(13) || chr(10) || chr(13) || chr(10) AS header
+    FROM pages
+), record AS (
+    SELECT page_id AS record_id, floor(page_id / 1000)::BIGINT AS file, strlen(header) + strlen(html) + 4 AS length,
+        sha256('leaf' || chr(10) || header || html) AS primary_hash,
+        CASE WHEN page_id % 97 = 13 AND html <> '' THEN sha256('leaf' || chr(10) || header
+            || CASE WHEN html[1] = '~' THEN '!' ELSE '~' END || substr(html, 2)) END AS replica_hash
+    FROM page
+), placed AS (
+    SELECT *, coalesce(sum(length) OVER (PARTITION BY file ORDER BY record_id, primary_hash
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset"
+    FROM record
+)
+SELECT file, "offset", record_id, length::BIGINT AS length, primary_hash, replica_hash, 'altered' AS status
+FROM placed WHERE replica_hash IS NOT NULL
+"""
+
 OP5_SQL = """
 WITH RECURSIVE v AS (
-    SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-      AND len(list_filter(embedding, x -> x <> 0)) > 0
+    SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), u AS (
     SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v
 ), link AS (
@@ -74,4 +104,4 @@ FROM embeddings e JOIN low ON low.node = e.vec_id LEFT JOIN degree d ON d.a = e.
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_pivot_index": OP5_SQL}
+    return {"op2_merkle_audit": OP2_SQL, "op5_pivot_index": OP5_SQL}
