@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reshift.llm.vocab import byte_letters, remembered, tokenizer_path
+from reshift.llm.vocab import LAST_AGREED, byte_letters, remembered, tokenizer_path
 
 WORD_BPE = "word_bpe_49k.json"
 MAX_REMEMBERED = 500_000
@@ -148,7 +148,10 @@ class WordEncoder:
 
     def __init__(self, path: str):
         import regex
+        from tokenizers import Tokenizer
 
+        library = Tokenizer.from_file(path)
+        self.normalize, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -165,22 +168,27 @@ class WordEncoder:
         self.pieces = Pieces(self._piece)
 
     def word(self, word: str) -> list[int]:
+        """Tokens of a word, given in the letters that stand for its bytes."""
         ids = self.known_words.get(word)
         if ids is None:
-            symbols = [self.letters[b] for b in word.encode()]
+            symbols = list(word)
             symbols[-1] += self.suffix
             ids = self.automaton.path(symbols)
             if len(self.known_words) < MAX_REMEMBERED:
                 self.known_words[word] = ids
         return ids
 
-    def _folded(self, piece: str) -> str:
-        if piece.isascii():
-            return piece.lower()
-        return "".join(map(str.lower, unicodedata.normalize("NFC", piece)))
+    def _split(self, piece: str) -> list[str]:
+        """Words of a run of characters without white space, in the letters of their bytes."""
+        if piece.isascii() and piece.isprintable():
+            return self.words.findall(piece.lower())
+        if max(piece) >= LAST_AGREED:  # character classes as the library's version of Unicode has them
+            return [w for w, _ in self.split(self.normalize(piece))]
+        folded = "".join(map(str.lower, unicodedata.normalize("NFC", piece)))
+        return ["".join([self.letters[b] for b in w.encode()]) for w in self.words.findall(folded)]
 
     def _piece(self, piece: str) -> tuple[bytes, str]:
-        ids = [i for w in self.words.findall(self._folded(piece)) for i in self.word(w)]
+        ids = [i for w in self._split(piece) for i in self.word(w)]
         return struct.pack(f"<{len(ids)}I", *ids), self.decode(ids)
 
     def decode(self, ids: list[int]) -> str:

@@ -19,9 +19,9 @@ import types
 BYTE_BPE = "byte_bpe_50k.json"
 MAX_REMEMBERED = 1_000_000
 
-# Scripts whose letters every Unicode version in use agrees on (below the Hebrew block).
+# Below this character (Latin to Cyrillic) all versions of Unicode in use have the same letters.
 _LETTERS_THEN_MARKS = re.compile(r"^([^\W\d_]+)([!-/:-@\[-`{-~]+)$")
-_LAST_AGREED = "԰"
+LAST_AGREED = "԰"
 
 
 def tokenizer_path(name: str) -> str:
@@ -75,9 +75,9 @@ class PieceIds(dict):
         return _raw([t.id for t in self.word(word)])
 
     def __missing__(self, piece: str) -> bytes:
-        if piece.isalpha() and (piece.isascii() or max(piece) < _LAST_AGREED):
+        if piece.isalpha() and (piece.isascii() or max(piece) < LAST_AGREED):
             ids = self._word(self.opening + piece)
-        elif (two := _LETTERS_THEN_MARKS.match(piece)) and max(piece) < _LAST_AGREED:
+        elif (two := _LETTERS_THEN_MARKS.match(piece)) and max(piece) < LAST_AGREED:
             ids = self[two[1]] + self._word(two[2])
         elif not piece or piece[0].isspace() or piece[-1].isspace() or any(a in piece for a in self.added):
             raise OddPiece

@@ -1,0 +1,201 @@
+"""Operators 8, 9 and 10: token files, packing and the BPE automaton against brute force."""
+
+import hashlib
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from reshift.llm import bpe, coder, packing, tokens
+from reshift.llm.vocab import BYTE_BPE, Encoder, tokenizer_path
+
+ODD = ["", None, " ", "  ", " a", "a ", "a  b", "x\n y", "x \ny", "!<|endoftext|> z<|startoftext|>",
+       "it's 's 'S don't I'LL", "a b c", "　 q", "é ǘ 日本 語 é", "12 34.5 .. ...!", "a\x1cb \x1c c",
+       "ΑΣ ΣΑΣ İstanbul ẞ ﬁ", "a" * 40 + " hahaha", "🙂🙂 x🙂", "_a_b-c", "w." * 3000, "!!! !"]
+
+
+@pytest.fixture(scope="module")
+def byte_level():
+    return Tokenizer.from_file(tokenizer_path(BYTE_BPE))
+
+
+@pytest.fixture(scope="module")
+def word_level():
+    return Tokenizer.from_file(tokenizer_path(bpe.WORD_BPE))
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return Encoder(tokenizer_path(BYTE_BPE))
+
+
+@pytest.fixture(scope="module")
+def word_encoder():
+    return bpe.WordEncoder(tokenizer_path(bpe.WORD_BPE))
+
+
+def raw(library, text, **kw):
+    return np.array(library.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@pytest.mark.parametrize("text", ODD)
+def test_pieces_equal_the_library(text, byte_level, encoder):
+    assert encoder.encode([text]) == [raw(byte_level, text)]
+
+
+@given(st.text(max_size=60))
+@settings(max_examples=200, deadline=None)
+def test_any_text_equals_the_library(byte_level, encoder, word_level, word_encoder, text):
+    assert encoder.encode([text]) == [raw(byte_level, text)]
+    ids = word_level.encode(text, add_special_tokens=False).ids
+    got, decoded = word_encoder.text(text)
+    assert got == np.array(ids, "<u4").tobytes()
+    assert decoded == word_level.decode(ids, skip_special_tokens=False)
+
+
+@pytest.mark.parametrize("text", ODD)
+def test_automaton_equals_the_library(text, word_level, word_encoder):
+    ids = word_level.encode(text or "", add_special_tokens=False).ids
+    assert word_encoder.text(text) == (np.array(ids, "<u4").tobytes(),
+                                       word_level.decode(ids, skip_special_tokens=False))
+
+
+@given(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 9)), max_size=14), st.text("abc", max_size=14))
+@settings(max_examples=300, deadline=None)
+def test_gadgets_equal_merging_in_order(pairs, word):
+    """On small random vocabularies the path is what applying the merges one after the other gives."""
+    names, vocabulary, merges = ["a", "b", "c"], {"a": 0, "b": 1, "c": 2}, []
+    for i, j in pairs:
+        left, right = names[i % len(names)], names[j % len(names)]
+        if left + right not in vocabulary and len(left + right) < 9:
+            vocabulary[left + right] = len(vocabulary)
+            names.append(left + right)
+            merges.append((left, right))
+    expected = list(word)
+    for left, right in merges:
+        i = 0
+        while i < len(expected) - 1:
+            if expected[i] == left and expected[i + 1] == right:
+                expected[i:i + 2] = [left + right]
+            i += 1
+    automaton = bpe.Automaton(vocabulary, merges)
+    assert [automaton.label[t] for t in automaton.path(list(word))] == expected
+
+
+@given(st.lists(st.lists(st.integers(0, 299), max_size=700), max_size=5))
+@settings(max_examples=30, deadline=None)
+def test_blocks_round_trip(blocks):
+    coded = coder.encode_blocks([np.array(b, np.int64) for b in blocks], 300)
+    back = coder.decode_blocks(coded, [len(b) for b in blocks], 300)
+    assert [b.tolist() for b in back] == blocks
+
+
+def test_blocks_are_independent_and_checked():
+    ids = np.random.default_rng(0).integers(0, 50257, 5000)
+    blocks = [ids[:2048], ids[2048:4096], ids[4096:]]
+    together = coder.encode_blocks(blocks, 50257)
+    assert together[1][:100] == coder.encode_blocks([blocks[1]], 50257)[0][:100]
+    raws = [blocks[0].astype("<u4").tobytes(), b"", blocks[2].astype("<u4").tobytes()]
+    data = tokens.pack_segment([5, None, 7], raws, 50257)
+    documents, back = tokens.unpack_segment(data)
+    assert documents["null"].tolist() == [0, 1, 0] and back.astype("<u4").tobytes() == b"".join(raws)
+    with pytest.raises(tokens.DamagedBlock):
+        tokens.unpack_segment(data[:-200] + bytes([data[-200] ^ 255]) + data[-199:])
+
+
+def test_predictable_ids_are_small():
+    ids = np.tile(np.arange(40), 60)[:2048]
+    assert len(coder.encode_blocks([ids], 50257)[0]) < 400
+
+
+DOCS = [(5, "b a", 1), (2, None, 2), (None, "no id", 3), (3, "", 4), (9, "word " * 5000, 5), (3, "again", 6),
+        (3, "again", 7), (7, "<|endoftext|>", 8), (-4, "x\n y", 9)]
+
+
+def docs(spark, rows=DOCS):
+    return spark.createDataFrame(rows, "doc_id long, text string, start long").repartition(3)
+
+
+def test_token_file(spark, byte_level, tmp_path):
+    got = sorted(tokens.round_trip(docs(spark)).collect(), key=lambda r: r["start"])
+    ordered = [r["doc_id"] for r in got]
+    assert ordered == [None, -4, 2, 3, 3, 3, 5, 7, 9]
+    start = 0
+    wanted = {}
+    for doc, text, _ in DOCS:
+        ids = raw(byte_level, text) + bytes(4)
+        wanted.setdefault(doc, []).append((len(ids) // 4, zlib.crc32(ids)))
+    for r in got:
+        assert r["start"] == start
+        wanted[r["doc_id"]].remove((r["n_tokens"], r["ids_crc32"]))
+        start += r["n_tokens"]
+    path = f"file://{tmp_path}/ids"
+    tokens.write(docs(spark), path)
+    back = tokens.read(spark.read.parquet(path)).where("doc_id = 9").first()
+    assert back["ids"] == raw(byte_level, "word " * 5000) + bytes(4)
+    empty = docs(spark).limit(0)
+    assert tokens.round_trip(empty).collect() == []
+
+
+def test_packing(spark, byte_level):
+    got = [r.asDict() for r in packing.pack(docs(spark)).collect()]
+    check_packing(got, DOCS, byte_level)
+    assert packing.pack(docs(spark).limit(0)).collect() == []
+
+
+def check_packing(got, rows, library, capacity=packing.CAPACITY):
+    wanted = []
+    for doc, text, *_ in rows:
+        ids = raw(library, text) + bytes(4)
+        start = 0
+        for piece, n in enumerate(packing.cut_lengths(len(ids) // 4, capacity)):
+            wanted.append((doc, piece, start, n, zlib.crc32(ids[4 * start:4 * (start + n)])))
+            start += n
+    key = ("doc_id", "piece", "start", "length", "ids_crc32")
+    assert sorted(map(str, wanted)) == sorted(str(tuple(r[k] for k in key)) for r in got)
+    by_sequence = {}
+    for r in got:
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in by_sequence.values():
+        at = 0
+        for offset, n in sorted(places):
+            assert offset == at
+            at += n
+        assert at <= capacity
+
+
+@given(st.dictionaries(st.integers(1, 32), st.integers(1, 50), max_size=32))
+@settings(max_examples=200, deadline=None)
+def test_plan_uses_every_piece_once(counts):
+    packed = packing.plan(counts, 32)
+    used = {}
+    for lengths, times in packed:
+        assert sum(lengths) <= 32 and times > 0
+        for n in lengths:
+            used[n] = used.get(n, 0) + times
+    assert used == counts
+    total = sum(n * c for n, c in counts.items())
+    assert sum(t for _, t in packed) <= 2 * total / 32 + 1
+
+
+def test_exact_sums_fill_gaps():
+    packed = packing.plan({20: 2, 12: 1, 7: 1, 5: 1, 30: 1, 1: 2}, 32)
+    assert len(packed) == 3 and all(sum(lengths) == 32 for lengths, _ in packed)
+
+
+def test_bpe_digests(spark, word_level):
+    def wanted(text):
+        ids = word_level.encode(text or "", add_special_tokens=False).ids
+        decoded = word_level.decode(ids, skip_special_tokens=False)
+        return (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+                hashlib.sha256(decoded.encode()).hexdigest())
+
+    got = bpe.digests(docs(spark)).collect()
+    assert sorted(str((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"])) for r in got) \
+        == sorted(str((d, *wanted(t))) for d, t, _ in DOCS)
+    text = {r["doc_id"]: r for r in bpe.encode(docs(spark)).collect()}[5]
+    assert text["decoded"] == "b</w> a</w>"
+    assert bpe.digests(docs(spark).limit(0)).collect() == []
