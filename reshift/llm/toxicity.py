@@ -3,9 +3,9 @@
 A document is the set of its distinct lower-case words and of their beginnings (``PREFIXES`` characters,
 for inflected forms), hashed into ``BUCKETS`` terms. The score is
 ``sigmoid(b + sum_i w_i + sum_{i<j} <v_i, v_j>)`` over its terms: the second sum is how strongly pairs
-of terms (an insult and a group, say) go beyond what each says alone. Terms whose gradient at the start
-is below half the penalty are screened out, and proximal steps pull weights and factors of other
-uninformative terms to exactly zero, so that long documents do not add up noise.
+of terms (an insult and a group, say) go beyond what each says alone. Rare terms whose gradient at the
+start is below half the penalty are screened out; proximal steps pull the weights of uninformative terms
+and the factors that no pair needs to exactly zero, so that long documents do not add up noise.
 
 The model is fitted on at most ``max_labelled`` labelled documents (smallest hashes of ``doc_id``)
 outside the held-out remainder; that is the only sample, and the rows and terms of it are all that
@@ -28,15 +28,16 @@ from pyspark.sql import functions as F
 from reshift.llm.common import bind, free_name, shared_table
 
 BUCKETS = 1 << 18
-MAX_LABELLED = 8_000
+MAX_LABELLED = 5_000
 MIN_DOCUMENTS = 5
 FACTORS = 4
 ROUNDS = 150
 STEP = 0.05
 # penalties for one labelled row; noise in a mean over n rows falls with the root of n, and so do they
-SHRINK_TERMS = 0.12
-SHRINK_FACTORS = 0.2
+SHRINK_TERMS = 0.15
+SHRINK_FACTORS = 0.08
 SCREEN = 0.5
+START_FACTORS = 0.03
 THRESHOLD = 0.3
 FOLDS, HELD_OUT_FOLD = 4, 2
 PREFIXES = (6, 8)
@@ -91,23 +92,18 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _flat(rows) -> tuple[np.ndarray, np.ndarray]:
-    rows = [np.asarray(r, np.int64) for r in rows]
+    rows = [np.asarray(r, np.int32) for r in rows]
     starts = np.cumsum([0, *map(len, rows)])
-    return (np.concatenate(rows) if rows else np.zeros(0, np.int64)), starts
+    return (np.concatenate(rows) if rows else np.zeros(0, np.int32)), starts
 
 
-def _descend(x, grad, state, rate, shrink, grouped: bool):
-    """One Adam step, then the proximal step of an L1 penalty (of a row's norm if ``grouped``)."""
-    m, s, t = state["m"], state["s"], state["t"]
-    m += 0.1 * (grad - m)
-    s += 0.01 * (grad * grad - s)
-    scale = rate / (np.sqrt(s / (1 - 0.99 ** t)) + 1e-3)
-    x = x - scale * m / (1 - 0.9 ** t)
-    if grouped:
-        norm = np.linalg.norm(x, axis=1, keepdims=True)
-        keep = np.maximum(0, 1 - scale.mean(axis=1, keepdims=True) * shrink / np.maximum(norm, 1e-12))
-        return x * keep
-    return np.sign(x) * np.maximum(np.abs(x) - scale * shrink, 0)
+def _adam(grad: np.ndarray, state: dict, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """Adam's step and the step size of every coordinate."""
+    state["t"] += 1
+    state["m"] += 0.1 * (grad - state["m"])
+    state["s"] += 0.01 * (grad * grad - state["s"])
+    size = rate / (np.sqrt(state["s"] / (1 - 0.99 ** state["t"])) + 1e-3)
+    return size * state["m"] / (1 - 0.9 ** state["t"]), size
 
 
 def fit(rows, toxic: np.ndarray, seed: int = 7) -> Machine | None:
@@ -119,7 +115,8 @@ def fit(rows, toxic: np.ndarray, seed: int = 7) -> Machine | None:
     n = len(y)
     frequency = np.bincount(flat, minlength=BUCKETS)
     start = np.abs(np.bincount(flat, np.repeat(y - y.mean(), np.diff(starts)), BUCKETS)) / n
-    seen = np.flatnonzero((frequency >= MIN_DOCUMENTS) & (start >= SCREEN * SHRINK_TERMS / np.sqrt(n)))
+    seen = np.flatnonzero((frequency >= MIN_DOCUMENTS) & (frequency < n)
+                          & (start >= SCREEN * SHRINK_TERMS / np.sqrt(n)))
     place = np.full(BUCKETS, -1, np.int32)
     place[seen] = np.arange(len(seen))
     at = place[flat]
@@ -131,17 +128,15 @@ def fit(rows, toxic: np.ndarray, seed: int = 7) -> Machine | None:
     term_starts = np.searchsorted(at[by_term], np.arange(m))
     term_docs = doc[by_term]
     rng = np.random.default_rng(seed)
-    bias, w, v = float(np.log(y.mean() / (1 - y.mean()))), np.zeros(m), rng.normal(0, 0.01, (m, FACTORS))
+    bias, w, v = float(np.log(y.mean() / (1 - y.mean()))), np.zeros(m), rng.normal(0, START_FACTORS, (m, FACTORS))
     sw, sv = ({"m": np.zeros_like(z), "s": np.zeros_like(z), "t": 0} for z in (w, v))
-    for _ in range(ROUNDS if m else 0):
-        live = np.flatnonzero(np.any(v != 0, axis=1))
-        some = np.isin(at, live)
+    for turn in range(ROUNDS if m else 0):
         totals = np.zeros((n, FACTORS))
         squares = np.zeros(n)
         for f in range(FACTORS):
-            x = v[at[some], f]
-            totals[:, f] = np.bincount(doc[some], x, n)
-            squares += np.bincount(doc[some], x * x, n)
+            x = v[at, f]
+            totals[:, f] = np.bincount(doc, x, n)
+            squares += np.bincount(doc, x * x, n)
         margin = bias + np.bincount(doc, w[at], n) + 0.5 * ((totals ** 2).sum(1) - squares)
         error = (_sigmoid(margin) - y) / n
         bias -= 2.0 * error.sum()
@@ -149,11 +144,14 @@ def fit(rows, toxic: np.ndarray, seed: int = 7) -> Machine | None:
         gw = np.add.reduceat(e, term_starts)
         gv = np.stack([np.add.reduceat(e * totals[term_docs, f], term_starts) for f in range(FACTORS)], 1) \
             - v * gw[:, None]
-        gv[~np.isin(np.arange(m), live)] = 0
-        sw["t"] += 1
-        sv["t"] += 1
-        w = _descend(w, gw, sw, STEP, SHRINK_TERMS / np.sqrt(n), grouped=False)
-        v = _descend(v, gv, sv, STEP, SHRINK_FACTORS / np.sqrt(n), grouped=True)
+        rate = STEP * (1 - turn / ROUNDS)
+        step, size = _adam(gw, sw, rate)
+        w = w - step
+        w = np.sign(w) * np.maximum(np.abs(w) - size * SHRINK_TERMS / np.sqrt(n), 0)
+        step, size = _adam(gv, sv, rate)
+        v = v - step
+        norm = np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+        v *= np.maximum(0, 1 - size.mean(axis=1, keepdims=True) * SHRINK_FACTORS / np.sqrt(n) / norm)
     kept = np.flatnonzero((w != 0) | np.any(v != 0, axis=1))
     place[:] = -1
     place[seen[kept]] = np.arange(len(kept))

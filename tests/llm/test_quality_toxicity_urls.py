@@ -113,7 +113,7 @@ def test_quality_runs_no_python(spark):
 
 
 def test_insults_are_learnt_and_pairs_count():
-    """Two terms that are harmless alone and toxic together: the additive part cannot tell them."""
+    """Toxic if an insult meets a group, harmless if either stands alone: their pair gets weight."""
     rng = np.random.default_rng(1)
     rows, toxic = [], []
     for i in range(1200):
@@ -124,7 +124,7 @@ def test_insults_are_learnt_and_pairs_count():
     machine = toxicity.fit(rows, np.array(toxic))
     flat, starts = toxicity._flat(rows)
     score = toxicity._sigmoid(machine.margins(flat, starts))
-    assert ((score >= 0.3) == np.array(toxic)).mean() > 0.98
+    assert ((score >= 0.5) == np.array(toxic)).mean() > 0.97
     place = machine.place[[1, 2]]
     assert machine.v[place[0]] @ machine.v[place[1]] > 0
 
