@@ -34,7 +34,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
 IDF_BUCKETS = 1 << 16
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
+LAST_ROUND = -1
 # ids sent to every task at most (8 bytes each); more are joined by a shuffle
 MAX_SENT_IDS = 1_000_000
 CHUNK = 1 << 16
@@ -237,8 +238,7 @@ def among(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 
 
 def _links(pairs: DataFrame, docs: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
-    """The pairs ``(a, b)`` of representatives that are similar enough."""
-    pairs = shared_table(pairs)
+    """The pairs ``(a, b)`` of representatives, a written table, that are similar enough."""
     ids = shared_table(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     texts = shared_table(among(docs, ids, "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")))
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
@@ -262,9 +262,10 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     members = copies.select("rep", F.posexplode("bands").alias("band", "bucket"))
     shared = members.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     members = shared_table(members.join(shared, ["band", "bucket"]))
-    links, done = shared_table(links), None
-    for turn in range(LEADER_ROUNDS + 1):
-        grouped = components(links)
+    links = shared_table(links)
+    grouped = components(links)
+    done = None
+    for turn in [*range(LEADER_ROUNDS), LAST_ROUND]:
         rows = members.join(grouped, members["rep"] == grouped["node"], "left") \
             .select("band", "bucket", "rep", F.coalesce("component", "rep").alias("class"))
         # one order of leaders for all bands, so that a member meets few distinct ones in a round
@@ -274,22 +275,25 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
             F.min_by(F.struct("rep", "class"), order).alias("leader")
         ).where("low < high").drop("low", "high")
         open_rows = shared_table(rows.join(mixed, ["band", "bucket"]))
-        if open_rows.isEmpty():
-            break
-        if turn < LEADER_ROUNDS:
-            pairs = open_rows.where(F.col("class") != F.col("leader.class")).select(
-                F.least("rep", "leader.rep").alias("a"), F.greatest("rep", "leader.rep").alias("b"))
-        else:
+        if turn == LAST_ROUND:
             other = open_rows.select("band", "bucket", F.col("rep").alias("b"), F.col("class").alias("theirs"))
             pairs = (open_rows.withColumnRenamed("rep", "a").join(other, ["band", "bucket"])
                      .where((F.col("class") != F.col("theirs")) & (F.col("a") < F.col("b"))).select("a", "b"))
+        else:
+            pairs = open_rows.where(F.col("class") != F.col("leader.class")).select(
+                F.least("rep", "leader.rep").alias("a"), F.greatest("rep", "leader.rep").alias("b"))
         pairs = pairs.distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = shared_table(pairs)
+        if pairs.isEmpty():
+            continue
         done = pairs if done is None else done.union(pairs)
-        links = links.union(_links(pairs, known, idf, least))
-    return components(links).select(F.col("node").alias("id"), F.col("component").alias("class_id"))
+        found = _links(pairs, known, idf, least)
+        if not found.isEmpty():
+            links = links.union(found)
+            grouped = components(links)
+    return grouped.select(F.col("node").alias("id"), F.col("component").alias("class_id"))
 
 
 def duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
