@@ -60,6 +60,21 @@ def string_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]], bounds - bounds[0]
 
 
+def slices(batch: pa.RecordBatch, *columns: int, most_bytes: int = 1 << 20, most_rows: int = 4096):
+    """Consecutive parts of a batch with a bounded amount of text in the given columns (a row at least)."""
+    sizes = np.zeros(batch.num_rows, np.int64)
+    for c in columns:
+        sizes += np.diff(string_bytes(batch.column(c))[1])
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at] - sizes[at]
+        stop = int(np.searchsorted(ends, before + most_bytes, "right"))
+        stop = min(max(stop, at + 1), at + most_rows)
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def components(nodes_linked: DataFrame) -> DataFrame:
     """Smallest node reachable from each node: ``(node, component)`` for columns ``(a, b)``.
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reshift.llm.common import components, free_name, shared_table, string_bytes
+from reshift.llm.common import components, free_name, shared_table, slices, string_bytes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -153,8 +153,8 @@ def _count_words():
     def run(batches):
         total = np.zeros(IDF_BUCKETS, np.int64)
         n = 0
-        for batch in batches:
-            data, bounds = string_bytes(batch.column(0))
+        for some in (s for batch in batches for s in slices(batch, 0)):
+            data, bounds = string_bytes(some.column(0))
             words, at = word_hashes(data, bounds)
             row = np.repeat(np.arange(len(at) - 1, dtype=np.int64), np.diff(at))
             n += int((np.diff(at) > 0).sum())
@@ -184,8 +184,7 @@ def _sketch(idf: np.ndarray):
     def run(batches):
         sampler = Sampler(BANDS * ROWS)
         for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                some = batch.slice(at, 4096)
+            for some in slices(batch, 2):
                 key, weight, starts = weighted_shingles(some.column(2), idf)
                 drawn = sampler.samples(key, weight, starts).reshape(BANDS, ROWS, -1)
                 bands = np.zeros((BANDS, drawn.shape[2]), _U)
@@ -219,8 +218,7 @@ def similarities(left: pa.Array, right: pa.Array, idf: np.ndarray) -> np.ndarray
 def _verify(idf: np.ndarray, least: float):
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                some = batch.slice(at, 1024)
+            for some in slices(batch, 2, 3):
                 ok = pa.array(similarities(some.column(2), some.column(3), idf) >= least - 1e-9)
                 yield some.select([0, 1]).filter(ok)
 

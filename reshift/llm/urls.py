@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reshift.llm.common import free_name, string_bytes
+from reshift.llm.common import free_name, slices, string_bytes
 
 ALLOW, BLOCK = "allow", "block"
 ORDER = 5
@@ -139,9 +139,9 @@ class Models:
 
 def _count_transitions(batches):
     totals = np.zeros((2, SIZE), np.int64)
-    for batch in batches:
-        row, contexts, grams = transitions(batch.column(0))
-        accepted = np.array(batch.column(1).to_pylist(), bool)[row]
+    for some_urls in (s for batch in batches for s in slices(batch, 0)):
+        row, contexts, grams = transitions(some_urls.column(0))
+        accepted = np.array(some_urls.column(1).to_pylist(), bool)[row]
         for kind in (0, 1):
             some = accepted == bool(kind)
             for entries in (contexts, grams):
@@ -158,7 +158,9 @@ def _score(models: Models | None, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(models.scores(pa.array(texts, pa.string())))
+        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+        parts = [models.scores(some.column(0)) for some in slices(batch, 0)]
+        return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
     return run(text)
 
