@@ -14,13 +14,19 @@ spark-submit.
 from __future__ import annotations
 
 import argparse
+import json
+import logging
 
 from pyspark.sql import SparkSession
 
+from reshift.functions.cpu import CPU_RULES
+from reshift.operators.usage import malformed_lines
 from reshift.params import RunParams
 from reshift.plans.job import run
 from reshift.sources.tables import load_reservations, load_usage
 
+log = logging.getLogger(__name__)
+
 
 def parse_args(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="reshift", description=__doc__.split("\n")[0])
@@ -33,6 +39,11 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--reservations", required=True, help="inventory: table name or Parquet path")
     p.add_argument("--usage-partition-column", default=None)
     p.add_argument("--usage-partition-format", default="%Y-%m-%d")
+    p.add_argument("--usage-partition-margin-days", type=int, default=1)
+    p.add_argument("--time-zone", default="UTC", help="zone whose wall clock the billing hours follow")
+    p.add_argument("--include-idle-pools", action="store_true", help="also offer pools nobody used")
+    p.add_argument("--reservation-order", choices=("id", "fewest"), default="id")
+    p.add_argument("--cpu-rules", default=None, help="JSON list of [kind, value, weight], in order")
     p.add_argument("--salt-buckets", type=int, default=32,
                    help="salted slices per (pool, shift) in the first-fit pruning")
     p.add_argument("--suggestions-target", required=True)
@@ -47,6 +58,14 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
                        cutoff_pct=args.cutoff_pct, allow_full_use=args.allow_full_use,
                        usage_partition_column=args.usage_partition_column,
                        usage_partition_format=args.usage_partition_format,
+                       usage_partition_margin_days=args.usage_partition_margin_days,
+                       time_zone=args.time_zone, include_idle_pools=args.include_idle_pools,
+                       reservation_order=args.reservation_order,
+                       cpu_rules=json.loads(args.cpu_rules) if args.cpu_rules else CPU_RULES,
                        first_fit_salt_buckets=args.salt_buckets)
-    run(load_usage(spark, args.usage), load_reservations(spark, args.reservations), params,
+    usage = load_usage(spark, args.usage)
+    dropped = malformed_lines(usage).first()["n"]
+    if dropped:
+        log.warning("%d usage lines have malformed stamps and are left out", dropped)
+    run(usage, load_reservations(spark, args.reservations), params,
         suggestions_target=args.suggestions_target, shifts_target=args.shifts_target)

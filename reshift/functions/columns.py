@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import zoneinfo
+from typing import TYPE_CHECKING
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from reshift.params import RunParams
+if TYPE_CHECKING:
+    from reshift.params import RunParams
 
 # Fixed values that must equal the reference job's for equal results.
 EC2_PRODUCT = "amazon elastic compute cloud"
@@ -34,13 +39,45 @@ def in_window(start: Column, params: RunParams) -> Column:
     return (start >= ntz(params.window_start)) & (start < ntz(params.window_end))
 
 
+# What a stamp stored as text looks like; anything else counts as malformed.
+STAMP_TEXT = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?)?$"
+
+
+def wall_clock(stamp: Column, kind: T.DataType, zone: str) -> Column:
+    """A stored stamp as ``timestamp_ntz``.
+
+    A TIMESTAMP is an instant and becomes the wall clock of ``zone`` (the session's zone plays no
+    part). Text is parsed, malformed text becomes null.
+    """
+    if isinstance(kind, T.TimestampType):
+        local_micros = F.unix_micros(F.from_utc_timestamp(stamp, zone))
+        return F.timestamp_add("MICROSECOND", local_micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    if isinstance(kind, T.StringType):
+        return F.when(stamp.rlike(STAMP_TEXT), stamp.try_cast("timestamp_ntz"))
+    return stamp
+
+
+def in_stored_window(start: Column, kind: T.DataType, params: RunParams) -> Column:
+    """The window as a range on the stored column, in its own type, so that it reaches the reader."""
+    low, high = params.window_start, params.window_end
+    if isinstance(kind, T.TimestampType):
+        zone = zoneinfo.ZoneInfo(params.time_zone)
+        return (start >= F.lit(low.replace(tzinfo=zone))) & (start < F.lit(high.replace(tzinfo=zone)))
+    if isinstance(kind, T.StringType):  # well-formed text sorts as its date does
+        return (start >= F.lit(f"{low:%Y-%m-%d}")) & (start < F.lit(f"{high:%Y-%m-%d}"))
+    return in_window(start, params)
+
+
 def is_ec2(product: Column) -> Column:
     return F.lower(product) == F.lit(EC2_PRODUCT)
 
 
 def lasts_at_most_an_hour(start: Column, end: Column) -> Column:
-    """Whole-second length <= 1 hour; negative spans pass, as in the job."""
-    return (F.unix_timestamp(end) - F.unix_timestamp(start)) <= MAX_LINE_SECONDS
+    """Whole-second length <= 1 hour; negative spans pass, as in the job.
+
+    Both stamps are instants or both are wall clocks, so no zone enters the difference.
+    """
+    return F.timestamp_diff("SECOND", start, end) <= MAX_LINE_SECONDS
 
 
 def type_label(instancetype: Column) -> Column:

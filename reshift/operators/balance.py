@@ -13,6 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reshift.operators.usage import EXACT, exact_sum
+from reshift.params import RunParams
+
 POOL_PRODUCT_KEYS = ("productname", "region", "availability_zone", "os", "instancetype")
 BALANCE_KEYS = ("productname", "yr", "mon", "dy", "hr", "region", "availability_zone", "os",
                 "instancetype")
@@ -32,9 +35,10 @@ def pool_match(res_hourly: DataFrame, pools: DataFrame) -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold`` (sort-merge join beyond it); AQE
     re-checks the measured size at run time. A hint would skip that check.
     """
-    matched = (res_hourly.join(pools, ["region", "os", "instancetype"], "inner")
-               .filter((F.col("availabilityzone") == F.col("availability_zone"))
-                       | (F.col("region") == F.col("availability_zone"))))
+    # the pools a row may belong to are named before the join, so all four keys are join keys
+    charged = res_hourly.withColumn("availability_zone", F.explode(
+        F.array_distinct(F.array("availabilityzone", "region"))))
+    matched = charged.join(pools, ["region", "os", "instancetype", "availability_zone"], "inner")
     return (matched.select("productname", "yr", "mon", "dy", "hr", "region", "availabilityzone",
                            "os", "instancetype", "consumption", "dollar", "availability_zone",
                            "active")
@@ -50,19 +54,19 @@ def hourly_balance(matched: DataFrame) -> DataFrame:
     aggregate instead of the job's self-join.
     """
     agg = matched.groupBy(*BALANCE_KEYS).agg(
-        F.sum("dollar").alias("dollar"),
-        F.sum("consumption").alias("consumption"),
-        F.max("active").cast("double").alias("active"))
-    unused = F.col("active") - F.col("consumption")
-    return agg.withColumn("unused_ri", F.when(unused < 0, F.lit(0.0)).otherwise(unused))
+        exact_sum("dollar").alias("dollar"),
+        exact_sum("consumption").alias("consumption"),
+        F.max("active").cast("decimal(17,0)").alias("active"))
+    unused = (F.col("active") - F.col("consumption")).cast(EXACT)
+    return agg.withColumn("unused_ri", F.when(unused < 0, F.lit(0).cast(EXACT)).otherwise(unused))
 
 
 def _unused_measures():
     return (F.count("hr").alias("hrcount"),
-            F.sum("dollar").alias("dollarsum"),
-            F.sum("consumption").alias("consumptionsum"),
-            F.sum("active").alias("activesum"),
-            F.sum("unused_ri").alias("unused_ritotal"),
+            exact_sum("dollar").cast("double").alias("dollarsum"),
+            exact_sum("consumption").cast("double").alias("consumptionsum"),
+            F.sum("active").cast("double").alias("activesum"),
+            exact_sum("unused_ri").cast("double").alias("unused_ritotal"),
             F.count_if(F.col("unused_ri") > 0).alias("unused_ritotal_hrs"))
 
 
@@ -84,6 +88,22 @@ def unused_window(balance: DataFrame) -> DataFrame:
                         F.col("unused_ritotal_hrs") * 100 / F.col("hrcount")))
 
 
+def with_idle_pools(window: DataFrame, pools: DataFrame, params: RunParams) -> DataFrame:
+    """A7 with pools that nobody used in the window: idle in every hour of it."""
+    pool = ("region", "availability_zone", "os", "instancetype")
+    hours = params.lookback_days * 24
+    seen = window.select(*pool).distinct()
+    idle = (pools.filter(F.col("active") > 0).join(seen, list(pool), "left_anti")
+            .withColumns({
+                "productname": F.lit(params.idle_product), "hrcount": F.lit(hours).cast("long"),
+                "dollarsum": F.lit(0.0), "consumptionsum": F.lit(0.0),
+                "activesum": (F.col("active") * hours).cast("double"),
+                "unused_ritotal": (F.col("active") * hours).cast("double"),
+                "unused_ritotal_hrs": F.lit(hours).cast("long"),
+                "non_usage_hr_prop_month": F.lit(100.0)}))
+    return window.unionByName(idle.select(*window.columns))
+
+
 def high_unused(window: DataFrame, cutoff_pct: float) -> DataFrame:
     """P10: pools idle in at least ``cutoff_pct`` percent of their observed hours."""
     return window.filter(F.col("non_usage_hr_prop_month") >= F.lit(float(cutoff_pct)))

@@ -7,23 +7,24 @@ tracked per reservation row, so no reservation is promised twice. A move no
 single row can cover is not assigned.
 
 Bounded groups. A pool may own a very large share of the inventory, but only
-few rows can ever be chosen: the move at position ``k`` lands on one of the
-first ``k`` rows (in order) whose *original* count covers its shift, since at
-most ``k - 1`` rows have been drawn down before it. So for each pool and each
-distinct shift ``t`` only the first ``K`` rows with ``active >= t`` are kept;
-first fit over the kept rows is the same as over all rows. Each reservation
-row meets at most the few thresholds of its own pool (``active >= t`` is part
-of the join condition), never other rows. ``K`` and the shifts are taken
-from the pool's *candidates* (a superset of its moves, so the kept set only
-grows): this keeps the pruning independent of the greedy walk, which
-therefore runs once per plan. The top-``K`` is taken in two window passes,
-the first one over salted sub-partitions, so a hot pool is spread over many
-tasks, and a pool keeps at most ``K x distinct shifts`` reservation rows.
+few rows can ever be chosen: with ``K`` moves in the pool, the move at position
+``k <= K`` lands on one of the first ``K`` rows (in order) whose *original*
+count covers its shift, since at most ``k - 1`` rows have been drawn down before
+it. Each reservation row falls into exactly one bucket, the largest of the
+pool's shifts that its count covers (a row below the smallest shift is left
+out), and the first ``K`` rows of every bucket are kept. The first ``K`` rows
+that cover a shift ``t`` lie in the buckets from ``t`` up, so they are all
+kept; first fit over the kept rows is the same as over all rows. The join makes at
+most one row per reservation, and the first ``K`` of a bucket are taken in two
+window passes, the first one over salted slices, so a hot pool is spread over
+many tasks. ``K`` and the shifts come from the very array of moves that the
+fold walks: one aggregate of the picks feeds both.
 
 The fold itself runs JVM-side with built-in higher-order functions: per pool,
-the moves (in walk order) and the kept rows (in inventory order) are collected
-into two bounded, sorted arrays, and ``aggregate`` walks the moves with the
-remaining counts as its state. No Python worker is involved.
+the moves (in walk order) and the kept rows (in inventory order) are two
+bounded, sorted arrays, and ``aggregate`` walks the moves with the remaining
+counts as its state, one pass over the rows per move. No Python worker is
+involved.
 """
 
 from __future__ import annotations
@@ -44,65 +45,68 @@ MOVE_COLUMNS = POOL + ("productname", "ondemand_availabilityzone", "ondemand_ins
 DEFAULT_SALT_BUCKETS = 32
 
 
-def reachable_reservations(candidates: DataFrame, res_list: DataFrame,
-                           salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+def moves_by_pool(moves: DataFrame) -> DataFrame:
+    """One row per pool: its moves in walk order."""
+    return moves.groupBy(*POOL).agg(F.array_sort(F.collect_list(F.struct(
+        "pick_order", "instances_tobe_shifted", "productname", "ondemand_availabilityzone",
+        "ondemand_instancetype", "savings"))).alias("moves"))
+
+
+def order_columns(order: str) -> tuple[str, ...]:
+    """Columns a pool's reservations are served by, ascending."""
+    return ("active", *RESERVATION_ORDER) if order == "fewest" else RESERVATION_ORDER
+
+
+def reachable_reservations(by_pool: DataFrame, res_list: DataFrame,
+                           salt_buckets: int = DEFAULT_SALT_BUCKETS, order: str = "id") -> DataFrame:
     """The reservation rows first fit can choose (exact pruning, see module doc)."""
-    # one exchange on the pool key serves the per-shift counts and the
-    # per-pool window over them
-    thresholds = (candidates.select(*POOL, F.col("instances_tobe_shifted").alias("t"))
-                  .repartition(*POOL)
-                  .groupBy(*POOL, "t").agg(F.count("*").alias("n"))
-                  .withColumn("k", F.sum("n").over(Window.partitionBy(*POOL)))
-                  .drop("n"))
-    # Thresholds are few per pool; a plain join lets AQE broadcast them from
-    # their measured size and split a hot pool on the reservation side.
-    inventory = res_list.filter(F.col("active") > 0).select(
-        *[F.col(c).alias(f"r_{c}") for c in POOL], *RESERVATION_COLUMNS[len(POOL):])
-    rows = (thresholds
-            .join(inventory, [thresholds[c] == inventory[f"r_{c}"] for c in POOL])
-            .filter(F.col("active") >= F.col("t"))
-            .select(*[F.col(f"r_{c}").alias(c) for c in POOL], *RESERVATION_COLUMNS[len(POOL):],
-                    "t", "k"))
-    order = [F.col(c).asc_nulls_first() for c in RESERVATION_ORDER]
-    salted = rows.withColumn(
-        "salt", F.pmod(F.xxhash64(*RESERVATION_ORDER), F.lit(int(salt_buckets))))
-    # pass 1: top K inside each salted slice of a (pool, shift) group
-    local = (salted
-             .withColumn("rn", F.row_number().over(
-                 Window.partitionBy(*POOL, "t", "salt").orderBy(*order)))
-             .filter(F.col("rn") <= F.col("k")))
-    # pass 2: at most salt_buckets x K rows per (pool, shift) are left, so the
-    # pool key alone can partition them; that partitioning then also serves
-    # the duplicate removal and the per-pool collection of the fold
-    top = (local.repartition(*POOL)
-           .withColumn("rn", F.row_number().over(Window.partitionBy(*POOL, "t").orderBy(*order)))
-           .filter(F.col("rn") <= F.col("k")))
-    return top.select(*RESERVATION_COLUMNS).dropDuplicates()
+    limits = by_pool.select(
+        *POOL, F.size("moves").alias("k"),
+        F.array_distinct(F.transform("moves", lambda m: m["instances_tobe_shifted"])).alias("shifts"))
+    inventory = res_list.filter(F.col("active") > 0).select(*RESERVATION_COLUMNS)
+    # a plain join: AQE broadcasts the limits while their measured size allows, and splits a hot
+    # pool on the reservation side beyond that
+    rows = (inventory.join(limits, list(POOL))
+            .withColumn("bucket", F.array_max(F.filter("shifts", lambda t: t <= F.col("active"))))
+            .filter(F.col("bucket").isNotNull())
+            .withColumn("salt", F.pmod(F.xxhash64(*RESERVATION_ORDER), F.lit(int(salt_buckets))))
+            .drop("shifts"))
+    ranked = [F.col(c).asc_nulls_first() for c in order_columns(order)]
+    for keys in ((*POOL, "bucket", "salt"), (*POOL, "bucket")):
+        rows = (rows.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*ranked)))
+                .filter(F.col("rn") <= F.col("k")))
+    return rows.select(*RESERVATION_COLUMNS)
 
 
 def _first_fit_step(state: Column, move: Column) -> Column:
     """One move: give its whole shift to the first row whose remainder covers it."""
     shift = move["instances_tobe_shifted"]
-    # 1-based position of the first row that fits, 0 when none does
+
+    def served(fit: Column) -> Column:
+        return F.struct(
+            F.transform(state["rem"], lambda x, i: F.when(i + 1 == fit, x - shift).otherwise(x)).alias("rem"),
+            F.concat(state["picks"], F.array(fit)).alias("picks"))
+
+    # 1-based position of the first row that fits, 0 when none does; bound by a lambda, so that it is
+    # found once a move and not once a row
     fit = F.array_position(F.transform(state["rem"], lambda x: (x >= shift) & (x > 0)), True)
-    return F.struct(
-        F.transform(state["rem"],
-                    lambda x, i: F.when(i + 1 == fit, x - shift).otherwise(x)).alias("rem"),
-        F.concat(state["picks"], F.array(fit)).alias("picks"))
+    return F.get(F.transform(F.array(fit), served), 0)
 
 
-def first_fit(moves: DataFrame, rows: DataFrame) -> DataFrame:
+def first_fit(moves: DataFrame, rows: DataFrame, order: str = "id") -> DataFrame:
     """First fit per pool; one output row per assigned move."""
-    move_list = moves.groupBy(*POOL).agg(F.array_sort(F.collect_list(F.struct(
-        "pick_order", "instances_tobe_shifted", "productname", "ondemand_availabilityzone",
-        "ondemand_instancetype", "savings"))).alias("moves"))
-    # struct order = sort order: the raw inventory key first (unique per row)
-    row_list = rows.groupBy(*POOL).agg(F.array_sort(F.collect_list(F.struct(
-        *RESERVATION_ORDER, "active", "os", "instancetype"))).alias("rows"))
+    return _fold(moves_by_pool(moves), rows, order)
+
+
+def _fold(by_pool: DataFrame, rows: DataFrame, order: str) -> DataFrame:
+    # struct order = sort order: the serving order first (unique per row)
+    columns = [*order_columns(order), "os", "instancetype"]
+    columns += [] if "active" in columns else ["active"]
+    row_list = rows.groupBy(*POOL).agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("rows"))
     start = F.struct(
         F.transform("rows", lambda r: r["active"].cast("double")).alias("rem"),
         F.array().cast("array<bigint>").alias("picks"))
-    folded = (move_list.join(row_list, list(POOL))
+    folded = (by_pool.join(row_list, list(POOL))
               .select("rows", F.explode(F.arrays_zip(
                   "moves", F.aggregate("moves", start, _first_fit_step)["picks"].alias("picks")))
                   .alias("z")))
@@ -124,12 +128,10 @@ def first_fit(moves: DataFrame, rows: DataFrame) -> DataFrame:
         F.col("m.savings").alias("savings"))
 
 
-def reservation_shift(picks: DataFrame, res_list: DataFrame, candidates: DataFrame,
-                      salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """Assigned moves, one row per (move, reservation row) with a positive shift.
-
-    ``candidates`` are the candidate moves the picks were chosen from.
-    """
+def reservation_shift(picks: DataFrame, res_list: DataFrame,
+                      salt_buckets: int = DEFAULT_SALT_BUCKETS, order: str = "id") -> DataFrame:
+    """Assigned moves, one row per (move, reservation row) with a positive shift."""
     moves = relabel_regional(picks).select(*MOVE_COLUMNS)
-    rows = reachable_reservations(candidates, res_list, salt_buckets)
-    return first_fit(moves, rows).filter(F.col("active_instances_tobe_shifted") > 0)
+    by_pool = moves_by_pool(moves)
+    rows = reachable_reservations(by_pool, res_list, salt_buckets, order)
+    return _fold(by_pool, rows, order).filter(F.col("active_instances_tobe_shifted") > 0)

@@ -7,6 +7,9 @@ by on-demand zone and type ascending. A candidate is taken when its demand
 pool's running total stays strictly below the pool's average unused count;
 taking it claims the demand for every later pool.
 
+With ``allow_full_use`` a pool may give away its whole average unused count, and a demand is claimed
+only as far as it is covered: a later pool may serve what is left, with a shift cut to the rest.
+
 Parallelism. Pools compete only through a shared demand, and a candidate
 binds pool and demand to one region, os and two-letter family. So
 (region, os, family) is an independent component; the walk restricted to a
@@ -55,6 +58,10 @@ WALK_ORDER = ("productname", "instancetype", "availability_zone", "savings",
 WALK_ASCENDING = (False, False, False, False, True, True)
 
 
+# What the walk needs beyond the picks' columns to follow the rest of a demand.
+REST_COLUMNS = ("unused_instance_cpu", "ondemand_instance_cpu", "avg_ondemand_cpu_needed")
+
+
 def _none_if_na(values) -> list:
     return [None if (v is None or (isinstance(v, float) and np.isnan(v))) else v for v in values]
 
@@ -68,6 +75,10 @@ def walk_component(pdf: pd.DataFrame, allow_full_use: bool = False) -> pd.DataFr
     shifts = ordered["instances_tobe_shifted"].to_numpy(dtype=float)
     caps = ordered["avg_unused_instances"].to_numpy(dtype=float)
 
+    if allow_full_use:
+        shifts = shifts.copy()
+        unit, od_unit, need = (ordered[c].to_numpy(dtype=float) for c in REST_COLUMNS)
+    rest: dict = {}  # CPU units of a demand that are not covered yet
     taken = np.zeros(len(ordered), dtype=bool)
     claimed: set = set()
     current, used = None, 0.0
@@ -76,12 +87,24 @@ def walk_component(pdf: pd.DataFrame, allow_full_use: bool = False) -> pd.DataFr
             current, used = pools[i], 0.0
         if demands[i] in claimed:
             continue
+        if allow_full_use:
+            shifts[i] = min(shifts[i], np.floor(rest.get(demands[i], need[i]) / unit[i] + 0.5))
+            if shifts[i] < 1:
+                continue
         total = used + shifts[i]
         if total < caps[i] or (allow_full_use and total <= caps[i]):
             taken[i] = True
             used = total
-            claimed.add(demands[i])
-
+            if allow_full_use:
+                rest[demands[i]] = rest.get(demands[i], need[i]) - shifts[i] * unit[i]
+            else:
+                claimed.add(demands[i])
+
+    if allow_full_use:
+        planned = ordered["instances_tobe_shifted"].to_numpy(dtype=float)
+        ordered["savings"] = ordered["savings"].astype(float) * shifts / planned
+        ordered["instances_tobe_shifted"] = shifts
+        ordered["ondemand_instances_increased"] = np.floor(shifts * unit / od_unit + 0.5)
     picks = ordered.loc[taken, list(PICK_COLUMNS)].copy()
     picks["pick_order"] = np.flatnonzero(taken).astype("int64")
     return picks
@@ -92,7 +115,11 @@ def greedy_picks(candidates: DataFrame, allow_full_use: bool = False) -> DataFra
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         return walk_component(pdf, allow_full_use)
 
-    narrow = candidates.select(*PICK_COLUMNS, family(F.col("instancetype")).alias("family"))
+    shift, cap = F.col("instances_tobe_shifted"), F.col("avg_unused_instances")
+    # a single shift beyond the pool's cap can never be taken; with the rest of a demand it may be cut
+    possible = F.lit(True) if allow_full_use else shift < cap
+    wanted = PICK_COLUMNS + (REST_COLUMNS if allow_full_use else ())
+    narrow = candidates.filter(possible).select(*wanted, family(F.col("instancetype")).alias("family"))
     return narrow.groupBy(*COMPONENT_KEYS).applyInPandas(fold, PICK_SCHEMA)
 
 

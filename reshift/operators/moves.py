@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reshift.functions.columns import div, family, type_label
-from reshift.functions.cpu import cpu_weight
+from reshift.functions.cpu import CPU_RULES, cpu_weight
 
 CANDIDATE_KEYS = ("productname", "region", "availability_zone", "os", "instancetype",
                   "availabilityzone", "ondemand_instancetype")
@@ -23,15 +23,15 @@ CANDIDATE_COLUMNS = CANDIDATE_KEYS + (
 )
 
 
-def instance_types(usage: DataFrame, reservations: DataFrame) -> DataFrame:
-    """M7 as a table: every instance type seen in usage or inventory with its CPU weight."""
-    types = (usage.select(type_label(F.col("instancetype")).alias("instancetype"))
+def instance_types(window: DataFrame, reservations: DataFrame, rules=CPU_RULES) -> DataFrame:
+    """M7 as a table: every instance type of the window's lines or the inventory with its CPU weight."""
+    types = (window.select(type_label(F.col("instancetype")).alias("instancetype"))
              .union(reservations.select(F.trim(F.col("instance_type")).alias("instancetype")))
              .distinct())
-    return types.withColumn("cpu", cpu_weight(F.col("instancetype")))
+    return types.withColumn("cpu", cpu_weight(F.col("instancetype"), rules))
 
 
-def candidate_moves(high: DataFrame, od_window: DataFrame) -> DataFrame:
+def candidate_moves(high: DataFrame, od_window: DataFrame, rules=CPU_RULES) -> DataFrame:
     """J3 + P11 + M7..M13 + P12.
 
     The job's left join is an inner join (the family filter rejects unmatched
@@ -48,7 +48,7 @@ def candidate_moves(high: DataFrame, od_window: DataFrame) -> DataFrame:
     pools = (high
              .withColumns({
                  "family": family(F.col("instancetype")),
-                 "unused_instance_cpu": cpu_weight(F.col("instancetype")),
+                 "unused_instance_cpu": cpu_weight(F.col("instancetype"), rules),
                  "avg_unused_instances": F.round(div(F.col("unused_ritotal"), F.col("hrcount"))),
              })
              .filter(F.col("avg_unused_instances") > 0)
@@ -57,7 +57,7 @@ def candidate_moves(high: DataFrame, od_window: DataFrame) -> DataFrame:
     demand = (od_window
               .withColumns({
                   "family": family(F.col("ondemand_instancetype")),
-                  "ondemand_instance_cpu": cpu_weight(F.col("ondemand_instancetype")),
+                  "ondemand_instance_cpu": cpu_weight(F.col("ondemand_instancetype"), rules),
                   "avg_ondemand_instances":
                       F.round(div(F.col("quantity_used"), F.col("ondemand_hrs"))),
               })

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reshift.functions.columns import (
     HOURLY_MEASURE,
@@ -23,9 +24,11 @@ from reshift.functions.columns import (
     RESERVED_OPTION,
     div,
     in_window,
+    in_stored_window,
     is_ec2,
     lasts_at_most_an_hour,
     type_label,
+    wall_clock,
 )
 from reshift.params import RunParams
 
@@ -38,15 +41,44 @@ HOUR_KEYS = ("productname", "yr", "mon", "dy", "hr", "region", "availabilityzone
 DEMAND_KEYS = ("productname", "region", "availabilityzone", "os", "ondemand_instancetype")
 
 
+STAMPS = ("usagestartdate", "usageenddate")
+# Quantities and costs add up exactly, in any order; a sum leaves as double once, at a rollup.
+EXACT = "decimal(28,10)"
+
+
+def exact_sum(column: str):
+    return F.sum(F.col(column).cast(EXACT)).cast(EXACT)
+
+
 def window_filter(usage: DataFrame, params: RunParams) -> DataFrame:
-    """Lines both branches share: EC2 (any case), at most one hour long, in the window."""
-    start, end = F.col("usagestartdate"), F.col("usageenddate")
-    cond = (in_window(start, params) & is_ec2(F.col("productname"))
-            & lasts_at_most_an_hour(start, end))
+    """Lines both branches share: EC2 (any case), at most one hour long, in the window.
+
+    Stamps come out as ``timestamp_ntz`` in ``params.time_zone``. A line whose text stamps do not
+    parse is dropped (``malformed_lines`` counts them).
+    """
+    start, end = (F.col(c) for c in STAMPS)
+    kinds = {f.name: f.dataType for f in usage.schema.fields if f.name in STAMPS}
+    cond = in_stored_window(start, kinds[STAMPS[0]], params) & is_ec2(F.col("productname"))
     if params.usage_partition_column:
         low, high = params.partition_bounds
         cond = F.col(params.usage_partition_column).between(low, high) & cond
-    return usage.filter(cond)
+    clocks = {c: wall_clock(F.col(c), kinds[c], params.time_zone) for c in STAMPS
+              if not isinstance(kinds[c], T.TimestampNTZType)}
+    if all(isinstance(k, T.TimestampType) for k in kinds.values()):
+        # two instants: their distance is taken before wall clocks may jump
+        return usage.filter(cond & lasts_at_most_an_hour(start, end)).withColumns(clocks)
+    lines = usage.filter(cond)
+    lines = lines.withColumns(clocks) if clocks else lines
+    return lines.filter(in_window(start, params) & lasts_at_most_an_hour(start, end))
+
+
+def malformed_lines(usage: DataFrame) -> DataFrame:
+    """One row ``n``: lines with a text stamp that is there but does not parse."""
+    texts = [f for f in usage.schema.fields if f.name in STAMPS and isinstance(f.dataType, T.StringType)]
+    bad = F.lit(False)
+    for f in texts:
+        bad = bad | (F.col(f.name).isNotNull() & wall_clock(F.col(f.name), f.dataType, "UTC").isNull())
+    return usage.agg(F.count_if(bad).alias("n"))
 
 
 def _branch_test(branch: str):
@@ -89,7 +121,7 @@ def hourly_usage(usage: DataFrame, params: RunParams, branches=BRANCHES) -> Data
         F.dayofmonth(start).alias("dy"), F.hour(start).alias("hr"),
         "region", "availabilityzone",
         F.col("os").alias("os_raw"), F.col("instancetype").alias("type_raw"),
-    ).agg(F.sum("usagequantity").alias("quantity"), F.sum("unblendedcost").alias("cost"))
+    ).agg(exact_sum("usagequantity").alias("quantity"), exact_sum("unblendedcost").alias("cost"))
     return grouped.select(
         "branch", *HOUR_KEYS,
         F.lower("os_raw").alias("os"), type_label(F.col("type_raw")).alias("instancetype"),
@@ -123,8 +155,8 @@ def ondemand_daily(od_hourly: DataFrame) -> DataFrame:
             .groupBy("productname", "yr", "mon", "dy", "region", "availabilityzone", "os",
                      "ondemand_instancetype")
             .agg(F.count("hr").alias("ondemand_hrs"),
-                 F.sum("dollar_spent").alias("dollar_spent"),
-                 F.sum("quantity_used").alias("quantity_used"))
+                 exact_sum("dollar_spent").cast("double").alias("dollar_spent"),
+                 exact_sum("quantity_used").cast("double").alias("quantity_used"))
             .withColumn("demand_hr_day_prop", F.col("ondemand_hrs") * 100 / 24))
 
 
@@ -133,8 +165,8 @@ def ondemand_window(od_hourly: DataFrame) -> DataFrame:
     return (_demand_clustered(od_hourly)
             .groupBy(*DEMAND_KEYS)
             .agg(F.count("hr").alias("ondemand_hrs"),
-                 F.sum("dollar_spent").alias("dollar_spent"),
-                 F.sum("quantity_used").alias("quantity_used"),
+                 exact_sum("dollar_spent").cast("double").alias("dollar_spent"),
+                 exact_sum("quantity_used").cast("double").alias("quantity_used"),
                  F.countDistinct("dy").alias("ondemand_days"))
             .withColumn("demand_hr_month_prop",
                         div(F.col("ondemand_hrs") * 100, F.col("ondemand_days") * 24)))

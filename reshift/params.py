@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import datetime as _dt
+import zoneinfo
 from dataclasses import dataclass
 
+from reshift.functions.cpu import CPU_RULES
+
 
 @dataclass(frozen=True)
 class RunParams:
@@ -31,6 +34,18 @@ class RunParams:
     usage_partition_column: str | None = None
     usage_partition_format: str = "%Y-%m-%d"
     usage_partition_margin_days: int = 1
+    # Zone whose wall clock the billing hours and the window follow. TIMESTAMP columns are
+    # converted to it whatever the session's zone; stamps without a zone are taken as they are.
+    time_zone: str = "UTC"
+    # Ordered CPU rules (kind, value, weight), first hit wins; see ``functions.cpu``.
+    cpu_rules: tuple[tuple[str, str, int], ...] = CPU_RULES
+    # Also offer pools nobody used in the window (the job shows used pools only); they carry
+    # ``idle_product`` as their product.
+    include_idle_pools: bool = False
+    idle_product: str = "Amazon Elastic Compute Cloud"
+    # First-fit order of a pool's reservations: "id" (raw inventory key) or "fewest" (fewest
+    # active instances first, then the key).
+    reservation_order: str = "id"
     # Salted slices of a (pool, shift) group in the first pass of the
     # first-fit pruning: raise it when one pool holds a large share of the
     # inventory, so that pass spreads over more tasks. Results do not change.
@@ -41,6 +56,10 @@ class RunParams:
             object.__setattr__(self, "run_date", parse_run_date(self.run_date))
         if self.lookback_days < 1:
             raise ValueError("lookback_days must be >= 1")
+        if self.reservation_order not in ("id", "fewest"):
+            raise ValueError(f"unknown reservation order: {self.reservation_order!r}")
+        zoneinfo.ZoneInfo(self.time_zone)
+        object.__setattr__(self, "cpu_rules", tuple(map(tuple, self.cpu_rules)))
 
     @property
     def window_start(self) -> _dt.datetime:

@@ -1,12 +1,11 @@
 """R1 + R2: one full run for one date.
 
-``run`` builds one plan from the two inputs to both results. Three frames are
+``run`` builds one plan from the two inputs to both results. Two frames are
 materialised because they are read more than once: the hourly usage
-aggregate (both branches, so the billing lines are scanned once), the
-candidate moves (greedy walk and first-fit pruning) and the chosen moves
-(suggestion table and first fit). All three are small next to the input.
-Nothing is collected to the driver; the only Python work is inside the two
-grouped folds.
+aggregate (both branches, so the billing lines are scanned once) and the
+chosen moves (suggestion table and first fit). Both are small next to the
+input. Nothing is collected to the driver; the only Python work is inside the
+greedy walk.
 """
 
 from __future__ import annotations

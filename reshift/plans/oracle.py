@@ -11,18 +11,30 @@ Views ``events`` and ``part`` must be registered; parameters are those of
 
 from __future__ import annotations
 
-from reshift.functions.cpu import CPU_RULES, DEFAULT_WEIGHT
 from reshift.params import RunParams
 from reshift.plans.queries import QUERY_KEYS, TEST_PARAMS
 
 
+# The job's CPU weights, written out here on their own.
+CPU_SQL = """CAST(CASE
+  WHEN {size} = 'large' THEN 2 WHEN {size} = 'xlarge' THEN 4 WHEN {size} = '2xlarge' THEN 8
+  WHEN {size} = '4xlarge' THEN 16 WHEN {type} = 'c4.8xlarge' THEN 36 WHEN {size} = '8xlarge' THEN 32
+  WHEN {type} = 'm4.10xlarge' THEN 40 WHEN {size} = '16xlarge' THEN 64 WHEN {size} = '32xlarge' THEN 128
+  WHEN {type} IN ('m1.medium', 't2.nano', 't2.small', 'm3.medium') THEN 1 WHEN {size} = 'medium' THEN 2
+  ELSE 1 END AS INTEGER)"""
+
+# The fixtures' instance types by block of keys.
+TYPE_SQL = """(CASE block % 4
+  WHEN 0 THEN ['m3.medium','m3.large','m3.xlarge','m3.2xlarge','c4.large','c4.8xlarge','m1.small']
+  WHEN 1 THEN ['m4.large','m4.4xlarge','m4.8xlarge','m4.10xlarge','m4.16xlarge','t2.nano','t2.small']
+  WHEN 2 THEN ['r5.large','r5a.xlarge','r5.2xlarge','x1.16xlarge','x1.32xlarge','m1.medium','m1.small']
+  ELSE ['t2.medium','t2.small','t2.nano','m3.medium','m3.large','c4.8xlarge','c4.xlarge'] END)"""
+SUFFIX_SQL = "CASE WHEN block = 0 THEN '' ELSE concat('-', block) END"
+
+
 def _cpu_case(col: str) -> str:
-    """The CPU rule list as one SQL CASE, rules in order (first hit wins)."""
-    size = f"string_split_regex({col}, '[.]+')[2]"
-    whens = "\n".join(
-        f"        WHEN {size if kind == 'size' else col} = '{value}' THEN {weight}"
-        for kind, value, weight in CPU_RULES)
-    return f"CAST(CASE\n{whens}\n        ELSE {DEFAULT_WEIGHT} END AS INTEGER)"
+    """The CPU weight of an instance type."""
+    return CPU_SQL.format(size=f"string_split_regex({col}, '[.]+')[2]", type=col)
 
 
 def _ctes(params: RunParams) -> list[tuple[str, str]]:
@@ -31,29 +43,29 @@ def _ctes(params: RunParams) -> list[tuple[str, str]]:
     lookback = params.lookback_days
     cutoff = float(params.cutoff_pct)
     return [
-        ("usage", """
+        ("usage", f"""
  select case when event_id%11=0 then 'AMAZON ELASTIC COMPUTE CLOUD' when event_id%13=0 then 'Amazon Simple Storage Service' else 'Amazon Elastic Compute Cloud' end as productname,
  cast(date_trunc('hour',ts) as timestamp) as usagestartdate,
  cast(date_trunc('hour',ts) + case when event_id%50=0 then interval 2 hour else interval 1 hour end as timestamp) as usageenddate,
- case user_id%2 when 0 then 'us-east-1' else 'us-west-2' end as region,
- case when event_id%101=0 then null else concat(case user_id%2 when 0 then 'us-east-1' else 'us-west-2' end, case event_id%3 when 0 then 'a' when 1 then 'b' else 'c' end) end as availabilityzone,
+ concat(case user_id%2 when 0 then 'us-east-1' else 'us-west-2' end, {SUFFIX_SQL}) as region,
+ case when event_id%101=0 then null else concat(concat(case user_id%2 when 0 then 'us-east-1' else 'us-west-2' end, {SUFFIX_SQL}), case event_id%3 when 0 then 'a' when 1 then 'b' else 'c' end) end as availabilityzone,
  case when k=7 then null else case k%8 when 0 then 'Linux' when 1 then 'Windows' when 2 then 'windows' when 3 then 'N/A' else 'linux' end end as os,
- case cast(floor(event_id/3) as bigint)%8 when 0 then null when 1 then 'm3.medium' when 2 then 'm3.large' when 3 then 'm3.xlarge' when 4 then 'm3.2xlarge' when 5 then 'c4.large' when 6 then 'c4.8xlarge' else 'm1.small' end as instancetype,
+ case when cast(floor(event_id/3) as bigint)%8 = 0 then null else {TYPE_SQL}[cast(floor(event_id/3) as bigint)%8] end as instancetype,
  case event_type when 'click' then 'reservedinstance' when 'view' then 'reservedinstance' when 'signup' then 'spot' else 'on-demand' end as purchaseoption,
  cast(1+k%3 as double) as usagequantity,
  cast(1+k%3 as double) * cast(0.25 as double) * cast(1+user_id%4 as double) as unblendedcost,
  case when event_id%37=0 then 'GB' else 'Hour' end as measure,
  case when event_id%41=0 then null when event_id%43=0 then 'data transfer 10 Mbps per Instance' when event_id%47=0 then 'EBS snapshot' else 'per On Demand Instance Hour' end as itemdescription
- from (select *, cast(regexp_extract(props,'[0-9]+',0) as int) as k from events) e"""),
-        ("reservations", """
+ from (select *, cast(regexp_extract(props,'[0-9]+',0) as int) as k, cast(floor(event_id/1000) as bigint) as block from events) e"""),
+        ("reservations", f"""
  select concat('acct-',cast(p_partkey%3 as varchar)) as account_id, printf('ri-%06d', p_partkey) as reserved_instance_id,
  case p_partkey%2 when 0 then 'Partial Upfront' else 'All Upfront' end as offering_type,
- case cast(floor(p_partkey/2) as bigint)%2 when 0 then 'us-east-1' else 'us-west-2' end as region,
- concat(case cast(floor(p_partkey/2) as bigint)%2 when 0 then 'us-east-1' else 'us-west-2' end, case cast(floor(p_partkey/4) as bigint)%4 when 0 then 'a' when 1 then 'b' when 2 then 'c' else '' end) as availability_zone,
+ concat(case cast(floor(p_partkey/2) as bigint)%2 when 0 then 'us-east-1' else 'us-west-2' end, {SUFFIX_SQL}) as region,
+ concat(concat(case cast(floor(p_partkey/2) as bigint)%2 when 0 then 'us-east-1' else 'us-west-2' end, {SUFFIX_SQL}), case cast(floor(p_partkey/4) as bigint)%4 when 0 then 'a' when 1 then 'b' when 2 then 'c' else '' end) as availability_zone,
  case p_partkey%5 when 0 then 'Windows (Amazon VPC)' when 1 then 'Windows' when 2 then 'Linux/UNIX' when 3 then 'Linux/UNIX (Amazon VPC)' else 'SUSE Linux' end as product_description,
- concat(case cast(floor(p_partkey/3) as bigint)%7 when 0 then 'm3.medium' when 1 then 'm3.large' when 2 then 'm3.xlarge' when 3 then 'm3.2xlarge' when 4 then 'c4.large' when 5 then 'c4.8xlarge' else 'm1.small' end, case when p_partkey%7=0 then ' ' else '' end) as instance_type,
+ concat({TYPE_SQL}[cast(floor(p_partkey/3) as bigint)%7 + 1], case when p_partkey%7=0 then ' ' else '' end) as instance_type,
  cast(p_size%6 as int) as instance_count, case when p_partkey%10=9 then 'retired' else 'active' end as state
- from part"""),
+ from (select *, cast(floor(p_partkey/200) as bigint) as block from part) p"""),
         ("window_filter", f"""
  SELECT * FROM usage
  WHERE lower(productname) = 'amazon elastic compute cloud'
@@ -143,7 +155,7 @@ def _ctes(params: RunParams) -> list[tuple[str, str]]:
  GROUP BY productname, region, availabilityzone, os, ondemand_instancetype"""),
         ("cpu_weight", f"""
  SELECT instancetype, {_cpu_case('instancetype')} AS cpu
- FROM (SELECT coalesce(instancetype, 'm1.small') AS instancetype FROM usage
+ FROM (SELECT coalesce(instancetype, 'm1.small') AS instancetype FROM window_filter
        UNION SELECT trim(instance_type) FROM reservations) t"""),
         ("candidate_moves", f"""
  SELECT productname, region, availability_zone, os, instancetype, availabilityzone,

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reshift.params import RunParams
 from reshift.plans.stages import Stages
@@ -26,9 +28,15 @@ def stages_for(spark: SparkSession, sf_dir: str, params: RunParams = TEST_PARAMS
     return Stages(usage_df, reservations, params)
 
 
+def as_output(df: DataFrame) -> DataFrame:
+    """Exact sums leave as doubles."""
+    return df.withColumns({f.name: F.col(f.name).cast("double") for f in df.schema.fields
+                           if isinstance(f.dataType, T.DecimalType)})
+
+
 def _query(key: str) -> Callable[[SparkSession, str], DataFrame]:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(stages_for(spark, sf_dir), key)
+        return as_output(getattr(stages_for(spark, sf_dir), key))
     build.__name__ = key
     return build
 

@@ -81,7 +81,10 @@ class Stages:
 
     @cached_property
     def unused_window(self) -> DataFrame:
-        return balance.unused_window(self.hourly_balance)
+        window = balance.unused_window(self.hourly_balance)
+        if self.params.include_idle_pools:
+            window = balance.with_idle_pools(window, self.active_pools, self.params)
+        return window
 
     @cached_property
     def high_unused(self) -> DataFrame:
@@ -90,12 +93,11 @@ class Stages:
     # moves and allocation
     @cached_property
     def cpu_weight(self) -> DataFrame:
-        return moves.instance_types(self.usage, self.reservations)
+        return moves.instance_types(self.window_filter, self.reservations, self.params.cpu_rules)
 
     @cached_property
     def candidate_moves(self) -> DataFrame:
-        # read by the greedy walk and by the first-fit pruning
-        return self._materialize(moves.candidate_moves(self.high_unused, self.ondemand_window))
+        return moves.candidate_moves(self.high_unused, self.ondemand_window, self.params.cpu_rules)
 
     @cached_property
     def picks(self) -> DataFrame:
@@ -112,5 +114,5 @@ class Stages:
 
     @cached_property
     def reservation_shift(self) -> DataFrame:
-        return firstfit.reservation_shift(self.picks, self.reservation_list, self.candidate_moves,
-                                          self.params.first_fit_salt_buckets)
+        return firstfit.reservation_shift(self.picks, self.reservation_list,
+                                          self.params.first_fit_salt_buckets, self.params.reservation_order)

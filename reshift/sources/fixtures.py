@@ -18,9 +18,28 @@ from pyspark.sql import DataFrame
 
 # The fixture rules of FIXTURES.md section 2 as Spark SQL
 # expressions (one analysis pass per table instead of one call per literal).
-_REGION_BY_USER = "case user_id % 2 when 0 then 'us-east-1' else 'us-west-2' end"
-_REGION_BY_PART = ("case cast(floor(p_partkey / 2) as bigint) % 2 "
-                   "when 0 then 'us-east-1' else 'us-west-2' end")
+# Every 1,000 events and every 200 parts are a block with two regions of its own (the first one keeps
+# the plain names), so the number of pools grows with the tables and a pool stays near its demand.
+_BLOCK_SUFFIX = "case when block = 0 then '' else concat('-', cast(block as string)) end"
+_REGION_BY_USER = f"concat(case user_id % 2 when 0 then 'us-east-1' else 'us-west-2' end, {_BLOCK_SUFFIX})"
+_REGION_BY_PART = ("concat(case cast(floor(p_partkey / 2) as bigint) % 2 "
+                   f"when 0 then 'us-east-1' else 'us-west-2' end, {_BLOCK_SUFFIX})")
+# Instance types of a block, by block % 4: together they meet every CPU rule, its default and families
+# that share two letters.
+TYPES_BY_BLOCK = (
+    ("m3.medium", "m3.large", "m3.xlarge", "m3.2xlarge", "c4.large", "c4.8xlarge", "m1.small"),
+    ("m4.large", "m4.4xlarge", "m4.8xlarge", "m4.10xlarge", "m4.16xlarge", "t2.nano", "t2.small"),
+    ("r5.large", "r5a.xlarge", "r5.2xlarge", "x1.16xlarge", "x1.32xlarge", "m1.medium", "m1.small"),
+    ("t2.medium", "t2.small", "t2.nano", "m3.medium", "m3.large", "c4.8xlarge", "c4.xlarge"),
+)
+
+
+def _type(number: str) -> str:
+    """The ``number``-th type of the block's list."""
+    lists = " ".join(f"when {b} then array({', '.join(repr(t) for t in types)})"
+                     for b, types in enumerate(TYPES_BY_BLOCK))
+    return f"get(case block % {len(TYPES_BY_BLOCK)} {lists} end, cast({number} as int))"
+
 
 USAGE_RULES = (
     "case when event_id % 11 = 0 then 'AMAZON ELASTIC COMPUTE CLOUD' "
@@ -34,9 +53,8 @@ USAGE_RULES = (
     "case event_id % 3 when 0 then 'a' when 1 then 'b' else 'c' end) end as availabilityzone",
     "case when k = 7 then null else case k % 8 when 0 then 'Linux' when 1 then 'Windows' "
     "when 2 then 'windows' when 3 then 'N/A' else 'linux' end end as os",
-    "case cast(floor(event_id / 3) as bigint) % 8 when 0 then null when 1 then 'm3.medium' "
-    "when 2 then 'm3.large' when 3 then 'm3.xlarge' when 4 then 'm3.2xlarge' "
-    "when 5 then 'c4.large' when 6 then 'c4.8xlarge' else 'm1.small' end as instancetype",
+    f"case when cast(floor(event_id / 3) as bigint) % 8 = 0 then null "
+    f"else {_type('cast(floor(event_id / 3) as bigint) % 8 - 1')} end as instancetype",
     "case event_type when 'click' then 'reservedinstance' when 'view' then 'reservedinstance' "
     "when 'signup' then 'spot' else 'on-demand' end as purchaseoption",
     "cast(1 + k % 3 as double) as usagequantity",
@@ -59,9 +77,7 @@ RESERVATION_RULES = (
     "case p_partkey % 5 when 0 then 'Windows (Amazon VPC)' when 1 then 'Windows' "
     "when 2 then 'Linux/UNIX' when 3 then 'Linux/UNIX (Amazon VPC)' "
     "else 'SUSE Linux' end as product_description",
-    "concat(case cast(floor(p_partkey / 3) as bigint) % 7 when 0 then 'm3.medium' "
-    "when 1 then 'm3.large' when 2 then 'm3.xlarge' when 3 then 'm3.2xlarge' "
-    "when 4 then 'c4.large' when 5 then 'c4.8xlarge' else 'm1.small' end, "
+    f"concat({_type('cast(floor(p_partkey / 3) as bigint) % 7')}, "
     "case when p_partkey % 7 = 0 then ' ' else '' end) as instance_type",
     "cast(p_size % 6 as int) as instance_count",
     "case when p_partkey % 10 = 9 then 'retired' else 'active' end as state",
@@ -70,10 +86,12 @@ RESERVATION_RULES = (
 
 def usage_from_events(events: DataFrame) -> DataFrame:
     """Hourly billing lines, one per event."""
-    with_k = events.selectExpr("*", "cast(regexp_extract(props, '[0-9]+', 0) as int) as k")
+    with_k = events.selectExpr("*", "cast(regexp_extract(props, '[0-9]+', 0) as int) as k",
+                               "cast(floor(event_id / 1000) as bigint) as block")
     return with_k.selectExpr(*USAGE_RULES)
 
 
 def reservations_from_part(part: DataFrame) -> DataFrame:
     """Reservation inventory, one reservation per part."""
-    return part.selectExpr(*RESERVATION_RULES)
+    blocks = part.selectExpr("*", "cast(floor(p_partkey / 200) as bigint) as block")
+    return blocks.selectExpr(*RESERVATION_RULES)

@@ -6,6 +6,8 @@ when the new result is empty. The target is a Parquet directory (its
 ``dt=<value>`` sub-directory is replaced) or an existing catalog table
 partitioned by ``dt`` (``INSERT OVERWRITE ... PARTITION (dt = ...)``; columns
 are matched by position, so the frame is projected to the contract order).
+A write to a directory replaces the partition in place, so a write that fails half-way leaves
+it incomplete until the date is run again; a catalog table is the safe target.
 Reading a Parquet target back, partition discovery types ``dt`` as an integer
 unless ``spark.sql.sources.partitionColumnTypeInference.enabled`` is false.
 """
@@ -17,7 +19,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-# Output contracts (column order is the insert order of the job).
+# The output contracts (column order is the insert order of the job).
 SUGGESTION_COLUMNS = (
     "productname", "region", "unused_ri_availabilityzone", "os", "unused_ri_instancetype",
     "avg_unused_instances", "ondemand_availabilityzone", "ondemand_instancetype",

@@ -10,8 +10,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from reshift.sources.fixtures import reservations_from_part, usage_from_events
 
@@ -38,19 +36,12 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
 def load_usage(spark: SparkSession, name_or_path: str) -> DataFrame:
     """Usage lines with the contract columns.
 
-    Start and end may be stored as timestamps or as ``yyyy-MM-dd HH:mm:ss``
-    strings; strings are cast to ``timestamp_ntz``. Timestamp columns are left
-    as they are, so the window filter on them still reaches the reader.
+    Start and end may be stored as timestamps, with or without a zone, or as
+    ``yyyy-MM-dd HH:mm:ss`` text. They are left as stored, so that the window
+    reaches the reader as a range in the column's own type; the window filter
+    turns them into wall clocks.
     """
-    df = read_table(spark, name_or_path)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    cols = []
-    for c in USAGE_COLUMNS:
-        if c in ("usagestartdate", "usageenddate") and isinstance(types.get(c), T.StringType):
-            cols.append(F.col(c).cast("timestamp_ntz").alias(c))
-        else:
-            cols.append(F.col(c))
-    return df.select(*cols)
+    return read_table(spark, name_or_path).select(*USAGE_COLUMNS)
 
 
 def load_reservations(spark: SparkSession, name_or_path: str) -> DataFrame:

@@ -6,7 +6,14 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from reshift.operators.firstfit import MOVE_COLUMNS, RESERVATION_COLUMNS, first_fit, reservation_shift
+from reshift.operators.firstfit import (
+    MOVE_COLUMNS,
+    RESERVATION_COLUMNS,
+    first_fit,
+    moves_by_pool,
+    reachable_reservations,
+    reservation_shift,
+)
 from reshift.operators.inventory import RESERVATION_ORDER
 
 POOL = dict(region="us-east-1", availability_zone="us-east-1a", os="linux", instancetype="m3.large")
@@ -65,14 +72,9 @@ def test_pruned_first_fit_equals_full_scan_on_hot_pool(spark, seed, salt_buckets
         [(m["productname"], m["region"], m["availability_zone"], m["os"], m["instancetype"],
           20.0, "us-east-1b", m["ondemand_instancetype"], 1.0, m["instances_tobe_shifted"], 1.0,
           m["savings"], m["pick_order"]) for m in moves], PICK_COLS)
-    candidates = spark.createDataFrame(
-        [(POOL["region"], POOL["availability_zone"], POOL["os"], POOL["instancetype"], float(s))
-         for s in cand_shifts],
-        "region string, availability_zone string, os string, instancetype string, "
-        "instances_tobe_shifted double")
     res_list = spark.createDataFrame(
         [tuple(r[c.split()[0]] for c in RES_COLS.split(", ")) for r in rows], RES_COLS)
-    got = reservation_shift(picks, res_list, candidates, salt_buckets=salt_buckets).collect()
+    got = reservation_shift(picks, res_list, salt_buckets=salt_buckets).collect()
     assert sorted((r["ondemand_instancetype"], r["reserved_instance_id"]) for r in got) == \
         brute_force(moves, rows)
     assert len(got) > 5
@@ -81,7 +83,7 @@ def test_pruned_first_fit_equals_full_scan_on_hot_pool(spark, seed, salt_buckets
 def test_first_fit_on_many_random_pools(spark):
     """300 random pools in one job: the JVM fold (with and without pruning) against brute force."""
     rng = random.Random(2024)
-    move_rows, res_rows, cand_rows, expected = [], [], [], []
+    move_rows, res_rows, expected = [], [], []
     for p in range(300):
         pool = dict(region="us-east-1", availability_zone=f"z{p:03d}", os="linux",
                     instancetype=rng.choice(["m3.large", "c4.large"]))
@@ -95,8 +97,6 @@ def test_first_fit_on_many_random_pools(spark):
                       pick_order=i, **pool) for i, s in enumerate(shifts)]
         move_rows += moves
         res_rows += rows
-        cand_rows += [(pool["region"], pool["availability_zone"], pool["os"], pool["instancetype"],
-                       m["instances_tobe_shifted"]) for m in moves]
         expected += [(pool["availability_zone"],) + pair for pair in brute_force(moves, rows)]
     moves_df = spark.createDataFrame(pd.DataFrame(move_rows)[list(MOVE_COLUMNS)])
     rows_df = spark.createDataFrame(pd.DataFrame(res_rows)[list(RESERVATION_COLUMNS)])
@@ -109,8 +109,38 @@ def test_first_fit_on_many_random_pools(spark):
         F.lit(9.0).alias("avg_unused_instances"), F.col("ondemand_availabilityzone").alias("availabilityzone"),
         "ondemand_instancetype", F.lit(1.0).alias("avg_ondemand_instances"), "instances_tobe_shifted",
         F.lit(1.0).alias("ondemand_instances_increased"), "savings", "pick_order")
-    candidates = spark.createDataFrame(cand_rows, "region string, availability_zone string, os string, "
-                                                  "instancetype string, instances_tobe_shifted double")
     pruned = sorted((r["availability_zone"], r["ondemand_instancetype"], r["reserved_instance_id"])
-                    for r in reservation_shift(picks, rows_df, candidates, salt_buckets=4).collect())
+                    for r in reservation_shift(picks, rows_df, salt_buckets=4).collect())
     assert pruned == sorted(expected)
+
+
+def test_fewest_instances_first(spark):
+    moves = pd.DataFrame([move(0, 2)])[list(MOVE_COLUMNS)]
+    rows = pd.DataFrame([res_row("ri-1", 9), res_row("ri-2", 3), res_row("ri-3", 1)])[list(RESERVATION_COLUMNS)]
+    by_id, fewest = (first_fit(spark.createDataFrame(moves), spark.createDataFrame(rows), order).collect()
+                     for order in ("id", "fewest"))
+    assert [r["reserved_instance_id"] for r in by_id + fewest] == ["ri-1", "ri-2"]
+
+
+def test_large_hot_pool_is_pruned_without_copies(spark):
+    """One pool, 40,000 reservations, 60 shifts, 300 picks: few rows reach the fold, and fast."""
+    rng = random.Random(5)
+    rows = spark.range(40_000).selectExpr(
+        "concat('acct-', id % 3) as account_id", "format_string('ri-%06d', id) as reserved_instance_id",
+        "'All Upfront' as offering_type", "'Linux/UNIX' as product_description", "'m3.large' as instance_type",
+        "cast(1 + id * 7919 % 75 as bigint) as active", *[f"'{v}' as {k}" for k, v in POOL.items()])
+    shifts = [1 + i % 60 for i in range(300)]
+    rng.shuffle(shifts)
+    moves = spark.createDataFrame(pd.DataFrame([move(i, s) for i, s in enumerate(shifts)])[list(MOVE_COLUMNS)])
+    kept = reachable_reservations(moves_by_pool(moves), rows)
+    assert 300 <= kept.count() <= 300 * 60
+    got = sorted((r["ondemand_instancetype"], r["reserved_instance_id"]) for r in first_fit(moves, kept).collect())
+    assert got == brute_force([move(i, s) for i, s in enumerate(shifts)], [r.asDict() for r in rows.collect()])
+
+
+def test_each_reservation_leaves_the_join_once(spark):
+    moves = spark.createDataFrame(pd.DataFrame([move(i, s) for i, s in enumerate([1, 2, 3, 3])])[list(MOVE_COLUMNS)])
+    rows = spark.createDataFrame(pd.DataFrame([res_row(f"ri-{i}", i) for i in range(9)])[list(RESERVATION_COLUMNS)])
+    kept = reachable_reservations(moves_by_pool(moves), rows).collect()
+    # K = 4 per bucket 1, 2 and 3; rows of 0 instances never, of 3 to 8 only the first four
+    assert sorted(r["active"] for r in kept) == [1, 2, 3, 4, 5, 6]

@@ -8,11 +8,14 @@ EC2 = "Amazon Elastic Compute Cloud"
 
 
 def cand(itype="m3.xlarge", az="us-east-1a", od_az="us-east-1b", od_type="m3.large",
-         cap=10.0, shift=2.0, savings=1.0, product=EC2, region="us-east-1", os="linux"):
+         cap=10.0, shift=2.0, savings=1.0, product=EC2, region="us-east-1", os="linux",
+         unit=4.0, od_unit=2.0, need=None):
     return dict(productname=product, region=region, availability_zone=az, os=os,
                 instancetype=itype, avg_unused_instances=cap, availabilityzone=od_az,
                 ondemand_instancetype=od_type, avg_ondemand_instances=1.0,
-                instances_tobe_shifted=shift, ondemand_instances_increased=1.0, savings=savings)
+                instances_tobe_shifted=shift, ondemand_instances_increased=1.0, savings=savings,
+                unused_instance_cpu=unit, ondemand_instance_cpu=od_unit,
+                avg_ondemand_cpu_needed=shift * unit if need is None else need)
 
 
 def walk(rows, **kw):
@@ -26,6 +29,21 @@ def test_strict_cap():
     assert walk(rows, allow_full_use=True) == [("m3.xlarge", "us-east-1b", "m3.large")]
 
 
+def test_full_use_serves_the_rest_of_a_demand():
+    # 44 m3.2xlarge (8 CPU each); the first pool gives its 10 m3.xlarge (5 of them), the second its 20
+    rows = [cand(az=az, od_type="m3.2xlarge", cap=n, shift=n, od_unit=8.0, need=352.0, savings=n)
+            for az, n in (("us-east-1b", 10.0), ("us-east-1a", 20.0))]
+    out = walk_component(pd.DataFrame(rows), allow_full_use=True)
+    assert out["instances_tobe_shifted"].tolist() == [10.0, 20.0]
+    assert out["ondemand_instances_increased"].tolist() == [5.0, 10.0]
+    # a demand of 15 m3.xlarge: the second pool gives the 5 that are left, at that share of its savings
+    rows = [dict(r, avg_ondemand_cpu_needed=60.0, instances_tobe_shifted=s)
+            for r, s in zip(rows, (10.0, 15.0))]
+    out = walk_component(pd.DataFrame(rows), allow_full_use=True)
+    assert out["instances_tobe_shifted"].tolist() == [10.0, 5.0]
+    assert out["savings"].tolist() == [10.0, 20.0 * 5 / 15]
+
+
 def test_running_sum_per_pool():
     rows = [cand(shift=3.0, cap=7.0, savings=s, od_type=t)
             for s, t in [(30.0, "m3.large"), (20.0, "m3.medium"), (10.0, "m3.2xlarge")]]

@@ -5,7 +5,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from reshift.plans.oracle import oracle_sql
+from reshift.plans.queries import queries
 from tests.conftest import SF_SMALL
 from tools.compare import rows_of
 
