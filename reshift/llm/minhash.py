@@ -10,15 +10,18 @@ texts is at least ``SIMILARITY``. A pair of exactly that similarity becomes a ca
 probability of 1 - (1 - 0.8**5)**20 = 0.9996.
 
 Candidates without all pairs. Copies of one text are one representative. In every bucket of a band each
-member is compared with leaders first, another one in each round; members already joined to a leader's
-class need no comparison with it. Only pairs of one bucket whose classes still differ after the rounds
-are compared directly, so no link between different texts is lost and a group of thousands of like
-documents costs a comparison per member and round.
+member is first compared with the bucket's leader, its smallest id; that joins most groups of thousands
+with a comparison per member. Pairs of a bucket whose classes still differ are then compared inside one
+task each: buckets come in blocks of at most ``BLOCK`` members (a pair of blocks is a task's unit, small
+buckets share a unit), a pair is looked at in the first band that it shares, and of the samples at least
+``SAMPLES_ALIKE`` must agree before the exact similarity is computed (a link at the threshold has that
+many with a probability of 1 - 3e-7). Units return at most one link per pair of classes, never their
+pairs, so no link that joins classes is lost and no group meets in one task.
 
 Defined cases: words are cut at ASCII white space and folded to lower case for A-Z; null and empty texts
 have no shingle and link with nothing, not even with each other; rows with a null ``doc_id`` have a null
-class; several rows with one ``doc_id`` are one document, whose smallest text is verified; an empty table gives an empty result; other
-columns pass through ``keep_first`` and are not read elsewhere.
+class; several rows with one ``doc_id`` are one document, whose smallest text is verified; an empty table
+gives an empty result; other columns pass through ``keep_first`` and are not read elsewhere.
 """
 
 from __future__ import annotations
@@ -34,8 +37,10 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
 IDF_BUCKETS = 1 << 16
-LEADER_ROUNDS = 2
-LAST_ROUND = -1
+SAMPLES_ALIKE = 60
+BLOCK = 512
+ROWS_A_UNIT = 2000
+PAIRS_A_STEP = 8192
 # ids sent to every task at most (8 bytes each); more are joined by a shuffle
 MAX_SENT_IDS = 1_000_000
 CHUNK = 1 << 16
@@ -194,8 +199,10 @@ def _sketch(idf: np.ndarray):
                 flat = pa.array(np.ascontiguousarray(bands.T[full]).reshape(-1).view(np.int64))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1) * BANDS, pa.int32()), flat)
                 rows = pa.array(full)
+                marks = np.ascontiguousarray(drawn.reshape(BANDS * ROWS, -1).T[full].astype("<u4"))
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0).take(rows), some.column(1).take(rows), lists], names=["id", "same", "bands"])
+                    [some.column(0).take(rows), some.column(1).take(rows), lists,
+                     pa.array([m.tobytes() for m in marks], pa.binary())], names=["id", "same", "bands", "marks"])
 
     return run
 
@@ -245,52 +252,114 @@ def _links(pairs: DataFrame, docs: DataFrame, idf: np.ndarray, least: float) ->
     return shared_table(joined.mapInArrow(_verify(idf, least), "a long, b long"))
 
 
+def _pairs_inside(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of rows of one bucket, for rows sorted by bucket."""
+    n = len(bucket)
+    last = np.searchsorted(bucket, bucket, "right")
+    after = last - np.arange(n) - 1
+    left = np.repeat(np.arange(n), after)
+    nth = np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
+    return left, left + 1 + nth
+
+
+def pair_similarities(key, weight, starts, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Exact weighted Jaccard similarity of pairs of rows of ``weighted_shingles``."""
+    shingle = np.unique(key & _U((1 << 48) - 1), return_inverse=True)[1].astype(np.int64)
+    sizes = np.diff(starts)
+    total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weight, len(sizes))
+    out = np.zeros(len(left))
+
+    def entries(rows):
+        n = sizes[rows]
+        at = np.repeat(starts[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return (np.repeat(np.arange(len(rows)), n) << 32) | shingle[at], weight[at]
+
+    for cut in range(0, len(left), PAIRS_A_STEP):
+        a, b = left[cut:cut + PAIRS_A_STEP], right[cut:cut + PAIRS_A_STEP]
+        (key_a, w_a), (key_b, w_b) = entries(a), entries(b)
+        shared, ia, ib = np.intersect1d(key_a, key_b, assume_unique=True, return_indices=True)
+        both = np.bincount(shared >> 32, np.minimum(w_a[ia], w_b[ib]), len(a))
+        out[cut:cut + len(a)] = both / (total[a] + total[b] - both)
+    return out
+
+
+def _resolve(idf: np.ndarray, least: float):
+    names = ("band", "bucket", "block", "low", "high", "rep", "class")
+
+    def run(unit: pa.Table) -> pa.Table:
+        unit = unit.combine_chunks().sort_by([("band", "ascending"), ("bucket", "ascending"), ("rep", "ascending")])
+        band, bucket, block, low, high, rep, group = (unit[c].to_numpy() for c in names)
+        if low[0] == high[0]:
+            runs = np.concatenate(([0], np.cumsum((band[1:] != band[:-1]) | (bucket[1:] != bucket[:-1]))))
+            left, right = _pairs_inside(runs)
+        else:
+            one, two = np.flatnonzero(block == low[0]), np.flatnonzero(block == high[0])
+            left, right = np.repeat(one, len(two)), np.tile(two, len(one))
+        apart = group[left] != group[right]
+        left, right = left[apart], right[apart]
+        bands = np.array(unit["bands"].to_pylist(), np.int64)
+        marks = np.frombuffer(b"".join(unit["marks"].to_pylist()), "<u4").reshape(unit.num_rows, -1)
+        likely = np.zeros(len(left), bool)
+        for cut in range(0, len(left), PAIRS_A_STEP):
+            a, b = left[cut:cut + PAIRS_A_STEP], right[cut:cut + PAIRS_A_STEP]
+            first = np.argmax(bands[a] == bands[b], axis=1) == band[a]
+            likely[cut:cut + len(a)] = first & ((marks[a] == marks[b]).sum(axis=1) >= SAMPLES_ALIKE)
+        left, right = left[likely], right[likely]
+        if len(left):
+            alike = pair_similarities(*weighted_shingles(unit["text"].combine_chunks(), idf), left, right) >= least - 1e-9
+            left, right = left[alike], right[alike]
+        classes_joined = np.sort(np.stack((group[left], group[right]), axis=1), axis=1)
+        one_each = np.unique(classes_joined, axis=0, return_index=True)[1]
+        a, b = rep[left[one_each]], rep[right[one_each]]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _links_between(rows: DataFrame, copies: DataFrame, docs: DataFrame, idf: np.ndarray, least: float) -> DataFrame:
+    """Links between members ``(band, bucket, rep, class)`` of one bucket whose classes differ."""
+    sizes = rows.groupBy("band", "bucket").agg(
+        F.min("class").alias("first"), F.max("class").alias("last"), F.count("*").alias("n"))
+    mixed = sizes.where("first < last").select("band", "bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    mixed = shared_table(rows.join(mixed, ["band", "bucket"]))
+    ids = shared_table(mixed.select(F.col("rep").alias("id")).distinct())
+    texts = among(docs, ids, "left_semi").groupBy(F.col("doc_id").alias("rep")).agg(F.min("text").alias("text"))
+    texts = texts.join(copies.select("rep", "bands", "marks"), "rep")
+    units = max(1, mixed.count() // ROWS_A_UNIT)
+    small = F.pmod(F.xxhash64("band", "bucket"), F.lit(units)).cast("int")
+    dealt = (mixed.withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other"),
+                           "unit": F.when(F.col("blocks") == 1, small).otherwise(F.lit(-1))})
+             .withColumn("own", F.when(F.col("blocks") > 1, F.struct("band", "bucket"))))
+    return shared_table(dealt.join(texts, "rep").groupBy("unit", "own", "low", "high")
+                        .applyInArrow(_resolve(idf, least), "a long, b long"))
+
+
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """``(id, class_id)`` of the documents that belong to a group of two or more."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     idf = inverse_frequencies(docs)
     known = docs.where("doc_id IS NOT NULL AND text IS NOT NULL AND text <> ''")
     sketches = shared_table(known.select("doc_id", F.unhex(F.md5("text")).alias("same"), "text")
-                            .mapInArrow(_sketch(idf), "id long, same binary, bands array<long>"))
+                            .mapInArrow(_sketch(idf), "id long, same binary, bands array<long>, marks binary"))
     copies = shared_table(sketches.groupBy("same").agg(
-        F.min("id").alias("rep"), F.min_by("bands", "id").alias("bands"), F.count("*").alias("n")))
+        F.min("id").alias("rep"), F.min_by("bands", "id").alias("bands"), F.min_by("marks", "id").alias("marks"),
+        F.count("*").alias("n")))
     several = copies.where("n > 1").select("same", "rep")
     links = sketches.select("same", "id").join(several, "same").where("id <> rep") \
         .select(F.col("rep").alias("a"), F.col("id").alias("b"))
     members = copies.select("rep", F.posexplode("bands").alias("band", "bucket"))
-    shared = members.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    members = shared_table(members.join(shared, ["band", "bucket"]))
-    links = shared_table(links)
+    shared = members.groupBy("band", "bucket").agg(F.count("*").alias("n"), F.min("rep").alias("leader"))
+    members = shared_table(members.join(shared.where("n > 1").drop("n"), ["band", "bucket"]))
+    pairs = members.where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    links = shared_table(links.union(_links(shared_table(pairs), known, idf, least)))
     grouped = components(links)
-    done = None
-    for turn in [*range(LEADER_ROUNDS), LAST_ROUND]:
-        rows = members.join(grouped, members["rep"] == grouped["node"], "left") \
-            .select("band", "bucket", "rep", F.coalesce("component", "rep").alias("class"))
-        # one order of leaders for all bands, so that a member meets few distinct ones in a round
-        order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
-        mixed = rows.groupBy("band", "bucket").agg(
-            F.min("class").alias("low"), F.max("class").alias("high"),
-            F.min_by(F.struct("rep", "class"), order).alias("leader")
-        ).where("low < high").drop("low", "high")
-        open_rows = shared_table(rows.join(mixed, ["band", "bucket"]))
-        if turn == LAST_ROUND:
-            other = open_rows.select("band", "bucket", F.col("rep").alias("b"), F.col("class").alias("theirs"))
-            pairs = (open_rows.withColumnRenamed("rep", "a").join(other, ["band", "bucket"])
-                     .where((F.col("class") != F.col("theirs")) & (F.col("a") < F.col("b"))).select("a", "b"))
-        else:
-            pairs = open_rows.where(F.col("class") != F.col("leader.class")).select(
-                F.least("rep", "leader.rep").alias("a"), F.greatest("rep", "leader.rep").alias("b"))
-        pairs = pairs.distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = shared_table(pairs)
-        if pairs.isEmpty():
-            continue
-        done = pairs if done is None else done.union(pairs)
-        found = _links(pairs, known, idf, least)
-        if not found.isEmpty():
-            links = links.union(found)
-            grouped = components(links)
+    rows = members.join(grouped, members["rep"] == grouped["node"], "left") \
+        .select("band", "bucket", "rep", F.coalesce("component", "rep").alias("class"))
+    more = _links_between(rows, copies, known, idf, least)
+    if not more.isEmpty():
+        grouped = components(links.union(more))
     return grouped.select(F.col("node").alias("id"), F.col("component").alias("class_id"))
 
 
