@@ -32,7 +32,7 @@ def _full_run(spark, sf_dir: str, params: RunParams) -> None:
     result = run(usage, reservations, params)
     _drain(result.suggestions)
     _drain(result.shifts)
-    for df in (result.stages.hourly_usage, result.stages.candidate_moves, result.stages.picks):
+    for df in (result.stages.hourly_usage, result.stages.picks):
         df.unpersist()
 
 
@@ -43,7 +43,9 @@ def main() -> None:
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
                           app="reshift-bench")
     if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reshift-bench-ckpt-"))
+        # a single machine: BENCH_CHECKPOINT_DIR, else a scratch folder
+        folder = os.environ.get("BENCH_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="reshift-bench-ckpt-")
+        spark.sparkContext.setCheckpointDir(folder)
 
     registry = queries()
     jobs = {key: (lambda k=key: _drain(registry[k](spark, sf_dir))) for key in QUERY_KEYS}
@@ -51,7 +53,7 @@ def main() -> None:
 
     for fn in jobs.values():  # warm-up
         fn()
-    timings = {}
+    timings, spread = {}, {}
     for key, fn in jobs.items():
         samples = []
         for _ in range(repeat):
@@ -59,6 +61,7 @@ def main() -> None:
             fn()
             samples.append(time.perf_counter() - t0)
         timings[key] = round(statistics.median(samples), 3)
+        spread[key] = [round(min(samples), 3), round(max(samples), 3)]
 
     # output rows per key (one untimed count each), to show the work is whole
     rows = {key: registry[key](spark, sf_dir).count() for key in QUERY_KEYS}
@@ -69,6 +72,7 @@ def main() -> None:
         "value": round(sum(timings.values()), 3),
         "unit": "sec",
         "queries": timings,
+        "spread": spread,
         "rows": rows,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
