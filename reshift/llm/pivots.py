@@ -2,9 +2,14 @@
 
 Reference points are a bounded sample of the vectors. A vector is described by the ordered list of its
 ``PREFIX`` nearest pivots. Every pivot keeps an inverted list of the vectors that have it in their
-prefix; two vectors are retrieved if they share at least ``SHARED`` pivots, and become a link if
-their cosine, computed in double precision, is at least ``COSINE``. With 8 of 64 to 1,000 pivots and 2
-shared, simulated recall of pairs at a cosine of exactly 0.9 in 64 dimensions is 0.988 to 1.
+prefix; two vectors are retrieved if they share a pivot, and become a link if their cosine, computed in
+double precision, is at least ``COSINE``.
+
+A sampled vector is a pivot only if its cosine to every pivot before it is below ``APART``. Otherwise a
+dense group of like vectors would hold pivots in proportion to its size, and its members' prefixes would
+lie inside it in nearly independent order. A prefix ends before the pivots that are further than the
+nearest one by more than twice the angle of a link: whatever the vector is linked to has the same nearest
+pivot, so these lists add nothing, and a dense group is compared in one list.
 
 The number of pivots grows with the square root of the vectors up to ``MAX_PIVOTS``, so a list holds
 about ``PREFIX * sqrt(n)`` vectors. A pair is counted in one list only, that of its smallest shared
@@ -32,11 +37,13 @@ from reshift.llm.common import components, shared_table
 
 COSINE = 0.9
 PREFIX = 8
-SHARED = 2
+APART = 0.8
+SAMPLED = 4  # vectors looked at for one pivot
 MIN_PIVOTS, MAX_PIVOTS = 64, 1024
 PIVOTS_PER_ROOT = 1.5
-BLOCK = 2048
-ROWS_A_STEP = 128
+BLOCK = 8192
+ROWS_A_STEP = 64
+ROUNDING = 1e-9  # cosines nearer to the threshold are computed once more, pair by pair
 
 
 def usable(vector: Column) -> Column:
@@ -54,10 +61,26 @@ def unit_rows(vectors) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def prefixes(unit: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """Numbers of the nearest pivots of each row, nearest first."""
-    near = -np.round(unit @ pivots.T, 12)
-    return np.argsort(near, axis=1, kind="stable")[:, :PREFIX].astype(np.int32)
+def spread(unit: np.ndarray, most: int) -> np.ndarray:
+    """Row numbers, in order, of at most ``most`` rows whose cosine to every row taken before is below ``APART``."""
+    taken: list[int] = []
+    for i, row in enumerate(unit):
+        if len(taken) == most:
+            break
+        if not taken or (unit[taken] @ row).max() < APART:
+            taken.append(i)
+    return np.array(taken, np.int64)
+
+
+def prefixes(unit: np.ndarray, pivots: np.ndarray, least: float = COSINE) -> np.ndarray:
+    """Numbers of the nearest pivots of each row, nearest first.
+
+    Pivots too far to matter to a link of the row are given as its nearest one once more.
+    """
+    near = np.round(unit @ pivots.T, 12)
+    order = np.argsort(-near, axis=1, kind="stable")[:, :PREFIX].astype(np.int32)
+    angle = np.arccos(np.clip(np.take_along_axis(near, order, axis=1), -1, 1))
+    return np.where(angle <= angle[:, :1] + 2 * math.acos(least) + 1e-6, order, order[:, :1])
 
 
 def _masks(prefix: np.ndarray, n_pivots: int) -> np.ndarray:
@@ -67,6 +90,19 @@ def _masks(prefix: np.ndarray, n_pivots: int) -> np.ndarray:
     return words
 
 
+def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``label`` after the links ``(a, b)``; it names the smallest place reached from each place."""
+    while True:
+        label_a, label_b = label[a], label[b]
+        apart = label_a != label_b
+        if not apart.any():
+            return label
+        a, b, label_a, label_b = a[apart], b[apart], label_a[apart], label_b[apart]
+        np.minimum.at(label, np.maximum(label_a, label_b), np.minimum(label_a, label_b))
+        while not np.array_equal(label, label[label]):
+            label = label[label]
+
+
 def linked_in_list(pivot: int, n_pivots: int, left: tuple, right: tuple | None, least: float):
     """Links among the vectors of a list that have ``pivot`` as their smallest shared pivot.
 
@@ -76,39 +112,34 @@ def linked_in_list(pivot: int, n_pivots: int, left: tuple, right: tuple | None,
     ids = left[0] if right is None else np.concatenate((left[0], right[0]))
     copies = left[1] if right is None else np.concatenate((left[1], right[1]))
     other, shift = (left, 0) if right is None else (right, len(left[0]))
-    mask_a, mask_b = _masks(left[2], n_pivots), _masks(other[2], n_pivots)
-    below = np.zeros(mask_a.shape[1], np.uint64)
-    below[:pivot >> 6] = ~np.uint64(0)
-    below[pivot >> 6] |= (np.uint64(1) << np.uint64(pivot & 63)) - np.uint64(1)
-    found: list[np.ndarray] = []
+    words = (pivot >> 6) + 1
+    below = np.full(words, ~np.uint64(0))
+    below[-1] = (np.uint64(1) << np.uint64(pivot & 63)) - np.uint64(1)
+    mask_a, mask_b = (_masks(side[2], n_pivots)[:, :words] & below for side in (left, other))
+    links = np.zeros(len(ids), np.int64)
+    order = np.argsort(ids, kind="stable")
+    place = np.empty(len(ids), np.int64)
+    place[order] = np.arange(len(ids))
+    label = np.arange(len(ids))  # place of the smallest vector reached so far, by place
     for at in range(0, len(mask_a), ROWS_A_STEP):
-        rows = mask_a[at:at + ROWS_A_STEP]
-        shared = np.zeros((len(rows), len(mask_b)), np.uint8)
-        first = np.ones(shared.shape, bool)
-        for word in range(rows.shape[1]):
-            common = rows[:, word, None] & mask_b[None, :, word]
-            shared += np.bitwise_count(common)
-            if below[word]:
-                first &= (common & below[word]) == 0
-        a, b = np.nonzero(first & (shared >= SHARED))
+        cosines = left[3][at:at + ROWS_A_STEP] @ other[3].T
+        a, b = np.nonzero(cosines >= least - ROUNDING)
+        unsure = cosines[a, b] < least + ROUNDING
         a += at
         if right is None:
-            a, b = a[a < b], b[a < b]
+            once = a < b
+            a, b, unsure = a[once], b[once], unsure[once]
+        taken = np.ones(len(a), bool)
         for cut in range(0, len(a), 1 << 16):
-            pa, pb = a[cut:cut + (1 << 16)], b[cut:cut + (1 << 16)]
-            near = np.einsum("ij,ij->i", left[3][pa], other[3][pb]) >= least
-            found.append(np.stack((pa[near], pb[near] + shift)))
-    a, b = np.concatenate(found, axis=1) if found else (np.zeros(0, int), np.zeros(0, int))
-    n = len(ids)
-    links = np.bincount(a, copies[b], n) + np.bincount(b, copies[a], n)
-    lowest = ids.copy()
-    while len(a):
-        before = lowest.copy()
-        np.minimum.at(lowest, a, lowest[b])
-        np.minimum.at(lowest, b, lowest[a])
-        if np.array_equal(before, lowest):
-            break
-    return ids, links.astype(np.int64), lowest
+            some = slice(cut, cut + (1 << 16))
+            taken[some] = ~(mask_a[a[some]] & mask_b[b[some]]).any(axis=1)
+        doubtful = np.flatnonzero(unsure & taken)
+        taken[doubtful] = np.einsum("ij,ij->i", left[3][a[doubtful]], other[3][b[doubtful]]) >= least
+        a, b = a[taken], b[taken] + shift
+        links += np.bincount(a, copies[b], len(ids)).astype(np.int64)
+        links += np.bincount(b, copies[a], len(ids)).astype(np.int64)
+        label = _joined(label, place[a], place[b])
+    return ids, links, ids[order][label[place]]
 
 
 def _side(frame: pd.DataFrame) -> tuple:
@@ -143,16 +174,18 @@ def duplicates(vectors: DataFrame, least: float = COSINE) -> DataFrame:
                         .agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))
     size = reps.count()
     n_pivots = min(max(MIN_PIVOTS, math.ceil(PIVOTS_PER_ROOT * math.sqrt(size))), MAX_PIVOTS, max(size, 1))
-    chosen = reps.orderBy(F.xxhash64("rep"), "rep").limit(n_pivots).select("rep", "vector").collect()
-    pivots = unit_rows([r["vector"] for r in chosen]) if chosen else np.zeros((0, d))
+    sampled = (reps.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLED * n_pivots)
+               .select("rep", "vector").collect())
+    pivots = unit_rows([r["vector"] for r in sampled]) if sampled else np.zeros((0, d))
+    pivots = pivots[spread(pivots, n_pivots)]
     n_pivots = len(pivots)
 
     @F.pandas_udf("array<int>")
     def described(vector: pd.Series) -> pd.Series:
-        return pd.Series(list(prefixes(unit_rows(vector), pivots)))
+        return pd.Series(list(prefixes(unit_rows(vector), pivots, least)))
 
     indexed = shared_table(reps.withColumn("prefix", described("vector")))
-    postings = indexed.withColumn("pivot", F.explode("prefix"))
+    postings = indexed.withColumn("pivot", F.explode(F.array_distinct("prefix")))
     blocks = postings.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     dealt = (postings.join(F.broadcast(blocks), "pivot")  # a row per pivot
              .withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))

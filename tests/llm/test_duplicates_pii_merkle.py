@@ -173,6 +173,45 @@ def test_pivot_index_recall_and_truth(spark, monkeypatch):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got.values())
 
 
+def dense_group(n, d=64, mutual=0.95, seed=5):
+    """A third of the rows about one centre, the others at random."""
+    rng = np.random.default_rng(seed)
+    noise = rng.normal(size=(n, d))
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    centre = np.zeros(d)
+    centre[0] = 1.0
+    near = math.sqrt(mutual) * centre + math.sqrt(1 - mutual) * noise[:n // 3]
+    return np.concatenate((near / np.linalg.norm(near, axis=1, keepdims=True), noise[n // 3:]))
+
+
+@pytest.mark.parametrize("n", [3000, 12_000, 48_000])
+def test_prefixes_meet_inside_a_dense_group(n):
+    x = dense_group(n)
+    rng = np.random.default_rng(6)
+    wanted = math.ceil(pivots.PIVOTS_PER_ROOT * math.sqrt(n))
+    sample = x[rng.permutation(n)[:pivots.SAMPLED * wanted]]
+    chosen = sample[pivots.spread(sample, wanted)]
+    assert len(chosen) == wanted and np.triu(chosen @ chosen.T, 1).max() < pivots.APART
+    a, b = rng.integers(0, n // 3, (2, 5000))
+    near = np.einsum("ij,ij->i", x[a], x[b]) >= pivots.COSINE
+    left, right = pivots.prefixes(x[a[near]], chosen), pivots.prefixes(x[b[near]], chosen)
+    assert near.mean() > 0.9 and (left[:, :, None] == right[:, None, :]).any(axis=(1, 2)).mean() >= 0.99
+
+
+@pytest.mark.parametrize("n, block", [(1500, 128), (6000, pivots.BLOCK)])
+def test_links_of_a_dense_group(spark, monkeypatch, n, block):
+    monkeypatch.setattr(pivots, "BLOCK", block)
+    x = dense_group(n)
+    linked = brute_links(x)
+    np.fill_diagonal(linked, False)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in pivots.duplicates(frame).collect()}
+    found = np.array([got[i]["n_links"] for i in range(n)])
+    degrees = linked.sum(axis=1)
+    assert (found <= degrees).all() and found.sum() >= 0.99 * degrees.sum()
+    assert {got[i]["component_id"] for i in range(n // 3)} == {0}
+
+
 def test_pivot_index_edge_cases(spark):
     inf, nan = math.inf, math.nan
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [1.0, None]), (7, [nan, 1.0]),
