@@ -34,9 +34,6 @@ from reshift.llm.common import free_name
 DEFAULT_KEY = "reshift-surrogates"
 FEISTEL_ROUNDS = 8
 
-# A text that matches none of this holds no entity.
-TRIGGER = r"[0-9@]|\b(Mr|Mrs|Ms|Miss|Sir|Madam|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|г-н|г-жа)\b"
-
 # Forms of address and the gender they tell.
 MALE_TITLES = ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "г-н")
 FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Señora", "Sra", "г-жа")
@@ -52,10 +49,11 @@ GIVEN = {
 }
 
 _TITLES = "|".join(MALE_TITLES + FEMALE_TITLES)
+_SECRETS = "token|secret|password|api[_-]?key|key"
 _NAME = r"[A-ZÀ-ÖØ-ÞА-Я][a-zà-öø-ÿа-яё]+"
 PATTERN = re.compile(
     r"(?P<email>[\w.+-]+@[\w-]+(?:\.[\w-]+)+)"
-    r"|(?P<secret>(?i:token|secret|password|api[_-]?key|key)\s*[=:]\s*[\"'](?P<value>[A-Za-z0-9_+/=-]{12,})[\"'])"
+    rf"|(?P<secret>(?i:{_SECRETS})\s*[=:]\s*[\"'](?P<value>[A-Za-z0-9_+/=-]{{12,}})[\"'])"
     r"|(?P<phone>(?<![\w.+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?![\w])"
     r"|(?<![\w.+])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.+-])\d{3}-\d{3}-\d{4}(?![\w-]))"
     r"|(?P<ip>(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\w))"
@@ -63,6 +61,10 @@ PATTERN = re.compile(
     rf"|(?P<title>\b(?:{_TITLES})\b\.?[ \t]+)(?P<name>{_NAME}(?:[ \t]+{_NAME})?)"
 )
 
+# A text that matches none of this (a Java pattern) holds nothing that PATTERN finds: every alternative of
+# PATTERN needs a digit of any script, an @, a form of address or the word before a secret.
+TRIGGER = rf"[\p{{Nd}}@]|{_TITLES}|(?iu:{_SECRETS})"
+
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
 _CYRILLIC = "абвгдежзийклмнопрстуфхцчшщъыьэюя"
 _GREEK = "αβγδεζηθικλμνξοπρστυφχψω"
@@ -168,7 +170,7 @@ class Surrogates:
         if kind == "name":
             return re.sub(r"\S+", lambda m: self._listed(m[0], gender), entity)
         if kind in ("phone", "card"):
-            canon = re.sub(r"\D", "", entity)
+            canon = "".join(str(int(d)) for d in re.findall(r"\d", entity))
             prefix = ""
             if kind == "phone":
                 if entity.startswith("+"):
@@ -189,7 +191,7 @@ class Surrogates:
             self.known[kind, canon] = new
         if kind in ("phone", "card"):
             fill = iter(prefix + new)
-            return re.sub(r"\d", lambda _: next(fill), entity)
+            return re.sub(r"\d", lambda m: chr(ord(m[0]) - int(m[0]) + int(next(fill))), entity)  # in its own script
         if kind == "email":
             return "".join(n.upper() if o.isupper() else n for o, n in zip(entity, new))
         return new

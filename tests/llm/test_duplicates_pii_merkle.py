@@ -277,6 +277,26 @@ def test_rewriting_documents(spark):
     assert pii.replace_entities(docs.limit(0)).collect() == []
 
 
+ALONE = ["jane@mail.example.com", "(407) 555-7710", "407-555-7710", "+1 407 555 7710", "169.122.221.182",
+         "4952935900253052", "4952 9359 0025 3052", "\u0664\u0660\u0667-\u0665\u0665\u0665-\u0667\u0667\u0661\u0660",
+         *(f"{t} Alma" for t in pii.MALE_TITLES + pii.FEMALE_TITLES), "г-жа Вера", "\u00abг-н\u00bb г-н Иван",
+         *(f"{word}{sign}{quote}correct-horse-battery{quote}" for word in ("password", "Token", "SECRET", "api_key", "API-Key", "apikey", "key", "\u017fecret", "to\u212aen")
+           for sign, quote in ((" = ", '"'), (":", "'"), ("\u00a0=\u2003", '"')))]
+
+
+def test_no_entity_escapes_the_trigger(spark):
+    """Texts whose only entity is the given one, without another digit, @ or title, are rewritten all the same."""
+    assert all(pii.PATTERN.search(t) for t in ALONE)
+    docs = spark.createDataFrame([(i, f"so: {t} and more") for i, t in enumerate(ALONE)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.replace_entities(docs, into="entities").collect()}
+    for i, t in enumerate(ALONE):
+        text, found = pii.Surrogates(pii.DEFAULT_KEY).rewrite(f"so: {t} and more")
+        assert got[i]["text"] == text and [tuple(e) for e in got[i]["entities"]] == found, t
+        assert t not in text and all(entity != new for _, entity, new in found), t
+    secrets = {e["surrogate"] for r in got.values() for e in r["entities"] if e["entity"] == "correct-horse-battery"}
+    assert len(secrets) == 1
+
+
 def test_registered_surrogates_have_no_collisions(spark):
     out = queries.op6_surrogates(spark, "/root/testdata/sf0.01")
     rows = pii.collisions(out).collect()
