@@ -3,9 +3,12 @@
 A document is the set of its distinct lower-case words and of their beginnings (``PREFIXES`` characters,
 for inflected forms), hashed into ``BUCKETS`` terms. The score is
 ``sigmoid(b + sum_i w_i + sum_{i<j} <v_i, v_j>)`` over its terms: the second sum is how strongly pairs
-of terms (an insult and a group, say) go beyond what each says alone. Rare terms whose gradient at the
-start is below half the penalty are screened out; proximal steps pull the weights of uninformative terms
-and the factors that no pair needs to exactly zero, so that long documents do not add up noise.
+of terms (an insult and a group, say) go beyond what each says alone. A term takes part if it says
+something alone (its gradient at the start is at least half the penalty) or as a member of a pair: after
+a first fit, the toxic documents beyond those expected are counted for every two terms that meet in ``MIN_DOCUMENTS``
+toxic documents, whatever the terms say alone, and pairs beyond what chance gives so many of them start
+a second fit with factors of their size. Proximal steps pull the weights of uninformative terms and the
+factors that no pair needs to exactly zero, so that long documents do not add up noise.
 
 The model is fitted on at most ``max_labelled`` labelled documents (smallest hashes of ``doc_id``)
 outside the held-out remainder; that is the only sample, and the rows and terms of it are all that
@@ -18,6 +21,7 @@ an empty table gives an empty result. Labels, language, source and ids are never
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 from reshift.llm.common import bind, free_name, shared_table
 
 BUCKETS = 1 << 18
-MAX_LABELLED = 5_000
+MAX_LABELLED = 8_000
 MIN_DOCUMENTS = 5
 FACTORS = 4
 ROUNDS = 150
@@ -38,6 +42,9 @@ SHRINK_TERMS = 0.15
 SHRINK_FACTORS = 0.08
 SCREEN = 0.5
 START_FACTORS = 0.03
+CHANCE_PAIRS = 10.0  # by chance among all pairs of terms that may pass, at most
+MOST_PAIRS = 1_000
+LARGEST_GAIN = 4.0  # in a pair's log-odds, at the start
 THRESHOLD = 0.3
 FOLDS, HELD_OUT_FOLD = 4, 2
 PREFIXES = (6, 8)
@@ -106,29 +113,124 @@ def _adam(grad: np.ndarray, state: dict, rate: float) -> tuple[np.ndarray, np.nd
     return size * state["m"] / (1 - 0.9 ** state["t"]), size
 
 
-def fit(rows, toxic: np.ndarray, seed: int = 7) -> Machine | None:
-    """Fit a machine to documents given as term lists; None without labels of both kinds."""
-    y = np.asarray(toxic, np.float64)
-    if not 0 < y.sum() < len(y):
-        return None
-    flat, starts = _flat(rows)
-    n = len(y)
-    frequency = np.bincount(flat, minlength=BUCKETS)
-    start = np.abs(np.bincount(flat, np.repeat(y - y.mean(), np.diff(starts)), BUCKETS)) / n
-    seen = np.flatnonzero((frequency >= MIN_DOCUMENTS) & (frequency < n)
-                          & (start >= SCREEN * SHRINK_TERMS / np.sqrt(n)))
+def _by_term(at: np.ndarray, doc: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """The documents of every term: those of term i are ``docs[starts[i]:starts[i + 1]]``."""
+    return doc[np.argsort(at, kind="stable")], np.concatenate(([0], np.cumsum(np.bincount(at, minlength=m))))
+
+
+def _excess(k: np.ndarray, expected: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Chernoff's exponent of ``k`` of ``n`` where ``expected`` are expected: chance has at most ``exp(-it)``."""
+    p, q = k / n, np.clip(expected / n, 1e-9, 1 - 1e-9)
+    return n * (p * np.log(np.maximum(p, 1e-300) / q) + (1 - p) * np.log(np.maximum(1 - p, 1e-300) / (1 - q)))
+
+
+def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges one after the other."""
+    sizes = last - first
+    ends = np.cumsum(sizes)
+    return np.repeat(first - ends + sizes, sizes) + np.arange(sizes.sum())
+
+
+def pairs_beyond(flat: np.ndarray, starts: np.ndarray, y: np.ndarray, p: np.ndarray) -> list[tuple[int, int, float]]:
+    """Pairs of buckets whose documents are toxic more often than ``p`` says, with the gain in log-odds.
+
+    Every pair that meets in ``MIN_DOCUMENTS`` toxic documents is looked at. Of pairs that mostly meet in the
+    same documents (a word and its beginning) the strongest stands for all.
+    """
+    lengths = np.diff(starts)
+    of_toxic = np.repeat(y > 0, lengths)
+    buckets = np.flatnonzero(np.bincount(flat[of_toxic], minlength=BUCKETS) >= MIN_DOCUMENTS)
+    m = len(buckets)
+    number = np.full(BUCKETS, -1, np.int32)
+    number[buckets] = np.arange(m)
+    at = number[flat]
+    doc = np.repeat(np.arange(len(y), dtype=np.int32), lengths)[at >= 0]
+    toxic_at, at = at[of_toxic & (at >= 0)], at[at >= 0]
+    docs, ends = _by_term(at, doc, m)
+    toxic_doc = doc[y[doc] > 0]
+    # where each term stands in its toxic documents, and where those end: what follows are its partners
+    stands, toxic_ends = _by_term(toxic_at, np.arange(len(toxic_at), dtype=np.int32), m)
+    stops = np.searchsorted(toxic_doc, toxic_doc[stands], "right")
+    light = p[toxic_doc]
+    first, second, strength, gains = [], [], [], []
+    least = max(math.log(max(m * (m - 1) / 2, 1) / CHANCE_PAIRS), 1e-9)
+    for i in range(m):
+        some = slice(toxic_ends[i], toxic_ends[i + 1])
+        met = _ranges(stands[some].astype(np.int64) + 1, stops[some])
+        partners = toxic_at[met] - (i + 1)
+        k = np.bincount(partners)
+        j = np.flatnonzero(k >= MIN_DOCUMENTS)
+        if not len(j):
+            continue
+        k = k[j]
+        expected = np.bincount(partners, light[np.repeat(stands[some], stops[some] - stands[some] - 1)])[j]
+        hope = k * np.log(k / np.maximum(expected, 1e-9)) >= least  # harmless documents only make it less
+        j, k = j[hope] + i + 1, k[hope]
+        if not len(j):
+            continue
+        mine = np.zeros(len(y), bool)
+        mine[docs[ends[i]:ends[i + 1]]] = True
+        theirs = docs[_ranges(ends[j], ends[j + 1])]
+        pair = np.repeat(np.arange(len(j)), ends[j + 1] - ends[j])[mine[theirs]]
+        theirs = theirs[mine[theirs]]
+        meet, expected = np.bincount(pair, minlength=len(j)), np.bincount(pair, p[theirs], len(j))
+        power = np.where(k > expected, _excess(k, expected, meet), 0.0)
+        strong = power >= least
+        if strong.any():
+            j, k, expected, meet = j[strong], k[strong], expected[strong], meet[strong]
+            gain = np.log((k + 0.5) / (meet - k + 0.5)) - np.log((expected + 0.5) / (meet - expected + 0.5))
+            first.append(np.full(len(j), i))
+            second.append(j)
+            strength.append(power[strong])
+            gains.append(np.clip(gain, 0.0, LARGEST_GAIN))
+    if not first:
+        return []
+    first, second, strength, gains = map(np.concatenate, (first, second, strength, gains))
+    out: list[tuple[int, int, float]] = []
+    covered = np.zeros(len(y), bool)
+    for x in np.argsort(-strength, kind="stable"):
+        if len(out) == MOST_PAIRS:
+            break
+        a, b = first[x], second[x]
+        both = np.intersect1d(docs[ends[a]:ends[a + 1]], docs[ends[b]:ends[b + 1]], assume_unique=True)
+        if covered[both].mean() <= 0.5:
+            covered[both] = True
+            out.append((int(buckets[a]), int(buckets[b]), float(gains[x])))
+    return out
+
+
+def _start(m: int, pairs: list[tuple[int, int, float]], rng) -> np.ndarray:
+    """Factors at the start: small ones, and for pairs (of row numbers) a direction that gives their gain."""
+    v = rng.normal(0, START_FACTORS, (m, FACTORS))
+    placed: set[int] = set()
+    for a, b, gain in pairs:
+        if b in placed:
+            a, b = b, a
+        if a not in placed:
+            direction = rng.normal(size=FACTORS)
+            v[a] = direction / np.linalg.norm(direction) * np.sqrt(abs(gain))
+        if b not in placed:
+            v[b] = v[a] * gain / max(v[a] @ v[a], 1e-12)
+        placed |= {a, b}
+    return v
+
+
+def _descend(flat: np.ndarray, starts: np.ndarray, y: np.ndarray, seen: np.ndarray, pairs, seed: int) -> Machine:
+    """Proximal steps for the buckets ``seen`` (ascending); ``pairs`` of buckets have factors at the start."""
+    n, m = len(y), len(seen)
     place = np.full(BUCKETS, -1, np.int32)
-    place[seen] = np.arange(len(seen))
+    place[seen] = np.arange(m)
     at = place[flat]
     doc = np.repeat(np.arange(n), np.diff(starts))[at >= 0]
     at = at[at >= 0]
-    m = len(seen)
     # the rows of one term together as well, for the sums of gradients by term
-    by_term = np.argsort(at, kind="stable")
-    term_starts = np.searchsorted(at[by_term], np.arange(m))
-    term_docs = doc[by_term]
+    term_docs, term_starts = _by_term(at, doc, m)
+    term_starts = term_starts[:-1]
     rng = np.random.default_rng(seed)
-    bias, w, v = float(np.log(y.mean() / (1 - y.mean()))), np.zeros(m), rng.normal(0, START_FACTORS, (m, FACTORS))
+    bias, w = float(np.log(y.mean() / (1 - y.mean()))), np.zeros(m)
+    v = _start(m, [(int(place[a]), int(place[b]), gain) for a, b, gain in pairs], rng)
+    shrink = np.full((m, 1), SHRINK_FACTORS / np.sqrt(n))
+    shrink[[place[bucket] for a, b, _ in pairs for bucket in (a, b)]] = 0  # these have been tested
     sw, sv = ({"m": np.zeros_like(z), "s": np.zeros_like(z), "t": 0} for z in (w, v))
     for turn in range(ROUNDS if m else 0):
         totals = np.zeros((n, FACTORS))
@@ -151,13 +253,32 @@ def fit(rows, toxic: np.ndarray, seed: int = 7) -> Machine | None:
         step, size = _adam(gv, sv, rate)
         v = v - step
         norm = np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-        v *= np.maximum(0, 1 - size.mean(axis=1, keepdims=True) * SHRINK_FACTORS / np.sqrt(n) / norm)
+        v *= np.maximum(0, 1 - size.mean(axis=1, keepdims=True) * shrink / norm)
     kept = np.flatnonzero((w != 0) | np.any(v != 0, axis=1))
     place[:] = -1
     place[seen[kept]] = np.arange(len(kept))
     return Machine(bias, place, w[kept], v[kept])
 
 
+def fit(rows, toxic: np.ndarray, seed: int = 7) -> Machine | None:
+    """Fit a machine to documents given as term lists; None without labels of both kinds."""
+    y = np.asarray(toxic, np.float64)
+    if not 0 < y.sum() < len(y):
+        return None
+    flat, starts = _flat(rows)
+    n = len(y)
+    frequency = np.bincount(flat, minlength=BUCKETS)
+    start = np.abs(np.bincount(flat, np.repeat(y - y.mean(), np.diff(starts)), BUCKETS)) / n
+    alone = ((frequency >= MIN_DOCUMENTS) & (frequency < n)
+             & (start >= SCREEN * SHRINK_TERMS / np.sqrt(n)))
+    machine = _descend(flat, starts, y, np.flatnonzero(alone), [], seed)
+    pairs = pairs_beyond(flat, starts, y, _sigmoid(machine.margins(flat, starts)))
+    if not pairs:
+        return machine
+    alone[[bucket for a, b, _ in pairs for bucket in (a, b)]] = True
+    return _descend(flat, starts, y, np.flatnonzero(alone), pairs, seed)
+
+
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Machine | None:
     """Fit on a bounded sample of the labelled documents that are not held out."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id")))

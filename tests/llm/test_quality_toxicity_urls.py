@@ -129,6 +129,44 @@ def test_insults_are_learnt_and_pairs_count():
     assert machine.v[place[0]] @ machine.v[place[1]] > 0
 
 
+def told_only_together(n, seed):
+    """Terms 1 and 2 (in 2 % and 5 % of the rows) say nothing alone: with them apart, fewer rows are toxic."""
+    rng = np.random.default_rng(seed)
+    a, b = rng.random(n) < 0.02, rng.random(n) < 0.05
+    toxic = rng.random(n) < 0.11
+    toxic[a & b] = True
+    for one, both in ((a & ~b, a & b), (b & ~a, a & b)):  # as many toxic rows as among all
+        few = max(round(0.11 * (one.sum() + both.sum()) - both.sum()), 0)
+        toxic[one] = np.arange(one.sum()) < few
+    rows = [sorted(rng.choice(np.arange(100, 3100), 40, replace=False).tolist() + [1] * x + [2] * z)
+            for x, z in zip(a.tolist(), b.tolist())]
+    return rows, toxic.astype(int), a & b, a ^ b
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_pair_without_marginal_effect_is_learnt(seed):
+    rows, toxic, both, one = told_only_together(toxicity.MAX_LABELLED, seed)
+    y = toxic - toxic.mean()
+    for term in (1, 2):
+        said = abs(sum(e for r, e in zip(rows, y) if term in r)) / len(y)
+        assert said < toxicity.SCREEN * toxicity.SHRINK_TERMS / np.sqrt(len(y))
+    machine = toxicity.fit(rows, toxic)
+    score = toxicity._sigmoid(machine.margins(*toxicity._flat(rows)))
+    assert (score[both] >= toxicity.THRESHOLD).all() and (score[~both] < toxicity.THRESHOLD).all()
+
+
+def test_no_pairs_in_noise():
+    rng = np.random.default_rng(9)
+    rows, toxic, _, _ = told_only_together(4000, 9)
+    toxic = rng.permutation(toxic)
+    flat, starts = toxicity._flat(rows)
+    assert len(toxicity.pairs_beyond(flat, starts, toxic * 1.0, np.full(4000, toxic.mean()))) <= 3
+
+
+def test_sample_is_not_cut():
+    assert toxicity.MAX_LABELLED >= 8000
+
+
 def test_toxicity_edge_cases(spark):
     schema = "doc_id long, text string, toxic_score string"
     docs = spark.createDataFrame([(1, None, "x"), (None, "", "x"), (2, "idiot " * 30000, "x"), (2, "b", "x")], schema)
