@@ -7,8 +7,9 @@ the next shorter one. A URL's score is the log-likelihood difference per charact
 included; it is accepted if the score reaches a threshold calibrated on a fifth of the training URLs
 (by hash) that the models do not see: the one with the best balanced accuracy, the nearest to 0 if several.
 
-Counts cover every URL that a rule decides. Contexts are hashed into tables of fixed size, so the model
-has one size for every corpus; tasks add up their own tables before the shuffle.
+Counts cover every URL that a rule decides, and each context and each context with its next character has
+its own count under an exact key, so the model grows with the distinct contexts of the corpus. It is
+collected and sent to every task.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path, fits no rule and is judged by
 the models as an empty string; without training URLs of both kinds every score is 0 and the threshold 0
@@ -31,6 +32,7 @@ from reshift.llm.common import free_name, slices, string_bytes
 ALLOW, BLOCK = "allow", "block"
 ORDER = 5
 CONTEXT_BITS, GRAM_BITS = 15, 17
+SYMBOL_BITS, BEFORE_START, NO_SYMBOL = 9, 257, 511  # bytes are 1 to 256, the end mark is 0
 SMOOTHING = 4.0
 CALIBRATION_FOLDS = 5
 BINS, WIDTH = 2001, 0.01  # threshold candidates from -10 to 10
@@ -94,7 +96,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def transitions(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(row, context, gram)`` of every character and the end mark; the last two have a line per order.
 
-    Contexts do not reach past the start of a row. Entries number one table for all orders.
+    Contexts do not reach past the start of a row. Entries number one table of a fixed size for all orders,
+    in which contexts may collide: for small corpora only, ``train`` counts exact keys.
     """
     data, bounds = string_bytes(column)
     n_rows = len(bounds) - 1
@@ -119,14 +122,55 @@ def transitions(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, contexts, grams
 
 
+def exact_transitions(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``transitions``, with keys that tell order, context and symbol instead of numbers in a table.
+
+    A key has three bits for the order and nine for each of up to five symbols of context and the next one.
+    """
+    data, bounds = string_bytes(column)
+    n_rows = len(bounds) - 1
+    row = np.repeat(np.arange(n_rows), np.diff(bounds) + 1)  # one more place for the end mark
+    starts = bounds[:-1] + np.arange(n_rows)
+    symbol = np.zeros(len(row), np.int64)
+    inside = np.ones(len(row), bool)
+    inside[bounds[1:] + np.arange(n_rows)] = False
+    symbol[inside] = data.astype(np.int64) + 1
+    place = np.arange(len(row)) - starts[row]
+    contexts = np.zeros((ORDER + 1, len(row)), np.int64)
+    grams = np.zeros_like(contexts)
+    context = np.zeros(len(row), np.int64)
+    for k in range(ORDER + 1):
+        if k:
+            before = np.concatenate((np.zeros(k, np.int64), symbol))[:len(row)]
+            context = (context << SYMBOL_BITS) | np.where(place >= k, before, BEFORE_START)
+        key = (k << SYMBOL_BITS * (ORDER + 1)) | (context << SYMBOL_BITS)
+        contexts[k], grams[k] = key | NO_SYMBOL, key | symbol
+    return row, contexts, grams
+
+
 @dataclass(frozen=True)
 class Models:
-    """Counts of both models: ``tables[0]`` of rejected, ``tables[1]`` of accepted URLs."""
+    """Counts of both models: ``tables[0]`` of rejected, ``tables[1]`` of accepted URLs.
+
+    Column i counts the exact key ``keys[i]`` (ascending), and one more column at the end is 0 for keys that
+    do not occur. Without ``keys`` the columns are the numbers that ``transitions`` gives.
+    """
 
     tables: np.ndarray
+    keys: np.ndarray | None = None
+
+    def _entries(self, wanted: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.keys, wanted)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == wanted[known]
+        return np.where(known, at, len(self.keys))
 
     def scores(self, column: pa.Array) -> np.ndarray:
-        row, contexts, grams = transitions(column)
+        if self.keys is None:
+            row, contexts, grams = transitions(column)
+        else:
+            row, *found = exact_transitions(column)
+            contexts, grams = map(self._entries, found)
         logs = []
         for table in self.tables:
             p = np.full(len(row), 1 / 257)
@@ -138,18 +182,14 @@ class Models:
 
 
 def _count_transitions(batches):
-    totals = np.zeros((2, SIZE), np.int64)
     for some_urls in (s for batch in batches for s in slices(batch, 0)):
-        row, contexts, grams = transitions(some_urls.column(0))
-        accepted = np.array(some_urls.column(1).to_pylist(), bool)[row]
-        for kind in (0, 1):
-            some = accepted == bool(kind)
-            for entries in (contexts, grams):
-                totals[kind] += np.bincount(entries[:, some].reshape(-1), minlength=SIZE)
-    kind, entry = np.nonzero(totals)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(kind, pa.int32()), pa.array(entry, pa.int32()), pa.array(totals[kind, entry], pa.int64())],
-        names=["kind", "entry", "n"])
+        row, contexts, grams = exact_transitions(some_urls.column(0))
+        keys, entry = np.unique(np.concatenate((contexts, grams)).reshape(-1), return_inverse=True)
+        accepted = np.tile(np.array(some_urls.column(1).to_pylist(), bool)[row], 2 * (ORDER + 1))
+        both = np.bincount(entry, minlength=len(keys))
+        good = np.bincount(entry[accepted], minlength=len(keys))
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (keys, both - good, good)],
+                                         names=["key", "rejected", "accepted"])
 
 
 def _score(models: Models | None, text: Column) -> Column:
@@ -168,13 +208,14 @@ def _score(models: Models | None, text: Column) -> Column:
 def train(decided: DataFrame) -> tuple[Models | None, float]:
     """Models and threshold from ``(text, accepted)``; None and 0 without URLs of both kinds."""
     fold = F.pmod(F.xxhash64("text"), F.lit(CALIBRATION_FOLDS))
-    seen = decided.where(fold != 0).mapInArrow(_count_transitions, "kind int, entry int, n long")
-    counts = seen.groupBy("kind", "entry").agg(F.sum("n").alias("n")).toPandas()  # at most 2 * SIZE rows
-    tables = np.zeros((2, SIZE))
-    tables[counts["kind"], counts["entry"]] = counts["n"]
+    seen = decided.where(fold != 0).mapInArrow(_count_transitions, "key long, rejected long, accepted long")
+    counts = seen.groupBy("key").agg(F.sum("rejected").alias("rejected"), F.sum("accepted").alias("accepted")).toArrow()
+    keys, *tables = (counts.column(name).to_numpy() for name in ("key", "rejected", "accepted"))
+    order = np.argsort(keys)
+    tables = np.stack([np.append(table[order], 0) for table in tables]).astype(np.float64)
     if not tables.any(axis=1).all():
         return None, 0.0
-    models = Models(tables.astype(np.float32))
+    models = Models(tables, keys[order])
     unseen = decided.where(fold == 0).select("accepted", _score(models, F.col("text")).alias("score"))
     bins = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor(F.col("score") / WIDTH) + BINS // 2)).cast("int")
     histogram = np.zeros((2, BINS + 1))

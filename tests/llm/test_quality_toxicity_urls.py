@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow.dataset as ds
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from reshift.llm import quality, queries, toxicity, urls
@@ -256,6 +257,44 @@ def test_ratio_equals_unhashed_counts(spark):
     assert got[0] > 0 > got[1]
 
 
+def test_trained_counts_are_exact_for_many_contexts(spark):
+    """More distinct contexts of one order than any table of 32,768 slots tells apart."""
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz/é"))
+    texts = sorted({"".join(rng.choice(letters, 24)) for _ in range(6000)})
+    accepted = [bool(x) for x in rng.random(len(texts)) < 0.5]
+    frame = spark.createDataFrame(list(zip(texts, accepted)), "text string, accepted boolean")
+    fold = F.pmod(F.xxhash64("text"), F.lit(urls.CALIBRATION_FOLDS))
+    seen = {r["text"] for r in frame.where(fold != 0).collect()}
+    models, _ = urls.train(frame)
+
+    def symbols_and_contexts(text):
+        symbols = [b + 1 for b in text.encode()] + [0]
+        padded = [-1] * urls.ORDER + symbols
+        for i, s in enumerate(symbols):
+            yield s, [(k, tuple(padded[urls.ORDER + i - k:urls.ORDER + i])) for k in range(urls.ORDER + 1)]
+
+    counts = [Counter(), Counter()]
+    for text, kind in zip(texts, accepted):
+        if text in seen:
+            for s, contexts in symbols_and_contexts(text):
+                counts[kind].update(contexts)
+                counts[kind].update((c, s) for c in contexts)
+    assert len({c for table in counts for c in table if c[0] == urls.ORDER}) > 1 << 16
+    probe = [*texts[:40], "", "é", "unlike/any", *(t[:10] + "x" for t in texts[40:60])]
+    import pyarrow as pa
+    for text, score in zip(probe, models.scores(pa.array(probe))):
+        total = 0.0
+        steps = list(symbols_and_contexts(text))
+        for s, contexts in steps:
+            p = [1 / 257, 1 / 257]
+            for c in contexts:
+                for m in (0, 1):
+                    p[m] = (counts[m][c, s] + urls.SMOOTHING * p[m]) / (counts[m][c] + urls.SMOOTHING)
+            total += math.log(p[1] / p[0])
+        assert score == pytest.approx(total / len(steps), abs=1e-9)
+
+
 def test_registered_urls(spark):
     got = queries.op4_url_ratio(spark, SF_SMALL).collect()
     pages = ds.dataset(f"{SF_SMALL}/pages.parquet").to_table(columns=["page_id", "url"]).to_pylist()
