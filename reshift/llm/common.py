@@ -20,18 +20,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_table(df: DataFrame) -> DataFrame:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``."""
+    folder = checkpoint_dir(spark)
+    if not folder:
+        raise ValueError("spark.checkpoint.dir is unset; name a folder that all executors share")
+    return folder
+
+
+def shared_table(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor costs a re-read, and what a task decided (ranks, partition
     numbers) stays as written. The folder is the one the cluster names in ``spark.checkpoint.dir``.
     """
     spark = df.sparkSession
-    folder = checkpoint_dir(spark)
-    if not folder:
-        raise ValueError("spark.checkpoint.dir is unset; name a folder that all executors share")
-    path = f"{folder}/reshift-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = f"{shared_folder(spark)}/reshift-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
