@@ -23,6 +23,7 @@ from reshift.functions.cpu import CPU_RULES
 from reshift.operators.usage import malformed_lines
 from reshift.params import RunParams
 from reshift.plans.job import run
+from reshift.sources.hourly_store import HourlyStore
 from reshift.sources.tables import load_reservations, load_usage
 
 log = logging.getLogger(__name__)
@@ -44,10 +45,14 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--include-idle-pools", action="store_true", help="also offer pools nobody used")
     p.add_argument("--reservation-order", choices=("id", "fewest"), default="id")
     p.add_argument("--cpu-rules", default=None, help="JSON list of [kind, value, weight], in order")
+    p.add_argument("--cpu-rules-table", default=None, help="table of rules (kind, key, weight, rank)")
     p.add_argument("--salt-buckets", type=int, default=32,
                    help="salted slices per (pool, shift) in the first-fit pruning")
     p.add_argument("--suggestions-target", required=True)
     p.add_argument("--shifts-target", required=True)
+    p.add_argument("--rollups-target", default=None, help="unused capacity of every pool, over the window and by day")
+    p.add_argument("--hourly-store", default=None,
+                   help="shared folder that keeps hourly usage, so that a run scans only new or changed dates")
     return p.parse_args(argv)
 
 
@@ -62,10 +67,15 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
                        time_zone=args.time_zone, include_idle_pools=args.include_idle_pools,
                        reservation_order=args.reservation_order,
                        cpu_rules=json.loads(args.cpu_rules) if args.cpu_rules else CPU_RULES,
+                       cpu_rules_table=args.cpu_rules_table,
                        first_fit_salt_buckets=args.salt_buckets)
-    usage = load_usage(spark, args.usage)
-    dropped = malformed_lines(usage).first()["n"]
-    if dropped:
-        log.warning("%d usage lines have malformed stamps and are left out", dropped)
+    usage = load_usage(spark, args.usage, args.usage_partition_column)
+    bad = malformed_lines(usage, params).first()
+    if bad["n"]:
+        log.warning("%d usage lines have malformed stamps and are left out", bad["n"])
+    if bad["amounts"]:
+        log.warning("%d usage lines have a quantity or cost that is no number; it is not counted", bad["amounts"])
+    hourly = HourlyStore(spark, args.usage, args.hourly_store, params).hourly() if args.hourly_store else None
     run(usage, load_reservations(spark, args.reservations), params,
-        suggestions_target=args.suggestions_target, shifts_target=args.shifts_target)
+        suggestions_target=args.suggestions_target, shifts_target=args.shifts_target,
+        rollups_target=args.rollups_target, hourly=hourly)

@@ -10,4 +10,4 @@ from reshift.functions.columns import (  # noqa: F401
     size_of,
     type_label,
 )
-from reshift.functions.cpu import cpu_weight  # noqa: F401
+from reshift.functions.cpu import rule_rows, rule_table, with_cpu_weight  # noqa: F401

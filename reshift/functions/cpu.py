@@ -1,18 +1,19 @@
 """CPU weight of an instance type (how many CPU units one instance counts for).
 
-The rules are plain data, so callers can pass their own list; the default
-is the job's list. Rules are tried in order and the first hit wins. A
-``"size"`` rule matches the text after the first run of dots
-(``m3.large`` -> ``large``); a ``"type"`` rule matches the whole name. A type
-no rule matches weighs ``DEFAULT_WEIGHT``. The list compiles to one CASE
-expression (JVM-side, no join, no UDF).
+The rules are rows ``(kind, key, weight, rank)`` of a dimension table that is joined in. A ``"size"`` rule
+matches the text after the first run of dots (``m3.large`` -> ``large``), a ``"type"`` rule the whole
+name; of the rules that match the one of the smallest rank counts (at equal rank the type rule, then the
+smaller weight). A type no rule matches weighs ``DEFAULT_WEIGHT``. The rules may come from the run's
+parameters or from a catalog table of any size: the lookups are plain equi-joins on the size and on the
+name, which the planner broadcasts only while the rules' size is below
+``spark.sql.autoBroadcastJoinThreshold``, and a (kind, key) leaves one row, so no row is multiplied.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reshift.functions.columns import size_of
@@ -38,16 +39,50 @@ CPU_RULES: tuple[tuple[str, str, int], ...] = (
 DEFAULT_WEIGHT = 1
 
 
-def cpu_weight(instancetype: Column, rules: Sequence[tuple[str, str, int]] = CPU_RULES,
-               default: int = DEFAULT_WEIGHT) -> Column:
-    """Integer CPU weight of ``instancetype`` under the ordered ``rules``."""
-    size = size_of(instancetype)
-    expr = None
-    for kind, value, weight in rules:
-        if kind not in ("size", "type"):
+KINDS = ("size", "type")
+
+Rules = Sequence[tuple[str, str, int]]
+
+
+def rule_rows(spark: SparkSession, rules: Rules = CPU_RULES) -> DataFrame:
+    """A list of (kind, key, weight) as rules ``(kind, key, first)``, ranked in its order."""
+    kept: dict[tuple[str, str], tuple[int, int]] = {}
+    for rank, (kind, key, weight) in enumerate(rules):
+        if kind not in KINDS:
             raise ValueError(f"unknown rule kind: {kind!r}")
-        test = (size if kind == "size" else instancetype) == F.lit(value)
-        expr = (F.when if expr is None else expr.when)(test, F.lit(int(weight)))
-    if expr is None:
-        return F.lit(int(default))
-    return expr.otherwise(F.lit(int(default))).cast("int")
+        kept.setdefault((kind, key), (rank, int(weight)))
+    if not kept:
+        return spark.createDataFrame([], "kind string, key string, first struct<rank: int, weight: int>")
+    rows = [F.struct(F.lit(kind).alias("kind"), F.lit(key).alias("key"),
+                     F.struct(F.lit(rank).alias("rank"), F.lit(weight).alias("weight")).alias("first"))
+            for (kind, key), (rank, weight) in kept.items()]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
+def rule_table(spark: SparkSession, name: str) -> DataFrame:
+    """The rules of a catalog table with columns ``kind, key, weight, rank``: ``(kind, key, first)``.
+
+    A (kind, key) that stands there more than once counts by its smallest rank, then weight. A row of
+    another kind ends the run.
+    """
+    kind = F.when(F.col("kind").isin(*KINDS), F.col("kind")).otherwise(
+        F.raise_error(F.concat(F.lit("unknown rule kind: "), F.coalesce("kind", F.lit("null")))))
+    first = F.struct(F.col("rank").cast("int").alias("rank"), F.col("weight").cast("int").alias("weight"))
+    return spark.table(name).groupBy(kind.alias("kind"), "key").agg(F.min(first).alias("first"))
+
+
+def _lookup(rules: DataFrame, kind: str, on: str, into: str) -> DataFrame:
+    return rules.where(F.col("kind") == kind).select(F.col("key").alias(on), F.col("first").alias(into))
+
+
+def with_cpu_weight(df: DataFrame, type_column: str, into: str, rules: DataFrame,
+                    default: int = DEFAULT_WEIGHT) -> DataFrame:
+    """``df`` with the integer CPU weight of ``type_column`` as ``into``."""
+    size, by_size, by_type = f"{into}_size", f"{into}_by_size", f"{into}_by_type"
+    met = (df.withColumn(size, size_of(F.col(type_column)))
+           .join(_lookup(rules, "size", size, by_size), size, "left")
+           .join(_lookup(rules, "type", type_column, by_type), type_column, "left"))
+    first = F.when(F.col(by_type).isNull() | (F.col(by_size)["rank"] < F.col(by_type)["rank"]), F.col(by_size)["weight"]) \
+        .otherwise(F.col(by_type)["weight"])
+    weight = F.coalesce(first, F.lit(int(default))).cast("int")
+    return met.select(*df.columns, weight.alias(into))

@@ -12,21 +12,24 @@ only as far as it is covered: a later pool may serve what is left, with a shift
 
 Parallelism. Pools compete only through a shared demand, and a candidate
 binds pool and demand to one region, os and two-letter family. So
-(region, os, family) is an independent component; the walk restricted to a
-component equals the global walk restricted to it, and the components run
-as independent groups of one ``applyInPandas``. A component holds at most
-pools x demands of one family in one region: a bound set by the instance
-catalogue and zone count, not by the number of billing lines, so the group
-size does not grow with the data. Only the twelve columns the result needs
-cross the Arrow boundary, and the loop inside is linear with a hash set.
+(region, os, family) is an independent component, and the walk restricted to
+a component equals the global walk restricted to it. Candidates are
+hash-partitioned by component and sorted inside each partition in walk order,
+by Spark, which spills; the walk itself is one ``mapInArrow`` pass over that
+stream. It carries the component it is in across batches and holds only the
+claimed demands and one running total: no component is ever in memory as a
+whole, and thousands of small components cost one pass, not one call each.
+Only the columns the result needs cross the Arrow boundary.
 """
 
 from __future__ import annotations
 
+import math
 import sys
+from collections.abc import Iterable, Iterator
+from functools import partial
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,75 +55,89 @@ PICK_SCHEMA = (
     "instances_tobe_shifted double, ondemand_instances_increased double, savings double, "
     "pick_order long")
 
-# Walk order inside a component (region and os are constant there).
-WALK_ORDER = ("productname", "instancetype", "availability_zone", "savings",
-              "availabilityzone", "ondemand_instancetype")
-WALK_ASCENDING = (False, False, False, False, True, True)
-
-
 # What the walk needs beyond the picks' columns to follow the rest of a demand.
 REST_COLUMNS = ("unused_instance_cpu", "ondemand_instance_cpu", "avg_ondemand_cpu_needed")
 
 
-def _none_if_na(values) -> list:
-    return [None if (v is None or (isinstance(v, float) and np.isnan(v))) else v for v in values]
+def walk_order(by: tuple[str, ...] = ()) -> list:
+    """Sort columns of the walk: component by component, then the order inside one."""
+    descending = ("productname", "instancetype", "availability_zone", "savings")
+    ascending = ("availabilityzone", "ondemand_instancetype")
+    return [*by, *COMPONENT_KEYS, *[F.col(c).desc_nulls_last() for c in descending],
+            *[F.col(c).asc_nulls_last() for c in ascending]]
 
 
-def walk_component(pdf: pd.DataFrame, allow_full_use: bool = False) -> pd.DataFrame:
-    """The greedy walk over one component (a pandas frame of candidates)."""
-    ordered = pdf.sort_values(list(WALK_ORDER), ascending=list(WALK_ASCENDING),
-                              na_position="last", kind="mergesort").reset_index(drop=True)
-    pools = list(zip(ordered["productname"], ordered["instancetype"], ordered["availability_zone"]))
-    demands = list(zip(_none_if_na(ordered["availabilityzone"]), ordered["ondemand_instancetype"]))
-    shifts = ordered["instances_tobe_shifted"].to_numpy(dtype=float)
-    caps = ordered["avg_unused_instances"].to_numpy(dtype=float)
+def walk(batches: Iterable[pa.RecordBatch], allow_full_use: bool = False,
+         by: tuple[str, ...] = ()) -> Iterator[pa.RecordBatch]:
+    """The greedy walk over candidates in walk order; yields the picks of each batch.
 
-    if allow_full_use:
-        shifts = shifts.copy()
-        unit, od_unit, need = (ordered[c].to_numpy(dtype=float) for c in REST_COLUMNS)
-    rest: dict = {}  # CPU units of a demand that are not covered yet
-    taken = np.zeros(len(ordered), dtype=bool)
+    Components and pools may end anywhere inside a batch or go on in the next one.
+    """
+    component = pool = None
+    position, used = 0, 0.0
     claimed: set = set()
-    current, used = None, 0.0
-    for i in range(len(ordered)):
-        if pools[i] != current:
-            current, used = pools[i], 0.0
-        if demands[i] in claimed:
-            continue
-        if allow_full_use:
-            shifts[i] = min(shifts[i], np.floor(rest.get(demands[i], need[i]) / unit[i] + 0.5))
-            if shifts[i] < 1:
+    rest: dict = {}  # CPU units of a demand that are not covered yet
+
+    for batch in batches:
+        def values(*names, batch=batch):
+            return zip(*(batch.column(name).to_pylist() for name in names), strict=True)
+
+        cpu = values(*REST_COLUMNS) if allow_full_use else ((1, 1, 0),) * batch.num_rows
+        taken, places, shifts, savings, increased = [], [], [], [], []
+        keys = values(*by, *COMPONENT_KEYS)
+        rows = values("productname", "instancetype", "availability_zone", "availabilityzone",
+                      "ondemand_instancetype", "instances_tobe_shifted", "avg_unused_instances", "savings")
+        for i, (key, (product, itype, zone, od_zone, od_type, shift, cap, saved),
+                (unit, od_unit, need)) in enumerate(zip(keys, rows, cpu, strict=True)):
+            if key != component:
+                component, pool, position = key, None, 0
+                claimed, rest = set(), {}
+            if (product, itype, zone) != pool:
+                pool, used = (product, itype, zone), 0.0
+            place, position = position, position + 1
+            demand = (od_zone, od_type)
+            if demand in claimed:
                 continue
-        total = used + shifts[i]
-        if total < caps[i] or (allow_full_use and total <= caps[i]):
-            taken[i] = True
-            used = total
+            planned = shift
             if allow_full_use:
-                rest[demands[i]] = rest.get(demands[i], need[i]) - shifts[i] * unit[i]
+                need = rest.get(demand, need)
+                shift = min(shift, math.floor(need / unit + 0.5))
+                if shift < 1:
+                    continue
+            if not (used + shift < cap or (allow_full_use and used + shift <= cap)):
+                continue
+            used += shift
+            if allow_full_use:
+                rest[demand] = need - shift * unit
+                shifts.append(float(shift))
+                savings.append(None if saved is None else saved * shift / planned)
+                increased.append(float(math.floor(shift * unit / od_unit + 0.5)))
             else:
-                claimed.add(demands[i])
-
-    if allow_full_use:
-        planned = ordered["instances_tobe_shifted"].to_numpy(dtype=float)
-        ordered["savings"] = ordered["savings"].astype(float) * shifts / planned
-        ordered["instances_tobe_shifted"] = shifts
-        ordered["ondemand_instances_increased"] = np.floor(shifts * unit / od_unit + 0.5)
-    picks = ordered.loc[taken, list(PICK_COLUMNS)].copy()
-    picks["pick_order"] = np.flatnonzero(taken).astype("int64")
-    return picks
+                claimed.add(demand)
+            taken.append(i)
+            places.append(place)
+        picks = batch.select([*by, *PICK_COLUMNS]).take(pa.array(taken, pa.int32()))
+        if allow_full_use:
+            for name, column in (("instances_tobe_shifted", shifts), ("savings", savings),
+                                 ("ondemand_instances_increased", increased)):
+                picks = picks.set_column(len(by) + PICK_COLUMNS.index(name), name, pa.array(column, pa.float64()))
+        yield picks.append_column("pick_order", pa.array(places, pa.int64()))
 
 
-def greedy_picks(candidates: DataFrame, allow_full_use: bool = False) -> DataFrame:
+def greedy_picks(candidates: DataFrame, allow_full_use: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
     """Chosen candidates with their walk position (``pick_order``) inside the component."""
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        return walk_component(pdf, allow_full_use)
-
     shift, cap = F.col("instances_tobe_shifted"), F.col("avg_unused_instances")
     # a single shift beyond the pool's cap can never be taken; with the rest of a demand it may be cut
     possible = F.lit(True) if allow_full_use else shift < cap
     wanted = PICK_COLUMNS + (REST_COLUMNS if allow_full_use else ())
-    narrow = candidates.filter(possible).select(*wanted, family(F.col("instancetype")).alias("family"))
-    return narrow.groupBy(*COMPONENT_KEYS).applyInPandas(fold, PICK_SCHEMA)
+    narrow = candidates.filter(possible).select(*by, *wanted, family(F.col("instancetype")).alias("family"))
+    ordered = narrow.repartition(*by, *COMPONENT_KEYS).sortWithinPartitions(*walk_order(by))
+    return ordered.mapInArrow(partial(walk, allow_full_use=allow_full_use, by=by), typed(narrow, by) + PICK_SCHEMA)
+
+
+def typed(df: DataFrame, columns: tuple[str, ...]) -> str:
+    """The beginning of a schema that has ``columns`` of ``df`` in front."""
+    return "".join(f"{c} {df.schema[c].dataType.simpleString()}, " for c in columns)
 
 
 def relabel_regional(picks: DataFrame) -> DataFrame:
@@ -131,10 +148,10 @@ def relabel_regional(picks: DataFrame) -> DataFrame:
         F.when(regional, F.col("availability_zone")).otherwise(F.col("availabilityzone")))
 
 
-def suggestions(picks: DataFrame) -> DataFrame:
+def suggestions(picks: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """G6: the suggestion table in its output column order."""
     return relabel_regional(picks).select(
-        "productname", "region",
+        *by, "productname", "region",
         F.col("availability_zone").alias("unused_ri_availabilityzone"),
         "os",
         F.col("instancetype").alias("unused_ri_instancetype"),

@@ -42,6 +42,7 @@ DEMAND_KEYS = ("productname", "region", "availabilityzone", "os", "ondemand_inst
 
 
 STAMPS = ("usagestartdate", "usageenddate")
+AMOUNTS = ("usagequantity", "unblendedcost")
 # Quantities and costs add up exactly, in any order; a sum leaves as double once, at a rollup.
 EXACT = "decimal(28,10)"
 
@@ -50,6 +51,11 @@ def exact_sum(column: str):
     return F.sum(F.col(column).cast(EXACT)).cast(EXACT)
 
 
+def amount(column: str):
+    """A quantity or cost as an exact number; text that is no number, NaN and infinities count as missing."""
+    return F.col(column).try_cast(EXACT)
+
+
 def window_filter(usage: DataFrame, params: RunParams) -> DataFrame:
     """Lines both branches share: EC2 (any case), at most one hour long, in the window.
 
@@ -72,13 +78,23 @@ def window_filter(usage: DataFrame, params: RunParams) -> DataFrame:
     return lines.filter(in_window(start, params) & lasts_at_most_an_hour(start, end))
 
 
-def malformed_lines(usage: DataFrame) -> DataFrame:
-    """One row ``n``: lines with a text stamp that is there but does not parse."""
-    texts = [f for f in usage.schema.fields if f.name in STAMPS and isinstance(f.dataType, T.StringType)]
-    bad = F.lit(False)
-    for f in texts:
-        bad = bad | (F.col(f.name).isNotNull() & wall_clock(F.col(f.name), f.dataType, "UTC").isNull())
-    return usage.agg(F.count_if(bad).alias("n"))
+def malformed_lines(usage: DataFrame, params: RunParams | None = None) -> DataFrame:
+    """One row: ``n`` lines with a text stamp that is there but does not parse, and ``amounts``, lines with
+    a text quantity or cost that is there but is no number (it adds nothing to its group's sum).
+
+    With ``params`` only the window's partitions are read, where the table has any.
+    """
+    if params and params.usage_partition_column:
+        usage = usage.where(F.col(params.usage_partition_column).between(*params.partition_bounds))
+    texts = {f.name: f.dataType for f in usage.schema.fields if isinstance(f.dataType, T.StringType)}
+    bad = lost = F.lit(False)
+    for name in STAMPS:
+        if name in texts:
+            bad = bad | (F.col(name).isNotNull() & wall_clock(F.col(name), texts[name], "UTC").isNull())
+    for name in AMOUNTS:
+        if name in texts:
+            lost = lost | (F.col(name).isNotNull() & amount(name).isNull())
+    return usage.agg(F.count_if(bad).alias("n"), F.count_if(lost).alias("amounts"))
 
 
 def _branch_test(branch: str):
@@ -121,38 +137,41 @@ def hourly_usage(usage: DataFrame, params: RunParams, branches=BRANCHES) -> Data
         F.dayofmonth(start).alias("dy"), F.hour(start).alias("hr"),
         "region", "availabilityzone",
         F.col("os").alias("os_raw"), F.col("instancetype").alias("type_raw"),
-    ).agg(exact_sum("usagequantity").alias("quantity"), exact_sum("unblendedcost").alias("cost"))
+    ).agg(F.sum(amount("usagequantity")).cast(EXACT).alias("quantity"),
+          F.sum(amount("unblendedcost")).cast(EXACT).alias("cost"))
     return grouped.select(
         "branch", *HOUR_KEYS,
         F.lower("os_raw").alias("os"), type_label(F.col("type_raw")).alias("instancetype"),
         "quantity", "cost")
 
 
-def reserved_hourly(hourly: DataFrame) -> DataFrame:
+# ``by`` names further key columns that all frames of a stage carry through: the run date of a back-fill.
+
+def reserved_hourly(hourly: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """A1: reserved consumption per pool-hour (raw-key groups)."""
     return hourly.filter(F.col("branch") == RESERVED).select(
-        *HOUR_KEYS, "os", "instancetype",
+        *by, *HOUR_KEYS, "os", "instancetype",
         F.col("quantity").alias("consumption"), F.col("cost").alias("dollar"))
 
 
-def ondemand_hourly(hourly: DataFrame) -> DataFrame:
+def ondemand_hourly(hourly: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """A8: on-demand usage per hour (raw-key groups)."""
     return hourly.filter(F.col("branch") == ON_DEMAND).select(
-        *HOUR_KEYS, "os", F.col("instancetype").alias("ondemand_instancetype"),
+        *by, *HOUR_KEYS, "os", F.col("instancetype").alias("ondemand_instancetype"),
         F.col("quantity").alias("quantity_used"), F.col("cost").alias("dollar_spent"))
 
 
-def _demand_clustered(od_hourly: DataFrame) -> DataFrame:
+def _demand_clustered(od_hourly: DataFrame, by: tuple[str, ...]) -> DataFrame:
     # Both rollups group by a superset of the demand key: one exchange serves
     # both (and the distinct-day count), with rows per key bounded by
     # hours-in-window x raw spellings, never by the number of billing lines.
-    return od_hourly.repartition(*DEMAND_KEYS)
+    return od_hourly.repartition(*by, *DEMAND_KEYS)
 
 
-def ondemand_daily(od_hourly: DataFrame) -> DataFrame:
+def ondemand_daily(od_hourly: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """A9 + M5: on-demand rows per day. ``ondemand_hrs`` counts rows, as in the job."""
-    return (_demand_clustered(od_hourly)
-            .groupBy("productname", "yr", "mon", "dy", "region", "availabilityzone", "os",
+    return (_demand_clustered(od_hourly, by)
+            .groupBy(*by, "productname", "yr", "mon", "dy", "region", "availabilityzone", "os",
                      "ondemand_instancetype")
             .agg(F.count("hr").alias("ondemand_hrs"),
                  exact_sum("dollar_spent").cast("double").alias("dollar_spent"),
@@ -160,13 +179,18 @@ def ondemand_daily(od_hourly: DataFrame) -> DataFrame:
             .withColumn("demand_hr_day_prop", F.col("ondemand_hrs") * 100 / 24))
 
 
-def ondemand_window(od_hourly: DataFrame) -> DataFrame:
-    """A10 + M6: on-demand over the whole window; days are distinct days of month."""
-    return (_demand_clustered(od_hourly)
-            .groupBy(*DEMAND_KEYS)
+def ondemand_window(od_hourly: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """A10 + M6: on-demand over the whole window; days are distinct days of month.
+
+    A demand's days are bits of one number, so they are counted by the same partial and final
+    aggregate as the sums: no row is expanded or grouped a second time for them.
+    """
+    days = F.bit_count(F.bit_or(F.expr("shiftleft(1L, dy)")))
+    return (_demand_clustered(od_hourly, by)
+            .groupBy(*by, *DEMAND_KEYS)
             .agg(F.count("hr").alias("ondemand_hrs"),
                  exact_sum("dollar_spent").cast("double").alias("dollar_spent"),
                  exact_sum("quantity_used").cast("double").alias("quantity_used"),
-                 F.countDistinct("dy").alias("ondemand_days"))
+                 days.cast("long").alias("ondemand_days"))
             .withColumn("demand_hr_month_prop",
                         div(F.col("ondemand_hrs") * 100, F.col("ondemand_days") * 24)))

@@ -37,8 +37,10 @@ class RunParams:
     # Zone whose wall clock the billing hours and the window follow. TIMESTAMP columns are
     # converted to it whatever the session's zone; stamps without a zone are taken as they are.
     time_zone: str = "UTC"
-    # Ordered CPU rules (kind, value, weight), first hit wins; see ``functions.cpu``.
+    # Ordered CPU rules (kind, key, weight), first hit wins; see ``functions.cpu``. A table of rules
+    # (kind, key, weight, rank) takes their place.
     cpu_rules: tuple[tuple[str, str, int], ...] = CPU_RULES
+    cpu_rules_table: str | None = None
     # Also offer pools nobody used in the window (the job shows used pools only); they carry
     # ``idle_product`` as their product.
     include_idle_pools: bool = False

@@ -33,15 +33,16 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.table(name_or_path)
 
 
-def load_usage(spark: SparkSession, name_or_path: str) -> DataFrame:
-    """Usage lines with the contract columns.
+def load_usage(spark: SparkSession, name_or_path: str, partition_column: str | None = None) -> DataFrame:
+    """Usage lines with the contract columns, and the table's date partition column if it is named.
 
     Start and end may be stored as timestamps, with or without a zone, or as
     ``yyyy-MM-dd HH:mm:ss`` text. They are left as stored, so that the window
     reaches the reader as a range in the column's own type; the window filter
     turns them into wall clocks.
     """
-    return read_table(spark, name_or_path).select(*USAGE_COLUMNS)
+    partition = [partition_column] if partition_column else []
+    return read_table(spark, name_or_path).select(*USAGE_COLUMNS, *partition)
 
 
 def load_reservations(spark: SparkSession, name_or_path: str) -> DataFrame:

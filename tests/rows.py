@@ -62,3 +62,19 @@ def reservation(rid, count, **kw):
 def reservations_df(spark, rows):
     return spark.createDataFrame(
         [tuple(r[f.name] for f in RESERVATION_SCHEMA.fields) for r in rows], RESERVATION_SCHEMA)
+
+
+def walked(frame, batch=1000, **options):
+    """The picks of the greedy walk over a pandas frame of candidates, fed in batches of ``batch`` rows."""
+    import pandas as pd
+    import pyarrow as pa
+
+    from reshift.operators.greedy import walk
+
+    frame = frame.assign(family=frame["instancetype"].str[:2])
+    order = ["region", "os", "family", "productname", "instancetype", "availability_zone", "savings", "availabilityzone",
+             "ondemand_instancetype"]
+    ordered = frame.sort_values(order, ascending=[True] * 3 + [False] * 4 + [True] * 2, na_position="last", kind="mergesort")
+    table = pa.Table.from_pandas(ordered, preserve_index=False)
+    picks = [b.to_pandas() for b in walk(table.to_batches(batch), **options)]
+    return pd.concat([p for p in picks if len(p)] or picks[:1])

@@ -1,0 +1,78 @@
+"""Many run dates in one job: equal to one run for each, with the scan pruned at run time."""
+
+import datetime as dt
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from reshift import RunParams, run
+from reshift.plans.backfill import Backfill, run_many, strftime_pattern
+from reshift.sources.tables import load_test_inputs
+from tests.conftest import SF_SMALL
+from tests.test_plans import explain
+
+DATES = ["20240110", dt.date(2024, 1, 26), "20240130"]
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("options", [{}, {"allow_full_use": True, "include_idle_pools": True}])
+def test_backfill_equals_one_run_for_each_date(spark, options):
+    usage, reservations = load_test_inputs(spark, SF_SMALL)
+    params = RunParams(lookback_days=6, **options)
+    out = tempfile.mkdtemp(prefix="reshift-backfill-")
+    many = run_many(usage, reservations, DATES, params, suggestions_target=f"{out}/s", shifts_target=f"{out}/r")
+    seen = 0
+    for date in DATES:
+        one = run(usage, reservations, RunParams(run_date=date, lookback_days=6, **options))
+        day = one.stages.params.run_date
+        for name in ("unused_daily", "unused_window", "ondemand_window", "candidate_moves", "suggestions", "reservation_shift"):
+            mine = getattr(many.stages, name).where(F.col("run_date") == F.lit(day)).drop("run_date")
+            theirs = getattr(one.stages, name)
+            assert mine.columns == theirs.columns and rows(mine) == rows(theirs), (date, name)
+        for path, frame in (("s", one.suggestions), ("r", one.shifts)):
+            written = spark.read.parquet(f"{out}/{path}").where(F.col("dt") == day.strftime("%Y%m%d")).drop("dt")
+            assert rows(written) == rows(frame.select(*written.columns))
+        seen += one.suggestions.count()
+    assert many.suggestions.count() == seen > 40
+
+
+def test_dates_decide_the_scan_at_run_time(spark):
+    path = tempfile.mkdtemp(prefix="reshift-backfill-") + "/usage"
+    usage, reservations = load_test_inputs(spark, SF_SMALL)
+    (usage.withColumn("dt", F.date_format("usagestartdate", "yyyyMMdd")).repartition("dt")
+     .write.partitionBy("dt").parquet(path))
+    params = RunParams(lookback_days=2, usage_partition_column="dt", usage_partition_format="%Y%m%d")
+    table = spark.read.parquet(path)
+    many = Backfill(table, reservations, ["20240105", "20240125"], params)
+    hours = many.hourly_usage
+    assert "dynamicpruning" in explain(hours)
+    found = rows(hours)
+    plan = hours._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+    # the two windows and a day on each side, not the three weeks from the first to the last
+    read = many.lines.select(F.input_file_name().alias("f")).distinct().count()
+    assert read == 8
+    plain = Backfill(usage, reservations, ["20240105", "20240125"], RunParams(lookback_days=2))
+    assert found == rows(plain.hourly_usage) and {r[-1] for r in found} == {dt.date(2024, 1, 5), dt.date(2024, 1, 25)}
+
+
+def test_a_date_without_usage_is_cleared(spark):
+    usage, reservations = load_test_inputs(spark, SF_SMALL)
+    out = tempfile.mkdtemp(prefix="reshift-backfill-") + "/s"
+    run(usage, reservations, RunParams(run_date="20240130"), suggestions_target=out)
+    run_many(usage.where("usagestartdate < '2024-01-05'"), reservations, ["20240104", "20240130"],
+             RunParams(lookback_days=3), suggestions_target=out)
+    assert {str(r["dt"]) for r in spark.read.parquet(out).select("dt").distinct().collect()} <= {"20240104"}
+
+
+def test_arguments(spark):
+    usage, reservations = load_test_inputs(spark, SF_SMALL)
+    with pytest.raises(ValueError, match="no run dates"):
+        Backfill(usage, reservations, [])
+    assert strftime_pattern("%Y-%m-%d") == "yyyy-MM-dd"
+    with pytest.raises(ValueError, match="beyond"):
+        strftime_pattern("%Y%W")

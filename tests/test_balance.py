@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from reshift.operators import balance as B
 from reshift.operators import inventory as I
 from reshift.operators import usage as U
@@ -81,3 +83,23 @@ def test_idle_pool_without_usage_is_not_observed(spark):
     res = [reservation("ri-1", 2), reservation("ri-2", 9, instance_type="c4.large")]
     _, bal = stages(spark, [line()], res)
     assert {r["instancetype"] for r in B.unused_window(bal).collect()} == {"m3.large"}
+
+
+def test_window_and_days_from_one_aggregate_over_the_hours(spark):
+    from reshift.plans.queries import stages_for
+    from tests.conftest import SF_SMALL
+
+    st = stages_for(spark, SF_SMALL)
+    pools = st.unused_rollups
+    window = [c for c in pools.columns if c != "days"]
+
+    def rows(df):
+        return sorted(map(tuple, df.collect()), key=repr)
+
+    assert rows(pools.select(*window)) == rows(st.unused_window.select(*window))
+    daily = st.unused_daily
+    assert rows(B.days_of(pools).select(*daily.columns)) == rows(daily)
+    # the balance groups by hour; of what reads it, one aggregate counts hours and the next merges days
+    plan = pools._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("count(hr") == 1
+    assert pools.agg(F.max(F.size("days"))).first()[0] <= 14

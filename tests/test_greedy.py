@@ -2,7 +2,8 @@
 
 import pandas as pd
 
-from reshift.operators.greedy import PICK_SCHEMA, greedy_picks, suggestions, walk_component
+from reshift.operators.greedy import PICK_SCHEMA, greedy_picks, suggestions
+from tests.rows import walked
 
 EC2 = "Amazon Elastic Compute Cloud"
 
@@ -19,7 +20,7 @@ def cand(itype="m3.xlarge", az="us-east-1a", od_az="us-east-1b", od_type="m3.lar
 
 
 def walk(rows, **kw):
-    out = walk_component(pd.DataFrame(rows), **kw)
+    out = walked(pd.DataFrame(rows), **kw)
     return [(r.instancetype, r.availabilityzone, r.ondemand_instancetype) for r in out.itertuples()]
 
 
@@ -33,13 +34,13 @@ def test_full_use_serves_the_rest_of_a_demand():
     # 44 m3.2xlarge (8 CPU each); the first pool gives its 10 m3.xlarge (5 of them), the second its 20
     rows = [cand(az=az, od_type="m3.2xlarge", cap=n, shift=n, od_unit=8.0, need=352.0, savings=n)
             for az, n in (("us-east-1b", 10.0), ("us-east-1a", 20.0))]
-    out = walk_component(pd.DataFrame(rows), allow_full_use=True)
+    out = walked(pd.DataFrame(rows), allow_full_use=True)
     assert out["instances_tobe_shifted"].tolist() == [10.0, 20.0]
     assert out["ondemand_instances_increased"].tolist() == [5.0, 10.0]
     # a demand of 15 m3.xlarge: the second pool gives the 5 that are left, at that share of its savings
     rows = [dict(r, avg_ondemand_cpu_needed=60.0, instances_tobe_shifted=s)
             for r, s in zip(rows, (10.0, 15.0))]
-    out = walk_component(pd.DataFrame(rows), allow_full_use=True)
+    out = walked(pd.DataFrame(rows), allow_full_use=True)
     assert out["instances_tobe_shifted"].tolist() == [10.0, 5.0]
     assert out["savings"].tolist() == [10.0, 20.0 * 5 / 15]
 
@@ -80,7 +81,7 @@ def test_null_zone_demand_is_claimed_once():
 
 def test_product_spellings_share_demand():
     rows = [cand(product="AMAZON ELASTIC COMPUTE CLOUD"), cand(product=EC2)]
-    out = walk_component(pd.DataFrame(rows))
+    out = walked(pd.DataFrame(rows))
     assert list(out["productname"]) == [EC2]
 
 
@@ -99,3 +100,29 @@ def test_empty_candidates(spark):
     empty = spark.createDataFrame([], PICK_SCHEMA.replace(", pick_order long", ""))
     out = suggestions(greedy_picks(empty))
     assert out.count() == 0 and len(out.columns) == 12
+
+
+def test_components_go_on_across_batches(spark):
+    rows = [cand(itype=t, region=r, az=f"{r}{z}", od_az=f"{r}{o}", od_type=d, cap=float(3 + i % 9), shift=float(1 + i % 4),
+                 savings=float(i * 7 % 11))
+            for i, (r, t, z, o, d) in enumerate(
+                (r, t, z, o, d) for r in ("east", "west", "north") for t in ("m3.large", "m3.xlarge", "c4.large", "c4.xlarge")
+                for z in "ab" for o in "abc" for d in ("m3.medium", "m3.2xlarge", "c4.2xlarge")
+                if t[:2] == d[:2])]
+    frame = pd.DataFrame([r for r in rows if r["instances_tobe_shifted"] < r["avg_unused_instances"]])
+    expected = walked(frame).sort_values(list(frame.columns[:8]), kind="mergesort").reset_index(drop=True)
+    assert len(expected) > 20
+    for batch in (1, 2, 5):
+        again = walked(frame, batch).sort_values(list(frame.columns[:8]), kind="mergesort").reset_index(drop=True)
+        pd.testing.assert_frame_equal(again, expected)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    try:
+        for batch, partitions in (("1", 8), ("3", 1), ("10000", 64)):
+            spark.conf.set(size, batch)
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            got = greedy_picks(spark.createDataFrame(frame)).toPandas()
+            assert sorted(map(tuple, got.values.tolist())) == sorted(map(tuple, expected[got.columns].values.tolist()))
+    finally:
+        spark.conf.set(size, before)
+        spark.conf.set("spark.sql.shuffle.partitions", 8)

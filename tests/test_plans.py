@@ -37,13 +37,14 @@ def test_balance_chain_uses_one_exchange_after_the_hourly_aggregate(spark):
     assert "BroadcastHashJoin" in plan
 
 
-def test_one_python_fold_in_reservation_shift(spark):
+def test_two_streamed_folds_in_reservation_shift(spark):
     df = stages_for(spark, SF_SMALL).reservation_shift
     df.collect()
     final = explain(df, "simple").split("== Initial Plan ==")[0]
-    assert final.count("FlatMapGroupsInPandas") == 1
-    # first fit runs JVM-side (higher-order functions), not in a Python worker
-    assert "FlatMapCoGroupsInPandas" not in final
+    # first fit, and the walk for its limits and its moves over one shuffle of the candidates; no group is held
+    assert final.count("MapInArrow") == 3
+    assert any("ReusedExchange" in ln and "family" in ln for ln in final.splitlines())
+    assert "FlatMapGroupsInPandas" not in final and "FlatMapCoGroupsInPandas" not in final
 
 
 def test_date_partitioned_usage_is_pruned_and_equal(spark):

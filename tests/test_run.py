@@ -107,3 +107,80 @@ def test_run_without_checkpoint_folder_persists(spark, monkeypatch):
     assert result.suggestions.count() == 43 and result.shifts.count() == 41
     for df in (result.stages.hourly_usage, result.stages.candidate_moves, result.stages.picks):
         df.unpersist()
+
+
+def failing_rows(spark, columns):
+    """Rows whose last partitions end with an error, after others have been written."""
+    from pyspark.sql import functions as F
+
+    good = spark.range(0, 400, 1, 8)
+    value = F.when(F.col("id") < 350, F.col("id").cast("double")).otherwise(F.raise_error(F.lit("lost")).cast("double"))
+    return good.select(*[value.alias(c) if c in ("savings",) else F.lit("x").alias(c) if c not in NUMBERS
+                         else F.lit(1.0).alias(c) for c in columns])
+
+
+NUMBERS = ("avg_unused_instances", "avg_ondemand_instances", "instances_tobe_shifted", "ondemand_instances_increased")
+
+
+def test_a_failed_write_leaves_the_old_date(spark, monkeypatch):
+    """Both while the result is computed and while its files are written."""
+    import pytest
+
+    from reshift.sources import sinks
+
+    out = tempfile.mkdtemp(prefix="reshift-kill-") + "/suggestions"
+    loc = tempfile.mkdtemp(prefix="reshift-kill-table-")
+    spark.sql("DROP TABLE IF EXISTS reshift_kill_t")
+    good = queries()["suggestions"](spark, SF_SMALL)
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in good.schema.fields)
+    spark.sql(f"CREATE TABLE reshift_kill_t ({types}, dt string) USING parquet PARTITIONED BY (dt) LOCATION '{loc}'")
+    for target in (out, "reshift_kill_t"):
+        sinks.write_suggestions(good, target, "20240129")
+        sinks.write_suggestions(good, target, "20240130")
+    bad = failing_rows(spark, SUGGESTION_COLUMNS)
+
+    def kept(target):
+        read = spark.read.parquet(target) if "/" in target else spark.table(target)
+        return {str(r["dt"]): r["count"] for r in read.groupBy("dt").count().collect()}
+
+    class AtWrite:
+        """A result that was computed, but is lost again when its files are written."""
+        def __init__(self, df):
+            self.df = df
+
+        def __getattr__(self, name):
+            return getattr(self.df, name)
+
+        def select(self, *columns):
+            return good.limit(1).withColumn("dt", F.lit("20240130")).select("dt") if columns == ("dt",) else self.df.select(*columns)
+
+    from pyspark.sql import functions as F
+    for target in (out, "reshift_kill_t"):
+        with pytest.raises(Exception, match="lost"):
+            sinks.write_suggestions(bad, target, "20240130")
+        assert kept(target) == {"20240129": 43, "20240130": 43}
+        monkeypatch.setattr(sinks, "materialize", AtWrite)
+        with pytest.raises(Exception, match="lost"):
+            sinks.write_suggestions(bad, target, "20240130")
+        monkeypatch.undo()
+        assert kept(target) == {"20240129": 43, "20240130": 43}
+        sinks.write_suggestions(good.limit(5), target, "20240130")
+        assert kept(target) == {"20240129": 43, "20240130": 5}
+    assert spark.conf.get(sinks.OVERWRITE_MODE).lower() == "static"
+    spark.sql("DROP TABLE reshift_kill_t")
+
+
+def test_rows_of_another_date_are_refused(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from reshift.sources.sinks import write_partitions
+
+    out = tempfile.mkdtemp(prefix="reshift-dates-") + "/t"
+    df = spark.range(4).withColumn("dt", F.when(F.col("id") < 3, "20240101").otherwise("20240102"))
+    with pytest.raises(ValueError, match="20240102"):
+        write_partitions(df, out, ["20240101"], ["id"])
+    write_partitions(df, out, ["20240101", "20240102", "20240103"], ["id"])
+    assert {r["dt"]: r["count"] for r in spark.read.parquet(out).groupBy("dt").count().collect()} == {20240101: 3, 20240102: 1}
+    with pytest.raises(ValueError, match="alphanumeric"):
+        write_partitions(df, out, ["2024-01-01"], ["id"])

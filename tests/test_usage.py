@@ -97,3 +97,37 @@ def test_long_lookback_counts_days_of_month(spark):
     h = U.ondemand_hourly(U.hourly_usage(usage_df(spark, rows), params, (U.ON_DEMAND,)))
     (w,) = U.ondemand_window(h).collect()
     assert (w["ondemand_hrs"], w["ondemand_days"]) == (2, 1)
+
+
+def test_distinct_days_are_bits_of_one_aggregate(spark):
+    from reshift.operators import usage as U
+    from reshift.plans.queries import stages_for
+    from tests.conftest import SF_SMALL
+
+    days = [1, 1, 2, 31, 31, 30, 15]
+    hours = spark.createDataFrame(
+        [("p", 2024, 1, d, 3, "r", None, "linux", "m3.large", 1.0, 1.0) for d in days] +
+        [("p", 2024, 2, 31, 3, "r", "z", "linux", "m3.large", 1.0, 1.0)],
+        "productname string, yr int, mon int, dy int, hr int, region string, availabilityzone string, os string, "
+        "ondemand_instancetype string, quantity_used double, dollar_spent double")
+    got = {r["availabilityzone"]: r["ondemand_days"] for r in U.ondemand_window(hours).collect()}
+    assert got == {None: 5, "z": 1}
+    plan = stages_for(spark, SF_SMALL).ondemand_window._jdf.queryExecution().optimizedPlan().toString()
+    assert "distinct" not in plan.lower() and "Expand" not in plan and plan.count("bit_or(") == 1
+
+
+def test_amounts_that_are_no_numbers_count_as_missing(spark):
+    from pyspark.sql import functions as F
+
+    from reshift.operators import usage as U
+    from reshift.plans.queries import TEST_PARAMS
+    from tests.rows import line, usage_df
+
+    lines = usage_df(spark, [line(usagequantity=q) for q in (2.0, 3.0, float("nan"), None)])
+    (hour,) = U.hourly_usage(lines, TEST_PARAMS).collect()
+    assert hour["quantity"] == 5
+    text = lines.withColumn("usagequantity", F.when(F.col("usagequantity") == 3.0, "n/a").otherwise(
+        F.col("usagequantity").cast("string")))
+    (hour,) = U.hourly_usage(text, TEST_PARAMS).collect()
+    assert hour["quantity"] == 2
+    assert U.malformed_lines(text).first()["amounts"] == 2  # 'n/a' and the text 'NaN'
