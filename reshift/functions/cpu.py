@@ -11,6 +11,7 @@ name, which the planner broadcasts only while the rules' size is below
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,12 +52,11 @@ def rule_rows(spark: SparkSession, rules: Rules = CPU_RULES) -> DataFrame:
         if kind not in KINDS:
             raise ValueError(f"unknown rule kind: {kind!r}")
         kept.setdefault((kind, key), (rank, int(weight)))
-    if not kept:
-        return spark.createDataFrame([], "kind string, key string, first struct<rank: int, weight: int>")
-    rows = [F.struct(F.lit(kind).alias("kind"), F.lit(key).alias("key"),
-                     F.struct(F.lit(rank).alias("rank"), F.lit(weight).alias("weight")).alias("first"))
+    rows = [{"kind": kind, "key": key, "first": {"rank": rank, "weight": weight}}
             for (kind, key), (rank, weight) in kept.items()]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    # one constant, whatever the number of rules
+    schema = "array<struct<kind: string, key: string, first: struct<rank: int, weight: int>>>"
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), schema)))
 
 
 def rule_table(spark: SparkSession, name: str) -> DataFrame:
@@ -71,18 +71,13 @@ def rule_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name).groupBy(kind.alias("kind"), "key").agg(F.min(first).alias("first"))
 
 
-def _lookup(rules: DataFrame, kind: str, on: str, into: str) -> DataFrame:
-    return rules.where(F.col("kind") == kind).select(F.col("key").alias(on), F.col("first").alias(into))
-
-
 def with_cpu_weight(df: DataFrame, type_column: str, into: str, rules: DataFrame,
                     default: int = DEFAULT_WEIGHT) -> DataFrame:
     """``df`` with the integer CPU weight of ``type_column`` as ``into``."""
-    size, by_size, by_type = f"{into}_size", f"{into}_by_size", f"{into}_by_type"
-    met = (df.withColumn(size, size_of(F.col(type_column)))
-           .join(_lookup(rules, "size", size, by_size), size, "left")
-           .join(_lookup(rules, "type", type_column, by_type), type_column, "left"))
-    first = F.when(F.col(by_type).isNull() | (F.col(by_size)["rank"] < F.col(by_type)["rank"]), F.col(by_size)["weight"]) \
-        .otherwise(F.col(by_type)["weight"])
-    weight = F.coalesce(first, F.lit(int(default))).cast("int")
-    return met.select(*df.columns, weight.alias(into))
+    by_size, by_type = F.col(f"{into}_by_size"), F.col(f"{into}_by_type")
+    sized, typed = (rules.where(F.col("kind") == kind).select(F.struct("key", "first.*").alias(f"{into}_by_{kind}"))
+                    for kind in KINDS)
+    met = (df.join(sized, size_of(F.col(type_column)) == by_size["key"], "left")
+           .join(typed, F.col(type_column) == by_type["key"], "left"))
+    first = F.when(by_type.isNull() | (by_size["rank"] < by_type["rank"]), by_size["weight"]).otherwise(by_type["weight"])
+    return met.select(*df.columns, F.coalesce(first, F.lit(int(default))).cast("int").alias(into))
