@@ -11,8 +11,9 @@ a second fit with factors of their size. Proximal steps pull the weights of unin
 factors that no pair needs to exactly zero, so that long documents do not add up noise.
 
 The model is fitted on at most ``max_labelled`` labelled documents (smallest hashes of ``doc_id``)
-outside the held-out remainder; that is the only sample, and the rows and terms of it are all that
-reach the driver. Words are hashed JVM-side over whole texts; every document is scored.
+outside the held-out remainder, as far as ``MAX_TERMS`` distinct terms of theirs go; that is the only
+sample. It is fitted in one task, which holds the sample as one array of numbers, and only the weights that
+are not zero reach the driver. Words are hashed JVM-side over whole texts; every document is scored.
 
 Defined cases: a null or empty text has no terms and gets ``sigmoid(b)``; a null ``doc_id`` is neither
 held out nor learnt from; repeated rows are scored each; without labels of both kinds every score is 0;
@@ -26,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,7 @@ from reshift.llm.common import bind, free_name, shared_table
 
 BUCKETS = 1 << 18
 MAX_LABELLED = 8_000
+MAX_TERMS = 16_000_000  # of all labelled documents together; 64 MB
 MIN_DOCUMENTS = 5
 FACTORS = 4
 ROUNDS = 150
@@ -221,7 +224,7 @@ def _descend(flat: np.ndarray, starts: np.ndarray, y: np.ndarray, seen: np.ndarr
     place = np.full(BUCKETS, -1, np.int32)
     place[seen] = np.arange(m)
     at = place[flat]
-    doc = np.repeat(np.arange(n), np.diff(starts))[at >= 0]
+    doc = np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))[at >= 0]
     at = at[at >= 0]
     # the rows of one term together as well, for the sums of gradients by term
     term_docs, term_starts = _by_term(at, doc, m)
@@ -262,10 +265,13 @@ def _descend(flat: np.ndarray, starts: np.ndarray, y: np.ndarray, seen: np.ndarr
 
 def fit(rows, toxic: np.ndarray, seed: int = 7) -> Machine | None:
     """Fit a machine to documents given as term lists; None without labels of both kinds."""
-    y = np.asarray(toxic, np.float64)
+    return fit_flat(*_flat(rows), np.asarray(toxic, np.float64), seed)
+
+
+def fit_flat(flat: np.ndarray, starts: np.ndarray, y: np.ndarray, seed: int = 7) -> Machine | None:
+    """Fit a machine to documents whose terms stand in a row, ``flat[starts[i]:starts[i + 1]]`` of document i."""
     if not 0 < y.sum() < len(y):
         return None
-    flat, starts = _flat(rows)
     n = len(y)
     frequency = np.bincount(flat, minlength=BUCKETS)
     start = np.abs(np.bincount(flat, np.repeat(y - y.mean(), np.diff(starts)), BUCKETS)) / n
@@ -279,15 +285,50 @@ def fit(rows, toxic: np.ndarray, seed: int = 7) -> Machine | None:
     return _descend(flat, starts, y, np.flatnonzero(alone), pairs, seed)
 
 
+MODEL = "bias double, buckets array<int>, w array<double>, v array<double>"
+
+
+def _fit_rows(batches):
+    """One machine from the sample's rows (terms, toxic), as a row of ``MODEL``; none without labels of both kinds."""
+    flats, lengths, toxic = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    room = MAX_TERMS
+    for batch in batches:
+        terms_of, label = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
+        n = np.diff(terms_of.offsets.to_numpy())
+        fits = int(np.searchsorted(np.cumsum(n), room, "right"))
+        flats.append(terms_of.slice(0, fits).flatten().to_numpy().copy())
+        lengths.append(n[:fits].astype(np.int64))
+        toxic.append(label[:fits].astype(np.float64))
+        room = room - int(n[:fits].sum()) if fits == len(n) else 0
+    flat, starts, y = np.concatenate(flats), np.concatenate(([0], np.cumsum(np.concatenate(lengths)))), np.concatenate(toxic)
+    flats.clear()
+    machine = fit_flat(flat, starts, y)
+    if machine is None:
+        return
+    buckets = np.flatnonzero(machine.place >= 0).astype(np.int32)
+    at = machine.place[buckets]
+    yield pa.RecordBatch.from_pydict({
+        "bias": pa.array([machine.bias]), "buckets": pa.array([buckets], pa.list_(pa.int32())),
+        "w": pa.array([machine.w[at]], pa.list_(pa.float64())), "v": pa.array([machine.v[at].ravel()], pa.list_(pa.float64()))})
+
+
 def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Machine | None:
     """Fit on a bounded sample of the labelled documents that are not held out."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id")))
     sample = shared_table(known.groupBy(F.col("doc_id").alias("labelled_id")).agg(F.max("toxic").alias("toxic"))
                           .orderBy(F.xxhash64("labelled_id"), "labelled_id").limit(max_labelled))
     rows = (docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("labelled_id"))
-            .select("doc_id", terms(F.col("text")).alias("terms"), "toxic").toPandas())
-    rows = rows.assign(n=rows["terms"].map(len)).sort_values(["doc_id", "n"], kind="stable")
-    return fit(rows["terms"], rows["toxic"].to_numpy())
+            .select("doc_id", terms(F.col("text")).alias("terms"), F.col("toxic").cast("int").alias("toxic")))
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.size("terms"), F.xxhash64("terms")]
+    fitted = (shared_table(rows).repartition(1).sortWithinPartitions(*order).select("terms", "toxic")
+              .mapInArrow(_fit_rows, MODEL)).collect()
+    if not fitted:
+        return None
+    found = fitted[0]
+    buckets = np.array(found["buckets"], np.int64)
+    place = np.full(BUCKETS, -1, np.int32)
+    place[buckets] = np.arange(len(buckets))
+    return Machine(found["bias"], place, np.array(found["w"]), np.array(found["v"]).reshape(len(buckets), FACTORS))
 
 
 def score(text: Column, machine: Machine | None) -> Column:
