@@ -24,7 +24,7 @@ import zlib
 import numpy as np
 
 BLOCK = 2048
-LANES = 1024
+LANES = 512  # blocks coded together: some 60 MB
 RENEWED = (128, 256, 512, 1024)  # powers of two, so that dividing by the number of counted ids is a shift
 TABLE_BITS = 11
 TOTAL_BITS, UNIT_BITS, BASE_BITS = 24, 12, 18
@@ -59,14 +59,15 @@ class Model:
         self.lanes, self.vocabulary = lanes, vocabulary
         self.edges, self.of_count = base_distribution(vocabulary)
         self.lane = np.arange(lanes)
-        self.after_one = np.full(lanes << TABLE_BITS, -1, np.int64)
-        self.after_two = np.full(lanes << TABLE_BITS, -1, np.int64)
+        # ids need 17 bits; arrays of a block's length hold them in 32, the few of one step in 64
+        self.after_one = np.full(lanes << TABLE_BITS, -1, np.int32)
+        self.after_two = np.full(lanes << TABLE_BITS, -1, np.int32)
         self.table, self.cases = self.lane << TABLE_BITS, self.lane << 2
         self.weights = np.full(lanes * 4, AT_FIRST, np.int64)
         self.one = np.zeros(lanes, np.int64)
         self.two = np.zeros(lanes, np.int64)
         self.known = 0  # ids that order 0 has counted
-        self.ordered = self.first = self.times = np.zeros(0, np.int64)
+        self.ordered = self.first = self.times = np.zeros(0, np.int32)
 
     def renew(self, history: np.ndarray) -> None:
         """Count the ids so far; ``history`` is ``(lanes, ids)``."""
@@ -78,24 +79,24 @@ class Model:
         starts = np.flatnonzero(opens.ravel())
         lengths = np.diff(np.append(starts, ordered.size))
         self.ordered = ordered.ravel()
-        self.first = np.repeat(starts % n, lengths)
-        self.times = np.repeat(lengths, lengths)
+        self.first = np.repeat((starts % n).astype(np.int32), lengths)
+        self.times = np.repeat(lengths.astype(np.int32), lengths)
 
     def locate(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where ``(lanes, k)`` ids stand among the counted ones: first place and count (0: not there)."""
         if self.known == 0:
-            return np.zeros_like(ids), np.zeros_like(ids)
+            return np.zeros(ids.shape, np.int32), np.zeros(ids.shape, np.int32)
         key = (self.lane[:, None] * self.vocabulary + ids).ravel()
         keys = self.ordered + np.repeat(self.lane * self.vocabulary, self.known)
         at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        times = np.where(keys[at] == key, self.times[at], 0)
+        times = np.where(keys[at] == key, self.times[at], np.int32(0))
         return self.first[at].reshape(ids.shape), times.reshape(ids.shape)
 
     def predict(self) -> None:
         slots = (1 << TABLE_BITS) - 1
         self.i1 = (self.one * 0x9E3779B1 >> 7 & slots) + self.table
         self.i2 = (self.one * 0x85EBCA6B + self.two * 0xC2B2AE35 >> 9 & slots) + self.table
-        self.p1, self.p2 = self.after_one.take(self.i1), self.after_two.take(self.i2)
+        self.p1, self.p2 = self.after_one.take(self.i1).astype(np.int64), self.after_two.take(self.i2).astype(np.int64)
         # 0: no prediction, 1: order 1 alone, 2: order 2 and another or no order 1, 3: both agree
         two = self.p2 >= 0
         self.case = self.cases + (two << np.int64(1)) + ((self.p1 >= 0) & (~two | (self.p1 == self.p2)))
@@ -153,11 +154,11 @@ def _ready(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def encode_blocks(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
     """The coded words of every block (shorter blocks are coded as if followed by zeros)."""
     lanes, steps = len(blocks), max(map(len, blocks), default=0)
-    ids = np.zeros((lanes, steps), np.int64)
+    if max((int(block.max()) for block in blocks if len(block)), default=0) >= vocabulary:
+        raise ValueError("an id is outside the vocabulary")
+    ids = np.zeros((lanes, steps), np.int32)
     for row, block in zip(ids, blocks):
         row[:len(block)] = block
-    if ids.size and int(ids.max()) >= vocabulary:
-        raise ValueError("an id is outside the vocabulary")
     model = Model(lanes, vocabulary)
     low, span = np.zeros(lanes, _U), np.full(lanes, ~_U(0))
     out = np.zeros((lanes, 64), np.uint16)
@@ -178,8 +179,9 @@ def encode_blocks(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
                 out = np.concatenate((out, np.zeros((lanes, room), np.uint16)), axis=1)
             flat, rows = out.ravel(), lane * out.shape[1]
         model.predict()
-        start, width = model.interval(by_step[step], first[step - begun], times[step - begun])
-        model.learn(by_step[step])
+        now = by_step[step].astype(np.int64)
+        start, width = model.interval(now, first[step - begun], times[step - begun])
+        model.learn(now)
         part = span >> _U(TOTAL_BITS)
         low = low + part * start.astype(_U)
         span = part * width.astype(_U)
@@ -204,8 +206,7 @@ def decode_blocks(coded: list[bytes], lengths: list[int], vocabulary: int) -> li
     for row, w in zip(given, words):
         row[:len(w)] = w
     model = Model(lanes, vocabulary)
-    ids = np.zeros((lanes, steps), np.int64)
-    by_step = np.zeros((steps, lanes), np.int64)
+    by_step = np.zeros((steps, lanes), np.int32)
     low, span = np.zeros(lanes, _U), np.full(lanes, ~_U(0))
     shift = _U(WORD_BITS)
     code = np.zeros(lanes, _U)
@@ -215,8 +216,7 @@ def decode_blocks(coded: list[bytes], lengths: list[int], vocabulary: int) -> li
     flat, rows, last = given.ravel(), np.arange(lanes) * given.shape[1], given.shape[1] - 1
     for step in range(steps):
         if step in RENEWED:
-            ids[:, :step] = by_step[:step].T
-            model.renew(ids[:, :step])
+            model.renew(np.ascontiguousarray(by_step[:step].T))
         model.predict()
         part = span >> _U(TOTAL_BITS)
         point = np.minimum((code - low) // part, _U((1 << TOTAL_BITS) - 1)).astype(np.int64)
