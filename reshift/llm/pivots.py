@@ -11,6 +11,9 @@ lie inside it in nearly independent order. A prefix ends before the pivots that
 nearest one by more than twice the angle of a link: whatever the vector is linked to has the same nearest
 pivot, so these lists add nothing, and a dense group is compared in one list.
 
+Vectors of different dimension never link; every dimension has pivots and lists of its own, a rare one
+(at most ``RARE`` vectors) a single list.
+
 The number of pivots grows with the square root of the vectors up to ``MAX_PIVOTS``, so a list holds
 about ``PREFIX * sqrt(n)`` vectors. A pair is counted in one list only, that of its smallest shared
 pivot. A list is one group of tasks: it is dealt into blocks of at most about ``BLOCK`` vectors, and
@@ -19,7 +22,7 @@ group returns one row per vector with its number of links there and the smallest
 there, never the pairs. Equal vectors are one representative with a count.
 
 Defined cases: a vector that is null, empty, zero or holds null or non-finite components links with
-nothing, and so does one whose dimension is not the commonest of the table; a null ``vec_id`` links with
+nothing; a null ``vec_id`` links with
 nothing and has null results; repeated ``vec_id`` are one node with the counts of its rows added up; ties
 in distance go to the smaller pivot number; an empty table gives an empty result.
 """
@@ -42,6 +45,7 @@ SAMPLED = 4  # vectors looked at for one pivot
 MIN_PIVOTS, MAX_PIVOTS = 64, 1024
 PIVOTS_PER_ROOT = 1.5
 BLOCK = 8192
+RARE = 512
 ROWS_A_STEP = 64
 ROUNDING = 1e-9  # cosines nearer to the threshold are computed once more, pair by pair
 
@@ -147,9 +151,62 @@ def _side(frame: pd.DataFrame) -> tuple:
             np.stack(frame["prefix"].to_numpy()), unit_rows(frame["vector"]))
 
 
-def _list_task(n_pivots: int, least: float):
+class Index:
+    """The pivots of all dimensions: those of dimension ``d`` are numbered from ``base[d]`` on.
+
+    A dimension without entry in ``pivots`` is rare: all its vectors are in the one list ``base[d]``.
+    """
+
+    def __init__(self, sizes: dict[int, int], pivots: dict[int, np.ndarray]):
+        self.pivots, self.base, end = pivots, {}, 0
+        for d in sorted(sizes):
+            self.base[d] = end
+            end += self.lists(d)
+
+    def lists(self, d: int) -> int:
+        return len(self.pivots[d]) if d in self.pivots else 1
+
+    def describe(self, vectors, least: float) -> list[np.ndarray]:
+        """The numbers of the nearest pivots of every vector, nearest first."""
+        sizes = np.array([len(v) for v in vectors])
+        out: list = [None] * len(sizes)
+        for d in np.unique(sizes).tolist():
+            at = np.flatnonzero(sizes == d)
+            if d in self.pivots:
+                near = prefixes(unit_rows([vectors[i] for i in at]), self.pivots[d], least) + np.int32(self.base[d])
+            else:
+                near = np.full((len(at), 1), self.base[d], np.int32)
+            for i, row in zip(at, near, strict=True):
+                out[i] = row
+        return out
+
+
+def pivots_of(size: int) -> int:
+    """How many pivots ``size`` vectors of one dimension have, at most."""
+    return min(max(MIN_PIVOTS, math.ceil(PIVOTS_PER_ROOT * math.sqrt(size))), MAX_PIVOTS, max(size, 1))
+
+
+def build_index(reps: DataFrame) -> Index:
+    """Pivots from a bounded sample of the vectors of every dimension that is not rare."""
+    sizes = {r["d"]: r["count"] for r in reps.groupBy(F.size("vector").alias("d")).count().collect()}  # a row a dimension
+    pivots = {}
+    for d, size in sorted(sizes.items()):
+        if size > RARE:
+            sampled = (reps.where(F.size("vector") == d).orderBy(F.xxhash64("rep"), "rep").limit(SAMPLED * pivots_of(size))
+                       .select("rep", "vector").collect())
+            unit = unit_rows([r["vector"] for r in sampled])
+            pivots[d] = unit[spread(unit, pivots_of(size))]
+    return Index(sizes, pivots)
+
+
+def _list_task(index: Index, least: float):
+    bases, lists = index.base, {d: index.lists(d) for d in index.base}
+
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         pivot, low, high = (int(frame[c].iloc[0]) for c in ("pivot", "low", "high"))
+        d = len(frame["vector"].iloc[0])
+        pivot, n_pivots = pivot - bases[d], lists[d]
+        frame = frame.assign(prefix=[np.asarray(p) - bases[d] for p in frame["prefix"]])
         frame = frame.sort_values("rep", kind="stable")
         left = frame[frame["block"] == low]
         right = frame[frame["block"] == high] if low != high else None
@@ -167,22 +224,13 @@ def duplicates(vectors: DataFrame, least: float = COSINE) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors`` (``vec_id``, ``embedding``)."""
     vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     good = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
-    commonest = good.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    d = commonest[0]["d"] if commonest else 0
-    good = good.where(F.size("embedding") == d)
     reps = shared_table(good.groupBy(F.col("embedding").alias("vector"))
                         .agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))
-    size = reps.count()
-    n_pivots = min(max(MIN_PIVOTS, math.ceil(PIVOTS_PER_ROOT * math.sqrt(size))), MAX_PIVOTS, max(size, 1))
-    sampled = (reps.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLED * n_pivots)
-               .select("rep", "vector").collect())
-    pivots = unit_rows([r["vector"] for r in sampled]) if sampled else np.zeros((0, d))
-    pivots = pivots[spread(pivots, n_pivots)]
-    n_pivots = len(pivots)
+    index = build_index(reps)
 
     @F.pandas_udf("array<int>")
     def described(vector: pd.Series) -> pd.Series:
-        return pd.Series(list(prefixes(unit_rows(vector), pivots, least)))
+        return pd.Series(index.describe(list(vector), least))
 
     indexed = shared_table(reps.withColumn("prefix", described("vector")))
     postings = indexed.withColumn("pivot", F.explode(F.array_distinct("prefix")))
@@ -192,7 +240,7 @@ def duplicates(vectors: DataFrame, least: float = COSINE) -> DataFrame:
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}))
     found = shared_table(dealt.groupBy("pivot", "low", "high").applyInPandas(
-        _list_task(n_pivots, least), "rep long, links long, lowest long"))
+        _list_task(index, least), "rep long, links long, lowest long"))
     between = found.groupBy("rep").agg(F.sum("links").alias("links"))
     several = reps.where("n > 1").select("vector", "rep")
     same = good.join(several, good["embedding"] == several["vector"]).select(

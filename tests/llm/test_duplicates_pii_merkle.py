@@ -225,6 +225,27 @@ def test_pivot_index_edge_cases(spark):
     assert pivots.duplicates(frame.limit(0)).collect() == []
 
 
+def test_every_dimension_is_indexed(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(1, [1.0, 0.0, 0.0]), (2, [1.0, 0.01, 0.0]), (3, [1.0, 0.0]), (4, [1.0, 0.1]), (5, [0.0, 1.0]), (6, [1.0, 0.0])]
+    for d, n in ((16, 700), (8, 300), (5, 90)):
+        near = rng.normal(size=(n // 3, 1, d)) + rng.normal(size=(n // 3, 3, d)) * 0.15
+        rows += [(i, v.tolist()) for i, v in enumerate(near.reshape(-1, d), len(rows) + 1)]
+    linked = {i: set() for i, _ in rows}
+    for i, v in rows:
+        for j, w in rows:
+            if i < j and len(v) == len(w) and np.dot(v, w) >= pivots.COSINE * np.linalg.norm(v) * np.linalg.norm(w):
+                linked[i].add(j)
+                linked[j].add(i)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for rare in (pivots.RARE, 50):  # one dimension with pivots, then three
+        monkeypatch.setattr(pivots, "RARE", rare)
+        got = {r["vec_id"]: r for r in pivots.duplicates(frame).collect()}
+        assert [got[i]["n_links"] for i in range(1, 7)] == [1, 1, 2, 2, 0, 2] and got[2]["component_id"] == 1
+        found = sum(r["n_links"] for r in got.values())
+        assert all(got[i]["n_links"] <= len(linked[i]) for i in linked) and found >= 0.98 * sum(map(len, linked.values()))
+
+
 SECRET = "9b8c45435718dcc700c184a7e303cdc64c6a8f7f"
 PRIVATE = ["jane.72@mail3.example.com", "+1 (407) 555-7710", "4952935900253052", "169.122.221.182", SECRET]
 
