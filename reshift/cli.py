@@ -1,4 +1,4 @@
-"""Command line: one scheduled run for one date.
+"""Command line: one scheduled run for one date, or a back-fill of several.
 
     spark-submit --py-files reshift.zip reshift/__main__.py \\
         --run-date 20240130 --lookback-days 14 --cutoff-pct 80 \\
@@ -22,6 +22,7 @@ from pyspark.sql import SparkSession
 from reshift.functions.cpu import CPU_RULES
 from reshift.operators.usage import malformed_lines
 from reshift.params import RunParams
+from reshift.plans.backfill import run_many
 from reshift.plans.job import run
 from reshift.sources.hourly_store import HourlyStore
 from reshift.sources.tables import load_reservations, load_usage
@@ -31,7 +32,9 @@ log = logging.getLogger(__name__)
 
 def parse_args(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="reshift", description=__doc__.split("\n")[0])
-    p.add_argument("--run-date", required=True, help="yyyyMMdd or yyyy-MM-dd; closes the window")
+    when = p.add_mutually_exclusive_group(required=True)
+    when.add_argument("--run-date", help="yyyyMMdd or yyyy-MM-dd; closes the window")
+    when.add_argument("--run-dates", help="several of them, comma-separated: a back-fill in one job")
     p.add_argument("--lookback-days", type=int, default=14)
     p.add_argument("--cutoff-pct", type=float, default=80.0)
     p.add_argument("--allow-full-use", action="store_true",
@@ -58,8 +61,9 @@ def parse_args(argv=None) -> argparse.Namespace:
 
 def main(argv=None, spark: SparkSession | None = None) -> None:
     args = parse_args(argv)
-    spark = spark or SparkSession.builder.appName(f"reshift-{args.run_date}").getOrCreate()
-    params = RunParams(run_date=args.run_date, lookback_days=args.lookback_days,
+    dates = args.run_dates.split(",") if args.run_dates else [args.run_date]
+    spark = spark or SparkSession.builder.appName(f"reshift-{dates[-1]}").getOrCreate()
+    params = RunParams(run_date=dates[-1], lookback_days=args.lookback_days,
                        cutoff_pct=args.cutoff_pct, allow_full_use=args.allow_full_use,
                        usage_partition_column=args.usage_partition_column,
                        usage_partition_format=args.usage_partition_format,
@@ -75,7 +79,14 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
         log.warning("%d usage lines have malformed stamps and are left out", bad["n"])
     if bad["amounts"]:
         log.warning("%d usage lines have a quantity or cost that is no number; it is not counted", bad["amounts"])
+    reservations = load_reservations(spark, args.reservations)
+    if args.run_dates:
+        if args.hourly_store or args.rollups_target:
+            raise ValueError("a back-fill takes neither --hourly-store nor --rollups-target")
+        run_many(usage, reservations, dates, params,
+                 suggestions_target=args.suggestions_target, shifts_target=args.shifts_target)
+        return
     hourly = HourlyStore(spark, args.usage, args.hourly_store, params).hourly() if args.hourly_store else None
-    run(usage, load_reservations(spark, args.reservations), params,
+    run(usage, reservations, params,
         suggestions_target=args.suggestions_target, shifts_target=args.shifts_target,
         rollups_target=args.rollups_target, hourly=hourly)

@@ -11,7 +11,10 @@ Views ``events`` and ``part`` must be registered; parameters are those of
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from reshift.params import RunParams
+from reshift.plans.features import BACKFILL_DATES
 from reshift.plans.queries import QUERY_KEYS, TEST_PARAMS
 
 
@@ -300,5 +303,33 @@ def sql_between(first: str, last: str, params: RunParams = TEST_PARAMS) -> str:
     return f"WITH RECURSIVE {body}\nSELECT * FROM {last}"
 
 
+def _rollups_sql() -> str:
+    pool = "productname, region, availability_zone, os, instancetype"
+    sums = "hrcount, dollarsum, consumptionsum, activesum, unused_ritotal, unused_ritotal_hrs"
+    return (f"SELECT {pool}, yr, mon, dy, {sums}, non_usage_hr_prop_day AS non_usage_hr_prop FROM ({sql_for('unused_daily')})\n"
+            f"UNION ALL SELECT {pool}, NULL, NULL, NULL, {sums}, non_usage_hr_prop_month FROM ({sql_for('unused_window')})")
+
+
+def _hours_sql() -> str:
+    keys = "productname, yr, mon, dy, hr, region, availabilityzone, os"
+    return (f"SELECT 'reserved' AS branch, {keys}, instancetype, consumption AS quantity, dollar AS cost "
+            f"FROM ({sql_for('reserved_hourly')})\n"
+            f"UNION ALL SELECT 'ondemand', {keys}, ondemand_instancetype, quantity_used, dollar_spent "
+            f"FROM ({sql_for('ondemand_hourly')})")
+
+
+def _dated_sql(key: str) -> str:
+    """One run for each date of the back-fill."""
+    return "\nUNION ALL ".join(f"SELECT *, '{date}' AS dt FROM ({sql_for(key, replace(TEST_PARAMS, run_date=date))})"
+                               for date in BACKFILL_DATES)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {key: sql_for(key) for key in QUERY_KEYS}
+    return {key: sql_for(key) for key in QUERY_KEYS} | {
+        "unused_rollups": _rollups_sql(),
+        "walk_candidates": f"SELECT * FROM ({sql_for('candidate_moves')}) "
+                           "WHERE avg_ondemand_cpu_needed <= avg_unused_cpu_available",
+        "incremental_hourly": _hours_sql(),
+        "backfill_suggestions": _dated_sql("suggestions"),
+        "backfill_shifts": _dated_sql("reservation_shift"),
+    }

@@ -25,6 +25,7 @@ import hashlib
 import os
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,11 +45,6 @@ def table_location(spark: SparkSession, name_or_path: str) -> str:
     return described["data_type"]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 @dataclass
 class HourlyStore:
     """The kept hours of one usage table below ``folder`` (a path all executors share)."""
@@ -91,10 +87,12 @@ class HourlyStore:
                      .alias("signature")))
 
     def _read(self, name: str, schema: str) -> DataFrame:
-        path = os.path.join(self.root, name)
-        if not _exists(self.spark, path):
+        try:
+            return self.spark.read.schema(schema).parquet(os.path.join(self.root, name))
+        except AnalysisException as e:  # a new store has no folder yet
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
 
     def _replace(self, rows: DataFrame, name: str) -> None:
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day")

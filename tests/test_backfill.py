@@ -69,6 +69,30 @@ def test_a_date_without_usage_is_cleared(spark):
     assert {str(r["dt"]) for r in spark.read.parquet(out).select("dt").distinct().collect()} <= {"20240104"}
 
 
+def test_command_line_backfill_and_store(spark):
+    from reshift.cli import main
+
+    base = tempfile.mkdtemp(prefix="reshift-cli-many-")
+    usage, reservations = load_test_inputs(spark, SF_SMALL)
+    (usage.withColumn("dt", F.date_format("usagestartdate", "yyyyMMdd")).repartition(1)
+     .write.partitionBy("dt").parquet(f"{base}/usage"))
+    reservations.write.parquet(f"{base}/reservations")
+    common = ["--usage", f"{base}/usage", "--reservations", f"{base}/reservations", "--lookback-days", "6",
+              "--usage-partition-column", "dt", "--usage-partition-format", "%Y%m%d"]
+
+    def targets(name):
+        return ["--suggestions-target", f"{base}/{name}/s", "--shifts-target", f"{base}/{name}/r"]
+
+    main(["--run-dates", "20240118,20240130", *common, *targets("many")], spark=spark)
+    for date in ("20240118", "20240130"):
+        main(["--run-date", date, "--hourly-store", f"{base}/hours", *common, *targets("one")], spark=spark)
+    for name in "sr":
+        many, one = (spark.read.parquet(f"{base}/{kind}/{name}") for kind in ("many", "one"))
+        assert rows(many) == rows(one.select(*many.columns)) and many.select("dt").distinct().count() == 2
+    with pytest.raises(ValueError, match="back-fill"):
+        main(["--run-dates", "20240118", "--hourly-store", f"{base}/hours", *common, *targets("many")], spark=spark)
+
+
 def test_arguments(spark):
     usage, reservations = load_test_inputs(spark, SF_SMALL)
     with pytest.raises(ValueError, match="no run dates"):

@@ -7,10 +7,15 @@ import pytest
 
 from __spark_entry__ import entry
 from reshift.plans.oracle import oracle_sql
-from reshift.plans.queries import queries
+from reshift.plans import features, queries as stage_queries
 from tests.conftest import SF_SMALL
 from tools.compare import rows_of
 
+
+def queries():
+    return stage_queries.queries() | features.queries()
+
+
 KEYS = list(queries())
 SPARK_TO_DUCK = {"IntegerType()": "INTEGER", "LongType()": "BIGINT", "DoubleType()": "DOUBLE",
                  "StringType()": "VARCHAR", "TimestampNTZType()": "TIMESTAMP"}
@@ -26,7 +31,7 @@ def duck():
 
 def test_every_key_has_oracle():
     assert set(oracle_sql()) == set(KEYS)
-    assert len(KEYS) == 16
+    assert len(KEYS) == 16 + 5
 
 
 @pytest.mark.parametrize("key", KEYS)
@@ -61,7 +66,8 @@ def test_entry_smoke(spark):
     assert df.count() == 43
 
 
-@pytest.mark.parametrize("key", ["candidate_moves", "suggestions", "reservation_shift"])
+@pytest.mark.parametrize("key", ["candidate_moves", "suggestions", "reservation_shift", "walk_candidates",
+                                 "backfill_suggestions", "backfill_shifts"])
 def test_allocators_match_oracle_sf001(spark, key):
     from tests.conftest import SF_MEDIUM
 
