@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import xxhash
 
 from reshift.llm import quality, queries, toxicity, urls
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_MEDIUM, SF_SMALL
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FILLER = [f"{a}{b}" for a in "abcdefghij" for b in "lmnopqrs"]
@@ -218,45 +218,6 @@ def test_rules(spark):
     assert urls.judge(pages.limit(0)).collect() == []
 
 
-def brute_models(texts, accepted):
-    """Context and symbol counts in dictionaries instead of hashed tables."""
-    counts = [Counter(), Counter()]
-    for text, kind in zip(texts, accepted):
-        symbols = [b + 1 for b in text.encode()] + [0]
-        for i, s in enumerate(symbols):
-            for k in range(urls.ORDER + 1):
-                context = (k, tuple(symbols[max(0, i - k):i]) if i >= k else ("start", tuple(symbols[:i])))
-                counts[kind][context] += 1
-                counts[kind][context, s] += 1
-    return counts
-
-
-def test_ratio_equals_unhashed_counts(spark):
-    texts = ["good.org/a", "good.org/b", "bad.net/x1", "bad.net/x22"]
-    counts = brute_models(texts, [1, 1, 0, 0])
-    import pyarrow as pa
-    row, contexts, grams = urls.transitions(pa.array(texts))
-    tables = np.zeros((2, urls.SIZE), np.float32)
-    for e in (contexts, grams):
-        for k in (0, 1):
-            some = np.array([1, 1, 0, 0])[row] == k
-            tables[k] += np.bincount(e[:, some].ravel(), minlength=urls.SIZE)
-    probe = ["good.org/c", "bad.net/x", "", "é"]
-    got = urls.Models(tables).scores(pa.array(probe))
-    for text, score in zip(probe, got):
-        symbols, total = [b + 1 for b in text.encode()] + [0], 0.0
-        for i, s in enumerate(symbols):
-            p = [1 / 257, 1 / 257]
-            for k in range(urls.ORDER + 1):
-                context = (k, tuple(symbols[max(0, i - k):i]) if i >= k else ("start", tuple(symbols[:i])))
-                for m in (0, 1):
-                    n = counts[m][context]
-                    p[m] = (counts[m][context, s] + urls.SMOOTHING * p[m]) / (n + urls.SMOOTHING)
-            total += math.log(p[1] / p[0])
-        assert score == pytest.approx(total / len(symbols), abs=1e-5)
-    assert got[0] > 0 > got[1]
-
-
 def test_trained_counts_are_exact_for_many_contexts(spark):
     """More distinct contexts of one order than any table of 32,768 slots tells apart."""
     rng = np.random.default_rng(4)
@@ -283,7 +244,13 @@ def test_trained_counts_are_exact_for_many_contexts(spark):
     assert len({c for table in counts for c in table if c[0] == urls.ORDER}) > 1 << 16
     probe = [*texts[:40], "", "é", "unlike/any", *(t[:10] + "x" for t in texts[40:60])]
     import pyarrow as pa
-    for text, score in zip(probe, models.scores(pa.array(probe))):
+    counted, _ = urls.train(frame, most_keys=0)  # too many keys to send: the table of counts itself
+    asked = spark.createDataFrame([(i, t) for i, t in enumerate([*probe, probe[0]])], "h1 int, text string")
+    joined = {r["h1"]: r["score"] for r in urls.with_score(asked, F.col("text"), counted, "score").collect()}
+    assert len(joined) == len(probe) + 1 and joined[len(probe)] == joined[0]
+    sent = models.scores(pa.array(probe))
+    assert [joined[i] for i in range(len(probe))] == pytest.approx(sent.tolist(), abs=1e-9)
+    for text, score in zip(probe, sent):
         total = 0.0
         steps = list(symbols_and_contexts(text))
         for s, contexts in steps:
@@ -295,6 +262,25 @@ def test_trained_counts_are_exact_for_many_contexts(spark):
         assert score == pytest.approx(total / len(steps), abs=1e-9)
 
 
+@pytest.mark.parametrize("most_keys", [urls.MOST_KEYS, 10])
+def test_threshold_and_verdict_without_a_rule(spark, most_keys):
+    """The threshold has the best balanced accuracy on the URLs that the models did not see."""
+    pages = spark.read.parquet(f"{SF_MEDIUM}/pages.parquet").select("page_id", "url")
+    rows = urls.judge(pages, most_keys=most_keys).select(
+        "url_verdict.*", F.pmod(F.xxhash64(F.concat("url_verdict.host", "url_verdict.path")),
+                                F.lit(urls.CALIBRATION_FOLDS)).alias("fold")).collect()
+    unseen = [(math.floor(r["score"] / urls.WIDTH), r["verdict"] == "allow") for r in rows if r["rule"] and r["fold"] == 0]
+    good, bad = (sum(a == kind for _, a in unseen) for kind in (True, False))
+    assert good and bad
+    balance = {edge: sum(b >= edge for b, a in unseen if a) / good + sum(b < edge for b, a in unseen if not a) / bad
+               for edge in range(-1000, 1002)}
+    best = max(balance.values())
+    threshold = min((e for e in balance if balance[e] >= best - 1e-12), key=abs) * urls.WIDTH
+    judged = [r for r in rows if not r["rule"]]
+    assert len(judged) > 50 and {r["verdict"] for r in judged} == {"allow", "block"}
+    assert all((r["score"] >= threshold) == (r["verdict"] == "allow") for r in judged)
+
+
 def test_registered_urls(spark):
     got = queries.op4_url_ratio(spark, SF_SMALL).collect()
     pages = ds.dataset(f"{SF_SMALL}/pages.parquet").to_table(columns=["page_id", "url"]).to_pylist()
