@@ -41,6 +41,7 @@ SAMPLES_ALIKE = 60
 BLOCK = 512
 ROWS_A_UNIT = 2000
 PAIRS_A_STEP = 8192
+SHINGLES_A_STEP = 1 << 19  # of both sides of the pairs that are compared at a time
 # ids sent to every task at most (8 bytes each); more are joined by a shuffle
 MAX_SENT_IDS = 1_000_000
 CHUNK = 1 << 16
@@ -118,6 +119,19 @@ def weighted_shingles(column: pa.Array, idf: np.ndarray):
     return key, heavy[order][new] * times, starts
 
 
+def shingles_of(texts: pa.Array, idf: np.ndarray):
+    """``weighted_shingles`` of texts of any total length, a bounded part of them at a time."""
+    keys, weights, starts, rows, total = [], [], [np.zeros(1, np.int64)], 0, 0
+    for some in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), 0):
+        key, weight, at = weighted_shingles(some.column(0), idf)
+        keys.append(key + (_U(rows) << _U(48)))
+        weights.append(weight)
+        starts.append(at[1:] + total)
+        rows, total = rows + some.num_rows, total + len(key)
+    return (np.concatenate(keys) if keys else np.zeros(0, _U), np.concatenate(weights) if weights else np.zeros(0, np.float32),
+            np.concatenate(starts))
+
+
 class Sampler:
     """Consistent weighted samples. The random variates of a (shingle, sample) come from a table."""
 
@@ -274,12 +288,17 @@ def pair_similarities(key, weight, starts, left: np.ndarray, right: np.ndarray)
         at = np.repeat(starts[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         return (np.repeat(np.arange(len(rows)), n) << 32) | shingle[at], weight[at]
 
-    for cut in range(0, len(left), PAIRS_A_STEP):
-        a, b = left[cut:cut + PAIRS_A_STEP], right[cut:cut + PAIRS_A_STEP]
+    ends = np.cumsum(sizes[left] + sizes[right])
+    cut = 0
+    while cut < len(left):
+        before = ends[cut - 1] if cut else 0
+        stop = max(int(np.searchsorted(ends, before + SHINGLES_A_STEP, "right")), cut + 1)
+        a, b = left[cut:stop], right[cut:stop]
         (key_a, w_a), (key_b, w_b) = entries(a), entries(b)
         shared, ia, ib = np.intersect1d(key_a, key_b, assume_unique=True, return_indices=True)
         both = np.bincount(shared >> 32, np.minimum(w_a[ia], w_b[ib]), len(a))
-        out[cut:cut + len(a)] = both / (total[a] + total[b] - both)
+        out[cut:stop] = both / (total[a] + total[b] - both)
+        cut = stop
     return out
 
 
@@ -306,7 +325,9 @@ def _resolve(idf: np.ndarray, least: float):
             likely[cut:cut + len(a)] = first & ((marks[a] == marks[b]).sum(axis=1) >= SAMPLES_ALIKE)
         left, right = left[likely], right[likely]
         if len(left):
-            alike = pair_similarities(*weighted_shingles(unit["text"].combine_chunks(), idf), left, right) >= least - 1e-9
+            used, at = np.unique(np.concatenate((left, right)), return_inverse=True)
+            texts = unit["text"].combine_chunks().take(pa.array(used))
+            alike = pair_similarities(*shingles_of(texts, idf), at[:len(left)], at[len(left):]) >= least - 1e-9
             left, right = left[alike], right[alike]
         classes_joined = np.sort(np.stack((group[left], group[right]), axis=1), axis=1)
         one_each = np.unique(classes_joined, axis=0, return_index=True)[1]
