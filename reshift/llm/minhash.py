@@ -19,9 +19,10 @@ many with a probability of 1 - 3e-7). Units return at most one link per pair of
 pairs, so no link that joins classes is lost and no group meets in one task.
 
 Defined cases: words are cut at ASCII white space and folded to lower case for A-Z; null and empty texts
-have no shingle and link with nothing, not even with each other; rows with a null ``doc_id`` have a null
-class; several rows with one ``doc_id`` are one document, whose smallest text is verified; an empty table
-gives an empty result; other columns pass through ``keep_first`` and are not read elsewhere.
+have no shingle and link with nothing, not even with each other. Every row is a document of its own, under
+a key that is written with it: of a class one row is kept, that of the smallest ``doc_id`` (nulls last,
+among equal ids any one row), whose id names the class; a class of rows without id has none. An empty
+table gives an empty result; other columns pass through ``keep_first`` and are not read elsewhere.
 """
 
 from __future__ import annotations
@@ -384,18 +385,36 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     return grouped.select(F.col("node").alias("id"), F.col("component").alias("class_id"))
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of its own for every row, written so that it stays."""
+    key = free_name(docs, "row_key")
+    return shared_table(docs.withColumn(key, F.monotonically_increasing_id())), key
+
+
+def _firsts(rows: DataFrame, key: str, least: float) -> DataFrame:
+    """``(row, first)`` of every row in a group of two or more: the group's row of the smallest ``doc_id``.
+
+    Null ids come last; among equal ids the first key counts. ``first`` is a struct with ``doc_id`` and ``row``.
+    """
+    found = classes(rows.select(F.col(key).alias("doc_id"), "text"), least)
+    ids = rows.select(F.col(key).alias("id"), F.col("doc_id").cast("long").alias("doc_id"))
+    few = shared_table(found.join(ids, "id"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.col("id").alias("row"))
+    return few.join(few.groupBy("class_id").agg(F.min(order).alias("first")), "class_id").select(F.col("id").alias("row"), "first")
+
+
 def duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, class_id`` and ``kept`` (the class's smallest id)."""
-    found = classes(docs, least)
-    return docs.select("doc_id").join(found, F.col("doc_id") == F.col("id"), "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").cast("long").alias("class_id"),
-        F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
+    """One row per row of ``docs``: ``doc_id, class_id`` (the class's smallest id) and ``kept`` (one row of a class)."""
+    rows, key = _keyed(docs.select("doc_id", "text"))
+    firsts = _firsts(rows, key, least)
+    return rows.select("doc_id", F.col(key).alias("row")).join(firsts, "row", "left").select(
+        "doc_id", F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).cast("long").alias("class_id"),
+        F.coalesce(F.col("row") == F.col("first.row"), F.lit(True)).alias("kept"))
 
 
 def keep_first(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """``docs`` without the documents that have a smaller id in their class."""
-    gone = shared_table(classes(docs, least).where("id <> class_id").select("id"))
-    name = free_name(docs, "gone_id")
-    gone = gone.withColumnRenamed("id", name)
+    """``docs`` with one row of each class, that of the smallest id."""
+    rows, key = _keyed(docs)
+    gone = shared_table(_firsts(rows, key, least).where("row <> first.row").select(F.col("row").alias(f"{key}_gone")))
     few = gone.limit(MAX_SENT_IDS + 1).count() <= MAX_SENT_IDS
-    return docs.join(F.broadcast(gone) if few else gone, F.col("doc_id") == F.col(name), "left_anti")
+    return rows.join(F.broadcast(gone) if few else gone, F.col(key) == F.col(f"{key}_gone"), "left_anti").drop(key)
