@@ -32,7 +32,7 @@ def op5_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.replace_entities(table(spark, sf_dir, "documents"), into="entities")
+    return pii.replace_checked(table(spark, sf_dir, "documents"))
 
 
 def op7_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:

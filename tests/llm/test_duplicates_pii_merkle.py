@@ -121,14 +121,28 @@ def test_duplicates_edge_cases(spark):
     rows = [(1, None, "x"), (2, "", "x"), (3, "", "x"), (None, long, "x"), (4, long, "x"), (5, long + " end", "x"),
             (6, "two words", "x"), (7, "Two\tWORDS", "x"), (8, "other pair", "x"), (8, "other pair", "y"), (9, " \n", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, class_id string")
-    got = {r["doc_id"]: (r["class_id"], r["kept"]) for r in minhash.duplicates(docs).collect()}
-    assert got == {1: (1, True), 2: (2, True), 3: (3, True), None: (None, True), 4: (4, True), 5: (4, False),
-                   6: (6, True), 7: (6, False), 8: (8, True), 9: (9, True)}
+    got = sorted((r["doc_id"] or 0, r["class_id"], r["kept"]) for r in minhash.duplicates(docs).collect())
+    assert got == [(0, 4, False), (1, 1, True), (2, 2, True), (3, 3, True), (4, 4, True), (5, 4, False), (6, 6, True),
+                   (7, 6, False), (8, 8, False), (8, 8, True), (9, 9, True)]
     kept = minhash.keep_first(docs)
-    assert kept.columns == docs.columns and kept.count() == len(rows) - 2
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3, 4, 6, 8, 9]
     assert minhash.duplicates(docs.limit(0)).collect() == []
 
 
+def test_one_row_of_a_class_stays_whatever_its_ids(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    rows = [(None, text), (3, text), (4, text), (None, text), (3, text), (7, "another text of its own"),
+            (7, text + " end"), (None, "alone without an id"), (None, "twin without an id here"), (None, "twin without an id here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = sorted(map(tuple, minhash.keep_first(docs).collect()), key=repr)
+    assert kept == sorted([(3, text), (7, "another text of its own"), (None, "alone without an id"),
+                           (None, "twin without an id here")], key=repr)
+    judged = minhash.duplicates(docs).collect()
+    assert len(judged) == len(rows) and sum(r["kept"] for r in judged) == len(kept)
+    assert sorted(str(r["class_id"]) for r in judged) == ["3"] * 6 + ["7", "None", "None", "None"]
+
+
 def test_components(spark):
     rng = np.random.default_rng(4)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(i, i + 1) for i in range(1000, 1040)]
@@ -282,6 +296,69 @@ def test_card_check_digit_is_kept():
     assert new != valid and new[-1] == str(pii.luhn_digit(new[:-1]))
 
 
+HIDDEN = ["张三@例子.com", "이메일@회사.kr", "Mr Éé", "secret='____________'", "Mr. McDonald", "Mme Jean-Pierre Dupont",
+          "Ms O'Brien", "Dr. J. R. Smith", "Mr John Fitzgerald Kennedy", "GB82 WEST 1234 5698 7654 32", "078-05-1120",
+          "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "abcd:abcd:abcd:abcd:abcd:abcd:abcd:abcd"]
+
+
+@pytest.mark.parametrize("text", HIDDEN)
+def test_nothing_keeps_its_value(text):
+    out, found = pii.Surrogates("k").rewrite(f"so: {text} and more")
+    (kind, entity, new), = found
+    assert out == f"so: {text} and more".replace(entity, new) and len(new) == len(entity)
+    runs = [re.findall(r"[^\W_]+", x) for x in (entity.split(".com")[0].split(".kr")[0], new.split(".com")[0].split(".kr")[0])]
+    assert len(runs[0]) == len(runs[1]) and all(a != b for a, b in zip(*runs, strict=True) if kind != "iban" and len(a) > 1)
+    assert [c.isupper() for c in new] == [c.isupper() for c in entity] or kind in ("iban", "ip6", "secret")
+    if kind == "iban":
+        assert pii.valid_iban(new) and pii.valid_iban(entity) and not pii.PATTERN.search("DE00 1234")
+
+
+def test_names_never_share_a_surrogate():
+    names = pii.Surrogates("k")
+    seen = {}
+    for title in ("Mr", "Mrs", "Dr"):
+        for a in "abcdefghijklmnopqrstuvwxyz":
+            for b in "abcdefghijklmnopqrstuvwxyz":
+                name = (a + b).capitalize()
+                seen.setdefault(names.rewrite(f"{title} {name}")[1][0][2], set()).add(name)
+    for listed in (n for some in pii.GIVEN.values() for n in some):
+        seen.setdefault(names.rewrite(f"Mr {listed}")[1][0][2], set()).add(listed)
+    assert all(len(x) == 1 for x in seen.values()) and not any(new in old for new, old in seen.items())
+    for some in pii.GIVEN.values():  # gender and script stay
+        assert {names.rewrite(f"Mr {n}")[1][0][2] for n in some} == set(some)
+
+
+def test_later_mentions_of_a_name():
+    out, found = pii.Surrogates("k").rewrite("Smith called. Mr Smith and Ms Anna O'Brien came; Smith left, O'Brien and Anna stayed. Smithy too.")
+    by = {e: s for _, e, s in found}
+    assert "Smith " not in out and "Anna" not in out and "Brien" not in out and out.endswith("Smithy too.")
+    assert out.count(by["Smith"]) == 3 and by["Anna O'Brien"] == f"{by['Anna']} {by[chr(79) + chr(39) + 'Brien']}"
+
+
+def test_keys_of_the_session_and_of_the_caller(spark, caplog):
+    docs = spark.createDataFrame([(1, "mail jane.72@mail3.example.com")], "doc_id long, text string")
+    plain = pii.replace_entities(docs).first()["text"]
+    assert "public key" in caplog.text and plain == pii.Surrogates(pii.DEFAULT_KEY).rewrite("mail jane.72@mail3.example.com")[0]
+    spark.conf.set(pii.KEY_SETTING, "mine")
+    try:
+        assert pii.replace_entities(docs).first()["text"] == pii.replace_entities(docs, "mine").first()["text"] != plain
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+
+
+def test_collisions_end_the_query(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a.1@b.com c.2@d.com"), (2, "A.1@b.com")], "doc_id long, text string")
+    assert pii.replace_checked(docs).count() == 2
+    kinds = "doc_id long, entities array<struct<type:string,entity:string,surrogate:string>>"
+    for entities in ([("email", "a@b.c", "x@y.c"), ("email", "d@b.c", "X@y.c")], [("name", "Al Bo", "Xy Zu"), ("name", "Al", "Xu")]):
+        replaced = spark.createDataFrame([(1, entities)], kinds)
+        (r,) = pii.collisions(replaced).collect()
+        assert r["shared"] + r["split"] == 1
+        monkeypatch.setattr(pii, "replace_entities", lambda *a, replaced=replaced: replaced)
+        with pytest.raises(pii.SharedSurrogate):
+            pii.replace_checked(docs)
+
+
 def test_rewriting_documents(spark):
     clean = "Version 2.0 of 3. April, 12 eggs, a@b and 4.0. | 1.5"
     rows = [(1, "mail jane.72@mail3.example.com", "a"), (2, "again jane.72@mail3.example.com", "b"), (3, None, "c"),
@@ -399,3 +476,19 @@ def test_copies_in_the_small_table_are_one_class(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("text <> ''")
     spread = docs.join(got, "doc_id").groupBy("text").agg(F.countDistinct("class_id").alias("n"))
     assert spread.where("n > 1").count() == 0
+
+
+def test_shingles_in_bounded_parts_equal_the_whole(monkeypatch):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(rng.choice(list("abcdefgh"), rng.integers(0, 40))) for _ in range(60)]
+    idf = np.log1p(rng.integers(1, 9, minhash.IDF_BUCKETS) / 2.0)
+    whole = minhash.weighted_shingles(pa.array(texts), idf)
+    cut = minhash.slices
+    monkeypatch.setattr(minhash, "slices", lambda batch, *c: cut(batch, *c, most_bytes=200))
+    parts = minhash.shingles_of(pa.array(texts), idf)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, parts, strict=True))
+    left, right = np.array([0, 3, 5, 9, 9]), np.array([1, 4, 30, 10, 59])
+    one = minhash.pair_similarities(*parts, left, right)
+    monkeypatch.setattr(minhash, "SHINGLES_A_STEP", 1)
+    assert np.allclose(minhash.pair_similarities(*parts, left, right), one, equal_nan=True)
+    assert all(x.size == 0 or x.tolist() == [0] for x in minhash.shingles_of(pa.array([], pa.string()), idf))
