@@ -39,9 +39,9 @@ def main() -> None:
         "tree), followed by the scan lines of the formatted plan.",
         "",
     ]
-    summary = ["| key | shuffles | broadcasts | Parquet scans | Python folds |", "| --- | --- | --- | --- | --- |"]
+    summary = ["| key | shuffles | broadcasts | Parquet scans | streamed folds |", "| --- | --- | --- | --- | --- |"]
     sections = []
-    for key in QUERY_KEYS:
+    for key in (*QUERY_KEYS, "unused_rollups", "walk_candidates"):
         st = Stages(load_usage(spark, f"{base}/usage"),
                     load_reservations(spark, f"{base}/reservations"), TEST_PARAMS)
         df = getattr(st, key)
@@ -59,7 +59,7 @@ def main() -> None:
         shuffles = sum(1 for n in nodes if n.startswith("Exchange") or n.startswith("ReusedExchange"))
         broadcasts = sum(1 for n in nodes if n.startswith("BroadcastExchange"))
         scans_n = sum(1 for n in nodes if n.startswith("Scan parquet"))
-        folds = sum(1 for n in nodes if n.startswith("FlatMapGroupsInPandas"))
+        folds = sum(1 for n in nodes if n.startswith("MapInArrow"))
         summary.append(f"| `{key}` | {shuffles} | {broadcasts} | {scans_n} | {folds} |")
         sections += [f"## `{key}`", "", "```", tree.rstrip(), "", *scans, "```", ""]
     lines += ["Per key, in the final plan (a reused exchange counts as a shuffle it reads):", "",
