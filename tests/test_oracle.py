@@ -8,7 +8,7 @@ import pytest
 from __spark_entry__ import entry
 from reshift.plans.oracle import oracle_sql
 from reshift.plans import features, queries as stage_queries
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_MEDIUM, SF_SMALL
 from tools.compare import rows_of
 
 
@@ -66,15 +66,18 @@ def test_entry_smoke(spark):
     assert df.count() == 43
 
 
-@pytest.mark.parametrize("key", ["candidate_moves", "suggestions", "reservation_shift", "walk_candidates",
-                                 "backfill_suggestions", "backfill_shifts"])
-def test_allocators_match_oracle_sf001(spark, key):
-    from tests.conftest import SF_MEDIUM
+SF_LARGE = "/root/testdata/sf0.1"
+
 
+@pytest.mark.parametrize(("key", "sf_dir"), [
+    *((key, SF_MEDIUM) for key in ("candidate_moves", "suggestions", "reservation_shift", "walk_candidates",
+                                   "backfill_suggestions", "backfill_shifts")),
+    ("suggestions", SF_LARGE), ("reservation_shift", SF_LARGE)])
+def test_allocators_match_oracle_at_size(spark, key, sf_dir):
     con = duckdb.connect()
     for t in ("events", "part"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_MEDIUM, t)}.parquet')")
-    df = queries()[key](spark, SF_MEDIUM)
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(sf_dir, t)}.parquet')")
+    df = queries()[key](spark, sf_dir)
     rel = con.sql(oracle_sql()[key])
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(rel.columns, rel.fetchall())
 
