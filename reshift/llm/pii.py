@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reshift.llm.common import free_name
+from reshift.llm.common import free_name, shared_table
 
 log = logging.getLogger(__name__)
 
@@ -399,12 +399,13 @@ def collisions(replaced: DataFrame, column: str = "entities") -> DataFrame:
         return (F.when(F.col("e.type").isin("phone", "card", "ssn") & (digits != ""), digits)
                 .when(F.col("e.type") == "secret", value).otherwise(F.lower(F.replace(value, F.lit(" "), F.lit("")))))
 
-    pairs = replaced.select(F.explode(column).alias("e")).where("e.type <> 'name'").select(
-        "e.type", canon("entity").alias("entity"), canon("surrogate").alias("surrogate"))
     # names are compared part by part: that is what has a surrogate
-    parts = replaced.select(F.explode(column).alias("e")).where("e.type = 'name'").select("e.type", F.explode(F.arrays_zip(
-        *[F.regexp_extract_all(F.lower(f"e.{c}"), F.lit(r"\p{L}+"), F.lit(0)).alias(c) for c in ("entity", "surrogate")])).alias("p"))
-    pairs = pairs.union(parts.select("type", "p.entity", "p.surrogate")).distinct()
+    parts = F.arrays_zip(*[F.regexp_extract_all(F.lower(f"e.{c}"), F.lit(r"\p{L}+"), F.lit(0)).alias(c)
+                           for c in ("entity", "surrogate")])
+    whole = F.array(F.struct(canon("entity").alias("entity"), canon("surrogate").alias("surrogate")))
+    pairs = replaced.select(F.explode(column).alias("e")).select(
+        "e.type", F.explode(F.when(F.col("e.type") == "name", parts).otherwise(whole)).alias("p"))
+    pairs = shared_table(pairs.select("type", "p.*").distinct())  # read twice, found once
     shared = pairs.groupBy("type", "surrogate").agg(F.count("*").alias("n"))
     split = pairs.groupBy("type", "entity").agg(F.count("*").alias("n")).groupBy("type").agg(
         F.count_if(F.col("n") > 1).alias("split"))
