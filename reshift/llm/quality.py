@@ -7,11 +7,12 @@ trusted documents, one on all documents. A document's score is the mean over its
 ``ln p_trusted - ln p_raw``; it is kept if the score reaches a threshold, halfway between the mean
 scores of the trusted and of the rejected labelled documents.
 
-The raw multinomial covers every document. The trusted one and the threshold come from at most
-``max_labelled`` labelled rows (smallest hashes of ``doc_id``), a set small enough to broadcast, so
-the texts are never shuffled. Counts are whole numbers and a score adds up inside one row: results do
-not depend on partitioning. The model, ``BUCKETS`` weights and one threshold, is a constant of the
-scoring expression; nothing else passes the driver.
+The raw multinomial covers every document, the trusted one and the threshold every labelled document:
+texts meet their labels once, in a shuffled join. A class's mean score is linear in the weights, so the
+same pass adds up, by bucket and class, the shares of their documents that n-grams make up, in units of
+``1 / SHARES``. Counts and shares are whole numbers and a score adds up inside one row: results do not
+depend on partitioning. The model, ``BUCKETS`` weights and one threshold, is a constant of the scoring
+expression; nothing else passes the driver.
 
 Defined cases: a null or empty text has no words and fails the base rules; a null ``doc_id`` is judged
 like any other; repeated rows are judged each; without trusted or without rejected labels the threshold
@@ -25,11 +26,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reshift.llm.common import SPACE, bind, free_name, shared_table
+from reshift.llm.common import SPACE, bind, free_name
 
 BUCKETS = 1 << 14
 SMOOTHING = 1.0
-MAX_LABELLED = 20_000
+SHARES = 1 << 36  # a class of 2**27 documents fits a long even if all have the same single n-gram
 DEFAULT_THRESHOLD = -0.5
 SYMBOL = "[#*$%&|<>]"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -113,29 +114,52 @@ def ngram_buckets(text: Column) -> Column:
     return bind(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), both)
 
 
-def labelled_sample(labels: DataFrame, max_labelled: int) -> DataFrame:
-    """``(labelled_id, quality)`` of at most ``max_labelled`` documents, the same ones every time."""
+def labelled(labels: DataFrame) -> DataFrame:
+    """``(key, quality)`` of every labelled document."""
     return (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
-            .groupBy(F.col("doc_id").alias("labelled_id")).agg(F.min("quality").alias("quality"))
-            .orderBy(F.xxhash64("labelled_id"), "labelled_id").limit(max_labelled))
-
-
-def weights(docs: DataFrame, sample: DataFrame) -> Column:
-    """The log ratio of every bucket as a constant array."""
-    rows = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("labelled_id"), "left")
-    counts = (rows.select(F.explode(ngram_buckets(F.col("text"))).alias("bucket"),
-                          F.coalesce(F.col("quality") == 1, F.lit(False)).cast("long").alias("trusted"))
-              .groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("trusted")))
-    raw, trusted = [0] * BUCKETS, [0] * BUCKETS
-    for r in counts.collect():  # at most BUCKETS rows
-        raw[r["bucket"]], trusted[r["bucket"]] = r["raw"], r["trusted"]
-
-    def shares(n: list[int]) -> list[float]:
+            .groupBy(F.struct(F.col("doc_id").alias("id"), F.lit(0).cast("long").alias("spread")).alias("key"))
+            .agg(F.min("quality").alias("quality")))
+
+
+def count_grams(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(bucket, class, n, shares)``: n-grams by class (1 trusted, 0 rejected, null neither) and the sums of
+    their shares of a document; bucket ``BUCKETS`` counts the documents themselves."""
+    # documents without an id have no label; their texts spread them over the tasks
+    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+    texts = docs.select(F.struct(F.col("doc_id").alias("id"), spread.alias("spread")).alias("key"), "text")
+    rows = texts.join(labelled(labels).hint("shuffle_hash"), "key", "left").select(
+        F.when(F.col("quality").isin(0, 1), F.col("quality")).alias("class"),
+        ngram_buckets(F.col("text")).alias("grams"))
+    share = F.when(F.size("grams") > 0, F.round(SHARES / F.size("grams"))).otherwise(0).cast("long")
+    return (rows.select("class", share.alias("share"),
+                        F.explode(F.concat("grams", F.array(F.lit(BUCKETS)))).alias("bucket"))
+            .groupBy("bucket", "class").agg(F.count("*").alias("n"), F.sum("share").alias("shares")))
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[Column, float]:
+    """The log ratio of every bucket as a constant array, and the threshold."""
+    raw, trusted, members = [0] * BUCKETS, [0] * BUCKETS, {}
+    shares = {0: [0] * BUCKETS, 1: [0] * BUCKETS}
+    for bucket, of, n, share in count_grams(docs, labels).collect():  # at most 3 * (BUCKETS + 1) rows
+        if bucket == BUCKETS:
+            members[of] = n
+            continue
+        raw[bucket] += n
+        if of is not None:
+            shares[of][bucket] = share
+        if of == 1:
+            trusted[bucket] = n
+
+    def logs(n: list[int]) -> list[float]:
         total = sum(n) + SMOOTHING * BUCKETS
         return [math.log((x + SMOOTHING) / total) for x in n]
 
-    ratios = ",".join(f"{t - r:.9g}" for t, r in zip(shares(trusted), shares(raw)))
-    return F.split(F.lit(ratios), ",").cast("array<double>")
+    ratios = [f"{t - r:.9g}" for t, r in zip(logs(trusted), logs(raw))]
+    threshold = DEFAULT_THRESHOLD
+    if {0, 1} <= members.keys():
+        means = [sum(float(w) * x for w, x in zip(ratios, shares[of])) / SHARES / members[of] for of in (0, 1)]
+        threshold = sum(means) / 2
+    return F.split(F.lit(",".join(ratios)), ",").cast("array<double>"), threshold
 
 
 def mean_ratio(text: Column, w: Column) -> Column:
@@ -144,16 +168,9 @@ def mean_ratio(text: Column, w: Column) -> Column:
         F.aggregate(grams, F.lit(0.0), lambda s, g: s + F.get(w, g)) / F.size(grams)))
 
 
-def judge(docs: DataFrame, labels: DataFrame, into: str = "quality", max_labelled: int = MAX_LABELLED) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, into: str = "quality") -> DataFrame:
     """``docs`` with a struct column ``into``: the base counts, ``base_failed``, ``score`` and ``kept``."""
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    sample = shared_table(labelled_sample(labels, max_labelled))
-    w = weights(texts, sample)
-    scored = (texts.join(F.broadcast(sample), F.col("doc_id") == F.col("labelled_id"))
-              .select("quality", F.round(mean_ratio(F.col("text"), w), 6).cast("decimal(20,6)").alias("score")))
-    means = {r["quality"]: float(r["mean"]) for r in
-             scored.groupBy("quality").agg(F.avg("score").alias("mean")).collect()}
-    threshold = (means[0] + means[1]) / 2 if {0, 1} <= means.keys() else DEFAULT_THRESHOLD
+    w, threshold = fit(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), labels)
     text = F.coalesce(docs["text"], F.lit(""))
     counts, score = free_name(docs, "counts"), free_name(docs, "ratio")
     out = docs.select("*", base_counts(text).alias(counts),

@@ -100,6 +100,26 @@ def test_scores_equal_brute_force(spark):
         assert got[doc]["kept"] == (doc < 100)
 
 
+def test_quality_learns_from_every_label(spark):
+    """More labels than the 20,000 that were once counted; ids that are null, repeated or without a label."""
+    n = 24_000
+    rows = [(i, f"w{i % 97} w{i % 89} common" if i % 5 else f"W{i % 83}!! x{i % 7}") for i in range(n)]
+    rows += [(None, "w1 no id")] * 40 + [(3, "again w2"), (5, None), (n + 1, "w3 unlabelled"), (n + 2, "!!")]
+    labels = [(i, int(i % 5 > 0)) for i in range(n)] + [(None, 1), (n + 1, None), (n + 2, 2), (n + 9, 1), (3, 0)]
+    quality_of = {d: q for d, q in labels if d is not None} | {3: 0}  # of several labels the smallest counts
+    scores = brute_quality(rows, list(quality_of.items()))
+    means = [np.mean([score for (d, _), score in zip(rows, scores) if d is not None and quality_of.get(d) == q])
+             for q in (0, 1)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    table = spark.createDataFrame(labels, "doc_id long, quality int")
+    got = quality.judge(documents, table).select("text", "quality.score").distinct().collect()
+    wanted = {t: score for (_, t), score in zip(rows, scores)}
+    assert {r["text"] for r in got} == wanted.keys()
+    assert all(r["score"] == pytest.approx(wanted[r["text"]], abs=1e-6) for r in got)
+    _, threshold = quality.fit(documents.fillna("", "text"), table)
+    assert threshold == pytest.approx(sum(means) / 2, abs=1e-7)
+
+
 def test_quality_on_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
