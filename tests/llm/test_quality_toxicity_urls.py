@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 import xxhash
 
+import corpus_pipeline
 from reshift.llm import quality, queries, toxicity, urls
 from tests.conftest import SF_MEDIUM, SF_SMALL
 
@@ -120,6 +121,23 @@ def test_quality_learns_from_every_label(spark):
     assert threshold == pytest.approx(sum(means) / 2, abs=1e-7)
 
 
+def test_pipeline_judges_by_every_label(spark, tmp_path):
+    """The few labels of the documents count beside many others: a sample would miss most of them."""
+    rng = np.random.default_rng(6)
+
+    def about(topic):
+        return " ".join(rng.choice([f"{topic}{x}" for x in "bcdfghjklmnp"], 60))
+
+    # each topic has one labelled document and one without a label
+    good, junk = ([(at + i, about(f"{name}{i % 30}")) for i in range(60)] for at, name in ((0, "good"), (100, "junk")))
+    labels = [(i, int(i < 60)) for i in [*range(30), *range(100, 130)]]
+    others = spark.range(1000, 401_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    spark.createDataFrame(labels, "doc_id long, quality int").union(others).write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame(good + junk, "doc_id long, text string")
+    kept = [r["doc_id"] for r in corpus_pipeline.quality_rules(spark, docs, str(tmp_path)).collect()]
+    assert sorted(kept) == [d for d, _ in good]
+
+
 def test_quality_on_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
