@@ -10,11 +10,13 @@ Before each id the model makes predictions of three orders and mixes them:
 
 The total of ``2**24`` is divided among the four by weights that adapt to which of them has been right, kept
 apart by which predictions exist and agree. An id is coded in the part of the first prediction that names
-it. The arithmetic coder keeps 64-bit intervals and emits 16-bit words without carries: an interval that
-straddles a word's edge while it gets too narrow is cut at the edge.
+it. The arithmetic coder keeps intervals of up to 62 bits and emits 32-bit digits; a digit keeps its carry
+until the block's end, where carries move to the digits before.
 
 All blocks given in one call are coded in lockstep, an array entry per block, so that the work per id is
-array arithmetic. Encoder and decoder run the same ``Model``; every number in it is an integer.
+array arithmetic. The decoder learns an id before it predicts the next. The encoder knows all ids, so it
+finds the predictions of whole blocks by sorting, and only weights and intervals go step by step. Every
+number in the model is an integer.
 """
 
 from __future__ import annotations
@@ -24,7 +26,8 @@ import zlib
 import numpy as np
 
 BLOCK = 2048
-LANES = 512  # blocks coded together: some 60 MB
+LANES = 1024  # blocks coded together: some 150 MB
+LANES_A_SORT = 32  # blocks sorted together, so that they stay in a core's cache
 RENEWED = (128, 256, 512, 1024)  # powers of two, so that dividing by the number of counted ids is a shift
 TABLE_BITS = 11
 TOTAL_BITS, UNIT_BITS, BASE_BITS = 24, 12, 18
@@ -35,202 +38,321 @@ RATE = 5
 KEPT_BITS = np.int64(0x07FF_07FF_07FF)
 GAINS = np.array([121 | 1 << 16 | 1 << 32, 1 | 121 << 16 | 1 << 32, 1 | 1 << 16 | 121 << 32, 1 | 1 << 16 | 1 << 32])
 AT_FIRST = np.int64(600 | 600 << 16 | 600 << 32)
-WORD_BITS, TOP, BOTTOM = 16, np.uint64(1) << np.uint64(48), np.uint64(1) << np.uint64(32)
+# A digit is shifted out when the interval is below 2**EDGE_BITS. One is enough: no id takes less than 2**-24
+# of the interval.
+DIGIT_BITS, EDGE_BITS = 32, 30
+EDGE, DIGIT = np.int64(1 << EDGE_BITS), np.int64((1 << DIGIT_BITS) - 1)
+WHOLE = np.int64(1 << EDGE_BITS + DIGIT_BITS)
+KEPT_OF_LOW = np.array([-1, (1 << EDGE_BITS) - 1])  # by whether a digit is shifted out
+# A choice of the model, packed: the id, where its part begins and how wide it is, both in counts.
+PLACE_BITS = BASE_BITS + 1
+PLACE = (1 << PLACE_BITS) - 1
+STEPS_A_PART = 16  # steps whose intervals are computed together
 MAX_VOCABULARY = 1 << 17
 
-_U = np.uint64
 
-
-def base_distribution(vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cumulative counts of the fixed distribution, and the id of every count."""
+def base_distribution(vocabulary: int) -> np.ndarray:
+    """Cumulative counts of the fixed distribution."""
     if not 0 < vocabulary <= MAX_VOCABULARY:
         raise ValueError(f"a vocabulary has 1 to {MAX_VOCABULARY} ids, not {vocabulary}")
     share = 1.0 / (np.arange(vocabulary) + 20.0)
     counts = 1 + np.floor(share / share.sum() * ((1 << BASE_BITS) - vocabulary)).astype(np.int64)
     counts[0] += (1 << BASE_BITS) - counts.sum()
-    edges = np.concatenate(([0], np.cumsum(counts)))
-    return edges, np.repeat(np.arange(vocabulary), counts)
-
-
-class Model:
-    """Predictions for the next id of every lane, and their adaptation."""
-
-    def __init__(self, lanes: int, vocabulary: int):
-        self.lanes, self.vocabulary = lanes, vocabulary
-        self.edges, self.of_count = base_distribution(vocabulary)
-        self.lane = np.arange(lanes)
-        # ids need 17 bits; arrays of a block's length hold them in 32, the few of one step in 64
-        self.after_one = np.full(lanes << TABLE_BITS, -1, np.int32)
-        self.after_two = np.full(lanes << TABLE_BITS, -1, np.int32)
-        self.table, self.cases = self.lane << TABLE_BITS, self.lane << 2
-        self.weights = np.full(lanes * 4, AT_FIRST, np.int64)
-        self.one = np.zeros(lanes, np.int64)
-        self.two = np.zeros(lanes, np.int64)
-        self.known = 0  # ids that order 0 has counted
-        self.ordered = self.first = self.times = np.zeros(0, np.int32)
-
-    def renew(self, history: np.ndarray) -> None:
-        """Count the ids so far; ``history`` is ``(lanes, ids)``."""
-        self.known = n = history.shape[1]
-        self.row, self.down = self.lane * n, UNIT_BITS - (n.bit_length() - 1)
-        ordered = np.sort(history, axis=1)
-        opens = np.ones(ordered.shape, bool)
-        opens[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
-        starts = np.flatnonzero(opens.ravel())
-        lengths = np.diff(np.append(starts, ordered.size))
-        self.ordered = ordered.ravel()
-        self.first = np.repeat((starts % n).astype(np.int32), lengths)
-        self.times = np.repeat(lengths.astype(np.int32), lengths)
-
-    def locate(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where ``(lanes, k)`` ids stand among the counted ones: first place and count (0: not there)."""
-        if self.known == 0:
-            return np.zeros(ids.shape, np.int32), np.zeros(ids.shape, np.int32)
-        key = (self.lane[:, None] * self.vocabulary + ids).ravel()
-        keys = self.ordered + np.repeat(self.lane * self.vocabulary, self.known)
-        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        times = np.where(keys[at] == key, self.times[at], np.int32(0))
-        return self.first[at].reshape(ids.shape), times.reshape(ids.shape)
-
-    def predict(self) -> None:
-        slots = (1 << TABLE_BITS) - 1
-        self.i1 = (self.one * 0x9E3779B1 >> 7 & slots) + self.table
-        self.i2 = (self.one * 0x85EBCA6B + self.two * 0xC2B2AE35 >> 9 & slots) + self.table
-        self.p1, self.p2 = self.after_one.take(self.i1).astype(np.int64), self.after_two.take(self.i2).astype(np.int64)
-        # 0: no prediction, 1: order 1 alone, 2: order 2 and another or no order 1, 3: both agree
-        two = self.p2 >= 0
-        self.case = self.cases + (two << np.int64(1)) + ((self.p1 >= 0) & (~two | (self.p1 == self.p2)))
-        self.packed = self.weights.take(self.case)
-        self.end2 = (self.packed & 0xFFFF) << UNIT_BITS
-        self.end1 = self.end2 + ((self.packed >> 16 & 0xFFFF) << UNIT_BITS)
-        counted = self.packed >> 32
-        self.each = counted << self.down if self.known else self.end2 * 0
-        self.end0 = self.end1 + (counted << UNIT_BITS)
-        self.scale = (1 << TOTAL_BITS) - self.end0 >> BASE_BITS
-
-    def _interval(self, ids, first, times) -> tuple[np.ndarray, np.ndarray]:
-        low, high = self.edges.take(ids), self.edges.take(ids + 1)
-        counted, base = self.by == 2, self.by == 3
-        start = np.where(base, self.end0 + low * self.scale,
-                         np.where(counted, self.end1 + first * self.each, self.end2 * self.by))
-        width = np.where(base, (high - low) * self.scale,
-                         np.where(counted, times * self.each, np.where(self.by == 0, self.end2, self.end1 - self.end2)))
-        return start, width
-
-    def interval(self, ids: np.ndarray, first: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and width of each lane's id; remembers which prediction named it."""
-        self.by = np.where(ids == self.p2, 0, np.where(ids == self.p1, 1, np.where(times > 0, 2, 3)))
-        return self._interval(ids, first, times)
-
-    def decide(self, point: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The id whose interval holds ``point``, with the interval."""
-        self.by = (point >= self.end2).astype(np.int64) + (point >= self.end1) + (point >= self.end0)
-        # both sides are below 2**24, so the rounded quotient of doubles has the right whole part
-        base = ((point - self.end0) / self.scale).astype(np.int64)
-        named = self.of_count.take(base, mode="clip")
-        first = times = self.by
-        if self.known:
-            counted = ((point - self.end1) / self.each).astype(np.int64)
-            at = np.clip(counted, 0, self.known - 1) + self.row
-            first, times = self.first.take(at), self.times.take(at)
-            named = np.where(self.by == 2, self.ordered.take(at), named)
-        ids = np.where(self.by >= 2, named, np.where(self.by == 0, self.p2, self.p1))
-        return ids, *self._interval(ids, first, times)
-
-    def learn(self, ids: np.ndarray) -> None:
-        self.after_one[self.i1] = ids
-        self.after_two[self.i2] = ids
-        self.weights[self.case] = self.packed - (self.packed >> RATE & KEPT_BITS) + GAINS.take(self.by)
-        self.two, self.one = self.one, ids
-
-
-def _ready(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which lanes have a word to shift out, and their spans, cut at a word's edge where too narrow."""
-    apart = (low ^ (low + span)) >= TOP
-    narrow = span < BOTTOM
-    return ~apart | narrow, np.where(apart & narrow, (~low + _U(1)) & (BOTTOM - _U(1)), span)
+    return np.concatenate(([0], np.cumsum(counts)))
+
+
+def slots(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where orders 1 and 2 remember what followed the id ``one``, and ``two`` before it."""
+    mask = (1 << TABLE_BITS) - 1
+    return one * 0x9E3779B1 >> 7 & mask, one * 0x85EBCA6B + two * 0xC2B2AE35 >> 9 & mask
+
+
+def cases(p1: np.ndarray, p2: np.ndarray) -> np.ndarray:
+    """0: order 1 alone, 1: no prediction, 2: order 2 and another or no order 1, 3: both agree."""
+    return np.multiply(p2 >= 0, 2, dtype=np.int64) + (p1 == p2)
+
+
+def learnt(weights: np.ndarray, gains: np.ndarray) -> np.ndarray:
+    change = weights >> RATE
+    change &= KEPT_BITS
+    np.subtract(weights, change, out=change)
+    change += gains
+    return change
+
+
+def shares(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the parts of orders 2, 1 and 0 end, in units of ``2**-UNIT_BITS``."""
+    end2 = weights & 0xFFFF
+    end1 = weights >> 16
+    end1 &= 0xFFFF
+    end1 += end2
+    return end2, end1, end1 + (weights >> 32)
+
+
+def base_scale(end0: np.ndarray) -> np.ndarray:
+    """What a count of the fixed distribution takes of ``2**TOTAL_BITS``."""
+    return (1 << UNIT_BITS) - end0 >> BASE_BITS - (TOTAL_BITS - UNIT_BITS)
+
+
+def count_bits(known: int) -> int:
+    """Of order 0's part in ``2**TOTAL_BITS``, what is left when it is divided by ``known`` counted ids."""
+    return UNIT_BITS - (known.bit_length() - 1)
+
+
+def _sorted_rows(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per row: the columns by ascending key and column, as places in the flat array, and where keys differ
+    from the one before; the third is the rows' beginnings."""
+    lanes, steps = keys.shape
+    bits = max(steps - 1, 1).bit_length()
+    high = max(int(keys.max(initial=0)), 1).bit_length()
+    kind = np.int32 if bits + high < 32 else np.int64
+    both = keys.astype(kind)
+    both <<= bits
+    both |= np.arange(steps, dtype=kind)
+    both.sort(axis=1)
+    begin = np.arange(lanes, dtype=np.int32)[:, None] * steps
+    places = (both & ((1 << bits) - 1)) + begin
+    both >>= bits
+    opens = np.ones(keys.shape, bool)
+    np.not_equal(both[:, 1:], both[:, :-1], out=opens[:, 1:])
+    return places, opens, begin
+
+
+def last_after(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For every place the id at the last place before with the same key in its row; -1 without one."""
+    places, opens, _ = _sorted_rows(keys)
+    flat = ids.ravel()
+    found = np.full(places.shape, -1, np.int32)
+    before = flat.take(places[:, :-1])
+    before[opens[:, 1:]] = -1
+    out = np.empty(ids.size, np.int32)
+    found[:, 1:] = before
+    out[places.ravel()] = found.ravel()
+    return out.reshape(ids.shape)
+
+
+def counts_before(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every id its first place among the sorted counted ones, and its count (0: not there)."""
+    lanes, steps = ids.shape
+    first, times = np.zeros(ids.size, np.int32), np.zeros(ids.size, np.int32)
+    edges = [r for r in RENEWED if r < steps]
+    if not edges:
+        return first.reshape(ids.shape), times.reshape(ids.shape)
+    places, opens, begin = _sorted_rows(ids)
+    step = places - begin
+    at = np.arange(ids.size, dtype=np.int32).reshape(ids.shape)
+    group = np.where(opens, at, 0)
+    np.maximum.accumulate(group.ravel(), out=group.reshape(-1))
+    for known, until in zip(edges, [*edges[1:], steps]):
+        counted = step < known
+        # of a row's ids, each counted one stands before those that are sorted behind it
+        below = np.cumsum(counted.ravel(), dtype=np.int32)
+        some = np.flatnonzero((step >= known) & (step < until))
+        opening = group.ravel().take(some)
+        smaller = below.take(opening) - counted.ravel().take(opening)
+        place = places.ravel().take(some)
+        times[place] = below.take(some) - smaller
+        first[place] = smaller - some // steps * known
+    return first.reshape(ids.shape), times.reshape(ids.shape)
+
+
+def foreseen(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For every id of ``(lanes, ids)`` what the model says before it: the case, the prediction that names it
+    (2: order 0, 3: the fixed distribution), and its first place and count among the counted ids."""
+    before = np.zeros((len(ids), ids.shape[1] + 2), np.int64)
+    before[:, 2:] = ids
+    slot1, slot2 = slots(before[:, 1:-1], before[:, :-2])
+    p1, p2 = last_after(slot1, ids), last_after(slot2, ids)
+    first, times = counts_before(ids)
+    by = np.where(ids == p2, 0, np.where(ids == p1, 1, np.where(times > 0, 2, 3)))
+    return cases(p1, p2), by, first, times
 
 
 def encode_blocks(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
-    """The coded words of every block (shorter blocks are coded as if followed by zeros)."""
+    """The coded digits of every block."""
     lanes, steps = len(blocks), max(map(len, blocks), default=0)
     if max((int(block.max()) for block in blocks if len(block)), default=0) >= vocabulary:
         raise ValueError("an id is outside the vocabulary")
+    edges = base_distribution(vocabulary)
+    counts = np.diff(edges)
     ids = np.zeros((lanes, steps), np.int32)
+    lengths = np.array([len(block) for block in blocks], np.int64)
     for row, block in zip(ids, blocks):
         row[:len(block)] = block
-    model = Model(lanes, vocabulary)
-    low, span = np.zeros(lanes, _U), np.full(lanes, ~_U(0))
-    out = np.zeros((lanes, 64), np.uint16)
-    used = np.zeros(lanes, np.int64)
-    shift = _U(WORD_BITS)
-    by_step = np.ascontiguousarray(ids.T)
-    lane = np.arange(lanes)
-    begun = 0
-    for step in range(steps):
-        if step == 0 or step in RENEWED:
-            if step:
-                model.renew(ids[:, :step])
-            until = min([r for r in RENEWED if r > step] + [steps])
-            first, times = (np.ascontiguousarray(x.T) for x in model.locate(ids[:, step:until]))
-            begun = step
-            room = 4 * (until - step) + 64
-            if used.max(initial=0) + room > out.shape[1]:
-                out = np.concatenate((out, np.zeros((lanes, room), np.uint16)), axis=1)
-            flat, rows = out.ravel(), lane * out.shape[1]
-        model.predict()
-        now = by_step[step].astype(np.int64)
-        start, width = model.interval(now, first[step - begun], times[step - begun])
-        model.learn(now)
-        part = span >> _U(TOTAL_BITS)
-        low = low + part * start.astype(_U)
-        span = part * width.astype(_U)
-        ready, cut = _ready(low, span)
-        while ready.any():
-            flat[rows + used] = low >> _U(48)  # a lane that is not ready writes its next word again later
-            used += ready
-            low, span = np.where(ready, low << shift, low), np.where(ready, cut << shift, span)
-            ready, cut = _ready(low, span)
-    for _ in range(4):
-        out[np.arange(lanes), used] = (low >> _U(48)).astype(np.uint16)
-        used += 1
-        low = low << shift
-    return [row[:n].astype("<u2").tobytes() for row, n in zip(out, used)]
+    # step by step from here on
+    case, by, first, times = (np.empty((steps, lanes), kind) for kind in (np.int8, np.int8, np.int16, np.int16))
+    for begin in range(0, lanes, LANES_A_SORT):
+        some = slice(begin, begin + LANES_A_SORT)
+        for all_lanes, said in zip((case, by, first, times), foreseen(ids[some])):
+            all_lanes[:, some] = said.T
+    ids = np.ascontiguousarray(ids.T)
+    lane_cases = np.arange(lanes) << 2
+    weights = np.full(lanes * 4, AT_FIRST, np.int64)
+    low, span = np.zeros(lanes, np.int64), np.full(lanes, WHOLE, np.int64)
+    digits, ready = np.empty((STEPS_A_PART, lanes), np.int64), np.empty((STEPS_A_PART, lanes), bool)
+    part, out = np.empty(lanes, np.int64), np.empty(lanes, np.int64)
+    given, of_lane, small = [], [], np.min_scalar_type(lanes)
+    part_ends = sorted({*range(0, steps, STEPS_A_PART), *(r for r in RENEWED if r < steps), steps})
+    for begin, end in zip(part_ends, part_ends[1:]):
+        now = slice(begin, end)
+        gains = GAINS.take(by[now])
+        held = np.empty(gains.shape, np.int64)
+        for t, at in enumerate(case[now] + lane_cases):
+            row = weights.take(at, out=held[t], mode="clip")
+            weights[at] = learnt(row, gains[t])
+        starts, widths = _intervals(held, by[now], ids[now], first[now], times[now], begin, edges, counts)
+        past = np.arange(begin, end)[:, None] >= lengths
+        if past.any():
+            starts[past], widths[past] = 0, 1 << TOTAL_BITS  # nothing is coded behind a block's end
+        for t in range(end - begin):
+            np.right_shift(span, TOTAL_BITS, out=part)
+            np.multiply(part, widths[t], out=span)
+            part *= starts[t]
+            low += part
+            np.right_shift(low, EDGE_BITS, out=digits[t])
+            np.copyto(out, np.less(span, EDGE, out=ready[t]))
+            low &= KEPT_OF_LOW.take(out, out=part, mode="clip")
+            out *= DIGIT_BITS
+            low <<= out
+            span <<= out
+        step, lane = np.nonzero(ready[:end - begin])
+        given.append(digits[step, lane])
+        of_lane.append(lane.astype(small))
+    # a last digit inside every interval; then by lane, and the carries go from each digit to the one before
+    given.append((low + (EDGE - 1)) >> EDGE_BITS)
+    of_lane.append(np.arange(lanes, dtype=small))
+    lane = np.concatenate(of_lane)
+    flat = np.concatenate(given).take(np.argsort(lane, kind="stable"))
+    used = np.bincount(lane, minlength=lanes)
+    ends = np.cumsum(used)
+    while len(carried := np.flatnonzero(flat > DIGIT)):
+        np.add.at(flat, carried - 1, flat[carried] >> DIGIT_BITS)
+        flat[carried] &= DIGIT
+    data = flat.astype("<u4").tobytes()
+    return [data[4 * (e - n):4 * e] for e, n in zip(ends.tolist(), used.tolist())]
+
+
+def _intervals(weights, by, ids, first, times, step: int, edges, counts) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and widths, in ``2**TOTAL_BITS``, of ids that stand between two renewals."""
+    end2, end1, end0 = shares(weights)
+    known = max((r for r in RENEWED if r <= step), default=0)
+    unit = weights >> 32
+    if known:
+        unit <<= count_bits(known)
+    base = by == 3
+    np.copyto(unit, base_scale(end0), where=base)
+    starts = np.where(base, end0, end1)
+    starts <<= UNIT_BITS
+    starts += np.where(base, edges.take(ids), first) * unit
+    widths = np.where(base, counts.take(ids), times) * unit
+    end2 <<= UNIT_BITS
+    end1 <<= UNIT_BITS
+    one = by == 1
+    np.copyto(starts, end2, where=one)
+    np.copyto(widths, end1 - end2, where=one)
+    two = by == 0
+    np.copyto(starts, 0, where=two)
+    np.copyto(widths, end2, where=two)
+    return starts, widths
+
+
+def counted(history: np.ndarray) -> np.ndarray:
+    """Order 0 of the decoder: choices for every place among a lane's ids so far, ``(lanes, ids)``."""
+    known = history.shape[1]
+    ordered = np.sort(history, axis=1)
+    opens = np.ones(ordered.shape, bool)
+    np.not_equal(ordered[:, 1:], ordered[:, :-1], out=opens[:, 1:])
+    starts = np.flatnonzero(opens.ravel())
+    lengths = np.diff(np.append(starts, ordered.size))
+    return np.repeat(choices(ordered.ravel().take(starts), starts % known, lengths), lengths)
+
+
+def choices(ids: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    return (ids.astype(np.int64) << 2 * PLACE_BITS) | (first.astype(np.int64) << PLACE_BITS) | counts
+
+
+def _fresh(coded: list[bytes], lanes: int) -> np.ndarray:
+    """What enters the decoder's window with each digit, ``(digits, lanes)``: the window's edge cuts digits."""
+    given = [np.frombuffer(c, "<u4") for c in coded]
+    digits = np.zeros((lanes, max(map(len, given), default=0) + 4), np.int64)
+    for row, d in zip(digits, given):
+        row[1:len(d) + 1] = d
+    cut = DIGIT_BITS - EDGE_BITS
+    return ((digits[:, :-1] & ((1 << cut) - 1)) << EDGE_BITS) | (digits[:, 1:] >> cut)
 
 
 def decode_blocks(coded: list[bytes], lengths: list[int], vocabulary: int) -> list[np.ndarray]:
     """The ids of every block."""
     lanes, steps = len(coded), max(lengths, default=0)
-    words = [np.frombuffer(c, "<u2") for c in coded]
-    given = np.zeros((lanes, max(map(len, words), default=0) + 8), _U)
-    for row, w in zip(given, words):
-        row[:len(w)] = w
-    model = Model(lanes, vocabulary)
+    edges = base_distribution(vocabulary)
+    fixed = np.repeat(choices(np.arange(vocabulary), edges[:-1], np.diff(edges)), np.diff(edges))
+    fresh = _fresh(coded, lanes)
+    rows = np.arange(lanes) * fresh.shape[1]
+    entering = fresh.ravel()
+    # the code's distance from the interval's start, in its upper 62 bits
+    code = (entering.take(rows) << DIGIT_BITS) | entering.take(rows + 1)
+    used = rows + 1
+    span = np.full(lanes, WHOLE, np.int64)
+    table = np.arange(lanes) << TABLE_BITS
+    after_one, after_two = (np.full(lanes << TABLE_BITS, -1, np.int32) for _ in range(2))
+    lane_cases = np.arange(lanes) << 2
+    weights = np.full(lanes * 4, AT_FIRST, np.int64)
+    one = two = np.zeros(lanes, np.int64)
     by_step = np.zeros((steps, lanes), np.int32)
-    low, span = np.zeros(lanes, _U), np.full(lanes, ~_U(0))
-    shift = _U(WORD_BITS)
-    code = np.zeros(lanes, _U)
-    for k in range(4):
-        code = (code << shift) | given[:, k]
-    used = np.full(lanes, 4, np.int64)
-    flat, rows, last = given.ravel(), np.arange(lanes) * given.shape[1], given.shape[1] - 1
+    known, named_by_count, row, behind = 0, fixed, 0, 0
     for step in range(steps):
         if step in RENEWED:
-            model.renew(np.ascontiguousarray(by_step[:step].T))
-        model.predict()
-        part = span >> _U(TOTAL_BITS)
-        point = np.minimum((code - low) // part, _U((1 << TOTAL_BITS) - 1)).astype(np.int64)
-        found, start, width = model.decide(point)
+            known, row, behind = step, np.arange(lanes) * step, lanes * step
+            named_by_count = np.concatenate((counted(np.ascontiguousarray(by_step[:step].T)), fixed))
+        i1, i2 = slots(one, two)
+        i1 += table
+        i2 += table
+        p1, p2 = after_one.take(i1, mode="clip"), after_two.take(i2, mode="clip")
+        case = cases(p1, p2)
+        case += lane_cases
+        held = weights.take(case, mode="clip")
+        end2, end1, end0 = shares(held)
+        part = span >> TOTAL_BITS
+        whole = part << UNIT_BITS
+        base_unit = base_scale(end0)
+        end2 *= whole
+        end1 *= whole
+        end0 *= whole
+        # place among the counted ids or in the fixed distribution; without meaning if order 1 or 2 names the id
+        base = code >= end0
+        if known:
+            begin, unit = np.where(base, end0, end1), np.where(base, base_unit, held >> 32 << count_bits(known))
+        else:
+            begin, unit = end0.copy(), base_unit
+        unit *= part
+        place = (code - begin) // unit
+        place += np.where(base, behind, row)
+        found = named_by_count.take(place, mode="clip")
+        np.multiply(found & PLACE, unit, out=span)
+        unit *= found >> PLACE_BITS & PLACE
+        begin += unit
+        found >>= 2 * PLACE_BITS
+        one_or_more, two_or_more = code >= end2, code >= end1
+        by = one_or_more.view(np.int8) + two_or_more.view(np.int8)
+        by += base.view(np.int8)
+        for named, prediction, at, width in ((~two_or_more, p1, end2, end1 - end2), (~one_or_more, p2, 0, end2)):
+            np.copyto(found, prediction, where=named)
+            np.copyto(begin, at, where=named)
+            np.copyto(span, width, where=named)
         by_step[step] = found
-        model.learn(found)
-        low = low + part * start.astype(_U)
-        span = part * width.astype(_U)
-        ready, cut = _ready(low, span)
-        while ready.any():
-            code = np.where(ready, (code << shift) | flat.take(rows + np.minimum(used, last)), code)
-            used += ready
-            low, span = np.where(ready, low << shift, low), np.where(ready, cut << shift, span)
-            ready, cut = _ready(low, span)
+        after_one[i1] = found
+        after_two[i2] = found
+        weights[case] = learnt(held, GAINS.take(by, mode="clip"))
+        two, one = one, found
+        code -= begin
+        ready = (span < EDGE).astype(np.int64)
+        used += ready
+        given = entering.take(used, mode="clip")
+        given &= -ready
+        ready <<= 5
+        span <<= ready
+        code <<= ready
+        code |= given
     return [column[:n].astype(np.uint32) for column, n in zip(by_step.T, lengths)]
 
 

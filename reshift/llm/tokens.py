@@ -2,7 +2,7 @@
 
 A file is a Parquet table of segments, in ascending document order; a segment is one binary value:
 
-    magic "RTS1" | vocabulary, documents, blocks: uint32 | ids: uint64
+    magic "RTS2" | vocabulary, documents, blocks: uint32 | ids: uint64
     per document: id int64, null mark uint8, ids uint32
     per block: ids uint32, bytes uint32, CRC-32 of the ids uint32
     the coded blocks
@@ -37,7 +37,7 @@ from reshift.llm.vocab import BYTE_BPE, encoder
 END_ID = 0
 SEGMENT_IDS = coder.BLOCK * coder.LANES
 TEXTS_A_CALL = 256
-MAGIC = b"RTS1"
+MAGIC = b"RTS2"
 HEAD = "<4sIIIQ"
 DOCUMENT = np.dtype([("id", "<i8"), ("null", "u1"), ("ids", "<u4")])
 BLOCK_ENTRY = np.dtype([("ids", "<u4"), ("bytes", "<u4"), ("crc", "<u4")])

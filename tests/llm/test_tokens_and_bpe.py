@@ -106,6 +106,31 @@ def test_blocks_are_independent_and_checked():
         tokens.unpack_segment(data[:-200] + bytes([data[-200] ^ 255]) + data[-199:])
 
 
+def test_a_block_does_not_depend_on_those_beside_it():
+    rng = np.random.default_rng(1)
+    blocks = [rng.zipf(1.3, n) % 50257 for n in (1, 700, 2048, 0, 1500)]
+    together = coder.encode_blocks(blocks, 50257)
+    assert together == [coder.encode_blocks([b], 50257)[0] for b in blocks]
+    back = coder.decode_blocks(together, [len(b) for b in blocks], 50257)
+    assert all(np.array_equal(b, c) for b, c in zip(blocks, back))
+
+
+def test_sorted_predictions_equal_those_met_in_turn():
+    ids = (np.random.default_rng(2).zipf(1.5, (3, 1300)) % 60).astype(np.int32)
+    keys = ids.astype(np.int64) % 7
+    first, times = coder.counts_before(ids)
+    last = coder.last_after(keys, ids)
+    for lane in range(3):
+        after = {}
+        for step, (key, x) in enumerate(zip(keys[lane].tolist(), ids[lane].tolist())):
+            assert last[lane, step] == after.get(key, -1)
+            after[key] = x
+            known = ids[lane, :max((r for r in coder.RENEWED if r <= step), default=0)]
+            assert times[lane, step] == (known == x).sum()
+            if times[lane, step]:
+                assert first[lane, step] == (known < x).sum()
+
+
 def test_predictable_ids_are_small():
     ids = np.tile(np.arange(40), 60)[:2048]
     assert len(coder.encode_blocks([ids], 50257)[0]) < 400
