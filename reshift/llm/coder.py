@@ -67,9 +67,9 @@ def slots(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return one * 0x9E3779B1 >> 7 & mask, one * 0x85EBCA6B + two * 0xC2B2AE35 >> 9 & mask
 
 
-def cases(p1: np.ndarray, p2: np.ndarray) -> np.ndarray:
+def cases(p1: np.ndarray, p2: np.ndarray, kind=np.int64) -> np.ndarray:
     """0: order 1 alone, 1: no prediction, 2: order 2 and another or no order 1, 3: both agree."""
-    return np.multiply(p2 >= 0, 2, dtype=np.int64) + (p1 == p2)
+    return np.multiply(p2 >= 0, 2, dtype=kind) + (p1 == p2)
 
 
 def learnt(weights: np.ndarray, gains: np.ndarray) -> np.ndarray:
@@ -134,38 +134,42 @@ def last_after(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
 def counts_before(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For every id its first place among the sorted counted ones, and its count (0: not there)."""
     lanes, steps = ids.shape
-    first, times = np.zeros(ids.size, np.int32), np.zeros(ids.size, np.int32)
-    edges = [r for r in RENEWED if r < steps]
-    if not edges:
-        return first.reshape(ids.shape), times.reshape(ids.shape)
+    # how many of a row's ids are counted from each renewal on: 16 bits each of one number
+    of_step, field = np.zeros(steps, np.int64), np.full(steps, 63)
+    for at, known in enumerate(RENEWED):
+        of_step[:known] += 1 << 16 * at
+        field[known:] = 16 * at
     places, opens, begin = _sorted_rows(ids)
     step = places - begin
-    at = np.arange(ids.size, dtype=np.int32).reshape(ids.shape)
-    group = np.where(opens, at, 0)
-    np.maximum.accumulate(group.ravel(), out=group.reshape(-1))
-    for known, until in zip(edges, [*edges[1:], steps]):
-        counted = step < known
-        # of a row's ids, each counted one stands before those that are sorted behind it
-        below = np.cumsum(counted.ravel(), dtype=np.int32)
-        some = np.flatnonzero((step >= known) & (step < until))
-        opening = group.ravel().take(some)
-        smaller = below.take(opening) - counted.ravel().take(opening)
-        place = places.ravel().take(some)
-        times[place] = below.take(some) - smaller
-        first[place] = smaller - some // steps * known
+    own = of_step.take(step)
+    below = np.cumsum(own, axis=1)
+    # of a row's ids, each counted one stands before those that are sorted behind it
+    group = np.where(opens, np.arange(ids.size, dtype=np.int32).reshape(ids.shape), 0).ravel()
+    np.maximum.accumulate(group, out=group)
+    np.subtract(below, own, out=own)
+    smaller = own.ravel().take(group).reshape(ids.shape)
+    below -= smaller
+    field = field.take(step)
+    first, times = np.empty(ids.size, np.int16), np.empty(ids.size, np.int16)
+    for out, packed in ((first, smaller), (times, below)):
+        packed >>= field
+        packed &= 0xFFFF
+        out[places.ravel()] = packed.ravel()
     return first.reshape(ids.shape), times.reshape(ids.shape)
 
 
 def foreseen(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For every id of ``(lanes, ids)`` what the model says before it: the case, the prediction that names it
     (2: order 0, 3: the fixed distribution), and its first place and count among the counted ids."""
-    before = np.zeros((len(ids), ids.shape[1] + 2), np.int64)
+    before = np.zeros((len(ids), ids.shape[1] + 2), np.uint32)
     before[:, 2:] = ids
     slot1, slot2 = slots(before[:, 1:-1], before[:, :-2])
     p1, p2 = last_after(slot1, ids), last_after(slot2, ids)
     first, times = counts_before(ids)
-    by = np.where(ids == p2, 0, np.where(ids == p1, 1, np.where(times > 0, 2, 3)))
-    return cases(p1, p2), by, first, times
+    by = 3 - (times > 0).view(np.int8)
+    by[ids == p1] = 1
+    by[ids == p2] = 0
+    return cases(p1, p2, np.int8), by, first, times
 
 
 def encode_blocks(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
@@ -239,21 +243,18 @@ def _intervals(weights, by, ids, first, times, step: int, edges, counts) -> tupl
     unit = weights >> 32
     if known:
         unit <<= count_bits(known)
-    base = by == 3
-    np.copyto(unit, base_scale(end0), where=base)
+    base, one_or_more, two_or_more = by == 3, by > 0, by > 1
+    unit = np.where(base, base_scale(end0), unit)
     starts = np.where(base, end0, end1)
     starts <<= UNIT_BITS
     starts += np.where(base, edges.take(ids), first) * unit
-    widths = np.where(base, counts.take(ids), times) * unit
+    unit *= np.where(base, counts.take(ids), times)
     end2 <<= UNIT_BITS
     end1 <<= UNIT_BITS
-    one = by == 1
-    np.copyto(starts, end2, where=one)
-    np.copyto(widths, end1 - end2, where=one)
-    two = by == 0
-    np.copyto(starts, 0, where=two)
-    np.copyto(widths, end2, where=two)
-    return starts, widths
+    end1 -= end2
+    starts = np.where(two_or_more, starts, end2)
+    starts *= one_or_more
+    return starts, np.where(one_or_more, np.where(two_or_more, unit, end1), end2)
 
 
 def counted(history: np.ndarray) -> np.ndarray:
@@ -297,16 +298,19 @@ def decode_blocks(coded: list[bytes], lengths: list[int], vocabulary: int) -> li
     after_one, after_two = (np.full(lanes << TABLE_BITS, -1, np.int32) for _ in range(2))
     lane_cases = np.arange(lanes) << 2
     weights = np.full(lanes * 4, AT_FIRST, np.int64)
-    one = two = np.zeros(lanes, np.int64)
-    by_step = np.zeros((steps, lanes), np.int32)
-    known, named_by_count, row, behind = 0, fixed, 0, 0
+    one = two = np.zeros(lanes, np.uint32)
+    by_step, by_lane = np.zeros((steps, lanes), np.uint32), np.zeros((lanes, steps), np.uint32)
+    # the choices of the fixed distribution, then those of every lane's counted ids
+    known, row = 0, 0
+    named_by_count = np.empty(len(fixed) + lanes * max((r for r in RENEWED if r < steps), default=0), np.int64)
+    named_by_count[:len(fixed)] = fixed
     for step in range(steps):
         if step in RENEWED:
-            known, row, behind = step, np.arange(lanes) * step, lanes * step
-            named_by_count = np.concatenate((counted(np.ascontiguousarray(by_step[:step].T)), fixed))
+            _turn(by_step, by_lane, known, step)
+            known, row = step, np.arange(lanes) * step + len(fixed)
+            named_by_count[len(fixed):len(fixed) + lanes * step] = counted(by_lane[:, :step])
         i1, i2 = slots(one, two)
-        i1 += table
-        i2 += table
+        i1, i2 = i1 + table, i2 + table
         p1, p2 = after_one.take(i1, mode="clip"), after_two.take(i2, mode="clip")
         case = cases(p1, p2)
         case += lane_cases
@@ -326,7 +330,7 @@ def decode_blocks(coded: list[bytes], lengths: list[int], vocabulary: int) -> li
             begin, unit = end0.copy(), base_unit
         unit *= part
         place = (code - begin) // unit
-        place += np.where(base, behind, row)
+        place += np.where(base, 0, row)
         found = named_by_count.take(place, mode="clip")
         np.multiply(found & PLACE, unit, out=span)
         unit *= found >> PLACE_BITS & PLACE
@@ -335,15 +339,16 @@ def decode_blocks(coded: list[bytes], lengths: list[int], vocabulary: int) -> li
         one_or_more, two_or_more = code >= end2, code >= end1
         by = one_or_more.view(np.int8) + two_or_more.view(np.int8)
         by += base.view(np.int8)
-        for named, prediction, at, width in ((~two_or_more, p1, end2, end1 - end2), (~one_or_more, p2, 0, end2)):
-            np.copyto(found, prediction, where=named)
-            np.copyto(begin, at, where=named)
-            np.copyto(span, width, where=named)
+        end1 -= end2
+        found = np.where(one_or_more, np.where(two_or_more, found, p1), p2)
+        begin = np.where(two_or_more, begin, end2)
+        begin *= one_or_more
+        span = np.where(one_or_more, np.where(two_or_more, span, end1), end2)
         by_step[step] = found
         after_one[i1] = found
         after_two[i2] = found
         weights[case] = learnt(held, GAINS.take(by, mode="clip"))
-        two, one = one, found
+        two, one = one, by_step[step]
         code -= begin
         ready = (span < EDGE).astype(np.int64)
         used += ready
@@ -353,7 +358,14 @@ def decode_blocks(coded: list[bytes], lengths: list[int], vocabulary: int) -> li
         span <<= ready
         code <<= ready
         code |= given
-    return [column[:n].astype(np.uint32) for column, n in zip(by_step.T, lengths)]
+    _turn(by_step, by_lane, known, steps)
+    return [ids[:n] for ids, n in zip(by_lane, lengths)]
+
+
+def _turn(by_step: np.ndarray, by_lane: np.ndarray, begin: int, end: int) -> None:
+    """Copy steps into rows of ``by_lane``, a cache line of each at a time."""
+    for at in range(begin, end, 16):
+        by_lane[:, at:min(at + 16, end)] = by_step[at:min(at + 16, end)].T
 
 
 def checksum(ids: np.ndarray) -> int:

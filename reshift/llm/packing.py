@@ -29,12 +29,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reshift.llm.common import shared_table
-from reshift.llm.vocab import BYTE_BPE, encoder
+from reshift.llm.common import shared_table, slices
+from reshift.llm.vocab import BYTE_BPE, BYTES_A_CALL, encoder
 
 CAPACITY = 2048
 END_ID = 0
-TEXTS_A_CALL = 256
 
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, task int, rank long"
 
@@ -52,11 +51,9 @@ def _pieces(vocabulary: str, capacity: int):
         ranks: dict[int, int] = {}
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
             rows: list[tuple] = []
-            for at in range(0, len(ids), TEXTS_A_CALL):
-                raws = encode(texts.slice(at, TEXTS_A_CALL).to_pylist())
-                for doc, raw in zip(ids[at:at + TEXTS_A_CALL], raws):
+            for some in slices(batch, 1, most_bytes=BYTES_A_CALL):
+                for doc, raw in zip(some.column(0).to_pylist(), encode(some.column(1))):
                     raw += end
                     start = 0
                     for piece, n in enumerate(cut_lengths(len(raw) // 4, capacity)):

@@ -31,12 +31,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reshift.llm import coder
-from reshift.llm.common import shared_table
-from reshift.llm.vocab import BYTE_BPE, encoder
+from reshift.llm.common import shared_table, slices
+from reshift.llm.vocab import BYTE_BPE, BYTES_A_CALL, encoder
 
 END_ID = 0
 SEGMENT_IDS = coder.BLOCK * coder.LANES
-TEXTS_A_CALL = 256
 MAGIC = b"RTS2"
 HEAD = "<4sIIIQ"
 DOCUMENT = np.dtype([("id", "<i8"), ("null", "u1"), ("ids", "<u4")])
@@ -110,9 +109,8 @@ def _write(vocabulary: str):
             return pa.RecordBatch.from_arrays(columns, names=["task", "turn", "n_ids", "data"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_A_CALL):
-                some = batch.slice(at, TEXTS_A_CALL)
-                for doc, raw in zip(some.column(0).to_pylist(), words.encode(some.column(1).to_pylist())):
+            for some in slices(batch, 1, most_bytes=BYTES_A_CALL):
+                for doc, raw in zip(some.column(0).to_pylist(), words.encode(some.column(1))):
                     doc_ids.append(doc)
                     raws.append(raw + end)
                     held += len(raw) // 4 + 1

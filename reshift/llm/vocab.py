@@ -1,27 +1,37 @@
 """Ids of whole texts under a byte-level BPE file of the tokenizers library.
 
 The file's splitting rule never carries a token across a single space between two other
-characters: the space opens the next token. So a text is cut at its single spaces, every distinct
-piece is encoded once by the library and remembered, and the ids of the text are the remembered ids
-in a row. A piece of letters is one word of the splitting rule and goes straight to the library's
-BPE model; letters with closing punctuation are two words; any other piece is encoded by the whole
-tokenizer. Texts where a space stands beside other white space, or which name an added token, are
-encoded by the library as they are. The ids equal ``Tokenizer.encode``.
+characters: the space opens the next token. So texts are cut at their single spaces, every distinct
+piece is encoded once by the library and remembered, and the ids of a text are the remembered ids
+in a row. Arrow cuts the texts of a call and numbers their distinct pieces, so that a piece is looked
+up once a call, and the ids are laid out by array arithmetic. A piece of letters is one word of the
+splitting rule and goes straight to the library's BPE model; letters with closing punctuation are two
+words; a line feed between two other characters is a word of its own, so texts are cut before it as
+well; any other piece is encoded by the whole tokenizer. Texts where a space stands beside other white space, or which name an added
+token, are encoded by the library as they are. The ids equal ``Tokenizer.encode``.
 """
 
 from __future__ import annotations
 
 import re
-import struct
 import sys
 import types
+from array import array
+from operator import attrgetter
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 BYTE_BPE = "byte_bpe_50k.json"
 MAX_REMEMBERED = 1_000_000
+MAX_MARKS = 10_000
+BYTES_A_CALL = 8 << 20  # of texts whose distinct pieces are numbered together: some 120 MB
 
 # Below this character (Latin to Cyrillic) all versions of Unicode in use have the same letters.
-_LETTERS_THEN_MARKS = re.compile(r"^([^\W\d_]+)([!-/:-@\[-`{-~]+)$")
+_LETTERS_THEN_MARKS = re.compile(r"^([^\W\d_]+)([!-/:-@\[-`{-~]+)\Z")
 LAST_AGREED = "԰"
+_ID = attrgetter("id")
 
 
 def tokenizer_path(name: str) -> str:
@@ -52,35 +62,52 @@ def byte_letters() -> list[str]:
     return [letter[b] for b in range(256)]
 
 
-def _raw(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
-
-
-class OddPiece(Exception):
-    """A piece that depends on its neighbours: encode the text as a whole."""
+def _raw(ids) -> bytes:
+    return array("I", ids).tobytes()
 
 
 class PieceIds(dict):
-    """Piece of a text -> its ids as little-endian uint32 bytes, learnt on first sight."""
+    """Piece of a text -> its ids as little-endian uint32 bytes, learnt on first sight; None for an odd piece.
+
+    An odd piece depends on its neighbours: its text is encoded as a whole.
+    """
 
-    def __init__(self, library, added: list[str], opening: str):
+    def __init__(self, library, added: list[str], opening: str, first: PieceIds | None = None):
         super().__init__()
         self.library, self.added, self.opening = library, added, opening
-        self.word = library.model.tokenize
+        self.first = self if first is None else first  # of pieces that no space opens
+        self.model = library.model.tokenize
         self.letters = dict(enumerate(byte_letters()))
+        self.space = self._letters(opening)
+        self.known_marks: dict[str, bytes] = {}
 
-    def _word(self, word: str) -> bytes:
-        if not word.isascii() or " " in word:
-            word = word.encode().decode("latin-1").translate(self.letters)
-        return _raw([t.id for t in self.word(word)])
+    def _letters(self, text: str) -> str:
+        return text.encode().decode("latin-1").translate(self.letters)
 
-    def __missing__(self, piece: str) -> bytes:
+    def _word(self, word: str) -> bytes:
+        return _raw(map(_ID, self.model(word)))
+
+    def marks(self, word: str) -> bytes:
+        """Of a word without letters that no space opens; few differ."""
+        if word not in self.known_marks:
+            ids = self._word(self._letters(word))
+            if len(self.known_marks) >= MAX_MARKS:
+                return ids
+            self.known_marks[word] = ids
+        return self.known_marks[word]
+
+    def __missing__(self, piece: str) -> bytes | None:
         if piece.isalpha() and (piece.isascii() or max(piece) < LAST_AGREED):
-            ids = self._word(self.opening + piece)
+            ids = self._word(self.space + (piece if piece.isascii() else self._letters(piece)))
         elif (two := _LETTERS_THEN_MARKS.match(piece)) and max(piece) < LAST_AGREED:
-            ids = self[two[1]] + self._word(two[2])
+            ids = self[two[1]] + self.marks(two[2])
+        elif piece[:1] == "\n" and len(piece) > 1:
+            ids = self.first[piece[1:]]
+            if ids is None:
+                return None
+            ids = self.marks("\n") + ids
         elif not piece or piece[0].isspace() or piece[-1].isspace() or any(a in piece for a in self.added):
-            raise OddPiece
+            return None
         else:
             ids = _raw(self.library.encode(self.opening + piece, add_special_tokens=False).ids)
         if len(self) < MAX_REMEMBERED:  # frequent pieces come early; the rest is encoded again
@@ -97,23 +124,51 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.first = PieceIds(self.library, added, "")
-        self.later = PieceIds(self.library, added, " ")
+        self.later = PieceIds(self.library, added, " ", self.first)
         self.first[""] = b""
 
     def whole(self, text: str) -> bytes:
         return _raw(self.library.encode(text, add_special_tokens=False).ids)
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        later, out = self.later.__getitem__, []
-        for text in texts:
-            head, *parts = (text or "").split(" ")
-            try:
-                out.append(self.first[head] + b"".join(map(later, parts)))
-            except OddPiece:
-                out.append(self.whole(text))
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).fill_null("")
+        texts = texts.cast(pa.large_string())
+        cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        heads = cut.offsets.to_numpy()[:-1] - cut.offsets[0].as_py()
+        pieces = cut.flatten()
+        if not len(pieces):
+            return []
+        later = np.ones(len(pieces), bool)
+        later[heads] = False
+        numbered = pieces.filter(pa.array(later)).dictionary_encode()
+        place = np.empty(len(pieces), np.int32)  # of each piece among the distinct ones; the heads come behind
+        place[later] = numbered.indices.to_numpy()
+        place[heads] = np.arange(len(heads), dtype=np.int32) + len(numbered.dictionary)
+        raws = [*map(self.later.__getitem__, _strings(numbered.dictionary)),
+                *map(self.first.__getitem__, _strings(pieces.take(pa.array(heads))))]
+        odd = [at for at, raw in enumerate(raws) if raw is None]
+        for at in odd:
+            raws[at] = b""
+        source = np.frombuffer(b"".join(raws), "<u4")
+        lengths = np.fromiter(map(len, raws), np.int32, len(raws)) >> 2
+        begins = np.cumsum(lengths, dtype=np.int32) - lengths
+        sizes = lengths.take(place)
+        ends = np.cumsum(sizes)
+        which = np.repeat((begins.take(place) - ends + sizes).astype(np.int32), sizes)
+        which += np.arange(len(which), dtype=np.int32)
+        ids = source.take(which, mode="clip").tobytes()
+        bounds = [0, *(4 * ends[[*(heads[1:] - 1), len(pieces) - 1]]).tolist()]
+        out = [ids[begin:end] for begin, end in zip(bounds, bounds[1:])]
+        if odd:
+            for row in np.flatnonzero(np.logical_or.reduceat(np.isin(place, odd), heads)).tolist():
+                out[row] = self.whole(texts[row].as_py())
         return out
 
 
+def _strings(pieces: pa.Array) -> list[str]:
+    return pieces.to_numpy(zero_copy_only=False).tolist()
+
+
 def encoder(name: str) -> Encoder:
     path = tokenizer_path(name)
     return remembered("encoder", path, lambda: Encoder(path))

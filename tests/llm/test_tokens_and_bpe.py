@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -46,6 +47,35 @@ def test_pieces_equal_the_library(text, byte_level, encoder):
     assert encoder.encode([text]) == [raw(byte_level, text)]
 
 
+LINES = ["\n", "a\n", "\na", "a\nb", "a\n\nb", "a\n b", "a \nb", "a\t\nb", "a\n\tb", "end.\nNext", "end.\n", "x\r\ny",
+         "\n\n", "a\u3000\nb", "日\n本", "12\n34 !\n!", "it\n's", "a\n<|endoftext|>", "é.\nÉ, z"]
+
+
+def test_pieces_are_encoded_once_a_call(byte_level):
+    """Texts of one call share their pieces, odd texts and nulls stand among others."""
+    encoder = Encoder(tokenizer_path(BYTE_BPE))
+    asked = []
+    model = encoder.later.model
+    encoder.later.model = lambda word: asked.append(word) or model(word)
+    texts = [*ODD, *LINES, "same words\nand the same words.\nwords", *LINES, *ODD, None]
+    assert encoder.encode(texts) == [raw(byte_level, t) for t in texts]
+    assert len(asked) == len(set(asked)) and "Ġwords" in asked
+    assert encoder.encode(pa.array(["b", "x words", None, "y words"]).slice(1)) \
+        == [raw(byte_level, t) for t in ("x words", None, "y words")]
+    assert len(asked) == len(set(asked)) and encoder.encode([]) == []
+
+
+@pytest.mark.parametrize("text", LINES)
+def test_lines_equal_the_library(text, byte_level, encoder):
+    assert encoder.encode([text]) == [raw(byte_level, text)]
+
+
+@given(st.lists(st.text(" \n.a日\t", max_size=12), max_size=4))
+@settings(max_examples=200, deadline=None)
+def test_spaces_and_lines_equal_the_library(byte_level, encoder, texts):
+    assert encoder.encode(texts) == [raw(byte_level, t) for t in texts]
+
+
 @given(st.text(max_size=60))
 @settings(max_examples=200, deadline=None)
 def test_any_text_equals_the_library(byte_level, encoder, word_level, word_encoder, text):
