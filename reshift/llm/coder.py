@@ -67,9 +67,9 @@ def slots(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return one * 0x9E3779B1 >> 7 & mask, one * 0x85EBCA6B + two * 0xC2B2AE35 >> 9 & mask
 
 
-def cases(p1: np.ndarray, p2: np.ndarray, kind=np.int64) -> np.ndarray:
+def cases(p1: np.ndarray, p2: np.ndarray, none, kind=np.int64) -> np.ndarray:
     """0: order 1 alone, 1: no prediction, 2: order 2 and another or no order 1, 3: both agree."""
-    return np.multiply(p2 >= 0, 2, dtype=kind) + (p1 == p2)
+    return np.multiply(p2 != none, 2, dtype=kind) + (p1 == p2)
 
 
 def learnt(weights: np.ndarray, gains: np.ndarray) -> np.ndarray:
@@ -121,12 +121,10 @@ def _sorted_rows(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def last_after(keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """For every place the id at the last place before with the same key in its row; -1 without one."""
     places, opens, _ = _sorted_rows(keys)
-    flat = ids.ravel()
-    found = np.full(places.shape, -1, np.int32)
-    before = flat.take(places[:, :-1])
-    before[opens[:, 1:]] = -1
+    found = np.empty(places.shape, np.int32)
+    found[:, 1:] = ids.ravel().take(places[:, :-1])
+    found = np.where(opens, np.int32(-1), found)
     out = np.empty(ids.size, np.int32)
-    found[:, 1:] = before
     out[places.ravel()] = found.ravel()
     return out.reshape(ids.shape)
 
@@ -169,7 +167,7 @@ def foreseen(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     by = 3 - (times > 0).view(np.int8)
     by[ids == p1] = 1
     by[ids == p2] = 0
-    return cases(p1, p2, np.int8), by, first, times
+    return cases(p1, p2, -1, np.int8), by, first, times
 
 
 def encode_blocks(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
@@ -295,7 +293,8 @@ def decode_blocks(coded: list[bytes], lengths: list[int], vocabulary: int) -> li
     used = rows + 1
     span = np.full(lanes, WHOLE, np.int64)
     table = np.arange(lanes) << TABLE_BITS
-    after_one, after_two = (np.full(lanes << TABLE_BITS, -1, np.int32) for _ in range(2))
+    none = np.uint16(0xFFFF) if vocabulary < 0xFFFF else np.uint32(0xFFFF_FFFF)  # in a small table
+    after_one, after_two = (np.full(lanes << TABLE_BITS, none, none.dtype) for _ in range(2))
     lane_cases = np.arange(lanes) << 2
     weights = np.full(lanes * 4, AT_FIRST, np.int64)
     one = two = np.zeros(lanes, np.uint32)
@@ -312,7 +311,7 @@ def decode_blocks(coded: list[bytes], lengths: list[int], vocabulary: int) -> li
         i1, i2 = slots(one, two)
         i1, i2 = i1 + table, i2 + table
         p1, p2 = after_one.take(i1, mode="clip"), after_two.take(i2, mode="clip")
-        case = cases(p1, p2)
+        case = cases(p1, p2, none)
         case += lane_cases
         held = weights.take(case, mode="clip")
         end2, end1, end0 = shares(held)

@@ -13,7 +13,7 @@ token, are encoded by the library as they are. The ids equal ``Tokenizer.encode`
 
 from __future__ import annotations
 
-import re
+import string
 import sys
 import types
 from array import array
@@ -29,7 +29,6 @@ MAX_MARKS = 10_000
 BYTES_A_CALL = 8 << 20  # of texts whose distinct pieces are numbered together: some 120 MB
 
 # Below this character (Latin to Cyrillic) all versions of Unicode in use have the same letters.
-_LETTERS_THEN_MARKS = re.compile(r"^([^\W\d_]+)([!-/:-@\[-`{-~]+)\Z")
 LAST_AGREED = "԰"
 _ID = attrgetter("id")
 
@@ -99,8 +98,8 @@ class PieceIds(dict):
     def __missing__(self, piece: str) -> bytes | None:
         if piece.isalpha() and (piece.isascii() or max(piece) < LAST_AGREED):
             ids = self._word(self.space + (piece if piece.isascii() else self._letters(piece)))
-        elif (two := _LETTERS_THEN_MARKS.match(piece)) and max(piece) < LAST_AGREED:
-            ids = self[two[1]] + self.marks(two[2])
+        elif (letters := piece.rstrip(string.punctuation)).isalpha() and (piece.isascii() or max(piece) < LAST_AGREED):
+            ids = self[letters] + self.marks(piece[len(letters):])
         elif piece[:1] == "\n" and len(piece) > 1:
             ids = self.first[piece[1:]]
             if ids is None:
@@ -130,22 +129,26 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return _raw(self.library.encode(text, add_special_tokens=False).ids)
 
-    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
-        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).fill_null("")
-        texts = texts.cast(pa.large_string())
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes | None]]:
+        """Where each text's pieces begin, for every piece its place among the distinct ones, and their ids."""
         cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
-        heads = cut.offsets.to_numpy()[:-1] - cut.offsets[0].as_py()
-        pieces = cut.flatten()
-        if not len(pieces):
-            return []
+        heads, pieces = cut.offsets.to_numpy()[:-1], cut.flatten()
         later = np.ones(len(pieces), bool)
         later[heads] = False
         numbered = pieces.filter(pa.array(later)).dictionary_encode()
-        place = np.empty(len(pieces), np.int32)  # of each piece among the distinct ones; the heads come behind
+        place = np.empty(len(pieces), np.int32)  # the texts' first pieces come behind
         place[later] = numbered.indices.to_numpy()
         place[heads] = np.arange(len(heads), dtype=np.int32) + len(numbered.dictionary)
         raws = [*map(self.later.__getitem__, _strings(numbered.dictionary)),
                 *map(self.first.__getitem__, _strings(pieces.take(pa.array(heads))))]
+        return heads, place, raws
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
+        if not len(texts):
+            return []
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).fill_null("")
+        texts = texts.cast(pa.large_string())
+        heads, place, raws = self._cut(texts)
         odd = [at for at, raw in enumerate(raws) if raw is None]
         for at in odd:
             raws[at] = b""
@@ -157,7 +160,7 @@ class Encoder:
         which = np.repeat((begins.take(place) - ends + sizes).astype(np.int32), sizes)
         which += np.arange(len(which), dtype=np.int32)
         ids = source.take(which, mode="clip").tobytes()
-        bounds = [0, *(4 * ends[[*(heads[1:] - 1), len(pieces) - 1]]).tolist()]
+        bounds = [0, *(4 * ends[[*(heads[1:] - 1), len(place) - 1]]).tolist()]
         out = [ids[begin:end] for begin, end in zip(bounds, bounds[1:])]
         if odd:
             for row in np.flatnonzero(np.logical_or.reduceat(np.isin(place, odd), heads)).tolist():

@@ -161,6 +161,14 @@ def test_sorted_predictions_equal_those_met_in_turn():
                 assert first[lane, step] == (known < x).sum()
 
 
+@pytest.mark.parametrize("vocabulary", [0xFFFE, 0xFFFF, 1 << 17])
+def test_the_largest_ids_of_a_vocabulary(vocabulary):
+    rng = np.random.default_rng(3)
+    blocks = [vocabulary - 1 - rng.zipf(1.4, n) % 200 for n in (300, 1, 1100)]
+    back = coder.decode_blocks(coder.encode_blocks(blocks, vocabulary), [len(b) for b in blocks], vocabulary)
+    assert all(np.array_equal(b, c) for b, c in zip(blocks, back))
+
+
 def test_predictable_ids_are_small():
     ids = np.tile(np.arange(40), 60)[:2048]
     assert len(coder.encode_blocks([ids], 50257)[0]) < 400
