@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 BYTE_BPE = "byte_bpe_50k.json"
 MAX_REMEMBERED = 1_000_000
 MAX_MARKS = 10_000
-BYTES_A_CALL = 8 << 20  # of texts whose distinct pieces are numbered together: some 120 MB
+BYTES_A_CALL = 3 << 20  # of texts whose distinct pieces are numbered together: some 50 MB
 
 # Below this character (Latin to Cyrillic) all versions of Unicode in use have the same letters.
 LAST_AGREED = "԰"
