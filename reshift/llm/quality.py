@@ -53,32 +53,28 @@ def repeated_words(words: Column) -> Column:
         return F.aggregate(steps, F.lit(0), lambda s, n: s + n)
 
     def twice(sorted_windows: Column) -> Column:
-        # neighbours with the same hash, by position in the sorted list
-        n = F.size(sorted_windows)
-        hits = F.filter(F.sequence(F.lit(1), n), lambda i: (
-            (i > 1) & (F.get(sorted_windows, i - 2)["h"] == F.get(sorted_windows, i - 1)["h"])
-            | (i < n) & (F.get(sorted_windows, i)["h"] == F.get(sorted_windows, i - 1)["h"])))
-        return bind(F.array_sort(F.transform(hits, lambda i: F.get(sorted_windows, i - 1)["i"])), covered)
+        # neighbours with the same hash; ``get`` is null beyond either end
+        hits = F.filter(sorted_windows, lambda x, k: (
+            (F.get(sorted_windows, k - 1)["h"] == x["h"]) | (F.get(sorted_windows, k + 1)["h"] == x["h"])))
+        return bind(F.sort_array(hits["i"]), covered)
 
     def located(hashes: Column) -> Column:
-        return bind(F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), twice)
+        return bind(F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), twice)
 
     def counted(hashes: Column) -> Column:
         return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(located(hashes))
 
-    def joined(hashes: Column, width: int) -> Column:
-        # hashes of ``width`` words at every start -> hashes of twice as many
-        def both(h: Column) -> Column:
-            n = F.size(h) - width
-            return F.zip_with(F.slice(h, 1, n), F.slice(h, width + 1, n), lambda a, b: F.xxhash64(a, b))
-
-        return bind(hashes, both)
+    def joined(values: Column, width: int) -> Column:
+        # words or hashes of ``width`` words at every start -> hashes of twice as many, padded with nulls at the end
+        return bind(values, lambda v: F.zip_with(
+            v, F.slice(v, width + 1, F.size(v)), lambda a, b: F.xxhash64(a, b)))
 
     def windows(w: Column) -> Column:
-        hashes, width = F.transform(w, lambda x: F.xxhash64(x)), 1
+        hashes, width = w, 1
         while width < WINDOW:
             hashes, width = joined(hashes, width), 2 * width
-        return bind(hashes, counted)
+        whole = bind(hashes, lambda h: F.slice(h, 1, F.size(h) - (WINDOW - 1)))
+        return bind(whole, counted)
 
     return F.when(F.size(words) <= WINDOW, F.lit(0)).otherwise(windows(words))
 
@@ -131,8 +127,9 @@ def count_grams(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.when(F.col("quality").isin(0, 1), F.col("quality")).alias("class"),
         ngram_buckets(F.col("text")).alias("grams"))
     share = F.when(F.size("grams") > 0, F.round(SHARES / F.size("grams"))).otherwise(0).cast("long")
-    return (rows.select("class", share.alias("share"),
-                        F.explode(F.concat("grams", F.array(F.lit(BUCKETS)))).alias("bucket"))
+    # a step of its own: beside ``explode`` the share would be computed for every n-gram
+    return (rows.select("class", share.alias("share"), "grams")
+            .select("class", "share", F.explode(F.concat("grams", F.array(F.lit(BUCKETS)))).alias("bucket"))
             .groupBy("bucket", "class").agg(F.count("*").alias("n"), F.sum("share").alias("shares")))
 
 

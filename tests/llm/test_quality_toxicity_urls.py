@@ -121,6 +121,25 @@ def test_quality_learns_from_every_label(spark):
     assert threshold == pytest.approx(sum(means) / 2, abs=1e-7)
 
 
+def test_shares_are_computed_once_a_document(spark):
+    docs = spark.createDataFrame([(1, "one two three")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    plan = quality.count_grams(docs, labels)._jdf.queryExecution().optimizedPlan().toString()
+    # the plan's root is at its top: what is below ``Generate`` runs before the n-grams become rows
+    assert "round(" in plan and "round(" not in plan[:plan.index("Generate explode")]
+
+
+def test_repeated_words_of_random_texts(spark):
+    """Few words, so that windows of eight repeat, overlap and reach both ends of the text."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(list("ab"), n)) for n in [*range(7, 40)] * 2]
+    texts += [" ".join(rng.choice(FILLER[:5], 12).tolist() * 2 + rng.choice(FILLER, n).tolist()) for n in range(12)]
+    texts += [" ".join(f"w{i % n}" for i in range(16)) for n in (7, 8, 9)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in docs.select("text", quality.repeated_words(quality.words_of(F.col("text"))).alias("n")).collect():
+        assert r["n"] == base(r["text"])[4], r["text"]
+
+
 def test_pipeline_judges_by_every_label(spark, tmp_path):
     """The few labels of the documents count beside many others: a sample would miss most of them."""
     rng = np.random.default_rng(6)
